@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules, simhash
+from . import hilbert_shards, mixing, quality_rules, simhash
 from .common import table
 
 
@@ -16,9 +16,19 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_counts(table(spark, sf_dir, "documents"))
+
+
+def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_shards.shards(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op6_source_mixing": op6_source_mixing,
+    "op9_hilbert_sharding": op9_hilbert_sharding,
 }
 
 ORACLES: dict[str, str] = {}
