@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hilbert_shards, mixing, quality_rules, simhash
+from . import exact_packing, hilbert_shards, mixing, quality_rules, simhash, token_files
 from .common import table
 
 
@@ -16,10 +16,18 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
 
 
+def op7_exact_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards.shards(table(spark, sf_dir, "documents"))
 
@@ -27,7 +35,9 @@ def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op5_token_files": op5_token_files,
     "op6_source_mixing": op6_source_mixing,
+    "op7_exact_packing": op7_exact_packing,
     "op9_hilbert_sharding": op9_hilbert_sharding,
 }
 

@@ -49,7 +49,8 @@ def test_targets_and_taken(spark, seed, n, hot):
         assert r.taken == r.size * r.copies and 0 <= r.copies <= 3
         taken[s] += r.taken
     for s in total:
-        assert abs(taken[s] - target[s]) <= max(30, 0.01 * target[s]), (s, taken[s], target[s])
+        near = 450 if n < 1000 else 30  # half the longest document where a source has but a few
+        assert abs(taken[s] - target[s]) <= max(near, 0.01 * target[s]), (s, taken[s], target[s])
 
 
 def test_mixed_rows_and_shards(spark):
