@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_packing, hilbert_shards, mixing, quality_rules, simhash, token_files
+from . import exact_packing, hilbert_shards, language_id, mixing, projection_dedup, quality_rules, simhash, token_files, trie_counts
 from .common import table
 
 
@@ -16,6 +16,14 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"))
 
@@ -28,6 +36,10 @@ def op7_exact_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op8_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards.shards(table(spark, sf_dir, "documents"))
 
@@ -35,9 +47,12 @@ def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_projection_dedup": op3_projection_dedup,
+    "op4_language_id": op4_language_id,
     "op5_token_files": op5_token_files,
     "op6_source_mixing": op6_source_mixing,
     "op7_exact_packing": op7_exact_packing,
+    "op8_trie_token_counts": op8_trie_token_counts,
     "op9_hilbert_sharding": op9_hilbert_sharding,
 }
 
