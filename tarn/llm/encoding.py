@@ -1,9 +1,11 @@
 """Token ids of whole texts by public tokenizer files, each distinct chunk encoded once.
 
-A chunk is what stands between ASCII white space, with one space before it
-where the vocabulary keeps spaces. Pre-tokenizers never join across such a
-border, so the ids of a text are the ids of its chunks in order. Texts with
-other white space or separators go to the tokenizer whole.
+A text's ids are those of its pre-tokens in order. For texts of Latin letters
+the pre-tokens (words, numbers, marks) are found here, lower-cased first where
+the vocabulary is. In texts with other characters a chunk is what stands
+between white space, with one space before it where the vocabulary keeps
+spaces; no pre-token crosses such a border. Texts with unusual white space or
+separators go to the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -14,10 +16,17 @@ import re
 import numpy as np
 
 #: Distinct chunks that a process remembers; then it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 #: Characters of texts that are split into chunks at once.
 AT_ONCE = 2_000_000
-UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏ -  ⁠　﻿]")
+#: New chunks that are encoded as one text.
+TOGETHER = 4096
+UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff]")
+#: Beyond these, letters and numbers need the tokenizer's own tables.
+OTHER = re.compile("[\x1c-\x1f\x85\xa0\xb2\xb3\xb9\xbc-\xbe\u0250-\U0010ffff]")
+# The pre-token patterns of the two vocabularies, for texts without OTHER characters.
+LATIN_SPACED = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+LATIN_LOWER = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 SPACED = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 
 _encoders: dict = {}
@@ -36,25 +45,53 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.split = SPACED.findall if keeps_spaces else str.split
+        self.keeps_spaces = keeps_spaces
+        self.border = "\n" if keeps_spaces else " \0 "  # one id, which no chunk without that character has
+        self.border_id = self.tokenizer.encode(self.border, add_special_tokens=False).ids[0]
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.starts, self.lengths, self.ids = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32))
 
+    def split(self, text: str) -> list[str]:
+        if not OTHER.search(text):
+            return LATIN_SPACED.findall(text) if self.keeps_spaces else LATIN_LOWER.findall(text.lower())
+        if UNUSUAL.search(text):
+            return [text]
+        return SPACED.findall(text) if self.keeps_spaces else text.split()
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def learn(self, chunks: list[str]) -> None:
-        new = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, new), np.int64, len(new))
-        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks))))  # noqa: B905
+        """Encodes new chunks, thousands in one text with borders between, and those with a border or white space alone."""
+        mark = self.border.strip(" ")
+        alone = [c for c in chunks if mark in c or not c.strip() or UNUSUAL.search(c)]
+        ids, lengths = [np.fromiter(x, np.uint32, len(x)) for x in self.encode(alone)], []
+        lengths += map(len, ids)
+        rest = list(set(chunks).difference(alone))
+        for k in range(0, len(rest), TOGETHER):
+            some = rest[k : k + TOGETHER]
+            (found,) = self.encode([self.border.join(some)])
+            found = np.fromiter(found, np.uint32, len(found))
+            at = np.flatnonzero(found == self.border_id)
+            if len(at) != len(some) - 1:
+                raise ValueError("a border was lost")
+            lengths += np.diff(at, prepend=-1, append=len(found)).tolist()
+            lengths[-len(some) :] = [n - 1 for n in lengths[-len(some) :]]
+            ids.append(np.delete(found, at))
+        order = alone + rest
+        lengths = np.array(lengths, np.int64)
+        self.known.update(zip(order, range(len(self.known), len(self.known) + len(order))))  # noqa: B905
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in new for i in x), np.uint32, int(lengths.sum()))])
+        self.ids = np.concatenate([self.ids, *ids])
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > REMEMBERED:
             self.forget()
-        parts = [[t] if not t.isascii() and UNUSUAL.search(t) or any(c in t for c in "\x1c\x1d\x1e\x1f") else self.split(t) for t in texts]
+        parts = [self.split(t) for t in texts]
         chunks = [c for p in parts for c in p]
         if new := [c for c in set(chunks) if c not in self.known]:
             self.learn(new)
