@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_packing, hilbert_shards, language_id, mixing, projection_dedup, quality_rules, simhash, token_files, trie_counts
+from . import exact_packing, hilbert_shards, language_id, mixing, projection_dedup, quality_rules, repeats, simhash, token_files, trie_counts
 from .common import table
 
 
@@ -44,6 +44,10 @@ def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards.shards(table(spark, sf_dir, "documents"))
 
 
+def op10_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_counts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -54,6 +58,7 @@ QUERIES = {
     "op7_exact_packing": op7_exact_packing,
     "op8_trie_token_counts": op8_trie_token_counts,
     "op9_hilbert_sharding": op9_hilbert_sharding,
+    "op10_repeat_removal": op10_repeat_removal,
 }
 
 ORACLES: dict[str, str] = {}
