@@ -19,8 +19,6 @@ import numpy as np
 REMEMBERED = 1_000_000
 #: Characters of texts that are split into chunks at once.
 AT_ONCE = 2_000_000
-#: New chunks that are encoded as one text.
-TOGETHER = 4096
 UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff]")
 #: Beyond these, letters and numbers need the tokenizer's own tables.
 OTHER = re.compile("[\x1c-\x1f\x85\xa0\xb2\xb3\xb9\xbc-\xbe\u0250-\U0010ffff]")
@@ -28,6 +26,9 @@ OTHER = re.compile("[\x1c-\x1f\x85\xa0\xb2\xb3\xb9\xbc-\xbe\u0250-\U0010ffff]")
 LATIN_SPACED = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 LATIN_LOWER = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 SPACED = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+#: The letters that byte-level vocabularies write bytes with: printable ones of Latin-1 stay, others follow from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+LETTERS = dict(zip([b for b in range(256) if b not in _PRINTABLE], range(256, 512)))  # noqa: B905
 
 _encoders: dict = {}
 
@@ -46,8 +47,6 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.keeps_spaces = keeps_spaces
-        self.border = "\n" if keeps_spaces else " \0 "  # one id, which no chunk without that character has
-        self.border_id = self.tokenizer.encode(self.border, add_special_tokens=False).ids[0]
         self.forget()
 
     def forget(self) -> None:
@@ -59,34 +58,22 @@ class Encoder:
             return LATIN_SPACED.findall(text) if self.keeps_spaces else LATIN_LOWER.findall(text.lower())
         if UNUSUAL.search(text):
             return [text]
-        return SPACED.findall(text) if self.keeps_spaces else text.split()
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        chunks = SPACED.findall(text) if self.keeps_spaces else text.split()
+        return [c for chunk in chunks for c in ([chunk] if OTHER.search(chunk) else self.split(chunk))]
 
     def learn(self, chunks: list[str]) -> None:
-        """Encodes new chunks, thousands in one text with borders between, and those with a border or white space alone."""
-        mark = self.border.strip(" ")
-        alone = [c for c in chunks if mark in c or not c.strip() or UNUSUAL.search(c)]
-        ids, lengths = [np.fromiter(x, np.uint32, len(x)) for x in self.encode(alone)], []
-        lengths += map(len, ids)
-        rest = list(set(chunks).difference(alone))
-        for k in range(0, len(rest), TOGETHER):
-            some = rest[k : k + TOGETHER]
-            (found,) = self.encode([self.border.join(some)])
-            found = np.fromiter(found, np.uint32, len(found))
-            at = np.flatnonzero(found == self.border_id)
-            if len(at) != len(some) - 1:
-                raise ValueError("a border was lost")
-            lengths += np.diff(at, prepend=-1, append=len(found)).tolist()
-            lengths[-len(some) :] = [n - 1 for n in lengths[-len(some) :]]
-            ids.append(np.delete(found, at))
-        order = alone + rest
-        lengths = np.array(lengths, np.int64)
-        self.known.update(zip(order, range(len(self.known), len(self.known) + len(order))))  # noqa: B905
+        """Encodes new chunks: Latin pre-tokens by the model alone, others with all that goes before it."""
+        other = [c for c in chunks if OTHER.search(c)]
+        latin = list(set(chunks).difference(other)) if other else chunks
+        new = [e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]
+        tokenize = self.tokenizer.model.tokenize
+        new += [[t.id for t in tokenize(c.encode().decode("latin-1").translate(LETTERS))] for c in latin]
+        chunks = other + latin
+        lengths = np.fromiter(map(len, new), np.int64, len(new))
+        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks))))  # noqa: B905
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, *ids])
+        self.ids = np.concatenate([self.ids, np.fromiter((i for x in new for i in x), np.uint32, int(lengths.sum()))])
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > REMEMBERED:
