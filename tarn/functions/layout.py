@@ -24,6 +24,19 @@ def partition_path(scheme: str, time: Column) -> Column:
     return F.date_format(time, formats[scheme]) if scheme in formats else F.lit("")
 
 
+def partition_columns(scheme: str, time: Column) -> dict[str, Column]:
+    """The key=value folders of a scheme as columns to partition by; a time that lacks gives ``unknown``.
+
+    The ``date`` scheme has no keys, so Spark can't write its folders; its
+    paths come from ``partition_path`` and are read through a catalogue.
+    """
+    if scheme == "date" or scheme not in SCHEMES:
+        raise ValueError(f"scheme {scheme!r} has no key=value folders")
+    depth = {"hive": 3, "date_hour": 4}.get(scheme, 0)
+    keys = (("year", "yyyy"), ("month", "MM"), ("day", "dd"), ("hour", "HH"))[:depth]
+    return {k: F.coalesce(F.date_format(time, p), F.lit("unknown")) for k, p in keys}
+
+
 def safe_name(name: Column) -> Column:
     """A name that is safe in a path: unsafe characters become underscores, 50 characters at most, never empty."""
     return F.coalesce(F.nullif(F.left(F.regexp_replace(name, UNSAFE, "_"), F.lit(LONGEST_NAME)), F.lit("")), F.lit("unknown"))

@@ -38,7 +38,7 @@ def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for r in batch.to_pylist():
-            store, path = fs.FileSystem.from_uri(r["path"])
+            store, path = fs.FileSystem.from_uri(r["path"].replace("%", "%25"))  # listed paths are names, not URIs
             with store.open_input_file(path) as f:
                 meta = pq.ParquetFile(f).metadata
             leaves = [meta.schema.column(k) for k in range(len(meta.schema))]
@@ -155,7 +155,17 @@ def expired(table: DataFrame, now: Column, until: str = "expires_at") -> DataFra
     return table.where(F.col(until) < now)
 
 
-def numbered_parts(rows: DataFrame, by: list[str], order: list[str], size: Column, limit: int) -> DataFrame:
-    """``rows`` with a part number from 1: by running size in order, a new part starts once the limit is reached."""
-    before = F.coalesce(F.sum(size).over(W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return rows.withColumn("part", (F.floor(before / limit) + 1).cast("long"))
+def numbered_parts(rows: DataFrame, by: list[str], order: list[str], size: Column, limit: int, bucket: Column | None = None) -> DataFrame:
+    """``rows`` with a part number from 1: by running size in order, a new part starts once the limit is reached.
+
+    ``bucket`` follows the order (such as its minute): sums of buckets are
+    added up first, so that no window holds more than one bucket's rows.
+    """
+    if bucket is None:
+        bucket = F.lit(0)
+    rows = rows.withColumn("_bucket", bucket).withColumn("_size", F.coalesce(size, F.lit(0)))
+    sums = rows.groupBy(*by, "_bucket").agg(F.sum("_size").alias("_sum"))
+    sums = sums.withColumn("_base", F.sum("_sum").over(W.partitionBy(*by).orderBy("_bucket")) - F.col("_sum")).drop("_sum")
+    inside = F.sum("_size").over(W.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)) - F.col("_size")
+    rows = rows.withColumn("_inside", inside).join(sums, [*by, "_bucket"])
+    return rows.withColumn("part", (F.floor((F.col("_base") + F.col("_inside")) / limit) + 1).cast("long")).drop("_bucket", "_size", "_inside", "_base")

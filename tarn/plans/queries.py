@@ -282,7 +282,7 @@ def upsert_latest(files):
 @query("events", """
     select event_id, 1 + coalesce(sum(length(props) + 20) over (partition by event_type order by ts, event_id rows between unbounded preceding and 1 preceding), 0) // 4096 as part from events""".replace("1 + coalesce", "cast(1 + coalesce").replace("// 4096", "// 4096 as bigint)"))
 def part_assignment(events):
-    return catalog.numbered_parts(events, ["event_type"], ["ts", "event_id"], F.length("props") + 20, 4096).select("event_id", "part")
+    return catalog.numbered_parts(events, ["event_type"], ["ts", "event_id"], F.length("props") + 20, 4096, F.date_trunc("HOUR", "ts")).select("event_id", "part")
 
 
 # ---- schema evolution
@@ -598,3 +598,6 @@ def daily_counts(events):
     records = ndjson.records(lines).withColumn("event_ts", timestamps.event_time(F.col("record")))
     rows = schema.projected(records, names, keep=("event_ts",))
     return rows.groupBy(F.col("event_type").alias("dataset"), F.col("event_ts").cast("date").alias("day")).agg(F.count("*").alias("n_rows"), F.sum(F.length("props")).alias("bytes"))
+
+
+from . import lake_queries  # noqa: E402, F401  registers the queries that write and stream

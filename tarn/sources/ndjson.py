@@ -6,10 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = "*[nN][dD][jJ][sS][oO][nN].[gG][zZ]") -> DataFrame:
-    """Files below ``root``: path, length and modificationTime. Contents aren't read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
-    return files.select("path", "length", "modificationTime").where(F.lower("path").rlike(r"[.-]ndjson\.gz$"))
+#: What the names of data files end with, in lower case: name.ndjson.gz, or tenant--dataset--stamp--ndjson.gz.
+DATA_FILE = r"(\.|--)ndjson\.gz$"
+
+
+def list_files(spark: SparkSession, root: str, ending: str = DATA_FILE) -> DataFrame:
+    """Data files below ``root``: path, length and modificationTime. Contents aren't read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    return files.select("path", "length", "modificationTime").where(F.lower("path").rlike(ending))
 
 
 def scan(spark: SparkSession, paths: str | list[str], partitions: int | None = None) -> DataFrame:
