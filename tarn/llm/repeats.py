@@ -40,7 +40,7 @@ MATCH = 400
 #: Segments of an anchor beyond which it is split.
 LARGEST_GROUP = 1000
 #: Bytes of segments in an index, about.
-BUCKET = 2_000_000
+BUCKET = 1_000_000
 #: Bytes of a text that are cut into segments at once.
 AT_ONCE = 1 << 20
 
