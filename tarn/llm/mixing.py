@@ -161,3 +161,31 @@ def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     shard, order = fresh(df, "shard"), fresh(df, "shard_order")
     rows = df.join(plan, on).select(*[df[c] for c in df.columns], F.posexplode(to).alias(f"{to}p", shard))
     return rows.withColumn(order, F.xxhash64(F.lit(SEED), F.col(id_col), F.col(f"{to}p"), F.col(shard))).drop(f"{to}p")
+
+
+#: SQL for the rows of ``mix_counts`` over documents.
+ORACLE = rf"""
+    with z as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents),
+    g as (select doc_id, source, size, count(*) as n from z group by 1, 2, 3),
+    a as (select source, cast(sum(size * n) as bigint) as source_size, row_number() over (order by source nulls last) as src from g group by 1),
+    b as (select *, (src - 1) % 3 + 1 as weight, source_size * {MOST_TIMES} / ((src - 1) % 3 + 1) as full_at from a),
+    c as (select *, cast(sum(source_size) over () - coalesce(sum(source_size) over w, 0) * {MOST_TIMES} as bigint) / cast(sum(weight) over () - coalesce(sum(weight) over w, 0) as bigint) as level
+          from b window w as (order by full_at, src rows between unbounded preceding and 1 preceding)),
+    d as (select *, least(source_size * {MOST_TIMES}.0::double, (select level from c where full_at >= level order by full_at, src limit 1) * weight) as target from c),
+    e as (select *, case when source_size > 0 then cast(floor(target / source_size) as int) else 0 end as f from d),
+    docs as (select g.*, e.src, e.source_size, e.target, e.f, md5(concat_ws(':', '{SEED}', coalesce(cast(doc_id as varchar), '-'))) as perm, size * n * {LONG} > source_size as is_long
+             from g join e on g.source is not distinct from e.source),
+    lists as (select src, f, target, source_size, sum(size * n) as every, list({{'perm': perm, 'doc_id': doc_id, 'size': size, 'n': n, 'words': size * n}} order by perm, doc_id, size) as everyone
+              from docs where is_long group by 1, 2, 3, 4),
+    shares as (select *, (target - f * source_size) * every / source_size as share from lists),
+    fits as (select *, share * 2 > every as out, list_reduce(everyone, lambda t, x: {{'rest': t.rest - case when x.words <= t.rest then x.words else 0 end, 'yes': list_append(t.yes, x.words <= t.rest)}},
+             {{'rest': case when share * 2 > every then every - share else share end, 'yes': cast([] as boolean[])}}) as r from shares),
+    longs as (select src, unnest(everyone) as x, unnest(r.yes) <> out as last from fits),
+    took as (select src, sum(x.words) as long_words, sum(case when last then x.words else 0 end) as taken from longs group by 1),
+    rests as (select e.src, source_size - coalesce(long_words, 0) as rest, greatest(1, (source_size - coalesce(long_words, 0) + {BLOCKS - 1}) // {BLOCKS}) as bw, target - f * source_size - coalesce(taken, 0) as wanted
+              from e left join took on e.src = took.src),
+    small as (select docs.*, bw, cast(round(wanted / bw) as bigint) as quota, cast(sum(size * n) over (partition by docs.src order by perm, doc_id, size) as bigint) as upto from docs join rests on docs.src = rests.src where not is_long),
+    times as (select doc_id, source, size, source_size, target, n, f + case when f < {MOST_TIMES} and (2 * upto - size * n) // (2 * bw) < quota then 1 else 0 end as copies from small
+              union all select docs.doc_id, docs.source, docs.size, docs.source_size, docs.target, docs.n, docs.f + case when last and docs.f < {MOST_TIMES} then 1 else 0 end
+              from docs join longs on docs.src = longs.src and docs.doc_id is not distinct from longs.x.doc_id and docs.size = longs.x.size where docs.is_long)
+    select doc_id, size, source_size, target, cast(size * copies as bigint) as taken, cast(copies as int) as copies from times, unnest(range(n)) as k"""

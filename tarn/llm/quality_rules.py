@@ -44,7 +44,7 @@ def bad_line(line: Column) -> Column:
     symbols = F.regexp_count(line, F.lit(r"[#*$%&|<>~^_=\\]+"))
     shouts = F.length(line) - F.length(F.replace(line, F.lit("!"), F.lit("")))
     pattern = "(?i)" + "|".join(BOILERPLATE)
-    marked = ((symbols >= 2) & (symbols * 4 >= words)) | ((shouts >= 3) & (~line.rlike(r"\p{Ll}") | (shouts * 2 >= words))) | line.rlike(r"[|»•·].*[|»•·].*[|»•·]")
+    marked = ((symbols >= 2) & (symbols * 4 >= words)) | ((shouts >= 3) & (~line.rlike(r"\p{Ll}") | (shouts * 2 >= words))) | line.rlike(r"(?s)[|»•·].*[|»•·].*[|»•·]")
     return (
         (line.rlike(r"[#*$%&|<>~^_=\\!»•·]") & marked)
         | ((F.length(line) <= 60) & ~line.rlike(r"[.!?…。！？:;,\"'”»)]|[\p{L}\p{N}]{12}") & (words > 0) & (words <= 3))
@@ -150,3 +150,30 @@ def cleaned(df: DataFrame, text_col: str = "text") -> DataFrame:
     rows = judged(base_counts(rows.select(text, F.col(f"{text}.{text_col}").alias("_t")), "_t"), "_t", verdict)
     rows = rows.where(~base_failed() & lost_little(verdict))
     return rows.select(*[F.col(f"{verdict}.clean_text").alias(c) if c == text_col else F.col(f"{text}.`{c}`").alias(c) for c in columns])
+
+
+_WORD = r"[^\x20\x09-\x0D]+"
+_LINE_WORDS = f"len(regexp_extract_all(x, '{_WORD}'))"
+_SYMBOLS = r"len(regexp_extract_all(x, '[#*$%&|<>~^_=\\]+'))"
+_SHOUTS = "(length(x) - length(replace(x, '!', '')))"
+_BAD = rf"""
+    (regexp_matches(x, '[#*$%&|<>~^_=\\!»•·]') and (({_SYMBOLS} >= 2 and {_SYMBOLS} * 4 >= {_LINE_WORDS})
+        or ({_SHOUTS} >= 3 and (not regexp_matches(x, '\p{{Ll}}') or {_SHOUTS} * 2 >= {_LINE_WORDS})) or regexp_matches(x, '(?s)[|»•·].*[|»•·].*[|»•·]')))
+    or (length(x) <= 60 and not regexp_matches(x, '[.!?…。！？:;,"''”»)]|[\p{{L}}\p{{N}}]{{12}}') and {_LINE_WORDS} between 1 and 3)
+    or (length(x) <= 120 and regexp_matches(x, '(?i){"|".join(BOILERPLATE)}'))"""
+
+#: SQL for the rows of ``quality`` over documents.
+ORACLE = rf"""
+    with w as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '{_WORD}') as words, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+    g as (select doc_id, unnest(list_transform(range(1, len(words) - 1), lambda i: {{'p': i, 'g': words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]}})) as x from w),
+    r as (select doc_id, x.p as p from g qualify count(*) over (partition by doc_id, x.g) > 1),
+    c as (select doc_id, least(3, coalesce(lead(p) over (partition by doc_id order by p) - p, 3)) as n from r),
+    n as (select doc_id, sum(n) as n from c group by 1),
+    l as (select *, list_filter(lines, lambda x: regexp_matches(x, '{_WORD}')) as wordy, list_filter(lines, lambda x: not ({_BAD})) as good from w),
+    q as (select l.doc_id, len(words) as n_words, length(array_to_string(words, '')) as word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) as n_symbols,
+                 len(wordy) - len(list_distinct(wordy)) as n_dup_lines, cast(coalesce(n.n, 0) as bigint) as n_repeat_words, len(lines) as n_lines, len(lines) - len(good) as n_lines_removed,
+                 length(array_to_string(lines, '')) as line_chars, length(array_to_string(good, '')) as kept_chars
+          from l left join n on n.doc_id = l.doc_id)
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+           not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and (line_chars - kept_chars) * 100 <= line_chars * {MAX_LOST_PERCENT} as kept, n_lines, n_lines_removed
+    from q"""

@@ -61,4 +61,4 @@ QUERIES = {
     "op10_repeat_removal": op10_repeat_removal,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.ORACLE, "op6_source_mixing": mixing.ORACLE}
