@@ -73,37 +73,40 @@ def forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
         label = new
 
 
-def _comparer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Links and a forest of one block: its own classes and those of the block before it."""
-    block = key[0].as_py()
-    table = table.sort_by([("rank", "ascending")])
-    rank, cid, n = (table.column(c).to_numpy() for c in ("rank", "cid", "n"))
-    group = np.stack([table.column(c).to_numpy() for c in ("pass", "label", "size")], axis=1)
-    blocks = np.array(table.column("blocks").combine_chunks().values).reshape(len(rank), -1)
-    links, root = np.zeros(len(rank), np.int64), np.arange(len(rank))
-    cuts = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]).any(1), [True]]))
-    for a, b in zip(cuts, cuts[1:]):  # noqa: B905
-        home = rank[a:b] // BLOCK == block
-        if not home.any():
-            continue
-        x = np.frombuffer(b"".join(table.column("vector").slice(a, b - a).to_pylist()), "<f8").reshape(b - a, -1)
-        x = x / np.abs(x).max(1, keepdims=True)
-        x = x / np.sqrt((x * x).sum(1, keepdims=True))
-        near = x @ x[home].T >= COSINE
-        i, j = np.nonzero(near)
-        j = np.flatnonzero(home)[j]
-        own = (i < j) | ~home[i] & (i != j)
-        i, j = i[own] + a, j[own] + a
-        p = int(group[a, 0])
-        if p:
-            new = (np.abs(blocks[i, :p] - blocks[j, :p]) > 1).all(1)
-            i, j = i[new], j[new]
-        np.add.at(links, i, n[j])
-        np.add.at(links, j, n[i])
-        root[a:b] = forest(i - a, j - a, b - a) + a
-    some, tied = links > 0, root != np.arange(len(root))
-    out = {"a": np.concatenate([cid[some], cid[tied]]), "b": np.concatenate([cid[some], cid[root[tied]]]), "links": np.concatenate([links[some], np.zeros(tied.sum(), np.int64)])}
-    return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
+def _comparer(size: int):
+    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        """Links and a forest of one block: its own classes and those of the block before it."""
+        block = key[0].as_py()
+        table = table.sort_by([("rank", "ascending")])
+        rank, cid, n = (table.column(c).to_numpy() for c in ("rank", "cid", "n"))
+        group = np.stack([table.column(c).to_numpy() for c in ("pass", "label", "size")], axis=1)
+        blocks = np.array(table.column("blocks").combine_chunks().values).reshape(len(rank), -1)
+        links, root = np.zeros(len(rank), np.int64), np.arange(len(rank))
+        cuts = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]).any(1), [True]]))
+        for a, b in zip(cuts, cuts[1:]):  # noqa: B905
+            home = rank[a:b] // size == block
+            if not home.any():
+                continue
+            x = np.frombuffer(b"".join(table.column("vector").slice(a, b - a).to_pylist()), "<f8").reshape(b - a, -1)
+            x = x / np.abs(x).max(1, keepdims=True)
+            x = x / np.sqrt((x * x).sum(1, keepdims=True))
+            near = x @ x[home].T >= COSINE
+            i, j = np.nonzero(near)
+            j = np.flatnonzero(home)[j]
+            own = (i < j) | ~home[i] & (i != j)
+            i, j = i[own] + a, j[own] + a
+            p = int(group[a, 0])
+            if p:
+                new = (np.abs(blocks[i, :p] - blocks[j, :p]) > 1).all(1)
+                i, j = i[new], j[new]
+            np.add.at(links, i, n[j])
+            np.add.at(links, j, n[i])
+            root[a:b] = forest(i - a, j - a, b - a) + a
+        some, tied = links > 0, root != np.arange(len(root))
+        out = {"a": np.concatenate([cid[some], cid[tied]]), "b": np.concatenate([cid[some], cid[root[tied]]]), "links": np.concatenate([links[some], np.zeros(tied.sum(), np.int64)])}
+        return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
+
+    return compare
 
 
 def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
@@ -118,7 +121,7 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     sent = classes.select("cid", "label", "size", "n", "vector").join(of, ["cid", "label"])
     sent = sent.withColumn("blocks", F.transform("ranks", lambda r: F.floor(r / BLOCK))).select("cid", "n", "label", "size", "vector", "blocks", F.posexplode("ranks").alias("pass", "rank"))
     sent = sent.withColumn("pass", F.col("pass").cast("long")).withColumn("block", F.explode(F.array(F.floor(F.col("rank") / BLOCK), F.floor(F.col("rank") / BLOCK) + 1)))
-    found = written(sent.groupBy("block").applyInArrow(_comparer, "a long, b long, links long"), "links")
+    found = written(sent.groupBy("block").applyInArrow(_comparer(BLOCK), "a long, b long, links long"), "links")
     links = found.groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("links"))
     roots = components(found.where("links = 0").select("a", "b"))
     of = classes.select("label", "same", "cid", "n").join(links, "cid", "left").join(roots, F.col("cid") == F.col("id"), "left")

@@ -45,25 +45,28 @@ BUCKET = 1_000_000
 AT_ONCE = 1 << 20
 
 
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import xxhash
+def _segments(at_once: int):
+    def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
 
-    digest = xxhash.xxh3_64_intdigest
-    names = ("v", "seg", "a", "w", "p", "many")
-    for batch in batches:
-        columns, owner = {n: [np.zeros(0, np.int64)] for n in names}, [np.zeros(0, np.int64)]
-        for k, value in enumerate(batch.column("data")):
-            text = value.as_py()
-            for base in range(0, len(text) - MATCH + 1, AT_ONCE):
-                part = text[base : base + AT_ONCE + MATCH - 1]
-                v, a, b, p, many = segments(np.frombuffer(part, np.uint8), MATCH)
-                seg = np.fromiter((digest(part[i : j + MATCH - 1]) for i, j in zip(a.tolist(), b.tolist())), np.uint64, len(a))  # noqa: B905
-                for n, x in zip(names, (v.view(np.int64), seg.view(np.int64), a + base, b - a, p - a, many.astype(np.int64))):  # noqa: B905
-                    columns[n].append(x)
-                owner.append(np.full(len(a), k))
-        take = pa.array(np.concatenate(owner))
-        out = {"t": batch.column("t").take(take), "doc_id": batch.column("doc_id").take(take)} | {n: pa.array(np.concatenate(x)) for n, x in columns.items()}
-        yield pa.RecordBatch.from_pydict(out)
+        digest = xxhash.xxh3_64_intdigest
+        names = ("v", "seg", "a", "w", "p", "many")
+        for batch in batches:
+            columns, owner = {n: [np.zeros(0, np.int64)] for n in names}, [np.zeros(0, np.int64)]
+            for k, value in enumerate(batch.column("data")):
+                text = value.as_py()
+                for base in range(0, len(text) - MATCH + 1, at_once):
+                    part = text[base : base + at_once + MATCH - 1]
+                    v, a, b, p, many = segments(np.frombuffer(part, np.uint8), MATCH)
+                    seg = np.fromiter((digest(part[i : j + MATCH - 1]) for i, j in zip(a.tolist(), b.tolist())), np.uint64, len(a))  # noqa: B905
+                    for n, x in zip(names, (v.view(np.int64), seg.view(np.int64), a + base, b - a, p - a, many.astype(np.int64))):  # noqa: B905
+                        columns[n].append(x)
+                    owner.append(np.full(len(a), k))
+            take = pa.array(np.concatenate(owner))
+            out = {"t": batch.column("t").take(take), "doc_id": batch.column("doc_id").take(take)} | {n: pa.array(np.concatenate(x)) for n, x in columns.items()}
+            yield pa.RecordBatch.from_pydict(out)
+
+    return segment
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +133,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     """(t, spans): byte spans to remove from the texts of ``docs`` (doc_id, data, t), t the MD5 of data."""
     spark = docs.sparkSession
     long = docs.where(F.octet_length("data") >= MATCH)
-    rows = written(long.mapInArrow(_segments, f"t binary, doc_id {dict(docs.dtypes)['doc_id']}, v long, seg long, a long, w long, p long, many long"), "segments")
+    rows = written(long.mapInArrow(_segments(AT_ONCE), f"t binary, doc_id {dict(docs.dtypes)['doc_id']}, v long, seg long, a long, w long, p long, many long"), "segments")
     again = kept(rows.groupBy("v").agg(F.sum(F.col("many") + 1).alias("n")).where("n > 1").select("v"))
     rows = written(rows.join(again, "v"), "candidates")
     each = kept(rows.groupBy("v", "seg").agg(F.count("*").alias("c"), F.min(F.struct("t", "doc_id", "a")).alias("at"), F.max("w").alias("w"), F.max("p").alias("p"), F.max("many").alias("many")))

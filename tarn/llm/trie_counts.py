@@ -83,7 +83,7 @@ class Trie:
         return tokens[node]
 
 
-def _counter(path: str):
+def _counter(path: str, nodes: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _tries:
             _tries[path] = Trie(*vocabulary(path))
@@ -96,7 +96,7 @@ def _counter(path: str):
                     if w not in trie.words:
                         trie.count(w)
                 words[k], tokens[k] = len(own), sum(map(trie.words.__getitem__, own))
-                if len(trie.forward) > NODES:
+                if len(trie.forward) > nodes:
                     trie.start()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words), pa.array(tokens)], names=["doc_id", "n_words", "n_tokens"])
 
@@ -106,4 +106,4 @@ def _counter(path: str):
 def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = "piece_bpe_32k.model") -> DataFrame:
     """One row for each row of ``df``: doc_id, n_words and n_tokens."""
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_counter(tokenizer_path(model)), "doc_id long, n_words long, n_tokens long")
+    return rows.mapInArrow(_counter(tokenizer_path(model), NODES), "doc_id long, n_words long, n_tokens long")
