@@ -1,7 +1,8 @@
 """Packing: JSON lines of a dataset to a partitioned Parquet lake, once, in parts of bounded size.
 
 A run lists what it hasn't consumed, reads it, sets aside what is no record,
-infers one schema over all records, casts, takes event times, numbers parts by
+infers one schema over all records (fields that the lake has keep their types,
+so that readers never meet two), casts, takes event times, numbers parts by
 running size in time order, writes, and only then appends to the catalogue and
 to the list of consumed files. A batch is known by the hash of its input
 files, so a second run of the same files does nothing. The catalogue lies in
@@ -71,6 +72,9 @@ def unconsumed(files: DataFrame, consumed: DataFrame) -> DataFrame:
 
 
 CONSUMED = "path string, length long, batch_hash string"
+FIELDS = "field string, type string, batch_hash string"
+#: Columns that packing adds; a record's fields of these names stay out.
+OWN = ("event_ts", "size", "part", "year", "month", "day", "hour")
 BATCHES = "batch_hash string, tenant string, dataset string, n_files long, valid long, rejected long"
 
 
@@ -89,7 +93,9 @@ def pack(spark: SparkSession, source: str, lake: str, tenant: str, dataset: str,
     try:
         counts = {r[0]: r[1] for r in lines.groupBy("status").count().collect()}
         records = lines.where("status = 'valid'").withColumn("event_ts", event_time(F.col("record"))).withColumn("size", F.octet_length("value"))
-        fields = [(r.field, r.type) for r in schema.inferred(records).collect() if r.field not in ("event_ts", "size")]  # one row a field
+        known = {r.field: r.type for r in read_or_empty(spark, f"{root}/_catalog/fields", FIELDS).collect()}  # one row a field, here and below
+        new = [(r.field, r.type) for r in schema.inferred(records).collect() if r.field not in known and r.field not in OWN]
+        fields = sorted([*known.items(), *new])
         rows = schema.projected(records, fields, keep=("event_ts", "size"))
         folders = layout.partition_columns(scheme, F.col("event_ts"))
         write_parts(rows.withColumns(folders) if folders else rows, f"{root}/data", list(folders), "event_ts", codec, limit, "size")
@@ -98,6 +104,8 @@ def pack(spark: SparkSession, source: str, lake: str, tenant: str, dataset: str,
         ndjson.quarantined(lines.select("value", "path")).write.mode("append").parquet(f"{root}/_catalog/quarantine")
     finally:
         lines.unpersist()
+    if new:
+        spark.createDataFrame([(*f, batch) for f in new], FIELDS).coalesce(1).write.mode("append").parquet(f"{root}/_catalog/fields")
     valid, rejected = counts.get("valid", 0), counts.get("not json", 0) + counts.get("not an object", 0)
     taken = files.select("path", F.col("size").alias("length"), F.lit(batch).alias("batch_hash"))
     spark.createDataFrame([(batch, tenant, dataset, len(names), valid, rejected)], BATCHES).write.mode("append").parquet(f"{root}/_catalog/batches")

@@ -59,7 +59,10 @@ def sampled(records: DataFrame, per_file: int, path: str = "path", order: str =
 
 
 def json_path(name: str) -> str:
-    return "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+    """The path of a top-level field. A name with both kinds of quotes can't be written as a path."""
+    if "'" in name and '"' in name:
+        raise ValueError(f"no path for a field with both kinds of quotes: {name}")
+    return f'$["{name}"]' if "'" in name else f"$['{name}']"
 
 
 def cast_field(record: Column, name: str, kind: str) -> Column:
@@ -90,11 +93,11 @@ def flattened(records: DataFrame, key: str, record: str = "record", delimiter: s
     only and leaves values alone.
     """
     spark = records.sparkSession
-    level = records.select(key, F.lit(None).cast("string").alias("path"), F.col(record).alias("v"))
+    level = records.select(F.col(key).alias("_k"), F.lit(None).cast("string").alias("path"), F.col(record).alias("v"))
     leaves = None
     for _ in range(depth):
         opened = level.withColumnRenamed("path", "_p").lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select(
-            key, F.concat_ws(delimiter, "_p", F.coalesce("key", F.col("pos").cast("string"))).alias("path"), F.col("value").alias("v")
+            "_k", F.concat_ws(delimiter, "_p", F.coalesce("key", F.col("pos").cast("string"))).alias("path"), F.col("value").alias("v")
         )
         kind = F.schema_of_variant("v")
         inner = (kind.startswith("OBJECT") | kind.startswith("ARRAY")) & ~F.to_json("v").isin("{}", "[]")
@@ -103,4 +106,4 @@ def flattened(records: DataFrame, key: str, record: str = "record", delimiter: s
         level = opened.where(inner)
     leaves = leaves.unionAll(level)
     text = F.when(F.schema_of_variant("v") == "STRING", F.col("v").try_cast("string")).otherwise(F.to_json("v"))
-    return leaves.select(key, "path", text.alias("value"))
+    return leaves.select(F.col("_k").alias(key), "path", text.alias("value"))
