@@ -130,13 +130,22 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
 
 
+def barred(condition: Column) -> Column:
+    """``condition`` in a form that filters aren't pushed through.
+
+    Spark would move a filter below the projections and write the arrays of a
+    text into it where they are used, to be made anew for every element.
+    """
+    return condition & (F.monotonically_increasing_id() >= 0)
+
+
 def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``df``: its id, base counts, line counts, base_failed and kept."""
     rows = judged(base_counts(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text"), "text", "_v")
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed().alias("base_failed"),
-        (~base_failed() & lost_little("_v")).alias("kept"),
+        barred(~base_failed() & lost_little("_v")).alias("kept"),
         F.col("_v.n_lines").cast("long").alias("n_lines"),
         F.col("_v.n_lines_removed").cast("long").alias("n_lines_removed"),
     )
@@ -148,7 +157,8 @@ def cleaned(df: DataFrame, text_col: str = "text") -> DataFrame:
     columns = df.columns
     rows = df.withColumn(text, F.struct(*df.columns))  # the counts' names may clash with columns of df
     rows = judged(base_counts(rows.select(text, F.col(f"{text}.{text_col}").alias("_t")), "_t"), "_t", verdict)
-    rows = rows.where(~base_failed() & lost_little(verdict))
+    keep = fresh(rows, "_keep")
+    rows = rows.withColumn(keep, barred(~base_failed() & lost_little(verdict))).where(keep)
     return rows.select(*[F.col(f"{verdict}.clean_text").alias(c) if c == text_col else F.col(f"{text}.`{c}`").alias(c) for c in columns])
 
 
