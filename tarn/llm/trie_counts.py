@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .encoding import tokenizer_path
 
 MARK = "▁"
-NODES = 700_000
+NODES = 2_000_000
 
 _tries: dict = {}
 
