@@ -117,6 +117,13 @@ def ts_layouts(events):
     return rows.select("event_id", timestamps.looks_like_timestamp(F.col("x")).alias("is_timestamp"), timestamps.wide(F.col("x")).alias("wide_ts"), timestamps.rfc3339(timestamps.wide(F.col("x"))).alias("text"), timestamps.from_epoch(number).alias("epoch_ts"))
 
 
+@query("raw_lines", f"select event_id from (select event_id, row_number() over (partition by event_id % 6 order by event_id) as k from raw_lines where {STATUS} = 'valid') r where k <= 100")
+def first_records(lines):
+    """The bounded sample of records of each file that inference may be limited to."""
+    rows = ndjson.records(lines).withColumn("path", F.col("event_id") % 6)
+    return schema.sampled(rows, 100, order="event_id").select("event_id")
+
+
 # ---- names and paths
 
 
@@ -338,6 +345,12 @@ def schema_versions(fields):
     return evolution.versions(hashes, ["dataset"], "file", "n").select("dataset", "file", "schema_version")
 
 
+@query("lineitem", "select case l_linenumber when 1 then 'int32' when 2 then 'timestamp' when 3 then 'string' else 'unknown' end as name, count(*) as n from lineitem group by 1")
+def type_names(lineitem):
+    physical = F.element_at(F.array(*map(F.lit, ("INT32", "INT96", "BYTE_ARRAY", "none", "none", "none", "none"))), F.col("l_linenumber"))
+    return lineitem.groupBy(catalog.type_name(physical).alias("name")).agg(F.count("*").alias("n"))
+
+
 # ---- registry and jobs
 
 
