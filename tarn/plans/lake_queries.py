@@ -31,7 +31,7 @@ def _named(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """A source folder and an empty lake."""
     base = work_folder(spark, "lake")
     lines = view(spark, sf_dir, "raw_lines").select("value", (F.col("event_id") % FILES).alias("deal"))
-    lines.repartitionByRange(FILES, "deal").select("value").write.option("compression", "gzip").text(f"{base}/stage")
+    lines.repartition(FILES, "deal").write.partitionBy("deal").option("compression", "gzip").text(f"{base}/stage")
     return f"{base}/stage", f"{base}/out"
 
 

@@ -299,9 +299,10 @@ _NORM = "regexp_replace(replace(lower(name), '-', '_'), '(_[12])+$', '')"
 
 @query("fields", f"select file, name, type from (select *, row_number() over (partition by file, {_NORM} order by pos, name, type) as k from fields) f where k = 1")
 def dedupe_fields(fields):
-    one = fields.groupBy("file", "pos").agg(F.min(F.struct("name", "type")).alias("x")).select("file", "pos", "x.*")
-    more = fields.join(one, ["file", "pos", "name", "type"], "left_anti").withColumn("pos", F.col("pos") + 100)
-    return evolution.without_repeats(one.unionByName(more)).select("file", "name", "type")
+    from pyspark.sql import Window
+
+    place = F.row_number().over(Window.partitionBy("file").orderBy("pos", "name", "type"))
+    return evolution.without_repeats(fields.withColumn("pos", place)).select("file", "name", "type")
 
 
 @query("fields", f"""
