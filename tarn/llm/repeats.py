@@ -11,8 +11,9 @@ An anchor with very many different segments (a common line or passage) is
 split: equal windows share 272 bytes around the anchor, so they share the half
 to its left or to its right. Segments are dealt by the hash of the anchor
 with either half, then by half of what is left, and so on, until groups are
-small or the window is whole; what is alone on the way matches nothing.
-Nothing is lost, and no group meets in one task.
+small or the window is whole; what is alone on the way matches nothing. A
+segment that holds its anchor several times is dealt for each place by which
+one of its windows is known. Nothing is lost, and no group meets in one task.
 
 Defined cases: a null text is empty. Texts of under 400 bytes lose nothing.
 Matches never cross documents; equal documents of 400 bytes and more, repeated
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import ANCHOR, segments
+from .anchors import ANCHOR, anchor_hashes, segments
 from .common import fresh, kept, written
 from .run_index import repeated_spans
 
@@ -82,6 +83,39 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({n: pa.array(x, pa.binary() if n == "slice" else pa.int64()) for n, x in rows.items()})
 
 
+def places_of(data: bytes, v: int) -> np.ndarray:
+    """Places of the anchor ``v`` in a segment, one at least for each different window.
+
+    A window's own bytes name its place: the end of its first evenly spaced
+    row of places if that ends within the window, else its first place. So
+    equal windows name the same place, and a periodic run has few of them.
+    """
+    h = anchor_hashes(np.frombuffer(data, np.uint8))
+    at = np.flatnonzero(h.view(np.int64) == v)
+    windows = np.arange(len(data) - MATCH + 1)
+    first, last = np.searchsorted(at, windows), np.searchsorted(at, windows + MATCH - ANCHOR, "right") - 1
+    gap = np.append(np.diff(at), 0)
+    end = np.arange(len(at))
+    for k in range(len(at) - 2, -1, -1):
+        end[k] = end[k + 1] if gap[k] == gap[k + 1] else k + 1
+    row = np.minimum(end[first], last)
+    ends = (first < last) & ((row < last) | (at[row] + gap[first] <= windows + MATCH - ANCHOR))
+    named = at[np.where(ends, row, first)]
+    whole = np.zeros(len(windows), np.uint64)
+    for k in (*range(0, MATCH - ANCHOR, ANCHOR), MATCH - ANCHOR):
+        whole = whole * np.uint64(0x9E3779B97F4A7C15) + h[windows + k]
+    return np.unique(named[np.unique(whole, return_index=True)[1]])
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each place by which a window of the segment is known."""
+    for batch in batches:
+        found = [places_of(data, v) if many else [p] for v, p, many, data in zip(*(batch.column(c).to_pylist() for c in ("v", "p", "many", "slice")))]  # noqa: B905
+        take = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+        p = pa.array(np.concatenate([np.zeros(0, np.int64), *found]).astype(np.int64))
+        yield pa.RecordBatch.from_pydict({c: p if c == "p" else batch.column(c).take(take) for c in ("v", "seg", "p", "slice")})
+
+
 def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each row with half of the missing bytes more on its left, and on its right, where the segment has them."""
     import xxhash
@@ -109,18 +143,20 @@ def _indexed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 def split_groups(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Segments of very large groups as smaller groups (v, seg, slice, key), and spans (v, seg, s, e) of whole windows."""
     zero = F.lit(0).cast("long")
+    rows = rows.select("v", "seg", "p", "many", "slice").mapInArrow(_placed, "v long, seg long, p long, slice binary")
     rows = rows.select("v", "seg", "p", zero.alias("l"), zero.alias("r"), "slice")
     small, spans = None, None
     missing = MATCH - ANCHOR
     while True:
         missing -= (missing + 1) // 2
-        rows = kept(rows.mapInArrow(_extended, "v long, seg long, p long, l long, r long, slice binary, key long").dropDuplicates(["key", "v", "seg"]))
-        groups = kept(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+        rows = kept(rows.mapInArrow(_extended, "v long, seg long, p long, l long, r long, slice binary, key long").dropDuplicates(["key", "v", "seg", "p"]))
+        each = F.count_distinct("seg") if missing else F.count("*")  # a whole window may repeat within its segment
+        groups = kept(rows.groupBy("key").agg(each.alias("n")).where("n > 1"))
         rows = rows.join(groups, "key")
         if not missing:
             spans = rows.select("v", "seg", (F.col("p") - F.col("l")).alias("s"), (F.col("p") - F.col("l") + MATCH).alias("e"))
             break
-        new = rows.where(F.col("n") <= LARGEST_GROUP).select("v", "seg", "slice", "key")
+        new = rows.where(F.col("n") <= LARGEST_GROUP).select("v", "seg", "slice", "key").dropDuplicates(["key", "v", "seg"])
         small = new if small is None else small.unionAll(new)
         if not groups.where(F.col("n") > LARGEST_GROUP).head(1):
             break

@@ -57,6 +57,19 @@ def test_hot_groups_and_long_texts_are_split_without_loss(spark, monkeypatch):
     check(spark, texts)
 
 
+def test_hot_anchors_that_repeat_within_a_segment_lose_no_tail(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "LARGEST_GROUP", 3)
+    monkeypatch.setattr(repeats, "BUCKET", 1000)
+    rng = random.Random(5)
+    texts = []
+    for width in (1, 7, 61, 61, 130):
+        line, tail = prose(rng, width), prose(rng, 200)
+        for k in range(8):
+            run = line * ((500 + 97 * k) // width)
+            texts.append(prose(rng, 300) + run + (tail if k % 2 else "") + prose(rng, 300))
+    check(spark, texts)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_run_index(seed):
     rng = random.Random(seed)
