@@ -1,19 +1,18 @@
-"""Near-duplicate vectors by sorted projection passes.
-
-Equal vectors of a label are one class. In each pass a class gets 64 sign bits
-of random projections, and all classes are sorted by label and bits, so that
-close vectors, which agree on most leading bits, tend to be neighbours. The
-order is cut into blocks; every block is compared with itself and the block
-before it. Each task counts the links of its classes and gives a forest of
-them, no pairs: a pair counts in the first pass that finds it, which both
-vectors' block numbers tell. Links of all passes are united to components.
-
-A pair at cosine 0.98 differs in a bit with probability 0.064. Where a label
-has n classes a pass finds it if they agree on some log2(n / 512) leading
-bits; the number of passes makes up for the rest (more for larger tables).
-
-Work is bounded by rows times passes times block size whatever the labels and
-groups are. Ranks come from range partitions.
+"""Near-duplicate vectors by a sorted projection and all block pairs of a label.
+
+Equal vectors of a label are one class. A class gets 64 sign bits of random
+projections, and classes are sorted by label and bits, so that close vectors,
+which agree on most leading bits, tend to be neighbours. The order is cut into
+tiles of some blocks. Every pair of tiles that share a label is a task, which
+compares all pairs of blocks but those whose centres lie further apart than
+their radii and the distance of a link allow. Each task counts the links of
+its classes and gives a forest of them, no pairs. Forests are united to
+components.
+
+Links and counts are exact. Comparisons grow with the square of a label's
+different vectors, and so does what is sent, divided by the tile size, which
+grows with the largest label. A label spreads over as many tasks as it has
+pairs of tiles. Ranks come from range partitions.
 
 Defined cases: vectors that are null, empty or zero or hold null or non-finite
 components, and those without label or id, link with nothing; nor do vectors
@@ -35,8 +34,9 @@ from .common import kept, ranked, written
 from .components import components
 
 COSINE = 0.98
-PASSES = 12
 BLOCK = 512
+#: The distance of unit vectors at COSINE, and some room for rounding.
+REACH = (2 - 2 * COSINE) ** 0.5 + 1e-6
 SEED = 20
 
 _planes: dict = {}
@@ -44,7 +44,7 @@ _planes: dict = {}
 
 def planes(size: int) -> np.ndarray:
     if size not in _planes:
-        _planes[size] = np.random.default_rng(SEED + size).normal(size=(size, PASSES * 64))
+        _planes[size] = np.random.default_rng(SEED + size).normal(size=(size, 64))
     return _planes[size]
 
 
@@ -55,9 +55,8 @@ def _coder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x = None if v is None or not v or any(c is None for c in v) else np.array(v, np.float64)
             good = x is not None and np.isfinite(x).all() and x.any()
             vectors.append((x + 0.0).astype("<f8").tobytes() if good else None)  # -0.0 is 0.0
-            bits = np.packbits((x @ planes(len(x)) > 0).reshape(PASSES, 64), axis=1).view(">u8").ravel() if good else []
-            codes.append((np.asarray(bits, np.uint64) ^ np.uint64(1 << 63)).view(np.int64) if good else None)  # signed, in the same order
-        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), pa.array(vectors, pa.binary()), pa.array(codes, pa.list_(pa.int64()))], names=["vec_id", "label", "vector", "codes"])
+            codes.append(int(np.packbits(x @ planes(len(x)) > 0).view(">u8")[0]) - (1 << 63) if good else None)  # signed, in the same order
+        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), pa.array(vectors, pa.binary()), pa.array(codes, pa.int64())], names=["vec_id", "label", "vector", "code"])
 
 
 def forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
@@ -73,35 +72,46 @@ def forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
         label = new
 
 
+def _blocks(x: np.ndarray, at: np.ndarray, size: int) -> list[tuple[int, int, np.ndarray, float]]:
+    """Blocks of the neighbouring rows ``at`` of x: first, last + 1, centre and radius."""
+    if not len(at):
+        return []
+    cuts = [*range(int(at[0]), int(at[-1]) + 1, size), int(at[-1]) + 1]
+    centres = [x[i:j].mean(0) for i, j in zip(cuts, cuts[1:])]  # noqa: B905
+    return [(i, j, c, float(np.sqrt(((x[i:j] - c) ** 2).sum(1).max()))) for i, j, c in zip(cuts, cuts[1:], centres)]  # noqa: B905
+
+
 def _comparer(size: int):
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        """Links and a forest of one block: its own classes and those of the block before it."""
-        block = key[0].as_py()
+        """Links and a forest of the classes of two tiles, or of one with itself."""
+        one, two = (k.as_py() for k in key)
         table = table.sort_by([("rank", "ascending")])
-        rank, cid, n = (table.column(c).to_numpy() for c in ("rank", "cid", "n"))
-        group = np.stack([table.column(c).to_numpy() for c in ("pass", "label", "size")], axis=1)
-        blocks = np.array(table.column("blocks").combine_chunks().values).reshape(len(rank), -1)
-        links, root = np.zeros(len(rank), np.int64), np.arange(len(rank))
+        cid, n, tile = (table.column(c).to_numpy() for c in ("cid", "n", "tile"))
+        group = np.stack([table.column(c).to_numpy() for c in ("label", "size")], axis=1)
+        links, root = np.zeros(len(cid), np.int64), np.arange(len(cid))
         cuts = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]).any(1), [True]]))
         for a, b in zip(cuts, cuts[1:]):  # noqa: B905
-            home = rank[a:b] // size == block
-            if not home.any():
+            if b - a < 2:
                 continue
             x = np.frombuffer(b"".join(table.column("vector").slice(a, b - a).to_pylist()), "<f8").reshape(b - a, -1)
             x = x / np.abs(x).max(1, keepdims=True)
             x = x / np.sqrt((x * x).sum(1, keepdims=True))
-            near = x @ x[home].T >= COSINE
-            i, j = np.nonzero(near)
-            j = np.flatnonzero(home)[j]
-            own = (i < j) | ~home[i] & (i != j)
-            i, j = i[own] + a, j[own] + a
-            p = int(group[a, 0])
-            if p:
-                new = (np.abs(blocks[i, :p] - blocks[j, :p]) > 1).all(1)
-                i, j = i[new], j[new]
-            np.add.at(links, i, n[j])
-            np.add.at(links, j, n[i])
-            root[a:b] = forest(i - a, j - a, b - a) + a
+            left, right = (_blocks(x, np.flatnonzero(tile[a:b] == t), size) for t in (one, two))
+            for i, j, c, r in left:
+                for k, m, d, s in right:
+                    if k < i or np.sqrt(((c - d) ** 2).sum()) > r + s + REACH:
+                        continue
+                    near = x[i:j] @ x[k:m].T >= COSINE
+                    if k == i:
+                        near = np.triu(near, 1)
+                    p, q = np.nonzero(near)
+                    if not len(p):
+                        continue
+                    links[a + i : a + j] += near @ n[a + k : a + m]
+                    links[a + k : a + m] += n[a + i : a + j] @ near
+                    p, q = root[p + a + i], root[q + a + k]
+                    if (p != q).any():
+                        root = forest(p[p != q], q[p != q], len(root))[root]
         some, tied = links > 0, root != np.arange(len(root))
         out = {"a": np.concatenate([cid[some], cid[tied]]), "b": np.concatenate([cid[some], cid[root[tied]]]), "links": np.concatenate([links[some], np.zeros(tied.sum(), np.int64)])}
         return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
@@ -112,16 +122,17 @@ def _comparer(size: int):
 def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row a vector: vec_id, n_links (others it links with), component_id (smallest id reached) and kept."""
     rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("embedding"))
-    rows = written(rows.mapInArrow(_coder, "vec_id long, label long, vector binary, codes array<long>").withColumn("same", F.sha2("vector", 256)), "coded")
+    rows = written(rows.mapInArrow(_coder, "vec_id long, label long, vector binary, code long").withColumn("same", F.sha2("vector", 256)), "coded")
     able = rows.where("vector is not null and label is not null and vec_id is not null")
-    classes = kept(able.groupBy("label", "same").agg(F.min("vec_id").alias("cid"), F.count("*").alias("n"), F.first("vector").alias("vector"), F.first("codes").alias("codes")))
+    classes = kept(able.groupBy("label", "same").agg(F.min("vec_id").alias("cid"), F.count("*").alias("n"), F.first("vector").alias("vector"), F.first("code").alias("code")))
     classes = classes.withColumn("size", F.octet_length("vector").cast("long"))
-    places = ranked(classes.select("cid", "label", "size", F.posexplode("codes").alias("pass", "code")), ["pass", "label", "size", "code", "cid"], "rank")
-    of = places.groupBy("cid", "label").agg(F.transform(F.sort_array(F.collect_list(F.struct("pass", "rank"))), lambda x: x["rank"]).alias("ranks"))
-    sent = classes.select("cid", "label", "size", "n", "vector").join(of, ["cid", "label"])
-    sent = sent.withColumn("blocks", F.transform("ranks", lambda r: F.floor(r / BLOCK))).select("cid", "n", "label", "size", "vector", "blocks", F.posexplode("ranks").alias("pass", "rank"))
-    sent = sent.withColumn("pass", F.col("pass").cast("long")).withColumn("block", F.explode(F.array(F.floor(F.col("rank") / BLOCK), F.floor(F.col("rank") / BLOCK) + 1)))
-    found = written(sent.groupBy("block").applyInArrow(_comparer(BLOCK), "a long, b long, links long"), "links")
+    largest = classes.groupBy("label", "size").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    step = BLOCK * min(32, max(4, largest // (64 * BLOCK)))
+    places = ranked(classes.select("cid", "n", "label", "size", "vector", "code"), ["label", "size", "code", "cid"], "rank").withColumn("tile", F.floor(F.col("rank") / step))
+    wide = kept(places.groupBy("label", "size").agg(F.min("tile").alias("lo"), F.max("tile").alias("hi")).where("hi > lo"))  # fewer than there are tiles
+    sent = places.join(F.broadcast(wide), ["label", "size"], "left").withColumn("other", F.explode(F.sequence(F.coalesce("lo", "tile"), F.coalesce("hi", "tile"))))
+    sent = sent.select("cid", "n", "label", "size", "vector", "rank", "tile", F.least("tile", "other").alias("one"), F.greatest("tile", "other").alias("two"))
+    found = written(sent.groupBy("one", "two").applyInArrow(_comparer(BLOCK), "a long, b long, links long"), "links")
     links = found.groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("links"))
     roots = components(found.where("links = 0").select("a", "b"))
     of = classes.select("label", "same", "cid", "n").join(links, "cid", "left").join(roots, F.col("cid") == F.col("id"), "left")

@@ -56,6 +56,16 @@ def test_small_blocks_keep_precision_and_count_pairs_once(spark, monkeypatch):
     assert sum(r.n_links for r in found.values()) >= 0.9 * sum(n for n, _ in true.values())
 
 
+def test_dense_group_of_many_blocks_has_all_links(spark, monkeypatch):
+    monkeypatch.setattr(pd_, "BLOCK", 8)
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=16)
+    rows = [(k, (centre + rng.normal(scale=0.08, size=16)).astype(np.float32).tolist(), k % 50 // 49, 1) for k in range(700)]
+    true = brute(rows)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in pd_.near_vectors(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    assert found == true
+
+
 def test_edge_cases(spark):
     x, nan = [1.0, 2.0], float("nan")
     rows = [(1, x, 0, 1), (2, x, 1, 1), (3, x, None, 1), (4, None, 0, 1), (5, [], 0, 1), (6, [0.0, 0.0], 0, 1), (7, [1.0, None], 0, 1), (8, [nan, 1.0], 0, 1), (9, [1.0, 2.0, 0.0], 0, 1), (10, [2.0, 4.0], 0, 1)]
