@@ -76,8 +76,8 @@ def partition_of(path: Column) -> Column:
 
 def part_key(key: Column, part: Column) -> Column:
     """The key of a part of a file: unchanged for the first, ``_part002`` and so on before the suffix for others."""
-    stem = F.regexp_replace(key, r"\.parquet$", "")
-    return F.when(part <= 1, key).otherwise(F.concat(stem, F.lit("_part"), F.lpad(part.cast("string"), 3, "0"), F.lit(".parquet")))
+    stem, number = F.regexp_replace(key, r"\.parquet$", ""), part.cast("string")
+    return F.when(part <= 1, key).otherwise(F.concat(stem, F.lit("_part"), F.lpad(number, F.greatest(F.lit(3), F.length(number)), "0"), F.lit(".parquet")))
 
 
 def checksum(path: Column, size: Column, modified: Column) -> Column:

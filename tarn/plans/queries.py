@@ -176,7 +176,7 @@ def extract_partition(files):
 
 @query("files", "select path, case when n_rows <= 1 then path else concat(regexp_replace(path, '[.]parquet$', ''), '_part', lpad(cast(n_rows as varchar), 3, '0'), '.parquet') end as key from files where n_rows < 1000")
 def part_keys(files):
-    return files.where("n_rows < 1000").select("path", layout.part_key(F.col("path"), F.col("n_rows")).alias("key"))
+    return files.select("path", layout.part_key(F.col("path"), F.col("n_rows")).alias("key"))
 
 
 @query("files", "select path, sha256(concat(path, '|', size, '|', @secs(modified))) as checksum, concat(tenant, '_', dataset, '_', n_rows) as job_id from files")

@@ -157,3 +157,17 @@ def test_pack_once_and_again(spark, tmp_path):
     assert spark.read.parquet(f"{lake}/t/d/_catalog/quarantine").count() == 1
     with pytest.raises(ValueError, match="unknown codec"):
         pack.write_parts(rows, str(tmp_path / "x"), ["day"], "event_ts", codec="lz77")
+
+
+def test_part_keys_of_a_thousand_parts_and_more(spark, tmp_path):
+    """The reference's %03d pads and doesn't cut; no file is left out."""
+    from datetime import timedelta
+
+    from tarn.plans.queries import QUERIES
+
+    at = datetime(2024, 1, 1)
+    files = [(n, timedelta(days=k)) for k, n in enumerate((1, 2, 100, 1000))]
+    events = [(0, 1, "x", at + day, 1.0, "{}") for n, day in files for _ in range(n)]
+    spark.createDataFrame(events, "event_id long, user_id long, event_type string, ts timestamp_ntz, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    found = {r.key.rsplit("/", 1)[1] for r in QUERIES["part_keys"](spark, str(tmp_path)).collect()}
+    assert found == {"1.parquet", "1_part002.parquet", "1_part100.parquet", "1_part1000.parquet"}
