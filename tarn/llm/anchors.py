@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Length of an anchor in bytes.
-ANCHOR = 128
 _rng = np.random.default_rng(41)
 _BYTES = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEPS = [np.uint64(int(x) | 1) for x in _rng.integers(1 << 62, 1 << 63, 16, dtype=np.uint64)]
 
 
-def anchor_hashes(data: np.ndarray) -> np.ndarray:
-    """The hash of the ``ANCHOR`` bytes from each place on, by doubling."""
+def anchor_length(match: int) -> int:
+    """Bytes of an anchor for matches of ``match`` bytes: the largest power of two up to a third of it."""
+    return 1 << max(0, (match // 3).bit_length() - 1)
+
+
+def anchor_hashes(data: np.ndarray, anchor: int) -> np.ndarray:
+    """The hash of the ``anchor`` bytes from each place on, by doubling."""
     h, width, step = _BYTES[data], 1, 0
-    while width < ANCHOR:
+    while width < anchor:
         x = h[:-width] * _STEPS[step]
         x ^= x >> np.uint64(31)
         x += h[width:]
@@ -32,27 +35,37 @@ def sliding(values: np.ndarray, width: int, choose) -> np.ndarray:
     return choose(values[: len(values) - (width - reach)], values[width - reach :]) if width > reach else values
 
 
-def segments(data: np.ndarray, match: int):
-    """Runs of windows of ``match`` bytes with the same smallest anchor.
+def segments(data: np.ndarray, starts: np.ndarray, match: int):
+    """Runs of windows of ``match`` bytes with the same smallest anchor, in strings that stand one after the other.
 
-    Returns the anchors' hashes, first and last + 1 window of each run, the
-    anchors' places and whether the anchor stands more than once in the data.
-    Equal windows have equal smallest anchors, at the same distance.
+    ``starts`` holds where each string starts, and the end of the last; all
+    are ``match`` bytes long at least. Returns the anchors' hashes, first and
+    last + 1 window of each run, the anchors' first places in it and whether
+    they stand there more than once. Equal windows have equal smallest
+    anchors, at the same distance.
     """
-    h = anchor_hashes(data)
-    windows = match - ANCHOR + 1
-    least = sliding(h, windows, np.minimum)
-    first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    last = np.append(first[1:], len(least))
+    anchor = anchor_length(match)
+    h = anchor_hashes(data, anchor)
+    reach = match - anchor + 1
+    least = sliding(h, reach, np.minimum)
+    step = np.zeros(len(data) + 1, np.int8)
+    step[starts[:-1]] = 1
+    step[starts[1:] - match + 1] -= 1
+    inside = np.cumsum(step[: len(least)], dtype=np.int8) > 0  # windows that lie in one string
+    same = (least[1:] == least[:-1]) & inside[1:] & inside[:-1]
+    first = np.flatnonzero(inside & ~np.concatenate([[False], same]))
+    last = np.flatnonzero(inside & ~np.concatenate([same, [False]])) + 1
     value = least[first]
-    padded = np.concatenate([np.zeros(windows - 1, np.uint64), least, np.zeros(windows - 1, np.uint64)])
-    at = np.flatnonzero(sliding(padded, windows, np.maximum) == h)  # anchors that are smallest in some window
+    edge = np.zeros(reach - 1, np.uint64)
+    covering = sliding(np.concatenate([edge, np.where(inside, least, np.uint64(0)), edge]), reach, np.maximum)
+    at = np.flatnonzero(covering == h)  # anchors that are smallest in some window
+    order = np.argsort(h[at], kind="stable")
+    at = at[order]
     found = h[at]
-    order = np.argsort(found, kind="stable")
-    found, at = found[order], at[order]
-    low = np.searchsorted(found, value)
-    many = np.searchsorted(found, value, "right") - low > 1
-    k = np.array([np.searchsorted(at[i:j], f) for i, j, f in zip(low[many], np.searchsorted(found, value[many], "right"), first[many])], np.int64)  # noqa: B905
-    place = at[low]
-    place[many] = at[low[many] + k]
-    return value, first, last, place, many
+    new = np.concatenate([[True], found[1:] != found[:-1]])
+    group = np.cumsum(new) - 1
+    own = np.searchsorted(found[new], value)
+    k = np.searchsorted(group * len(data) + at, own * len(data) + first)
+    after = np.minimum(k + 1, len(at) - 1)
+    many = (after > k) & (group[after] == own) & (at[after] < last - 1 + reach)
+    return value, first, last, at[k], many

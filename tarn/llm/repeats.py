@@ -1,22 +1,28 @@
-"""Exact removal of byte strings that occur twice or more, anywhere in a corpus.
+"""Exact removal of byte strings of a given length that occur twice or more, anywhere in a corpus.
 
-Every window of 400 bytes has an anchor, its smallest 128-byte hash; equal
-windows have equal anchors. Consecutive windows with one anchor are a segment
-of some 550 bytes. A segment whose anchor occurs once is unique. Equal
-segments repeat as a whole. Of each anchor's different segments one copy each
-is taken, and run-length indexes over buckets of such copies give matching
-statistics, which mark windows that also start in another segment or place.
+Every window of ``match`` bytes has an anchor, the smallest hash of a third of
+its bytes or so (128 of 400, 64 of 200); equal windows have equal anchors.
+Consecutive windows with one anchor are a segment of some 1.4 times ``match``
+bytes. A segment whose anchor occurs once is unique. Equal segments repeat as
+a whole. Of each anchor's different segments one copy each is taken, and
+run-length indexes over buckets of such copies give matching statistics, which
+mark windows that also start in another segment or place.
 
 An anchor with very many different segments (a common line or passage) is
-split: equal windows share 272 bytes around the anchor, so they share the half
-to its left or to its right. Segments are dealt by the hash of the anchor
-with either half, then by half of what is left, and so on, until groups are
-small or the window is whole; what is alone on the way matches nothing. A
-segment that holds its anchor several times is dealt for each place by which
-one of its windows is known. Nothing is lost, and no group meets in one task.
-
-Defined cases: a null text is empty. Texts of under 400 bytes lose nothing.
-Matches never cross documents; equal documents of 400 bytes and more, repeated
+split: equal windows share all bytes around the anchor, so they share the half
+of the missing ones to its left or to its right. Segments are dealt by the
+hash of the anchor with either half, then by half of what is left, and so on,
+until groups are small or the window is whole; what is alone on the way
+matches nothing. A segment that holds its anchor several times is dealt for
+each place by which one of its windows is known. Nothing is lost, and no group
+meets in one task.
+
+Whatever repeats at a greater length also repeats, at the same places, at a
+smaller one, so a second, greater length is searched for in the spans that the
+smaller one has found.
+
+Defined cases: a null text is empty. Texts shorter than ``match`` lose nothing.
+Matches never cross documents; equal documents of that length and more, repeated
 rows among them, lose everything. Ids may be null or repeated: spans belong to
 the text. Empty tables give empty results. ``repeat_counts`` reads only the
 two columns that are named, ``without_repeats`` keeps the others; it leaves out
@@ -33,128 +39,169 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import ANCHOR, anchor_hashes, segments
+from .anchors import anchor_hashes, anchor_length, segments
 from .common import fresh, kept, written
 from .run_index import repeated_spans
 
+#: Bytes of a string whose repeats are removed.
 MATCH = 400
+#: Bytes of a passage: fifty words hold more, unless words have under three letters.
+PASSAGE = 200
 #: Segments of an anchor beyond which it is split.
-LARGEST_GROUP = 1000
+LARGEST_GROUP = 300
 #: Bytes of segments in an index, about.
 BUCKET = 1_000_000
-#: Bytes of a text that are cut into segments at once.
-AT_ONCE = 1 << 20
+#: Bytes of texts that are cut into segments at once.
+AT_ONCE = 1 << 17
 
 
-def _segments(at_once: int):
+def _parts(text: bytes, spans: list[tuple[int, int]], match: int, at_once: int) -> Iterator[tuple[int, bytes]]:
+    """Places and bytes of the parts of a text in which windows are looked for; parts overlap, windows don't repeat."""
+    for s, e in spans:
+        for base in range(s, e - match + 1, at_once):
+            yield base, text[base : min(e, base + at_once + match - 1)]
+
+
+def _segments(match: int, at_once: int, within: bool):
     def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         digest = xxhash.xxh3_64_intdigest
-        names = ("v", "seg", "a", "w", "p", "many")
+
+        def cut(parts: list[tuple[int, int, bytes]]):
+            """Columns (row, v, seg, a, x) of the segments of some parts (row, base, bytes)."""
+            row, base = (np.array([p[k] for p in parts], np.int64) for k in (0, 1))
+            joined = b"".join(p[2] for p in parts)
+            starts = np.cumsum([0, *(len(p[2]) for p in parts)])
+            v, a, b, p, many = segments(np.frombuffer(joined, np.uint8), starts, match)
+            seg = np.fromiter((digest(joined[i:j]) for i, j in zip(a.tolist(), (b + match - 1).tolist())), np.uint64, len(a))  # noqa: B905
+            own = np.searchsorted(starts, a, "right") - 1
+            return row[own], v.view(np.int64), seg.view(np.int64), a - starts[own] + base[own], b - a << 21 | p - a << 1 | many
+
         for batch in batches:
-            columns, owner = {n: [np.zeros(0, np.int64)] for n in names}, [np.zeros(0, np.int64)]
+            found, parts, size = [tuple(np.zeros(0, np.int64) for _ in range(5))], [], 0
+            spans = batch.column("spans").to_pylist() if within else None
             for k, value in enumerate(batch.column("data")):
                 text = value.as_py()
-                for base in range(0, len(text) - MATCH + 1, at_once):
-                    part = text[base : base + at_once + MATCH - 1]
-                    v, a, b, p, many = segments(np.frombuffer(part, np.uint8), MATCH)
-                    seg = np.fromiter((digest(part[i : j + MATCH - 1]) for i, j in zip(a.tolist(), b.tolist())), np.uint64, len(a))  # noqa: B905
-                    for n, x in zip(names, (v.view(np.int64), seg.view(np.int64), a + base, b - a, p - a, many.astype(np.int64))):  # noqa: B905
-                        columns[n].append(x)
-                    owner.append(np.full(len(a), k))
-            take = pa.array(np.concatenate(owner))
-            out = {"t": batch.column("t").take(take), "doc_id": batch.column("doc_id").take(take)} | {n: pa.array(np.concatenate(x)) for n, x in columns.items()}
-            yield pa.RecordBatch.from_pydict(out)
+                for base, part in _parts(text, merged(spans[k]) if within else [(0, len(text))], match, at_once):
+                    parts.append((k, base, part))
+                    size += len(part)
+                    if size > at_once:
+                        found.append(cut(parts))
+                        parts, size = [], 0
+            if parts:
+                found.append(cut(parts))
+            row, *columns = (pa.array(np.concatenate(x)) for x in zip(*found))  # noqa: B905
+            yield pa.RecordBatch.from_arrays([batch.column("t").take(row), batch.column("doc_id").take(row), *columns], names=["t", "doc_id", "v", "seg", "a", "x"])
 
     return segment
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ("v", "seg", "p", "m", "many")
-    for batch in batches:
-        rows: dict[str, list] = {n: [] for n in (*names, "slice")}
-        for data, wanted in zip(batch.column("data"), batch.column("wanted").to_pylist()):  # noqa: B905
-            text = data.as_py()
-            for x in wanted:
-                rows["slice"].append(text[x["a"] : x["a"] + x["w"] + MATCH - 1])
-                for n in names:
-                    rows[n].append(x[n])
-        yield pa.RecordBatch.from_pydict({n: pa.array(x, pa.binary() if n == "slice" else pa.int64()) for n, x in rows.items()})
+#: Of a segment's shape x: its windows, its anchor's place and whether the anchor stands in it more than once.
+_WINDOWS, _PLACE, _MANY = "shiftright(x, 21)", "shiftright(x, 1) & 1048575", "x & 1"
+
+
+def _slices(match: int):
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("v", "seg", "p", "m", "many")
+        for batch in batches:
+            rows: dict[str, list] = {n: [] for n in (*names, "slice")}
+            for data, wanted in zip(batch.column("data"), batch.column("wanted").to_pylist()):  # noqa: B905
+                text = data.as_py()
+                for x in wanted:
+                    rows["slice"].append(text[x["a"] : x["a"] + x["w"] + match - 1])
+                    for n in names:
+                        rows[n].append(x[n])
+            yield pa.RecordBatch.from_pydict({n: pa.array(x, pa.binary() if n == "slice" else pa.int64()) for n, x in rows.items()})
 
+    return slices
 
-def places_of(data: bytes, v: int) -> np.ndarray:
+
+def places_of(data: bytes, v: int, match: int) -> np.ndarray:
     """Places of the anchor ``v`` in a segment, one at least for each different window.
 
     A window's own bytes name its place: the end of its first evenly spaced
     row of places if that ends within the window, else its first place. So
     equal windows name the same place, and a periodic run has few of them.
     """
-    h = anchor_hashes(np.frombuffer(data, np.uint8))
+    anchor = anchor_length(match)
+    h = anchor_hashes(np.frombuffer(data, np.uint8), anchor)
     at = np.flatnonzero(h.view(np.int64) == v)
-    windows = np.arange(len(data) - MATCH + 1)
-    first, last = np.searchsorted(at, windows), np.searchsorted(at, windows + MATCH - ANCHOR, "right") - 1
+    windows = np.arange(len(data) - match + 1)
+    first, last = np.searchsorted(at, windows), np.searchsorted(at, windows + match - anchor, "right") - 1
     gap = np.append(np.diff(at), 0)
     end = np.arange(len(at))
     for k in range(len(at) - 2, -1, -1):
         end[k] = end[k + 1] if gap[k] == gap[k + 1] else k + 1
     row = np.minimum(end[first], last)
-    ends = (first < last) & ((row < last) | (at[row] + gap[first] <= windows + MATCH - ANCHOR))
+    ends = (first < last) & ((row < last) | (at[row] + gap[first] <= windows + match - anchor))
     named = at[np.where(ends, row, first)]
     whole = np.zeros(len(windows), np.uint64)
-    for k in (*range(0, MATCH - ANCHOR, ANCHOR), MATCH - ANCHOR):
+    for k in (*range(0, match - anchor, anchor), match - anchor):
         whole = whole * np.uint64(0x9E3779B97F4A7C15) + h[windows + k]
     return np.unique(named[np.unique(whole, return_index=True)[1]])
 
 
-def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each place by which a window of the segment is known."""
-    for batch in batches:
-        found = [places_of(data, v) if many else [p] for v, p, many, data in zip(*(batch.column(c).to_pylist() for c in ("v", "p", "many", "slice")))]  # noqa: B905
-        take = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
-        p = pa.array(np.concatenate([np.zeros(0, np.int64), *found]).astype(np.int64))
-        yield pa.RecordBatch.from_pydict({c: p if c == "p" else batch.column(c).take(take) for c in ("v", "seg", "p", "slice")})
+def _placed(match: int):
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each place by which a window of the segment is known."""
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("v", "p", "many", "slice"))
+            found = [places_of(data, v, match) if many else [p] for v, p, many, data in zip(*columns)]  # noqa: B905
+            take = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+            p = pa.array(np.concatenate([np.zeros(0, np.int64), *found]).astype(np.int64))
+            yield pa.RecordBatch.from_pydict({c: p if c == "p" else batch.column(c).take(take) for c in ("v", "seg", "p", "slice")})
 
+    return placed
 
-def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row with half of the missing bytes more on its left, and on its right, where the segment has them."""
-    import xxhash
 
-    for batch in batches:
-        out: dict[str, list] = {n: [] for n in ("v", "seg", "p", "l", "r", "slice", "key")}
-        for row in batch.to_pylist():
-            more = (MATCH - ANCHOR - row["l"] - row["r"] + 1) // 2
-            for left, right in ((row["l"] + more, row["r"]), (row["l"], row["r"] + more)):
-                i, j = row["p"] - left, row["p"] + ANCHOR + right
-                if i >= 0 and j <= len(row["slice"]):
-                    key = xxhash.xxh3_64_intdigest(row["slice"][i:j], left)
-                    for n, x in (("v", row["v"]), ("seg", row["seg"]), ("p", row["p"]), ("l", left), ("r", right), ("slice", row["slice"]), ("key", key - (key >> 63 << 64))):
-                        out[n].append(x)
-        yield pa.RecordBatch.from_pydict({n: pa.array(x, pa.binary() if n == "slice" else pa.int64()) for n, x in out.items()})
-
-
-def _indexed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Spans (v, seg, s, e) of the segments of a bucket."""
-    parts = {(v, s): x for v, s, x in zip(*(table.column(c).to_pylist() for c in ("v", "seg", "slice")))}  # noqa: B905
-    rows = [(v, g, s, e) for (v, g), spans in zip(parts, repeated_spans(list(parts.values()), MATCH)) for s, e in spans]  # noqa: B905
-    return pa.table({n: pa.array([r[k] for r in rows], pa.int64()) for k, n in enumerate(("v", "seg", "s", "e"))})
-
-
-def split_groups(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _extended(match: int):
+    anchor = anchor_length(match)
+
+    def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each row with half of the missing bytes more on its left, and on its right, where the segment has them."""
+        import xxhash
+
+        for batch in batches:
+            out: dict[str, list] = {n: [] for n in ("v", "seg", "p", "l", "r", "slice", "key")}
+            for row in batch.to_pylist():
+                more = (match - anchor - row["l"] - row["r"] + 1) // 2
+                for left, right in ((row["l"] + more, row["r"]), (row["l"], row["r"] + more)):
+                    i, j = row["p"] - left, row["p"] + anchor + right
+                    if i >= 0 and j <= len(row["slice"]):
+                        key = xxhash.xxh3_64_intdigest(row["slice"][i:j], left)
+                        for n, x in (("v", row["v"]), ("seg", row["seg"]), ("p", row["p"]), ("l", left), ("r", right), ("slice", row["slice"]), ("key", key - (key >> 63 << 64))):
+                            out[n].append(x)
+            yield pa.RecordBatch.from_pydict({n: pa.array(x, pa.binary() if n == "slice" else pa.int64()) for n, x in out.items()})
+
+    return extended
+
+
+def _indexed(match: int):
+    def indexed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        """Spans (v, seg, s, e) of the segments of a bucket."""
+        parts = {(v, s): x for v, s, x in zip(*(table.column(c).to_pylist() for c in ("v", "seg", "slice")))}  # noqa: B905
+        rows = [(v, g, s, e) for (v, g), spans in zip(parts, repeated_spans(list(parts.values()), match)) for s, e in spans]  # noqa: B905
+        return pa.table({n: pa.array([r[k] for r in rows], pa.int64()) for k, n in enumerate(("v", "seg", "s", "e"))})
+
+    return indexed
+
+
+def split_groups(rows: DataFrame, match: int) -> tuple[DataFrame, DataFrame]:
     """Segments of very large groups as smaller groups (v, seg, slice, key), and spans (v, seg, s, e) of whole windows."""
     zero = F.lit(0).cast("long")
-    rows = rows.select("v", "seg", "p", "many", "slice").mapInArrow(_placed, "v long, seg long, p long, slice binary")
+    rows = rows.select("v", "seg", "p", "many", "slice").mapInArrow(_placed(match), "v long, seg long, p long, slice binary")
     rows = rows.select("v", "seg", "p", zero.alias("l"), zero.alias("r"), "slice")
     small, spans = None, None
-    missing = MATCH - ANCHOR
+    missing = match - anchor_length(match)
     while True:
         missing -= (missing + 1) // 2
-        rows = kept(rows.mapInArrow(_extended, "v long, seg long, p long, l long, r long, slice binary, key long").dropDuplicates(["key", "v", "seg", "p"]))
+        rows = kept(rows.mapInArrow(_extended(match), "v long, seg long, p long, l long, r long, slice binary, key long").dropDuplicates(["key", "v", "seg", "p"]))
         each = F.count_distinct("seg") if missing else F.count("*")  # a whole window may repeat within its segment
         groups = kept(rows.groupBy("key").agg(each.alias("n")).where("n > 1"))
         rows = rows.join(groups, "key")
         if not missing:
-            spans = rows.select("v", "seg", (F.col("p") - F.col("l")).alias("s"), (F.col("p") - F.col("l") + MATCH).alias("e"))
+            spans = rows.select("v", "seg", (F.col("p") - F.col("l")).alias("s"), (F.col("p") - F.col("l") + match).alias("e"))
             break
         new = rows.where(F.col("n") <= LARGEST_GROUP).select("v", "seg", "slice", "key").dropDuplicates(["key", "v", "seg"])
         small = new if small is None else small.unionAll(new)
@@ -165,29 +212,34 @@ def split_groups(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return small, none if spans is None else spans
 
 
-def repeated(docs: DataFrame) -> DataFrame:
-    """(t, spans): byte spans to remove from the texts of ``docs`` (doc_id, data, t), t the MD5 of data."""
+def repeated(docs: DataFrame, match: int = MATCH) -> DataFrame:
+    """(t, spans): byte spans to remove from the texts of ``docs`` (doc_id, data, t), t the MD5 of data.
+
+    With a column ``spans`` only windows within those spans are looked at.
+    """
     spark = docs.sparkSession
-    long = docs.where(F.octet_length("data") >= MATCH)
-    rows = written(long.mapInArrow(_segments(AT_ONCE), f"t binary, doc_id {dict(docs.dtypes)['doc_id']}, v long, seg long, a long, w long, p long, many long"), "segments")
-    again = kept(rows.groupBy("v").agg(F.sum(F.col("many") + 1).alias("n")).where("n > 1").select("v"))
+    long = docs.where(F.octet_length("data") >= match)
+    rows = long.mapInArrow(_segments(match, AT_ONCE, "spans" in docs.columns), f"t binary, doc_id {dict(docs.dtypes)['doc_id']}, v long, seg long, a long, x long")
+    rows = written(rows, "segments")
+    again = kept(rows.groupBy("v").agg(F.sum(F.expr(f"1 + ({_MANY})")).alias("n")).where("n > 1").select("v"))
     rows = written(rows.join(again, "v"), "candidates")
-    each = kept(rows.groupBy("v", "seg").agg(F.count("*").alias("c"), F.min(F.struct("t", "doc_id", "a")).alias("at"), F.max("w").alias("w"), F.max("p").alias("p"), F.max("many").alias("many")))
+    each = rows.groupBy("v", "seg").agg(F.count("*").alias("c"), F.min(F.struct("t", "doc_id", "a")).alias("at"), F.max("x").alias("x"))
+    each = kept(each.select("v", "seg", "c", "at", F.expr(_WINDOWS).alias("w"), F.expr(_PLACE).alias("p"), F.expr(_MANY).alias("many")))
     groups = kept(each.groupBy("v").agg(F.count("*").alias("m"), F.max("many").alias("x"), F.min("c").alias("c")).where("c = 1 and (m > 1 or x = 1)").select("v", "m"))
     wanted = each.join(groups, "v").groupBy("at.t", "at.doc_id").agg(F.collect_list(F.struct("v", "seg", F.col("at.a").alias("a"), "w", "p", "m", "many")).alias("wanted"))
     wanted = written(wanted.select(F.col("t").alias("_t"), F.col("doc_id").alias("_id"), "wanted"), "wanted")
     sliced = long.join(wanted, (F.col("t") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    sliced = written(sliced.select("data", "wanted").mapInArrow(_slices, "v long, seg long, p long, m long, many long, slice binary"), "slices")
+    sliced = written(sliced.select("data", "wanted").mapInArrow(_slices(match), "v long, seg long, p long, m long, many long, slice binary"), "slices")
     size, hot = sliced.agg(F.coalesce(F.sum(F.octet_length("slice")), F.lit(0)), F.coalesce(F.max("m"), F.lit(0))).first()
     dealt = sliced.where(F.col("m") <= LARGEST_GROUP).select("v", "seg", "slice", F.col("v").alias("key"))
     spans = None
     if hot > LARGEST_GROUP:
         large = sliced.where(F.col("m") > LARGEST_GROUP)
-        small, spans = split_groups(large)
+        small, spans = split_groups(large, match)
         dealt = dealt.unionAll(small).unionAll(large.where("many = 1").select("v", "seg", "slice", F.xxhash64("v", "seg").alias("key")))
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET))
-    found = dealt.groupBy(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket")).applyInArrow(_indexed, "v long, seg long, s long, e long")
-    found = found.unionAll(each.where("c > 1").select("v", "seg", F.lit(0).cast("long"), F.col("w") + MATCH - 1))
+    found = dealt.groupBy(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket")).applyInArrow(_indexed(match), "v long, seg long, s long, e long")
+    found = found.unionAll(each.where("c > 1").select("v", "seg", F.lit(0).cast("long"), F.col("w") + match - 1))
     found = found if spans is None else found.unionAll(spans)
     found = kept(found.groupBy("v", "seg").agg(F.collect_set(F.struct("s", "e")).alias("spans")))
     marks = rows.select("v", "seg", "t", "a").distinct().join(found, ["v", "seg"])
@@ -211,15 +263,26 @@ def rest_of(data: bytes, cuts: list[tuple[int, int]]) -> bytes:
     return b"".join(data[i:j] for i, j in zip(edges[::2], edges[1::2]))  # noqa: B905
 
 
+COUNTS = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage_bytes long, n_passages long"
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = [c.split()[0] for c in COUNTS.split(", ")]
     for batch in batches:
         rows = []
-        for data, spans in zip(batch.column("data"), batch.column("spans").to_pylist()):  # noqa: B905
-            cuts = merged(spans)
-            rest = rest_of(data.as_py(), cuts)
-            rows.append((len(data.as_py()), sum(e - s for s, e in cuts), len(cuts), hashlib.sha256(rest).hexdigest()))
-        names = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id")} | {n: pa.array([r[k] for r in rows], pa.string() if k == 3 else pa.int64()) for k, n in enumerate(names)})
+        for data, spans, passages in zip(batch.column("data"), *(batch.column(c).to_pylist() for c in ("longer", "spans"))):  # noqa: B905
+            text, cuts, wide = data.as_py(), merged(spans), merged(passages)
+            rest = rest_of(text, cuts)
+            rows.append((len(text), sum(e - s for s, e in cuts), len(cuts), hashlib.sha256(rest).hexdigest(), sum(e - s for s, e in wide), len(wide)))
+        columns = [pa.array([r[k] for r in rows], pa.string() if k == 3 else pa.int64()) for k in range(6)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=names)
+
+
+def _longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The longest span of each text, once spans that touch or overlap are one."""
+    for batch in batches:
+        longest = [max((e - s for s, e in merged(x)), default=0) for x in batch.column("spans").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("t"), batch.column("spans"), pa.array(longest, pa.int64())], names=["t", "spans", "longest"])
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -227,17 +290,27 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("doc_id"), data.alias("data"), F.unhex(F.md5(data)).alias("t"))
 
 
-def repeat_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``df``: doc_id, n_bytes, n_removed, n_spans and kept_sha256 (of what is left)."""
+def repeat_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", match: int = MATCH, passage: int = PASSAGE) -> DataFrame:
+    """One row for each row of ``df``: doc_id, n_bytes, n_removed, n_spans and kept_sha256 (of what is left) at ``match`` bytes.
+
+    n_passage_bytes and n_passages are what is covered at the smaller length ``passage``.
+    """
+    if not 0 < passage <= match:
+        raise ValueError("a passage is as long as a match at most")
     docs = _keyed(df, id_col, text_col)
-    rows = docs.join(repeated(docs), "t", "left").select("doc_id", "data", "spans")
-    return rows.mapInArrow(_counts, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    marks = repeated(docs, passage).mapInArrow(_longest, "t binary, spans array<struct<s: long, e: long>>, longest long")
+    rows = written(docs.join(marks, "t", "left"), "passages")
+    able = F.coalesce(F.col("longest") >= match, F.lit(False))
+    longer = repeated(rows.where(able).select("doc_id", "data", "t", "spans"), match).select("t", F.col("spans").alias("longer"))
+    none = F.expr("cast(null as array<struct<s: long, e: long>>)")
+    rows = rows.where(able).join(longer, "t", "left").select("doc_id", "data", "spans", "longer").unionAll(rows.where(~able).select("doc_id", "data", "spans", none.alias("longer")))
+    return rows.mapInArrow(_counts, COUNTS)
 
 
-def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", match: int = MATCH) -> DataFrame:
     """The rows of ``df`` with their repeated strings cut from the text; null texts stay null."""
     t, cuts = fresh(df, "_t"), fresh(df, "_spans")
-    marks = repeated(_keyed(df, id_col, text_col)).select(F.col("t").alias(t), F.col("spans").alias(cuts))
+    marks = repeated(_keyed(df, id_col, text_col), match).select(F.col("t").alias(t), F.col("spans").alias(cuts))
     rows = df.join(marks, F.unhex(F.md5(df[text_col].cast("binary"))) == F.col(t), "left").drop(t)
     place = df.columns.index(text_col)
 

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tarn.llm import repeats, run_index
+from tarn.llm import anchors, repeats, run_index
 
 
 def brute(texts, match=400):
@@ -43,7 +43,8 @@ def corpus(seed):
 def check(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     found = {r.doc_id: tuple(r)[1:] for r in repeats.repeat_counts(df).collect()}
-    assert [found[i] for i in range(len(texts))] == list(brute(texts))
+    shorter = [(r[1], r[2]) for r in brute(texts, repeats.PASSAGE)]
+    assert [found[i] for i in range(len(texts))] == [(*x, *y) for x, y in zip(brute(texts), shorter)]  # noqa: B905
 
 
 def test_matches_brute_force(spark):
@@ -70,6 +71,44 @@ def test_hot_anchors_that_repeat_within_a_segment_lose_no_tail(spark, monkeypatc
     check(spark, texts)
 
 
+def test_passages_of_fifty_words_go_and_other_text_stays(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghé") for _ in range(rng.choice((2, 3, 4, 5, 9))))
+    words = lambda n: " ".join(word() for _ in range(n))
+    rows, clean = [], {}
+    for k in range(30):
+        passage = words(rng.randrange(51, 61))
+        for j in range(2):
+            clean[2 * k + j] = (words(120), words(120))
+            rows.append((2 * k + j, f"{clean[2 * k + j][0]} {passage} {clean[2 * k + j][1]}"))
+    rows += [(100 + k, words(300)) for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in repeats.without_repeats(df, match=repeats.PASSAGE).collect()}
+    assert all(found[i] == t for i, t in rows[60:])
+    for i, (a, b) in clean.items():  # a few bytes beside a passage may happen to be equal as well
+        assert len(a) + len(b) - 8 <= len(found[i]) <= len(a) + len(b) + 2
+        assert found[i].startswith(a[:-8]) and found[i].endswith(b[8:])
+
+
+@pytest.mark.parametrize("match", [40, 200, 400])
+def test_segments_of_strings_one_after_the_other(match):
+    rng = random.Random(match)
+    parts = [prose(rng, n).encode()[:n] for n in (match, match + 1, 3 * match, 2 * match)] + [b"ab" * match, b"a" * match]
+    starts = np.cumsum([0, *map(len, parts)])
+    value, first, last, place, many = anchors.segments(np.frombuffer(b"".join(parts), np.uint8), starts, match)
+    k, anchor = 0, anchors.anchor_length(match)
+    for base, part in zip(starts, parts):  # noqa: B905
+        h = anchors.anchor_hashes(np.frombuffer(part, np.uint8), anchor)
+        least = [h[i : i + match - anchor + 1].min() for i in range(len(part) - match + 1)]
+        i = 0
+        while i < len(least):
+            j = next((j for j in range(i, len(least)) if least[j] != least[i]), len(least))
+            at = [x for x in range(i, j + match - anchor) if h[x] == least[i]]
+            assert (value[k], first[k] - base, last[k] - base, place[k] - base, many[k]) == (least[i], i, j, at[0], len(at) > 1)
+            i, k = j, k + 1
+    assert k == len(value)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_run_index(seed):
     rng = random.Random(seed)
