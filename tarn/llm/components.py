@@ -29,8 +29,9 @@ def components(links: DataFrame) -> DataFrame:
         both = stars.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(stars.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = kept(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        near = large.groupBy("a").agg(F.min("b").alias("m"), F.collect_set("b").alias("bs"))
-        small = near.select(F.explode(F.concat(F.transform("bs", lambda b: F.struct(b.alias("a"), F.col("m").alias("b"))), F.array(F.struct("a", F.col("m").alias("b"))))).alias("x"))
-        stars = kept(small.select("x.a", "x.b").where("a <> b").distinct())
+        large = kept(large)
+        near = kept(large.groupBy("a").agg(F.min("b").alias("m")))
+        small = large.join(near, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(near.select("a", F.col("m").alias("b")))
+        stars = kept(small.where("a <> b").distinct())
     roots = stars.select(F.col("b").alias("id")).distinct().withColumn("root", F.col("id"))
     return stars.select(F.col("a").alias("id"), F.col("b").alias("root")).unionAll(roots)

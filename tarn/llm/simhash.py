@@ -10,10 +10,13 @@ pair is lost and no group's pairs are listed: each group gives a forest.
 
 Defined cases: a null or empty text, or one of white space, has no words and
 the fingerprint zero, which links like any other. Fewer than three words are
-one shingle. Rows with equal ids are one document. A row without an id has a
-fingerprint, takes the component of documents with the same fingerprint (null
-if there are none) and starts no links. Empty tables give empty results.
-Only the two named columns are read.
+one shingle. Rows with equal ids are one document. A row without an id links
+like others; its component is named by the smallest id in it, and has a null
+name if there is none. Empty tables give empty results. ``near_duplicates``
+reads the two named columns only. ``deduplicated`` keeps one row of each
+component: the one with the smallest id (rows without one come last), of those
+with equal ids the one with the smallest hash of all columns, and of equal rows
+one.
 """
 
 from __future__ import annotations
@@ -55,9 +58,10 @@ def fingerprint(text: bytes) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column(1).cast(pa.binary())
+        texts = batch.column("text").cast(pa.binary())
         found = np.fromiter((fingerprint(x.as_py() or b"") for x in texts), np.uint64, len(texts))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+        columns = {c: batch.column(c) for c in batch.schema.names if c != "text"}
+        yield pa.RecordBatch.from_pydict(columns | {"fp": pa.array(found.view(np.int64))})
 
 
 def _blocks(bits: list[int], parts: int) -> list[int]:
@@ -109,10 +113,19 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
+def _finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each finer mask of each row's mask."""
+    known: dict[int, list[int]] = {}
+    for batch in batches:
+        masks = batch.column("mask").to_pylist()
+        finer = [known.setdefault(m, finer_masks(m)) for m in masks]
+        take = pa.array(np.repeat(np.arange(len(masks)), [len(x) for x in finer]))
+        yield pa.RecordBatch.from_arrays([batch.column("fp").take(take), batch.column("rep").take(take), pa.array([m for x in finer for m in x], pa.int64())], names=["fp", "rep", "mask"])
+
+
 def links(classes: DataFrame) -> DataFrame:
     """Links (a, b) that connect the classes (fp, rep) just as all pairs within the distance would."""
-    spark = classes.sparkSession
-    rows = classes.where("rep is not null").withColumn("mask", F.explode(F.array(*[F.lit(m).cast("long") for m in first_masks()])))
+    rows = classes.withColumn("mask", F.explode(F.array(*[F.lit(m).cast("long") for m in first_masks()])))
     found = None
     while True:
         rows = rows.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
@@ -123,29 +136,49 @@ def links(classes: DataFrame) -> DataFrame:
         new = lists.select("members").mapInArrow(_forests, "a long, b long")
         new = new.unionAll(rows.where(sure & F.expr("rep <> least")).select("rep", "least"))
         found = new if found is None else found.unionAll(new)
-        hot = groups.where((F.col("n") > LARGEST_GROUP) & ~sure)
-        masks = [r[0] for r in hot.select("mask").distinct().collect()]  # at most 20 * 4 ** level
-        if not masks:
+        hot = (F.col("n") > LARGEST_GROUP) & ~sure
+        if not groups.where(hot).head(1):
             return found
-        finer = spark.createDataFrame([(m, f) for m in masks for f in finer_masks(m)], "mask long, finer long")
-        rows = rows.where((F.col("n") > LARGEST_GROUP) & ~sure).join(F.broadcast(finer), "mask").select("fp", "rep", F.col("finer").alias("mask"))
-        rows = kept(rows.distinct())
+        rows = kept(rows.where(hot).select("fp", "rep", "mask").mapInArrow(_finer, "fp long, rep long, mask long").distinct())
+
+
+def classes_of(docs: DataFrame) -> DataFrame:
+    """(fp, root) for each fingerprint of ``docs`` (doc_id, fp): root is the smallest fingerprint that it reaches."""
+    fps = kept(docs.select("fp").distinct())
+    ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("b"), F.max("fp").alias("y")).where("b <> y")
+    same = docs.join(ids, "doc_id").where("fp <> b").select(F.col("fp").alias("a"), "b")  # ids with several texts tie their classes
+    roots = components(links(fps.withColumn("rep", F.col("fp"))).unionAll(same))
+    return kept(fps.join(roots, F.col("fp") == F.col("id"), "left").select("fp", F.coalesce("root", "fp").alias("root")))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``df``: doc_id, fingerprint (16 hex digits) and component_id (the smallest id reached)."""
     docs = kept(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_fingerprints, "doc_id long, fp long"))
-    classes = kept(docs.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    same = docs.join(classes, "fp").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    again = docs.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("fp").alias("x"), F.max("fp").alias("y")).where("n > 1 and x <> y")
-    same = same.join(again, F.col("a") == F.col("doc_id"), "left_semi")  # ids with several texts tie their classes
-    roots = components(links(classes).unionAll(same))
-    of = kept(classes.join(roots, F.col("rep") == F.col("id"), "left").select("fp", F.coalesce("root", "rep").alias("component_id")))
+    classes = classes_of(docs)
+    least = docs.groupBy("fp").agg(F.min("doc_id").alias("least")).join(classes, "fp")
+    names = kept(least.groupBy("root").agg(F.min("least").alias("component_id")))
+    of = kept(classes.join(names, "root").select("fp", "component_id"))
     return docs.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` without near-duplicates: of each component the document with the smallest id stays, once."""
-    gone, other = fresh(df, "_gone"), near_duplicates(df, id_col, text_col)
-    gone_ids = other.where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
-    return df.join(gone_ids, df[id_col] == F.col(gone), "left_anti").dropDuplicates([id_col, text_col])
+    """The rows of ``df`` without near-duplicates: one row of each component stays.
+
+    Rows are known by two hashes of all their columns, and texts are shuffled
+    once. Of rows that are equal in every column, which have equal hashes, one is kept.
+    """
+    one, two, n = fresh(df, "_one"), fresh(df, "_two"), fresh(df, "_n")
+    able = [F.to_json(F.struct(f"`{c}`")) if "map<" in t or "variant" in t else F.col(f"`{c}`") for c, t in df.dtypes]
+    marks = [F.xxhash64(F.lit(k), *[F.struct(c.isNull(), c) for c in able]) for k in (1, 2)]
+    keys = df.select(F.col(id_col).cast("long").alias("doc_id"), marks[0].alias("one"), marks[1].alias("two"), F.col(text_col).alias("text"))
+    docs = kept(keys.mapInArrow(_fingerprints, "doc_id long, one long, two long, fp long"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "one", "two"))
+    best = docs.groupBy("fp").agg(first.alias("x")).join(classes_of(docs.select("doc_id", "fp")), "fp").groupBy("root").agg(F.min("x").alias("x"))
+    best = best.select("x.one", "x.two")
+    times = docs.join(best, ["one", "two"]).groupBy("one", "two").agg(F.count("*").alias("n"))
+    best = kept(times.select(F.col("one").alias(one), F.col("two").alias(two), F.col("n").alias(n)))
+    rows = df.withColumns({f"{one}x": marks[0], f"{two}x": marks[1]}).join(best, (F.col(f"{one}x") == F.col(one)) & (F.col(f"{two}x") == F.col(two)))
+    out = rows.where(F.col(n) == 1).select(*[F.col(f"`{c}`") for c in df.columns])
+    if best.where(F.col(n) > 1).head(1):
+        out = out.unionAll(rows.where(F.col(n) > 1).dropDuplicates([one, two]).select(*[F.col(f"`{c}`") for c in df.columns]))
+    return out

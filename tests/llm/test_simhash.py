@@ -86,6 +86,17 @@ def test_edge_cases(spark):
     assert simhash.deduplicated(df).columns == df.columns
 
 
+def test_one_row_of_each_component_stays(spark):
+    text = " ".join(f"word{i}" for i in range(400))
+    near = text.replace("word7 ", "other ")
+    rows = [(None, text, "a", 1), (None, near, "b", 1), (9, near, "c", 1), (9, text, "d", 1), (9, text, "d", 1), (None, "x y z", "e", 1), (None, "x y z", "e", 1), (3, None, "f", 1), (4, "", "f", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp string, _one int").repartition(4)
+    assert simhash.near_duplicates(df).where("fingerprint <> '0'").count() == len(rows)
+    found, again = (sorted((tuple(r) for r in simhash.deduplicated(d).collect()), key=str) for d in (df, df.repartition(2)))
+    assert found == again and len(found) == 3 and {r[0] for r in found} == {9, None, 3}
+    assert simhash.deduplicated(df.limit(0)).count() == 0
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(500, 500), (7, None)]
     found = {r.id: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
