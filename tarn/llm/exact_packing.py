@@ -5,14 +5,16 @@ cut into whole sequences and a rest. Packing needs only how many pieces there
 are of each length, which is at most 2048 numbers however many documents
 there are. The plan takes lengths from the longest down; a gap is filled
 exactly by one length, a pair or a triple whose sum it is, looked up in
-indexes of the available singles and pair sums, as often as the counts allow.
-What is left is packed by best fit, again in whole groups of equal sequences.
+indexes of the available singles and pair sums, which follow the counts as
+they run out, as often as the counts allow. What is left is packed by best
+fit, again in whole groups of equal sequences.
 A piece finds its place by its rank among pieces of its length; ranks come
 from range partitions, so a length that a third of all pieces have is spread.
 
 Defined cases: a null text is empty and is one piece, the end id alone. Rows
-with equal or null ids are documents of their own. Empty tables give empty
-results. Columns other than the two that are named aren't read.
+with equal or null ids are documents of their own; pieces of equal length are
+placed by id, piece, start and checksum, and those that agree in all of them
+are alike. Empty tables give empty results. Columns other than the two that are named aren't read.
 """
 
 from __future__ import annotations
@@ -65,30 +67,42 @@ def pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     return rows.mapInArrow(_cutter(tokenizer_path(tokenizer), keeps_spaces, end_id, room, with_ids), PIECES + (", ids array<int>" if with_ids else ""))
 
 
-def fillers(count: np.ndarray, gap: int) -> list[int] | None:
-    """One, two or three available lengths whose sum is ``gap``; long ones first, None if there are none."""
-    if count[gap]:
+def _pair(count: np.ndarray, total: int) -> list[int] | None:
+    """Two available lengths whose sum is ``total``, the longer one as long as can be."""
+    some = np.flatnonzero(count[:total])
+    fits = some[(count[total - some] > 0) & ((2 * some != total) | (count[some] >= 2))]
+    return [int(fits[-1]), total - int(fits[-1])] if len(fits) else None
+
+
+def _pair_sums(count: np.ndarray) -> np.ndarray:
+    """The index of pair sums: whether each number is the sum of two available lengths."""
+    have, size = count > 0, 2 * len(count)
+    ways = np.rint(np.fft.irfft(np.fft.rfft(have.astype(float), size) ** 2, size)).astype(np.int64)
+    ways[: 2 * len(count) : 2] -= have  # a length with itself
+    sums = ways > 0
+    sums[: 2 * len(count) : 2] |= count >= 2
+    return sums
+
+
+def fillers(count: np.ndarray, gap: int, most: int) -> list[int] | None:
+    """At most ``most`` (three) available lengths whose sum is ``gap``; few and long ones first, None if there are none."""
+    if most >= 1 and count[gap]:
         return [gap]
-    some = np.flatnonzero(count[:gap])
-    twice = count >= 2
-    pair = some[(count[gap - some] > 0) & ((2 * some != gap) | twice[some])]
-    if len(pair):
-        return [int(pair[-1]), gap - int(pair[-1])]
-    sums = np.zeros(gap + 1, np.int64)  # the index of pair sums: the longer length of a pair
-    for a in some[::-1][:64]:
-        b = some[(some <= a) & (a + some <= gap)]
-        b = b[(b != a) | twice[a]]
-        sums[a + b] = np.maximum(sums[a + b], a)
-    for a in some[::-1]:
-        if b := int(sums[gap - a]):
-            found = [int(a), b, gap - int(a) - b]
-            if all(count[x] >= found.count(x) for x in found):
-                return found
+    if most >= 2 and (pair := _pair(count, gap)):
+        return pair
+    if most >= 3:
+        some = np.flatnonzero(count[:gap])
+        for a in some[_pair_sums(count)[gap - some]][::-1].tolist():
+            count[a] -= 1
+            pair = _pair(count, gap - a)
+            count[a] += 1
+            if pair:
+                return [a, *pair]
     return None
 
 
-def plan(counts: dict[int, int], room: int = ROOM) -> list[tuple[list[int], int]]:
-    """Patterns (lengths of a sequence, how many such sequences) that use every piece once."""
+def planned(counts: dict[int, int], room: int, most: int) -> list[tuple[list[int], int]]:
+    """Patterns by exact fills of gaps with at most ``most`` lengths, then best fit for what is left."""
     count = np.zeros(room + 1, np.int64)
     for length, n in counts.items():
         count[length] = n
@@ -103,7 +117,7 @@ def plan(counts: dict[int, int], room: int = ROOM) -> list[tuple[list[int], int]
     for length in range(room, 0, -1):
         while count[length]:
             count[length] -= 1
-            more = [] if length == room else fillers(count, room - length)
+            more = [] if length == room else fillers(count, room - length, most)
             count[length] += 1
             if more is None:
                 left[length], count[length] = int(count[length]), 0
@@ -129,6 +143,17 @@ def plan(counts: dict[int, int], room: int = ROOM) -> list[tuple[list[int], int]
     return patterns + [x for g in sorted(bins) for x in bins[g]]
 
 
+def plan(counts: dict[int, int], room: int = ROOM) -> list[tuple[list[int], int]]:
+    """Patterns (lengths of a sequence, how many such sequences) that use every piece once.
+
+    Exact fills take short pieces that others may need more, so plans with
+    three, two, one and no lengths in a fill are made and the one with the
+    fewest sequences holds (of equal ones that with most in a fill): there are
+    never more sequences than best fit decreasing makes.
+    """
+    return min((planned(counts, room, most) for most in (3, 2, 1, 0)), key=lambda patterns: sum(n for _, n in patterns))
+
+
 def places(patterns: list[tuple[list[int], int]], room: int = ROOM) -> np.ndarray:
     """Rows (length, first rank, first sequence, lengths in a row, offset), in order: where pieces of a length go by rank."""
     rank, sequence, rows = defaultdict(int), 0, []
@@ -166,7 +191,7 @@ def packed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", room:
     for length, n in counts.items():
         of[length + 1] = n
     before = np.cumsum(of)
-    rows = ranked(rows, ["length", "doc_id", "piece"], "rank")
+    rows = ranked(rows, ["length", "doc_id", "piece", "ids_crc32"], "rank")
     return rows.mapInArrow(_placer(places(plan(counts, room), room), before), f"{PIECES}, sequence_id long, offset long")
 
 

@@ -1,3 +1,5 @@
+import bisect
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -79,6 +81,49 @@ def test_packing_edge_cases(spark):
     assert exact_packing.packed(df.limit(0)).count() == 0
 
 
+def best_fit_decreasing(lengths, room=2048):
+    gaps = []
+    for x in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(gaps, x)
+        gap = gaps.pop(at) if at < len(gaps) else room
+        if gap > x:
+            bisect.insort(gaps, gap - x)
+        elif gap == x:
+            bisect.insort(gaps, 0)
+    return len(gaps)
+
+
+def mixes():
+    rng = random.Random(3)
+    yield [x for x in range(300, 1501, 7) for _ in range(20)]
+    yield [rng.randrange(1, 2049) for _ in range(5000)]
+    yield [min(2048, int(rng.lognormvariate(5.5, 1.1)) + 1) for _ in range(5000)]
+    yield [rng.choice((1025, 513, 257, 129, 65, 700, 701)) for _ in range(5000)]
+    yield [rng.randrange(600, 760) for _ in range(3000)]
+    yield [2048, 1, 1, 2047]
+
+
+@pytest.mark.parametrize("mix", list(mixes()))
+def test_never_more_sequences_than_best_fit(mix):
+    patterns = exact_packing.plan(Counter(mix))
+    made = sum(n for _, n in patterns)
+    assert -(-sum(mix) // 2048) <= made <= best_fit_decreasing(mix)
+
+
+def test_every_exact_fill_is_found():
+    rng = random.Random(6)
+    for _ in range(300):
+        count = np.zeros(61, np.int64)
+        for x in rng.sample(range(1, 60), rng.randrange(1, 12)):
+            count[x] = rng.choice((1, 1, 2, 3))
+        gap, own = rng.randrange(1, 60), [x for x in range(61) for _ in range(count[x])]
+        for most in (1, 2, 3):
+            able = any(sum(c) == gap for k in range(1, most + 1) for c in itertools.combinations(own, k))
+            found = exact_packing.fillers(count, gap, most)
+            assert (found is not None) == able
+            assert found is None or sum(found) == gap and len(found) <= most and all(count[x] >= found.count(x) for x in found)
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plan_uses_every_piece_once(seed):
     rng = random.Random(seed)
