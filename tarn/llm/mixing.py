@@ -6,16 +6,18 @@ size; a document of over a 256th of its source (there are fewer than 256) is
 a block of its own. A source whose target is f times its size and a rest draws
 all its blocks f times and some blocks of one more pass: long documents in
 order as long as they fit into their share of the rest, then the first blocks
-of others up to what is missing. These block quotas are exact. All drawn blocks get ranks in one random permutation, and a binary
-tree halves the ranks (the blocks of a node go left or right without
-replacement), so the counts of each source at every node follow the
-multivariate hypergeometric law and every output shard gets as many blocks as
-the next, or one more. A document goes where its block goes and is placed in
-its shard by a random key.
+of others up to what is missing. These block quotas are exact. A binary tree
+divides them among the output shards: at every node the left half's share of
+the blocks is drawn from the sources by the multivariate hypergeometric law,
+so each shard gets as many blocks as the next, or one more. Then each source's
+blocks, in a random order, are cut into disjoint runs of the lengths that the
+leaves name. A document goes where its block goes and is placed in its shard
+by a random key.
 
 A hot source is spread: its running word counts come from 4096 hash buckets
-a source, whose sums are added first. Block tables grow with the number of
-sources only.
+a source, whose sums are added first. A source has some 13,000 blocks at most,
+so tables of blocks and nodes grow with the number of sources only; the
+numbers of a node's sources are one row.
 
 Defined cases: a null text has size 0; a null source is a source, the last.
 A document without words takes 0 words but is drawn with its block. Rows that
@@ -94,24 +96,64 @@ def long_documents(docs: DataFrame) -> DataFrame:
     return rows.select(*one, "x.all.*", (-1 - F.col("k")).cast("long").alias("block"), F.col("x.yes").alias("last"))
 
 
-def split(blocks: DataFrame, shards: int) -> DataFrame:
-    """``blocks`` (src, pass, block) with their shard: ranks of one permutation go down a binary tree."""
-    total = blocks.count()
-    rows = ranked(blocks.withColumn("at", _key("src", "pass", "block")), ["at", "src", "pass", "block"], "rank")
-    low, high, first, last = F.lit(0), F.lit(shards), F.lit(0).cast("long"), F.lit(total).cast("long")
-    rows = rows.select("*", low.alias("low"), high.alias("high"), first.alias("first"), last.alias("last"))
+#: Draws look at so many blocks on either side of the likeliest number; a source has some 13,000 at most, so others weigh under 1e-26.
+REACH = 640
+
+# The weights of numbers to draw, SQL for either engine: from the likeliest, m, up to hi, then from m down to lo, each from the
+# one before (a.w). Of d: own (blocks of the source), rest (of the sources after it), need (blocks to draw from both), up (hi - m).
+_AT = "case when i < d.up then d.m + i else d.m - (i - d.up) end"
+_NUMERATOR = f"case when i < d.up then (d.own - ({_AT})) * (d.need - ({_AT})) else ({_AT}) * (d.rest - d.need + ({_AT})) end"
+_DENOMINATOR = f"case when i < d.up then ({_AT} + 1) * (d.rest - d.need + ({_AT}) + 1) else (d.own - ({_AT}) + 1) * (d.need - ({_AT}) + 1) end"
+_WEIGHT = f"((case when i = d.up then cast(1 as double) else a.w end) * ({_NUMERATOR}) / ({_DENOMINATOR}))"
+_REACHED = "case when i < d.up then d.m + i + 1 else d.m - (i - d.up) - 1 end"
+_FOUND = "coalesce(a.f, case when d.x < a.t + a.w then a.k end)"
+_MODE = "greatest(d.need - d.rest, 0, least(d.own, d.need, (d.need + 1) * (d.own + 1) {div} (d.own + d.rest + 2)))"
+_UP = f"least(d.own, d.need, d.m + {REACH}) - d.m"
+_STEPS = f"d.up + d.m - greatest(0, d.need - d.rest, d.m - {REACH})"
+
+
+def _draw() -> str:
+    """SQL for how many of t.need blocks come from source x, if t.rest blocks are left from it on; d.u is the chance."""
+    let = "transform(array(struct({0})), d -> {1})[0]"
+    sums = f"aggregate(sequence(0L, d.steps), struct(1.0D as w, 0.0D as t), (a, i) -> if(i >= d.steps, a, struct({_WEIGHT} as w, a.t + a.w as t)), a -> a.t + a.w)"
+    found = f"aggregate(sequence(0L, d.steps), struct(1.0D as w, 0.0D as t, d.m as k, cast(null as bigint) as f), (a, i) -> if(i >= d.steps, a, struct({_WEIGHT} as w, a.t + a.w as t, {_REACHED} as k, {_FOUND} as f)), a -> coalesce({_FOUND}, d.m))"
+    own = "d.own as own, d.rest as rest, d.need as need, d.u as u, d.m as m"
+    inner = let.format(f"{own}, d.up as up, d.steps as steps, d.u * {sums} as x", found)
+    inner = let.format(f"{own}, d.up as up, {_STEPS} as steps", inner)
+    inner = let.format(f"{own}, {_UP} as up", inner)
+    inner = let.format(f"d.own as own, d.rest as rest, d.need as need, d.u as u, {_MODE.format(div='div')} as m", inner)
+    chance = f"cast(conv(substr(md5(concat_ws(':', '{SEED}', cast(t.low as string), cast(t.high as string), cast(x.src as string))), 1, 13), 16, 10) as bigint) / 4503599627370496.0D"
+    return let.format(f"x.n as own, t.rest - x.n as rest, t.need as need, {chance} as u", inner)
+
+
+def tree(counts: DataFrame, shards: int) -> DataFrame:
+    """Blocks of each source (src, n) for each shard (src, shard, n) by a multivariate-hypergeometric splitting tree.
+
+    A node is a range of shards with the blocks that each source has in it.
+    Its left half gets its share of all of them; how many of a source's, given
+    those of the sources before, is a hypergeometric draw.
+    """
+    own = F.struct(F.col("src").cast("long").alias("src"), F.col("n").cast("long").alias("n"))
+    rows = counts.agg(F.sort_array(F.collect_list(own)).alias("all"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total"))
+    rows = rows.select(F.lit(0).cast("long").alias("low"), F.lit(shards).cast("long").alias("high"), "all", "total")
+    none = "cast(array() as array<struct<src: bigint, n: bigint>>)"
+    step = f"""(t, x) -> transform(array({_draw()}), k -> struct(t.low as low, t.high as high, t.need - k as need, t.rest - x.n as rest,
+        array_append(t.a, struct(x.src as src, k as n)) as a, array_append(t.b, struct(x.src as src, x.n - k as n)) as b))[0]"""
+    share, middle = "(total * ((low + high) div 2 - low) div (high - low))", "(low + high) div 2"
+    halves = f"""aggregate(all, struct(low as low, high as high, {share} as need, total as rest, {none} as a, {none} as b), {step},
+        t -> array(struct(low as low, {middle} as high, t.a as all, {share} as total), struct({middle} as low, high as high, t.b as all, total - {share} as total)))"""
     for _ in range(max(0, (shards - 1).bit_length())):
-        middle = F.expr("(low + high) div 2")
-        cut = F.expr("first + (last - first) * ((low + high) div 2 - low) div (high - low)")
-        left = (F.col("rank") < F.col("cut")) & (F.col("middle") > F.col("low"))
-        one = F.col("high") - F.col("low") <= 1
-        rows = rows.withColumns({"middle": middle, "cut": cut}).withColumns({
-            "low": F.when(one | left, F.col("low")).otherwise(F.col("middle")),
-            "high": F.when(one | ~left, F.col("high")).otherwise(F.col("middle")),
-            "first": F.when(one | left, F.col("first")).otherwise(F.col("cut")),
-            "last": F.when(one | ~left, F.col("last")).otherwise(F.col("cut")),
-        }).drop("middle", "cut")
-    return rows.select("src", "pass", "block", F.col("low").cast("int").alias("shard"))
+        rows = written(rows.select(F.expr(f"inline(if(high - low > 1, {halves}, array(struct(low, high, all, total))))")), "nodes")
+    return rows.select(F.col("low").cast("int").alias("shard"), F.explode("all").alias("x")).select("x.src", "shard", "x.n")
+
+
+def split(blocks: DataFrame, shards: int) -> DataFrame:
+    """``blocks`` (src, pass, block) with their shard: each source's blocks, permuted, are cut as the tree says."""
+    blocks = written(blocks, "blocks")
+    cuts = tree(blocks.groupBy("src").agg(F.count("*").alias("n")), shards)
+    cuts = cuts.withColumn("upto", F.sum("n").over(W.partitionBy("src").orderBy("shard"))).select("src", "shard", (F.col("upto") - F.col("n")).alias("first"), "upto")
+    places = blocks.withColumn("place", F.row_number().over(W.partitionBy("src").orderBy(_key("src", "pass", "block"), "pass", "block")) - 1)
+    return places.join(written(cuts, "cuts"), "src").where("place >= first and place < upto").select("src", "pass", "block", "shard")
 
 
 def drawn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shards: int = SHARDS) -> DataFrame:
@@ -145,10 +187,10 @@ def drawn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def mix_counts(df: DataFrame) -> DataFrame:
-    """One row for each document: doc_id, size, source_size, target, taken and copies."""
+    """One row for each document: doc_id, size, source_size, target, taken, copies and shards (where it goes each time, as text)."""
     rows = drawn(df).withColumn("_", F.explode(F.expr("sequence(1L, n)")))
     times = F.size("shards")
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken"), times.alias("copies"))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken"), times.alias("copies"), F.array_join("shards", ",").alias("shards"))
 
 
 def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shards: int = SHARDS) -> DataFrame:
@@ -163,9 +205,25 @@ def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return rows.withColumn(order, F.xxhash64(F.lit(SEED), F.col(id_col), F.col(f"{to}p"), F.col(shard))).drop(f"{to}p")
 
 
+def _duck_step() -> str:
+    let = "list_transform([{{{0}}}], lambda d: {1})[1]"
+    sums = f"list_transform([list_reduce(range(0, d.steps), lambda a, i: {{'w': {_WEIGHT}, 't': a.t + a.w}}, {{'w': 1::double, 't': 0::double}})], lambda a: a.t + a.w)[1]"
+    found = f"list_transform([list_reduce(range(0, d.steps), lambda a, i: {{'w': {_WEIGHT}, 't': a.t + a.w, 'k': {_REACHED}, 'f': {_FOUND}}}, {{'w': 1::double, 't': 0::double, 'k': d.m, 'f': null::bigint}})], lambda a: coalesce({_FOUND}, d.m))[1]"
+    own = "'own': d.own, 'rest': d.rest, 'need': d.need, 'u': d.u, 'm': d.m"
+    inner = let.format(f"{own}, 'up': d.up, 'steps': d.steps, 'x': d.u * {sums}", found)
+    inner = let.format(f"{own}, 'up': d.up, 'steps': {_STEPS}", inner)
+    inner = let.format(f"{own}, 'up': {_UP}", inner)
+    inner = let.format(f"'own': d.own, 'rest': d.rest, 'need': d.need, 'u': d.u, 'm': {_MODE.format(div='//')}", inner)
+    chance = f"cast('0x' || substr(md5(concat_ws(':', '{SEED}', t.low, t.high, x.src)), 1, 13) as bigint) / 4503599627370496::double"
+    one = let.format(f"'own': x.n, 'rest': t.rest - x.n, 'need': t.need, 'u': {chance}", inner)
+    return f"list_transform([{one}], lambda k: {{'low': t.low, 'high': t.high, 'need': t.need - k, 'rest': t.rest - x.n, 'took': list_append(t.took, k)}})[1]"
+
+
+_DUCK_STEP = _duck_step()
+
 #: SQL for the rows of ``mix_counts`` over documents.
 ORACLE = rf"""
-    with z as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents),
+    with recursive z as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents),
     g as (select doc_id, source, size, count(*) as n from z group by 1, 2, 3),
     a as (select source, cast(sum(size * n) as bigint) as source_size, row_number() over (order by source nulls last) as src from g group by 1),
     b as (select *, (src - 1) % 3 + 1 as weight, source_size * {MOST_TIMES} / ((src - 1) % 3 + 1) as full_at from a),
@@ -180,12 +238,28 @@ ORACLE = rf"""
     shares as (select *, (target - f * source_size) * every / source_size as share from lists),
     fits as (select *, share * 2 > every as out, list_reduce(everyone, lambda t, x: {{'rest': t.rest - case when x.words <= t.rest then x.words else 0 end, 'yes': list_append(t.yes, x.words <= t.rest)}},
              {{'rest': case when share * 2 > every then every - share else share end, 'yes': cast([] as boolean[])}}) as r from shares),
-    longs as (select src, unnest(everyone) as x, unnest(r.yes) <> out as last from fits),
+    longs as (select src, unnest(everyone) as x, unnest(r.yes) <> out as last, -unnest(range(1, len(everyone) + 1)) as block from fits),
     took as (select src, sum(x.words) as long_words, sum(case when last then x.words else 0 end) as taken from longs group by 1),
     rests as (select e.src, source_size - coalesce(long_words, 0) as rest, greatest(1, (source_size - coalesce(long_words, 0) + {BLOCKS - 1}) // {BLOCKS}) as bw, target - f * source_size - coalesce(taken, 0) as wanted
               from e left join took on e.src = took.src),
     small as (select docs.*, bw, cast(round(wanted / bw) as bigint) as quota, cast(sum(size * n) over (partition by docs.src order by perm, doc_id, size) as bigint) as upto from docs join rests on docs.src = rests.src where not is_long),
-    times as (select doc_id, source, size, source_size, target, n, f + case when f < {MOST_TIMES} and (2 * upto - size * n) // (2 * bw) < quota then 1 else 0 end as copies from small
-              union all select docs.doc_id, docs.source, docs.size, docs.source_size, docs.target, docs.n, docs.f + case when last and docs.f < {MOST_TIMES} then 1 else 0 end
+    passes as (select unnest(range({MOST_TIMES})) as pass),
+    blocks as (select src, pass, unnest(range(cast(case when pass < f then rest // bw + 1 when pass = f then quota else 0 end as bigint))) as block
+               from (select e.src, f, rest, bw, cast(round(wanted / bw) as bigint) as quota from rests join e on e.src = rests.src) t, passes
+               union all select longs.src, pass, block from longs join e on e.src = longs.src, passes where pass < f or pass = f and last),
+    numbers as (select list({{'src': src, 'n': n}} order by src) as everything, cast(sum(n) as bigint) as total from (select src, count(*) as n from blocks group by 1) t),
+    nodes as (select 0::bigint as low, {SHARDS}::bigint as high, everything, total from numbers
+              union all
+              select case when side = 0 then low else middle end, case when side = 0 then middle else high end,
+                     list_transform(everything, lambda x, i: {{'src': x.src, 'n': case when side = 0 then took[i] else x.n - took[i] end}}), case when side = 0 then share else total - share end
+              from (select *, list_reduce(everything, lambda t, x: {_DUCK_STEP}, {{'low': low, 'high': high, 'need': share, 'rest': total, 'took': cast([] as bigint[])}}).took as took
+                    from (select *, (low + high) // 2 as middle, total * ((low + high) // 2 - low) // (high - low) as share from nodes where high - low > 1) u) v, (select unnest([0, 1]) as side) w),
+    leaves as (select low as shard, unnest(everything) as x from nodes where high - low = 1),
+    cuts as (select x.src as src, shard, sum(x.n) over (partition by x.src order by shard) - x.n as start, sum(x.n) over (partition by x.src order by shard) as upto from leaves),
+    dealt as (select *, row_number() over (partition by src order by md5(concat_ws(':', '{SEED}', src, pass, block)), pass, block) - 1 as place from blocks),
+    placed as (select d.src, d.block, string_agg(shard, ',' order by pass) as shards, count(*) as copies from dealt d join cuts c on c.src = d.src and place >= start and place < upto group by 1, 2),
+    times as (select doc_id, source, size, source_size, target, n, src, (2 * upto - size * n) // (2 * bw) as block from small
+              union all select docs.doc_id, docs.source, docs.size, docs.source_size, docs.target, docs.n, docs.src, block
               from docs join longs on docs.src = longs.src and docs.doc_id is not distinct from longs.x.doc_id and docs.size = longs.x.size where docs.is_long)
-    select doc_id, size, source_size, target, cast(size * copies as bigint) as taken, cast(copies as int) as copies from times, unnest(range(n)) as k"""
+    select doc_id, size, source_size, target, cast(size * coalesce(copies, 0) as bigint) as taken, cast(coalesce(copies, 0) as int) as copies, coalesce(shards, '') as shards
+    from times left join placed on times.src = placed.src and times.block = placed.block, unnest(range(n)) as k"""

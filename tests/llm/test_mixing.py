@@ -1,5 +1,8 @@
+import hashlib
 import random
 from collections import Counter, defaultdict
+from fractions import Fraction
+from math import comb
 
 import pytest
 
@@ -71,6 +74,65 @@ def test_split_is_even_and_whole(spark):
     for r in out:
         mine[r.src, r.shard] += 1
     assert all(15 <= mine[2, k] <= 45 for k in range(7))  # 207 of 321 blocks: about 30 of 46 a shard
+    assert len({(r.src, r["pass"], r.block) for r in out}) == 321
+
+
+def drawn(own, rest, need, chance):
+    """A hypergeometric number: exact weights, from the likeliest number up and then down."""
+    weight = {k: comb(own, k) * comb(rest, need - k) for k in range(max(0, need - rest), min(own, need) + 1)}
+    mode = max(min(weight), min(max(weight), (need + 1) * (own + 1) // (own + rest + 2)))
+    left = Fraction(chance) * sum(weight.values())
+    for k in [*range(mode, max(weight) + 1), *range(mode - 1, min(weight) - 1, -1)]:
+        left -= weight[k]
+        if left < 0:
+            return k
+
+
+def test_the_tree_draws_hypergeometric_numbers(spark):
+    counts = {1: 40, 2: 7, 3: 301, 4: 1, 5: 90}
+    found = defaultdict(dict)
+    for r in mixing.tree(spark.createDataFrame(list(counts.items()), "src int, n long"), 5).collect():
+        found[r.shard][r.src] = r.n
+    expected, nodes = {}, [(0, 5, counts)]
+    while nodes:
+        low, high, own = nodes.pop()
+        if high - low == 1:
+            expected[low] = own
+            continue
+        middle, total, left = (low + high) // 2, sum(own.values()), {}
+        need, rest = total * (middle - low) // (high - low), total
+        for src, n in sorted(own.items()):
+            rest -= n
+            left[src] = drawn(n, rest, need, int(hashlib.md5(f"tarn:{low}:{high}:{src}".encode()).hexdigest()[:13], 16) / 2**52)
+            need -= left[src]
+        nodes += [(low, middle, left), (middle, high, {s: n - left[s] for s, n in own.items()})]
+    assert found == expected
+    many = spark.createDataFrame([(i, 20) for i in range(200)], "src int, n long")
+    spread = Counter(r.n for r in mixing.tree(many, 2).where("shard = 0").collect())
+    assert abs(sum(k * n for k, n in spread.items()) / 200 - 10) < 1e-9 and 3.5 < sum((k - 10) ** 2 * n for k, n in spread.items()) / 200 < 6.8  # 20 / 4 by the law
+
+
+def test_documents_go_where_the_tree_says(spark, monkeypatch):
+    df = spark.createDataFrame(list(table(5, 500, 0.5)), "doc_id long, text string, source string")
+    before = {r.doc_id: r.shards for r in mixing.mix_counts(df).collect()}
+    monkeypatch.setattr(mixing, "tree", lambda counts, shards: counts.selectExpr("src", "0 as shard", "n"))
+    after = {r.doc_id: r.shards for r in mixing.mix_counts(df).collect()}
+    assert before != after and {x for v in after.values() for x in v.split(",")} <= {"", "0"}
+
+
+def test_same_rows_as_the_sql(spark, tmp_path):
+    import duckdb
+
+    rows = [*table(6, 1500, 0.4), (None, "a b", None), (3, "w w", "a"), (3, "w w", "a")]
+    for name, some in (("documents", rows), ("none", [])):
+        df = spark.createDataFrame(some, "doc_id long, text string, source string")
+        df.write.parquet(str(tmp_path / name))
+        con = duckdb.connect()
+        con.execute(f"create view documents as select * from read_parquet('{tmp_path}/{name}/*.parquet')")
+        out = con.execute(mixing.ORACLE)
+        names = [d[0] for d in out.description]
+        found = mixing.mix_counts(df).select(*names).collect()
+        assert sorted(map(tuple, found), key=str) == sorted(out.fetchall(), key=str)
 
 
 def test_edge_cases(spark):
