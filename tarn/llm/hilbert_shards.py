@@ -5,7 +5,8 @@ cells of a cube, rows are sorted by the place of their cell on the Hilbert
 curve through the cube, and the order is cut into runs whose row counts are
 at most one apart (law ``rows``). Neighbours on the curve are neighbours in
 every dimension, so each shard covers a narrow range of each and readers can
-skip files by their minimum and maximum values.
+skip files by their minimum and maximum values. The curve is a table of the
+cube's 32,768 cells, which is broadcast.
 
 Equal texts form a group that takes the place of its member with the smallest
 id, so a group is divided only where a cut falls into it. Ranks come from
@@ -22,11 +23,9 @@ other than the four that are named aren't read by ``shards``.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from .common import fresh, kept, ranked, written
 
@@ -62,17 +61,18 @@ def curve_index(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return place
 
 
-@F.pandas_udf(LongType())
-def _place(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
-    return pd.Series(curve_index(np.stack([a, b, c], axis=1)))
+def curve_table(spark: SparkSession) -> DataFrame:
+    """(a, b, c, curve) for each cell of the cube: 32,768 rows, whatever the data are."""
+    side = np.arange(1 << BITS)
+    cells = np.array(np.meshgrid(side, side, side, indexing="ij")).reshape(3, -1).T
+    return spark.createDataFrame(pa.table({"a": cells[:, 0], "b": cells[:, 1], "c": cells[:, 2], "curve": curve_index(cells)}))
 
 
 def _cells(rows: DataFrame, column: str, cell: str) -> DataFrame:
     """The values of a column with their cells: places in order, spread over the side of the cube."""
-    values = rows.select(column).distinct()
-    place = F.row_number().over(W.orderBy(F.asc_nulls_last(column))) - 1
-    many = F.count("*").over(W.partitionBy())
-    return written(values.select(column, (place * (1 << BITS) / F.greatest(many, F.lit(1 << BITS))).cast("int").alias(cell)), cell)
+    values = ranked(rows.select(column).distinct(), [F.asc_nulls_last(column)], "place")
+    many = F.lit(values.count()).cast("long")
+    return written(values.select(column, (F.col("place") * (1 << BITS) / F.greatest(many, F.lit(1 << BITS))).cast("long").alias(cell)), cell)
 
 
 def shards(df: DataFrame, n_shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
@@ -90,8 +90,9 @@ def shards(df: DataFrame, n_shards: int = SHARDS, id_col: str = "doc_id", text_c
     for column in ("source", "lang"):
         of = _cells(first.select(f"x.{column}"), column, f"{column}_cell")
         rows = rows.join(of, rows[column].eqNullSafe(of[column])).drop(of[column])
-    octave = F.least(F.lit((1 << BITS) - 1), F.floor(F.log2("size") * 1.5)).cast("int")
-    rows = rows.select("doc_id", "size", "text_crc32", "same", _place("source_cell", "lang_cell", octave).alias("curve"))
+    octave = F.least(F.lit((1 << BITS) - 1), F.floor(F.log2("size") * 1.5)).cast("long")
+    on = [F.col("source_cell") == F.col("a"), F.col("lang_cell") == F.col("b"), octave == F.col("c")]
+    rows = rows.join(F.broadcast(curve_table(df.sparkSession)), on).select("doc_id", "size", "text_crc32", "same", "curve")
     rows = ranked(rows, ["curve", "same", F.asc_nulls_last("doc_id")], "rank")
     total = F.lit(df.count()).cast("long")
     rows = rows.withColumn("shard", F.expr(f"rank * {n_shards}").cast("long")).withColumn("_n", total).withColumn("shard", F.expr("shard div _n").cast("int"))

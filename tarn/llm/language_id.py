@@ -13,8 +13,10 @@ the executors from whole texts; a document gives a list of at most
 number a bucket and language, which is broadcast (its size is fixed by the
 buckets and the languages); nothing is shuffled.
 
-Defined cases: a null text, or one without a letter, is ``und`` with score 0
-and not accepted. Documents without an id are predicted, never learned from,
+Defined cases: a null text, or one without a letter (Unicode category L; number
+signs such as Roman numerals and fractions are none), is ``und`` with score 0
+and not accepted. Languages may be many: the sample and the model grow with
+their number, not with the rows. Documents without an id are predicted, never learned from,
 and not held out. Without labelled documents everything is ``und``. Repeated
 rows are predicted alike; empty tables give empty results. Language, source
 and id are never inputs of a prediction; other columns aren't read.
@@ -22,7 +24,6 @@ and id are never inputs of a prediction; other columns aren't read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,10 +39,14 @@ EPOCHS = 30
 RATE = 40.0
 PRECISION = 0.99
 FOLDS = 5
-LETTER = re.compile(r"[^\W\d_]")
 SLICE = 1 << 20
 
 
+def has_letter(text: str) -> bool:
+    """Whether a text has a character of the Unicode category L; numbers and marks aren't letters."""
+    return any(map(str.isalpha, text))
+
+
 def counts(text: str) -> np.ndarray:
     """How often the n-grams of a text fall into each bucket."""
     data = np.frombuffer(f" {text.lower()} ".encode("utf-8", "replace"), np.uint8)
@@ -58,6 +63,11 @@ def counts(text: str) -> np.ndarray:
     return total
 
 
+def softmax(z: np.ndarray) -> np.ndarray:
+    e = np.exp(z - z.max(1, keepdims=True))
+    return e / e.sum(1, keepdims=True)
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -66,17 +76,32 @@ class Model:
     temperature: float = 1.0
     threshold: float = 0.0
 
+    def logits(self, shares: np.ndarray) -> np.ndarray:
+        return shares @ self.weights + self.bias
+
     def scores(self, x: np.ndarray) -> np.ndarray:
-        z = ((x / np.maximum(x.sum(1, keepdims=True), 1)) @ self.weights + self.bias) / self.temperature
-        e = np.exp(z - z.max(1, keepdims=True))
-        return e / e.sum(1, keepdims=True)
+        return softmax(self.logits(x / np.maximum(x.sum(1, keepdims=True), 1)) / self.temperature)
+
+
+Sparse = list[tuple[np.ndarray, np.ndarray]]
+
+
+def dense(x: Sparse, rows: np.ndarray) -> np.ndarray:
+    """Some rows of bucket numbers and counts as a matrix of shares."""
+    out = np.zeros((len(rows), BUCKETS), np.float32)
+    for k, i in enumerate(rows):
+        at, n = x[i]
+        out[k, at] = n / max(1, n.sum())
+    return out
+
 
+def train(x: Sparse, y: np.ndarray, languages: list[str], seed: int = 7) -> Model:
+    """Stochastic gradient descent on bucket counts ``x`` with language numbers ``y``.
 
-def train(x: np.ndarray, y: np.ndarray, languages: list[str], seed: int = 7) -> Model:
-    """Stochastic gradient descent on bucket counts ``x`` with language numbers ``y``."""
+    The counts stay sparse; only the rows of a step are made a matrix.
+    """
     rng = np.random.default_rng(seed)
     held = np.arange(len(x)) % 5 == 4 if len(x) >= 50 else np.zeros(len(x), bool)
-    means = (x / np.maximum(x.sum(1, keepdims=True), 1)).astype(np.float32)
     embed = rng.normal(0, 0.5, (BUCKETS, DIMENSIONS)).astype(np.float32)
     out, bias = np.zeros((DIMENSIONS, len(languages)), np.float32), np.zeros(len(languages), np.float32)
     fit = np.flatnonzero(~held)
@@ -85,7 +110,8 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], seed: int = 7) ->
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
         for part in np.array_split(rng.permutation(fit), max(1, len(fit) // 16)):
-            hidden = means[part] @ embed
+            means = dense(x, part)
+            hidden = means @ embed
             z = hidden @ out + bias
             e = np.exp(z - z.max(1, keepdims=True))
             delta = e / e.sum(1, keepdims=True)
@@ -94,17 +120,15 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], seed: int = 7) ->
             back = delta @ out.T
             out -= rate / 8 * hidden.T @ delta
             bias -= 0.1 * delta.sum(0)
-            used = np.flatnonzero(means[part].any(0))
-            embed[used] -= rate * means[part][:, used].T @ back
+            used = np.flatnonzero(means.any(0))
+            embed[used] -= rate * means[:, used].T @ back
     model = Model(languages, (embed @ out).astype(np.float64), bias.astype(np.float64))
     check = np.flatnonzero(held) if held.any() else fit
     if len(check):
-        loss = []
-        for t in np.geomspace(0.05, 20, 60):
-            model.temperature = float(t)
-            loss.append((-np.log(np.maximum(model.scores(x[check])[np.arange(len(check)), y[check]], 1e-12)).mean(), t))
+        z = np.concatenate([model.logits(dense(x, part)) for part in np.array_split(check, -(-len(check) // 64))])
+        loss = [(-np.log(np.maximum(softmax(z / t)[np.arange(len(check)), y[check]], 1e-12)).mean(), t) for t in np.geomspace(0.05, 20, 60)]
         model.temperature = float(min(loss)[1])
-        p = model.scores(x[check])
+        p = softmax(z / model.temperature)
         order = np.argsort(-p.max(1))
         right = np.cumsum((p.argmax(1) == y[check])[order]) / np.arange(1, len(check) + 1)
         good = np.flatnonzero(right >= PRECISION)
@@ -131,14 +155,11 @@ def fitted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     many = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     if not many:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0))
-    pick = F.lit(False)
-    for lang, n in many.items():
-        pick |= (F.col("lang") == lang) & (F.pmod("key", F.lit(1 << 30)) < int((1 << 30) * min(1.0, per_language / n)))
+    limits = F.create_map(*[F.lit(v) for lang, n in many.items() for v in (lang, int((1 << 30) * min(1.0, per_language / n)))])
+    pick = F.pmod("key", F.lit(1 << 30)) < F.try_element_at(limits, F.col("lang"))
     found = sorted(rows.where(pick).mapInArrow(_features, "key long, lang string, at array<int>, n array<long>").collect(), key=lambda r: (r.key, r.lang))
     languages = sorted({r.lang for r in found})
-    x = np.zeros((len(found), BUCKETS), np.float32)
-    for k, r in enumerate(found):
-        x[k, r["at"]] = r.n
+    x = [(np.array(r["at"], np.int32), np.array(r.n, np.float32)) for r in found]
     return train(x, np.array([languages.index(r.lang) for r in found], np.int64), languages)
 
 
@@ -147,7 +168,7 @@ def _predictor(model: Model):
         for batch in batches:
             langs, scores = ["und"] * len(batch), np.zeros(len(batch))
             for k, text in enumerate(batch.column(2).to_pylist()):
-                if model.languages and text and LETTER.search(text):
+                if model.languages and text and has_letter(text):
                     p = model.scores(counts(text)[None, :])[0]
                     langs[k], scores[k] = model.languages[int(p.argmax())], min(1.0, float(p.max()))
             accepted = pa.array([x != "und" and s >= model.threshold for x, s in zip(langs, scores)])  # noqa: B905

@@ -4,8 +4,11 @@ The best segmentation of a word has the highest sum of piece scores. Forward
 scores depend on the prefix only, so distinct pre-tokens (a word mark and the
 word) go into a trie and each prefix is scored once; the node that ends a word
 stores its token count. Each process keeps its trie from batch to batch and
-starts anew when it holds enough nodes, so memory is bounded, and nothing is
-shuffled: a hot word costs one lookup wherever it stands.
+starts anew when it holds enough nodes, which is checked every few thousand
+words, and nothing is shuffled: a hot word costs one lookup wherever it stands.
+A word of over ``LONG`` characters doesn't join the trie: its forward scores
+are streamed, of which only as many are kept as a piece can be long. So memory
+is bounded whatever the texts are.
 
 The vocabulary's file orders pieces by rank and has no probabilities; a piece
 of rank r scores -log(r + 2), as under Zipf's law, and a byte of a character
@@ -30,6 +33,9 @@ from .encoding import tokenizer_path
 
 MARK = "▁"
 NODES = 2_000_000
+#: Characters of a word beyond which it is streamed, and words after which the trie's size is looked at.
+LONG = 256
+AT_ONCE = 4096
 
 _tries: dict = {}
 
@@ -53,13 +59,13 @@ class Trie:
     def start(self) -> None:
         self.children: dict[int, int] = {}  # by node and character
         self.forward, self.tokens = [0.0], [0]
-        self.words: dict[bytes, int] = {}
+        self.words: dict[bytes, int] = {}  # of whole words, for the lookup
 
     def count(self, word: bytes) -> int:
-        """Tokens of a word, which joins the trie if it is new."""
-        if (known := self.words.get(word)) is not None:
-            return known
+        """Tokens of a word, which joins the trie if it isn't very long."""
         text, node, path = MARK + word.decode("utf-8", "replace"), 0, [0]
+        if len(text) > LONG:
+            return self.streamed(text)
         children, forward, tokens, scores = self.children, self.forward, self.tokens, self.scores
         for end, c in enumerate(text, 1):
             edge = node << 21 | ord(c)
@@ -79,10 +85,26 @@ class Trie:
                 tokens.append(least)
             node = child
             path.append(node)
-        self.words[word] = tokens[node]
         return tokens[node]
 
 
+    def streamed(self, text: str) -> int:
+        """Tokens of a word by forward scores of which the last few are kept."""
+        keep, scores = self.longest, self.scores
+        forward, tokens = [0.0] * keep, [0] * keep  # of the last prefixes, by length modulo keep
+        for end in range(1, len(text) + 1):
+            size, before = len(text[end - 1].encode("utf-8", "replace")), (end - 1) % keep
+            best, least = forward[before] + size * self.byte_score, tokens[before] + size
+            for begin in range(max(0, end - keep), end):
+                piece = text[begin:end]
+                if piece in scores:
+                    total, count = forward[begin % keep] + scores[piece], tokens[begin % keep] + 1
+                    if total > best or total == best and count < least:
+                        best, least = total, count
+            forward[end % keep], tokens[end % keep] = best, least
+        return tokens[len(text) % keep]
+
+
 def _counter(path: str, nodes: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _tries:
@@ -92,12 +114,15 @@ def _counter(path: str, nodes: int):
             words, tokens = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
             for k, text in enumerate(batch.column(1).cast(pa.binary())):
                 own = (text.as_py() or b"").split()
-                for w in set(own):
-                    if w not in trie.words:
-                        trie.count(w)
-                words[k], tokens[k] = len(own), sum(map(trie.words.__getitem__, own))
-                if len(trie.forward) > nodes:
-                    trie.start()
+                words[k] = len(own)
+                for at in range(0, len(own), AT_ONCE):
+                    some = own[at : at + AT_ONCE]
+                    for w in set(some):
+                        if w not in trie.words:
+                            trie.words[w] = trie.count(w)
+                    tokens[k] += sum(map(trie.words.__getitem__, some))
+                    if len(trie.forward) > nodes:
+                        trie.start()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words), pa.array(tokens)], names=["doc_id", "n_words", "n_tokens"])
 
     return count

@@ -1,3 +1,6 @@
+import hashlib
+import math
+import random
 import zlib
 from collections import Counter
 
@@ -34,6 +37,44 @@ def test_rows_law_and_values(spark):
     assert place == list(range(place[0], place[0] + len(place)))  # a group stays together
 
 
+def test_same_places_as_brute_force(spark):
+    rng = random.Random(7)
+    rows = [(i, rng.choice([None, "", "x", "same"]) if i % 4 == 0 else "é" * rng.choice([1, 40, 900, 20_000]) + str(i), rng.choice(["en", "fr", "de", None]), rng.choice(["a", "b", None, *(f"s{k:02d}" for k in range(50))]), 1) for i in rng.sample(range(10_000), 400)]
+    first = {}
+    for i, text, lang, source, _ in sorted(rows):
+        first.setdefault(text or "" if text is not None else None, (source, lang))
+
+    def cell(values, value):
+        order = sorted(values, key=lambda v: (v is None, v or ""))
+        return order.index(value) * 32 // max(len(order), 32)
+
+    sources, langs = {v[0] for v in first.values()}, {v[1] for v in first.values()}
+    keys = []
+    for i, text, *_ in rows:
+        source, lang = first[text]
+        size = len((text or "").encode()) + 1
+        at = hs.curve_index(np.array([[cell(sources, source), cell(langs, lang), min(31, int(math.log2(size) * 1.5))]]))[0]
+        keys.append((int(at), hashlib.md5(text.encode()).hexdigest() if text is not None else "", i))
+    found = {r.doc_id: (r.shard, r.slot, r.curve) for r in hs.shards(spark.createDataFrame(rows, SCHEMA).repartition(3), 7).collect()}
+    starts = [-(-s * 400 // 7) for s in range(8)]
+    for rank, (at, _, i) in enumerate(sorted(keys)):
+        shard = rank * 7 // 400
+        assert found[i] == (shard, rank - starts[shard], at)
+
+
+def test_shards_cover_narrow_ranges(spark):
+    """With 8 sources, 4 languages and sizes over several octaves, a predicate on one dimension leaves out most shards."""
+    rng = random.Random(8)
+    rows = [(i, "x" * 2 ** rng.randrange(1, 14) + str(i), f"l{i % 4}", f"s{rng.randrange(8)}", 1) for i in range(2000)]
+    of = {r[0]: r for r in rows}
+    seen = {"source": {}, "lang": {}}
+    for r in hs.shards(spark.createDataFrame(rows, SCHEMA), 16).collect():
+        seen["source"].setdefault(of[r.doc_id][3], set()).add(r.shard)
+        seen["lang"].setdefault(of[r.doc_id][2], set()).add(r.shard)
+    mean = {k: np.mean([len(x) for x in v.values()]) for k, v in seen.items()}
+    assert mean["source"] <= 10 and mean["lang"] <= 10  # of 16; rows dealt at random are in all
+
+
 def test_edge_cases_and_files(spark, tmp_path):
     df = spark.createDataFrame([(1, None, None, None, 1), (2, "", "en", "a", 1), (3, "x", None, "b", 1), (4, "x", "en", None, 1)], SCHEMA)
     out = {r.doc_id: r for r in hs.shards(df.unionAll(df), 3).collect()}

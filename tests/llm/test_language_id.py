@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -34,16 +35,42 @@ def test_held_out_accuracy_and_reruns(spark):
 
 
 def test_defined_cases(spark):
-    odd = [(1000, None, "aa", "x"), (1001, "", "aa", "x"), (1002, "12 !? _", "bb", "x"), (None, "ka lo mi", None, "x")]
+    odd = [(1000, None, "aa", "x"), (1001, "", "aa", "x"), (1002, "12 !? _", "bb", "x"), (1003, "½ ² Ⅷ ①", "bb", "x"), (None, "ka lo mi", None, "x")]
     df = spark.createDataFrame([*rows(200), *odd], SCHEMA)
     found = {r.doc_id: r for r in language_id.languages(df).collect()}
-    assert all((found[i].lang_pred, found[i].score, found[i].accepted) == ("und", 0.0, False) for i in (1000, 1001, 1002))
+    assert all((found[i].lang_pred, found[i].score, found[i].accepted) == ("und", 0.0, False) for i in (1000, 1001, 1002, 1003))
     assert found[None].lang_pred in SYLLABLES and not found[None].held_out
     blank = spark.createDataFrame([(1, "ka lo", None, "x")], SCHEMA)
     assert [r.lang_pred for r in language_id.languages(blank).collect()] == ["und"]
     assert language_id.languages(df.limit(0)).count() == 0
 
 
+def test_predictions_match_brute_force(spark):
+    df = spark.createDataFrame(list(rows(300)), SCHEMA)
+    model = language_id.fitted(df)
+
+    def plain(text):
+        data, total = f" {text.lower()} ".encode(), [0.0] * len(model.languages)
+        grams = 0
+        for n in (2, 3, 4):
+            for i in range(len(data) - n + 1):
+                h = data[i] * 0x9E3779B1 % 2**32
+                for b in data[i + 1 : i + n]:
+                    h = ((h ^ h >> 15) * 0x85EBCA6B + b) % 2**32
+                row = model.weights[(h * 0xC2B2AE35 % 2**32) >> 32 - 13]
+                total = [t + w for t, w in zip(total, row)]  # noqa: B905
+                grams += 1
+        z = [(t / grams + b) / model.temperature for t, b in zip(total, model.bias)]  # noqa: B905
+        e = [math.exp(v - max(z)) for v in z]
+        return model.languages[z.index(max(z))], max(e) / sum(e)
+
+    found = {r.doc_id: r for r in language_id.predicted(df, model).where("doc_id < 40").collect()}
+    for i, text, _, _ in rows(40):
+        lang, score = plain(text)
+        assert found[i].lang_pred == lang and abs(found[i].score - score) < 1e-9
+        assert found[i].accepted == (found[i].score >= model.threshold)
+
+
 def test_long_texts_count_whole(monkeypatch):
     data = "abc é " * 500
     whole = language_id.counts(data)

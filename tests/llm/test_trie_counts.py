@@ -21,13 +21,21 @@ def brute(word, scores, byte_score):
 def test_counts_match_brute_force(spark, monkeypatch):
     scores, byte_score = vocabulary(tokenizer_path("piece_bpe_32k.model"))
     rng = random.Random(6)
-    words = ["".join(rng.choice("theandingoü日\U0001f642") for _ in range(rng.randrange(1, 12))) for _ in range(300)] + ["the", "them", "theme", "x" * 200]
+    words = ["".join(rng.choice("theandingoü日\U0001f642") for _ in range(rng.randrange(1, 12))) for _ in range(300)] + ["the", "them", "theme", "x" * 200, "theandü" * 100]
     trie = Trie(scores, byte_score)
     assert [trie.count(w.encode()) for w in words] == [brute(w, scores, byte_score) for w in words]
     assert len(trie.forward) < sum(len(w) + 1 for w in words)  # prefixes are shared
     monkeypatch.setattr(trie_counts, "NODES", 50)
+    monkeypatch.setattr(trie_counts, "AT_ONCE", 7)
     rows = [(i, " ".join(rng.choices(words, k=20)), 1) for i in range(40)] + [(100, None, 1), (101, "", 1), (None, "\x0bthe\n", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
     found = {r.doc_id: (r.n_words, r.n_tokens) for r in trie_counts.token_counts(df).collect()}
     assert found == {i: (len((t or "").split()), sum(brute(w, scores, byte_score) for w in (t or "").split())) for i, t, _ in rows}
     assert trie_counts.token_counts(df.limit(0)).count() == 0
+
+
+def test_very_long_words_take_no_nodes():
+    trie = Trie(*vocabulary(tokenizer_path("piece_bpe_32k.model")))
+    word = "unspaced🙂text" * 200
+    assert trie.count(word.encode()) == brute(word, trie.scores, trie.byte_score)
+    assert len(trie.forward) == 1
