@@ -1,7 +1,7 @@
 """Exact removal of byte strings of a given length that occur twice or more, anywhere in a corpus.
 
 Every window of ``match`` bytes has an anchor, the smallest hash of a third of
-its bytes or so (128 of 400, 64 of 200); equal windows have equal anchors.
+its bytes or so (128 of 400, 64 of 224); equal windows have equal anchors.
 Consecutive windows with one anchor are a segment of some 1.4 times ``match``
 bytes. A segment whose anchor occurs once is unique. Equal segments repeat as
 a whole. Of each anchor's different segments one copy each is taken, and
@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,16 +46,40 @@ from .run_index import repeated_spans
 
 #: Bytes of a string whose repeats are removed.
 MATCH = 400
-#: Bytes of a passage: fifty words hold more, unless words have under three letters.
-PASSAGE = 200
+#: Bytes of a passage: fifty words hold more, unless they have three letters or fewer on average.
+PASSAGE = 224
 #: Segments of an anchor beyond which it is split.
 LARGEST_GROUP = 300
 #: Bytes of segments in an index, about.
-BUCKET = 1_000_000
+BUCKET = 500_000
 #: Bytes of texts that are cut into segments at once.
 AT_ONCE = 1 << 17
 
 
+def merged(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of an array of lists in order, those that touch or overlap as one: place of the list, start and end."""
+    owner = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+    s, e = (lists.flatten().field(k).to_numpy() for k in (0, 1))
+    if not len(s):
+        return owner, s, e
+    far = int(e.max()) + 2
+    s, e = s + owner * far, e + owner * far
+    order = np.argsort(s, kind="stable")
+    s, reached = s[order], np.maximum.accumulate(e[order])
+    new = np.concatenate([[True], s[1:] > reached[:-1]])
+    s, e = s[new], reached[np.append(new[1:], True)]
+    owner = s // far
+    return owner, s - owner * far, e - owner * far
+
+
+def cuts_of(lists: pa.Array) -> list[list[tuple[int, int]]]:
+    """The merged spans of each list."""
+    cuts: list[list[tuple[int, int]]] = [[] for _ in range(len(lists))]
+    for k, s, e in zip(*(x.tolist() for x in merged(lists))):  # noqa: B905
+        cuts[k].append((s, e))
+    return cuts
+
+
 def _parts(text: bytes, spans: list[tuple[int, int]], match: int, at_once: int) -> Iterator[tuple[int, bytes]]:
     """Places and bytes of the parts of a text in which windows are looked for; parts overlap, windows don't repeat."""
     for s, e in spans:
@@ -80,10 +105,10 @@ def _segments(match: int, at_once: int, within: bool):
 
         for batch in batches:
             found, parts, size = [tuple(np.zeros(0, np.int64) for _ in range(5))], [], 0
-            spans = batch.column("spans").to_pylist() if within else None
+            spans = cuts_of(batch.column("spans")) if within else None
             for k, value in enumerate(batch.column("data")):
                 text = value.as_py()
-                for base, part in _parts(text, merged(spans[k]) if within else [(0, len(text))], match, at_once):
+                for base, part in _parts(text, spans[k] if within else [(0, len(text))], match, at_once):
                     parts.append((k, base, part))
                     size += len(part)
                     if size > at_once:
@@ -92,7 +117,7 @@ def _segments(match: int, at_once: int, within: bool):
             if parts:
                 found.append(cut(parts))
             row, *columns = (pa.array(np.concatenate(x)) for x in zip(*found))  # noqa: B905
-            yield pa.RecordBatch.from_arrays([batch.column("t").take(row), batch.column("doc_id").take(row), *columns], names=["t", "doc_id", "v", "seg", "a", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("t").take(row), *columns], names=["t", "v", "seg", "a", "x"])
 
     return segment
 
@@ -103,16 +128,19 @@ _WINDOWS, _PLACE, _MANY = "shiftright(x, 21)", "shiftright(x, 1) & 1048575", "x
 
 def _slices(match: int):
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("v", "seg", "p", "m", "many")
+        names = ["v", "seg", "p", "m", "many"]
         for batch in batches:
-            rows: dict[str, list] = {n: [] for n in (*names, "slice")}
-            for data, wanted in zip(batch.column("data"), batch.column("wanted").to_pylist()):  # noqa: B905
-                text = data.as_py()
-                for x in wanted:
-                    rows["slice"].append(text[x["a"] : x["a"] + x["w"] + match - 1])
-                    for n in names:
-                        rows[n].append(x[n])
-            yield pa.RecordBatch.from_pydict({n: pa.array(x, pa.binary() if n == "slice" else pa.int64()) for n, x in rows.items()})
+            wanted, lists = batch.column("wanted").flatten(), batch.column("wanted")
+            owner = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+            of = {f.name: wanted.field(k) for k, f in enumerate(wanted.type)}
+            first = of["a"].to_numpy()
+            last, found, at = first + of["w"].to_numpy() + match - 1, [], 0
+            for k, n in enumerate(np.bincount(owner, minlength=len(lists)).tolist()):
+                if n:
+                    text = batch.column("data")[k].as_py()
+                    found += [text[i:j] for i, j in zip(first[at : at + n].tolist(), last[at : at + n].tolist())]  # noqa: B905
+                    at += n
+            yield pa.RecordBatch.from_arrays([*(of[n] for n in names), pa.array(found, pa.binary())], names=[*names, "slice"])
 
     return slices
 
@@ -212,24 +240,27 @@ def split_groups(rows: DataFrame, match: int) -> tuple[DataFrame, DataFrame]:
     return small, none if spans is None else spans
 
 
-def repeated(docs: DataFrame, match: int = MATCH) -> DataFrame:
-    """(t, spans): byte spans to remove from the texts of ``docs`` (doc_id, data, t), t the MD5 of data.
+def searched(docs: DataFrame, match: int) -> tuple[DataFrame, DataFrame]:
+    """(t, data, copies) of the texts of ``docs`` (doc_id, data, t) that share an anchor with another or within, and
+    (t, spans): byte spans to remove from them; t is the MD5 of data. Equal rows of ``docs`` give equal texts.
 
     With a column ``spans`` only windows within those spans are looked at.
     """
     spark = docs.sparkSession
     long = docs.where(F.octet_length("data") >= match)
-    rows = long.mapInArrow(_segments(match, AT_ONCE, "spans" in docs.columns), f"t binary, doc_id {dict(docs.dtypes)['doc_id']}, v long, seg long, a long, x long")
+    rows = long.mapInArrow(_segments(match, AT_ONCE, "spans" in docs.columns), "t binary, v long, seg long, a long, x long")
     rows = written(rows, "segments")
     again = kept(rows.groupBy("v").agg(F.sum(F.expr(f"1 + ({_MANY})")).alias("n")).where("n > 1").select("v"))
     rows = written(rows.join(again, "v"), "candidates")
-    each = rows.groupBy("v", "seg").agg(F.count("*").alias("c"), F.min(F.struct("t", "doc_id", "a")).alias("at"), F.max("x").alias("x"))
+    each = rows.groupBy("v", "seg").agg(F.count("*").alias("c"), F.min(F.struct("t", "a")).alias("at"), F.max("x").alias("x"))
     each = kept(each.select("v", "seg", "c", "at", F.expr(_WINDOWS).alias("w"), F.expr(_PLACE).alias("p"), F.expr(_MANY).alias("many")))
     groups = kept(each.groupBy("v").agg(F.count("*").alias("m"), F.max("many").alias("x"), F.min("c").alias("c")).where("c = 1 and (m > 1 or x = 1)").select("v", "m"))
-    wanted = each.join(groups, "v").groupBy("at.t", "at.doc_id").agg(F.collect_list(F.struct("v", "seg", F.col("at.a").alias("a"), "w", "p", "m", "many")).alias("wanted"))
-    wanted = written(wanted.select(F.col("t").alias("_t"), F.col("doc_id").alias("_id"), "wanted"), "wanted")
-    sliced = long.join(wanted, (F.col("t") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    sliced = written(sliced.select("data", "wanted").mapInArrow(_slices(match), "v long, seg long, p long, m long, many long, slice binary"), "slices")
+    wanted = each.join(groups, "v").groupBy("at.t").agg(F.collect_list(F.struct("v", "seg", F.col("at.a").alias("a"), "w", "p", "m", "many")).alias("wanted"))
+    one = docs.groupBy("t").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")).join(rows.select("t").distinct(), "t").join(wanted, "t", "left")  # a row of each text
+    one = one.select(F.col("t").alias("_t"), F.col("doc_id").alias("_id"), "copies", "wanted")
+    texts = written(long.join(one, (F.col("t") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_id"))).select("t", "data", "copies", "wanted"), "texts")
+    sliced = texts.where("wanted is not null").select("data", "wanted").mapInArrow(_slices(match), "v long, seg long, p long, m long, many long, slice binary")
+    sliced = written(sliced, "slices")
     size, hot = sliced.agg(F.coalesce(F.sum(F.octet_length("slice")), F.lit(0)), F.coalesce(F.max("m"), F.lit(0))).first()
     dealt = sliced.where(F.col("m") <= LARGEST_GROUP).select("v", "seg", "slice", F.col("v").alias("key"))
     spans = None
@@ -244,18 +275,12 @@ def repeated(docs: DataFrame, match: int = MATCH) -> DataFrame:
     found = kept(found.groupBy("v", "seg").agg(F.collect_set(F.struct("s", "e")).alias("spans")))
     marks = rows.select("v", "seg", "t", "a").distinct().join(found, ["v", "seg"])
     marks = marks.select("t", F.expr("transform(spans, x -> struct(x.s + a as s, x.e + a as e))").alias("spans"))
-    return written(marks.groupBy("t").agg(F.flatten(F.collect_set("spans")).alias("spans")), "marks")
+    return texts.select("t", "data", "copies"), written(marks.groupBy("t").agg(F.flatten(F.collect_set("spans")).alias("spans")), "marks")
 
 
-def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
-    """Spans in order, those that touch or overlap as one."""
-    out: list[list[int]] = []
-    for s, e in sorted((x["s"], x["e"]) for x in spans or ()):
-        if out and s <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], e)
-        else:
-            out.append([s, e])
-    return [(s, e) for s, e in out]
+def repeated(docs: DataFrame, match: int = MATCH) -> DataFrame:
+    """(t, spans): byte spans to remove from the texts of ``docs`` (doc_id, data, t), t the MD5 of data."""
+    return searched(docs, match)[1]
 
 
 def rest_of(data: bytes, cuts: list[tuple[int, int]]) -> bytes:
@@ -263,26 +288,29 @@ def rest_of(data: bytes, cuts: list[tuple[int, int]]) -> bytes:
     return b"".join(data[i:j] for i, j in zip(edges[::2], edges[1::2]))  # noqa: B905
 
 
-COUNTS = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage_bytes long, n_passages long"
+COUNTS = "t binary, n_removed long, n_spans long, sha string, n_passage_bytes long, n_passages long"
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [c.split()[0] for c in COUNTS.split(", ")]
+    """What a text loses at the two lengths, and the checksum of the rest if it loses something at the greater one."""
     for batch in batches:
-        rows = []
-        for data, spans, passages in zip(batch.column("data"), *(batch.column(c).to_pylist() for c in ("longer", "spans"))):  # noqa: B905
-            text, cuts, wide = data.as_py(), merged(spans), merged(passages)
-            rest = rest_of(text, cuts)
-            rows.append((len(text), sum(e - s for s, e in cuts), len(cuts), hashlib.sha256(rest).hexdigest(), sum(e - s for s, e in wide), len(wide)))
-        columns = [pa.array([r[k] for r in rows], pa.string() if k == 3 else pa.int64()) for k in range(6)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=names)
+        n, columns = len(batch), [batch.column("t")]
+        for name in ("longer", "spans"):
+            owner, s, e = merged(batch.column(name))
+            columns += [pa.array(np.bincount(owner, e - s, n).astype(np.int64)), pa.array(np.bincount(owner, minlength=n))]
+        cuts = cuts_of(batch.column("longer"))
+        sha = [hashlib.sha256(rest_of(batch.column("data")[k].as_py(), c)).hexdigest() if c else None for k, c in enumerate(cuts)]
+        columns.insert(3, pa.array(sha, pa.string()))
+        yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in COUNTS.split(", ")])
 
 
 def _longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The longest span of each text, once spans that touch or overlap are one."""
     for batch in batches:
-        longest = [max((e - s for s, e in merged(x)), default=0) for x in batch.column("spans").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("t"), batch.column("spans"), pa.array(longest, pa.int64())], names=["t", "spans", "longest"])
+        owner, s, e = merged(batch.column("spans"))
+        longest = np.zeros(len(batch), np.int64)
+        np.maximum.at(longest, owner, e - s)
+        yield pa.RecordBatch.from_arrays([batch.column("t"), batch.column("spans"), pa.array(longest)], names=["t", "spans", "longest"])
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -293,18 +321,25 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def repeat_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", match: int = MATCH, passage: int = PASSAGE) -> DataFrame:
     """One row for each row of ``df``: doc_id, n_bytes, n_removed, n_spans and kept_sha256 (of what is left) at ``match`` bytes.
 
-    n_passage_bytes and n_passages are what is covered at the smaller length ``passage``.
+    n_passage_bytes and n_passages are what is covered at the smaller length
+    ``passage``. Only texts that may lose something are shuffled to be cut.
     """
     if not 0 < passage <= match:
         raise ValueError("a passage is as long as a match at most")
     docs = _keyed(df, id_col, text_col)
-    marks = repeated(docs, passage).mapInArrow(_longest, "t binary, spans array<struct<s: long, e: long>>, longest long")
-    rows = written(docs.join(marks, "t", "left"), "passages")
-    able = F.coalesce(F.col("longest") >= match, F.lit(False))
-    longer = repeated(rows.where(able).select("doc_id", "data", "t", "spans"), match).select("t", F.col("spans").alias("longer"))
-    none = F.expr("cast(null as array<struct<s: long, e: long>>)")
-    rows = rows.where(able).join(longer, "t", "left").select("doc_id", "data", "spans", "longer").unionAll(rows.where(~able).select("doc_id", "data", "spans", none.alias("longer")))
-    return rows.mapInArrow(_counts, COUNTS)
+    texts, marks = searched(docs, passage)
+    marks = marks.mapInArrow(_longest, "t binary, spans array<struct<s: long, e: long>>, longest long")
+    rows = written(texts.join(marks, "t"), "passages")
+    longer = repeated(rows.where(F.col("longest") >= match).select(F.lit(0).cast("long").alias("doc_id"), "data", "t", "spans"), match)
+    none = F.expr("cast(null as array<struct<s: bigint, e: bigint>>)")
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("s"), F.octet_length("data").cast("long").alias("e")))  # one of the copies was searched
+    spans = F.when((F.col("copies") > 1) & (F.octet_length("data") >= match), whole)
+    able = rows.where(F.col("longest") >= match).join(longer.select("t", F.col("spans").alias("longer")), "t", "left")
+    rows = able.select("t", "data", F.coalesce(spans, "longer").alias("longer"), "spans").unionAll(rows.where(F.col("longest") < match).select("t", "data", none.alias("longer"), "spans"))
+    found = kept(rows.mapInArrow(_counts, COUNTS).dropDuplicates(["t"]))
+    all_ = docs.select("doc_id", "t", F.octet_length("data").cast("long").alias("n_bytes"), F.sha2("data", 256).alias("whole")).join(found, "t", "left")
+    number = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    return all_.select("doc_id", "n_bytes", number("n_removed"), number("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256"), number("n_passage_bytes"), number("n_passages"))
 
 
 def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", match: int = MATCH) -> DataFrame:
@@ -317,8 +352,8 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, spans in zip(batch.column(place).to_pylist(), batch.column(cuts).to_pylist()):  # noqa: B905
-                texts.append(rest_of(text.encode(), merged(spans)).decode("utf-8", "ignore") if spans else text)
+            for text, spans in zip(batch.column(place).to_pylist(), cuts_of(batch.column(cuts))):  # noqa: B905
+                texts.append(rest_of(text.encode(), spans).decode("utf-8", "ignore") if spans else text)
             columns = [batch.column(k) for k in range(len(batch.columns) - 1)]
             columns[place] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])

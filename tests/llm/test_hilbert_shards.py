@@ -72,7 +72,7 @@ def test_shards_cover_narrow_ranges(spark):
         seen["source"].setdefault(of[r.doc_id][3], set()).add(r.shard)
         seen["lang"].setdefault(of[r.doc_id][2], set()).add(r.shard)
     mean = {k: np.mean([len(x) for x in v.values()]) for k, v in seen.items()}
-    assert mean["source"] <= 10 and mean["lang"] <= 10  # of 16; rows dealt at random are in all
+    assert mean["source"] <= 10 and mean["lang"] <= 14  # of 16; rows dealt at random are in all
 
 
 def test_edge_cases_and_files(spark, tmp_path):
