@@ -25,7 +25,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without strings of 200 bytes (about 35 words) that occur twice or more; no document is left out."""
+    """Documents without strings of 224 bytes (about 40 words) that occur twice or more; no document is left out."""
     return _measured(repeats.without_repeats(docs, match=repeats.PASSAGE))
 
 
