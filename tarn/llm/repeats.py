@@ -11,11 +11,11 @@ mark windows that also start in another segment or place.
 An anchor with very many different segments (a common line or passage) is
 split: equal windows share all bytes around the anchor, so they share the half
 of the missing ones to its left or to its right. Segments are dealt by the
-hash of the anchor with either half, then by half of what is left, and so on,
-until groups are small or the window is whole; what is alone on the way
-matches nothing. A segment that holds its anchor several times is dealt for
-each place by which one of its windows is known. Nothing is lost, and no group
-meets in one task.
+hash of the anchor with either half; what is alone then matches nothing. A
+segment that holds its anchor several times is dealt for each place by which
+one of its windows is known. Where a group is still large (very many near
+copies of one text), the hashes of its segments' windows are counted instead.
+Nothing is lost, and no group meets in one task.
 
 Whatever repeats at a greater length also repeats, at the same places, at a
 smaller one, so a second, greater length is searched for in the spans that the
@@ -49,7 +49,7 @@ MATCH = 400
 #: Bytes of a passage: fifty words hold more, unless they have three letters or fewer on average.
 PASSAGE = 224
 #: Segments of an anchor beyond which it is split.
-LARGEST_GROUP = 300
+LARGEST_GROUP = 1000
 #: Bytes of segments in an index, about.
 BUCKET = 500_000
 #: Bytes of texts that are cut into segments at once.
@@ -93,18 +93,19 @@ def _segments(match: int, at_once: int, within: bool):
 
         digest = xxhash.xxh3_64_intdigest
 
-        def cut(parts: list[tuple[int, int, bytes]]):
-            """Columns (row, v, seg, a, x) of the segments of some parts (row, base, bytes)."""
+        def cut(t: pa.Array, parts: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+            """The segments of some parts (row, base, bytes)."""
             row, base = (np.array([p[k] for p in parts], np.int64) for k in (0, 1))
             joined = b"".join(p[2] for p in parts)
             starts = np.cumsum([0, *(len(p[2]) for p in parts)])
             v, a, b, p, many = segments(np.frombuffer(joined, np.uint8), starts, match)
             seg = np.fromiter((digest(joined[i:j]) for i, j in zip(a.tolist(), (b + match - 1).tolist())), np.uint64, len(a))  # noqa: B905
             own = np.searchsorted(starts, a, "right") - 1
-            return row[own], v.view(np.int64), seg.view(np.int64), a - starts[own] + base[own], b - a << 21 | p - a << 1 | many
+            columns = v.view(np.int64), seg.view(np.int64), a - starts[own] + base[own], b - a << 21 | p - a << 1 | many
+            return pa.RecordBatch.from_arrays([t.take(pa.array(row[own])), *map(pa.array, columns)], names=["t", "v", "seg", "a", "x"])
 
         for batch in batches:
-            found, parts, size = [tuple(np.zeros(0, np.int64) for _ in range(5))], [], 0
+            parts, size, t = [], 0, batch.column("t")
             spans = cuts_of(batch.column("spans")) if within else None
             for k, value in enumerate(batch.column("data")):
                 text = value.as_py()
@@ -112,39 +113,42 @@ def _segments(match: int, at_once: int, within: bool):
                     parts.append((k, base, part))
                     size += len(part)
                     if size > at_once:
-                        found.append(cut(parts))
+                        yield cut(t, parts)
                         parts, size = [], 0
             if parts:
-                found.append(cut(parts))
-            row, *columns = (pa.array(np.concatenate(x)) for x in zip(*found))  # noqa: B905
-            yield pa.RecordBatch.from_arrays([batch.column("t").take(row), *columns], names=["t", "v", "seg", "a", "x"])
+                yield cut(t, parts)
 
     return segment
 
 
-#: Of a segment's shape x: its windows, its anchor's place and whether the anchor stands in it more than once.
-_WINDOWS, _PLACE, _MANY = "shiftright(x, 21)", "shiftright(x, 1) & 1048575", "x & 1"
+#: Of a segment's shape x (its windows, its anchor's place, whether the anchor stands in it more than once): the first and the last.
+_WINDOWS, _MANY = "shiftright(x, 21)", "x & 1"
 
 
-def _slices(match: int):
+def _slices(match: int, at_once: int):
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["v", "seg", "p", "m", "many"]
-        for batch in batches:
-            wanted, lists = batch.column("wanted").flatten(), batch.column("wanted")
-            owner = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+        for batch in (part for whole in batches for part in pieces_of(whole, "data", at_once)):
+            lists, wanted = batch.column("wanted"), batch.column("wanted").flatten()
             of = {f.name: wanted.field(k) for k, f in enumerate(wanted.type)}
-            first = of["a"].to_numpy()
-            last, found, at = first + of["w"].to_numpy() + match - 1, [], 0
-            for k, n in enumerate(np.bincount(owner, minlength=len(lists)).tolist()):
-                if n:
-                    text = batch.column("data")[k].as_py()
-                    found += [text[i:j] for i, j in zip(first[at : at + n].tolist(), last[at : at + n].tolist())]  # noqa: B905
-                    at += n
-            yield pa.RecordBatch.from_arrays([*(of[n] for n in names), pa.array(found, pa.binary())], names=[*names, "slice"])
+            first, x = of["a"].to_numpy(), of["x"].to_numpy()
+            last, found, at = first + (x >> 21) + match - 1, [], 0
+            for k, n in enumerate(pc.list_value_length(lists).to_pylist()):
+                text = batch.column("data")[k].as_py()
+                found += [text[i:j] for i, j in zip(first[at : at + n].tolist(), last[at : at + n].tolist())]  # noqa: B905
+                at += n
+            columns = [of["v"], of["seg"], pa.array(x >> 1 & 0xFFFFF), of["m"], pa.array(x & 1), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["v", "seg", "p", "m", "many", "slice"])
 
     return slices
 
 
+def pieces_of(batch: pa.RecordBatch, column: str, at_once: int) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about ``at_once`` bytes of a binary column."""
+    piece = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)) // at_once
+    cuts = np.flatnonzero(np.concatenate([[True], piece[1:] != piece[:-1], [True]])) if len(piece) else []
+    return (batch.slice(i, j - i) for i, j in zip(cuts[:-1], cuts[1:]))  # noqa: B905
+
+
 def places_of(data: bytes, v: int, match: int) -> np.ndarray:
     """Places of the anchor ``v`` in a segment, one at least for each different window.
 
@@ -183,26 +187,47 @@ def _placed(match: int):
     return placed
 
 
-def _extended(match: int):
+def _halves(match: int):
     anchor = anchor_length(match)
+    more = (match - anchor + 1) // 2
 
-    def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each row with half of the missing bytes more on its left, and on its right, where the segment has them."""
+    def halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each row with the hash of the anchor and half of the missing bytes on its left, and on its right, where the segment has them."""
         import xxhash
 
         for batch in batches:
-            out: dict[str, list] = {n: [] for n in ("v", "seg", "p", "l", "r", "slice", "key")}
-            for row in batch.to_pylist():
-                more = (match - anchor - row["l"] - row["r"] + 1) // 2
-                for left, right in ((row["l"] + more, row["r"]), (row["l"], row["r"] + more)):
-                    i, j = row["p"] - left, row["p"] + anchor + right
-                    if i >= 0 and j <= len(row["slice"]):
-                        key = xxhash.xxh3_64_intdigest(row["slice"][i:j], left)
-                        for n, x in (("v", row["v"]), ("seg", row["seg"]), ("p", row["p"]), ("l", left), ("r", right), ("slice", row["slice"]), ("key", key - (key >> 63 << 64))):
-                            out[n].append(x)
-            yield pa.RecordBatch.from_pydict({n: pa.array(x, pa.binary() if n == "slice" else pa.int64()) for n, x in out.items()})
+            row, keys = [], []
+            for k, (p, data) in enumerate(zip(batch.column("p").to_pylist(), batch.column("slice").to_pylist())):  # noqa: B905
+                for i, j, side in ((p - more, p + anchor, 1), (p, p + anchor + more, 2)):
+                    if i >= 0 and j <= len(data):
+                        row.append(k)
+                        keys.append(xxhash.xxh3_64_intdigest(data[i:j], side))
+            take = pa.array(row, pa.int64())
+            columns = [batch.column(c).take(take) for c in ("v", "seg", "slice")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.array(keys, np.uint64).view(np.int64))], names=["v", "seg", "slice", "key"])
+
+    return halves
+
+
+def _windows(match: int, at_once: int):
+    anchor = anchor_length(match)
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The hash of each window of each segment, made of those of the anchors that cover it, and the window's place."""
+        for batch in (part for whole in batches for part in pieces_of(whole, "slice", at_once)):
+            length = pc.binary_length(batch.column("slice")).to_numpy().astype(np.int64)
+            data = np.frombuffer(b"".join(batch.column("slice").to_pylist()), np.uint8)
+            first = np.cumsum(length) - length
+            n = length - match + 1
+            row = np.repeat(np.arange(len(n)), n)
+            s = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            hashes, whole = anchor_hashes(data, anchor), np.zeros(len(row), np.uint64)
+            for k in (*range(0, match - anchor, anchor), match - anchor):
+                whole = (whole ^ whole >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15) + hashes[first[row] + s + k]
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays([batch.column("v").take(take), batch.column("seg").take(take), pa.array(s), pa.array(whole.view(np.int64))], names=["v", "seg", "s", "h"])
 
-    return extended
+    return windows
 
 
 def _indexed(match: int):
@@ -216,28 +241,16 @@ def _indexed(match: int):
 
 
 def split_groups(rows: DataFrame, match: int) -> tuple[DataFrame, DataFrame]:
-    """Segments of very large groups as smaller groups (v, seg, slice, key), and spans (v, seg, s, e) of whole windows."""
-    zero = F.lit(0).cast("long")
+    """Segments of very large groups as smaller groups (v, seg, slice, key), and spans (v, seg, s, e) of windows of those still large."""
     rows = rows.select("v", "seg", "p", "many", "slice").mapInArrow(_placed(match), "v long, seg long, p long, slice binary")
-    rows = rows.select("v", "seg", "p", zero.alias("l"), zero.alias("r"), "slice")
-    small, spans = None, None
-    missing = match - anchor_length(match)
-    while True:
-        missing -= (missing + 1) // 2
-        rows = kept(rows.mapInArrow(_extended(match), "v long, seg long, p long, l long, r long, slice binary, key long").dropDuplicates(["key", "v", "seg", "p"]))
-        each = F.count_distinct("seg") if missing else F.count("*")  # a whole window may repeat within its segment
-        groups = kept(rows.groupBy("key").agg(each.alias("n")).where("n > 1"))
-        rows = rows.join(groups, "key")
-        if not missing:
-            spans = rows.select("v", "seg", (F.col("p") - F.col("l")).alias("s"), (F.col("p") - F.col("l") + match).alias("e"))
-            break
-        new = rows.where(F.col("n") <= LARGEST_GROUP).select("v", "seg", "slice", "key").dropDuplicates(["key", "v", "seg"])
-        small = new if small is None else small.unionAll(new)
-        if not groups.where(F.col("n") > LARGEST_GROUP).head(1):
-            break
-        rows = rows.where(F.col("n") > LARGEST_GROUP).drop("key", "n")
-    none = small.sparkSession.createDataFrame([], "v long, seg long, s long, e long")
-    return small, none if spans is None else spans
+    rows = written(rows.mapInArrow(_halves(match), "v long, seg long, slice binary, key long"), "halves")
+    groups = kept(rows.select("v", "seg", "key").distinct().groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    rows = rows.join(groups, "key")
+    small = rows.where(F.col("n") <= LARGEST_GROUP).select("v", "seg", "slice", "key")
+    still = rows.where(F.col("n") > LARGEST_GROUP).select("v", "seg", "slice").dropDuplicates(["v", "seg"])
+    windows = written(still.mapInArrow(_windows(match, AT_ONCE), "v long, seg long, s long, h long"), "windows")
+    again = kept(windows.groupBy("v", "h").agg(F.count("*").alias("n")).where("n > 1").select("v", "h"))
+    return small, windows.join(again, ["v", "h"]).select("v", "seg", "s", (F.col("s") + match).alias("e"))
 
 
 def searched(docs: DataFrame, match: int) -> tuple[DataFrame, DataFrame]:
@@ -253,13 +266,13 @@ def searched(docs: DataFrame, match: int) -> tuple[DataFrame, DataFrame]:
     again = kept(rows.groupBy("v").agg(F.sum(F.expr(f"1 + ({_MANY})")).alias("n")).where("n > 1").select("v"))
     rows = written(rows.join(again, "v"), "candidates")
     each = rows.groupBy("v", "seg").agg(F.count("*").alias("c"), F.min(F.struct("t", "a")).alias("at"), F.max("x").alias("x"))
-    each = kept(each.select("v", "seg", "c", "at", F.expr(_WINDOWS).alias("w"), F.expr(_PLACE).alias("p"), F.expr(_MANY).alias("many")))
-    groups = kept(each.groupBy("v").agg(F.count("*").alias("m"), F.max("many").alias("x"), F.min("c").alias("c")).where("c = 1 and (m > 1 or x = 1)").select("v", "m"))
-    wanted = each.join(groups, "v").groupBy("at.t").agg(F.collect_list(F.struct("v", "seg", F.col("at.a").alias("a"), "w", "p", "m", "many")).alias("wanted"))
+    each = kept(each)
+    groups = kept(each.groupBy("v").agg(F.count("*").alias("m"), F.max(F.expr(_MANY)).alias("many"), F.min("c").alias("c")).where("c = 1 and (m > 1 or many = 1)").select("v", "m"))
+    wanted = each.join(groups, "v").groupBy("at.t").agg(F.collect_list(F.struct("v", "seg", F.col("at.a").alias("a"), "x", "m")).alias("wanted"))
     one = docs.groupBy("t").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")).join(rows.select("t").distinct(), "t").join(wanted, "t", "left")  # a row of each text
     one = one.select(F.col("t").alias("_t"), F.col("doc_id").alias("_id"), "copies", "wanted")
     texts = written(long.join(one, (F.col("t") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_id"))).select("t", "data", "copies", "wanted"), "texts")
-    sliced = texts.where("wanted is not null").select("data", "wanted").mapInArrow(_slices(match), "v long, seg long, p long, m long, many long, slice binary")
+    sliced = texts.where("wanted is not null").select("data", "wanted").mapInArrow(_slices(match, AT_ONCE), "v long, seg long, p long, m long, many long, slice binary")
     sliced = written(sliced, "slices")
     size, hot = sliced.agg(F.coalesce(F.sum(F.octet_length("slice")), F.lit(0)), F.coalesce(F.max("m"), F.lit(0))).first()
     dealt = sliced.where(F.col("m") <= LARGEST_GROUP).select("v", "seg", "slice", F.col("v").alias("key"))
@@ -269,8 +282,10 @@ def searched(docs: DataFrame, match: int) -> tuple[DataFrame, DataFrame]:
         small, spans = split_groups(large, match)
         dealt = dealt.unionAll(small).unionAll(large.where("many = 1").select("v", "seg", "slice", F.xxhash64("v", "seg").alias("key")))
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET))
-    found = dealt.groupBy(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket")).applyInArrow(_indexed(match), "v long, seg long, s long, e long")
-    found = found.unionAll(each.where("c > 1").select("v", "seg", F.lit(0).cast("long"), F.col("w") + match - 1))
+    tasks = min(buckets, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = dealt.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets))).repartition(tasks, "bucket")
+    found = dealt.groupBy("bucket").applyInArrow(_indexed(match), "v long, seg long, s long, e long")
+    found = found.unionAll(each.where("c > 1").select("v", "seg", F.lit(0).cast("long"), F.expr(_WINDOWS) + match - 1))
     found = found if spans is None else found.unionAll(spans)
     found = kept(found.groupBy("v", "seg").agg(F.collect_set(F.struct("s", "e")).alias("spans")))
     marks = rows.select("v", "seg", "t", "a").distinct().join(found, ["v", "seg"])
