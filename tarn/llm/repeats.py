@@ -143,8 +143,8 @@ def _slices(match: int, at_once: int):
 
 
 def pieces_of(batch: pa.RecordBatch, column: str, at_once: int) -> Iterator[pa.RecordBatch]:
-    """A batch in pieces of about ``at_once`` bytes of a binary column."""
-    piece = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)) // at_once
+    """A batch in pieces of about ``at_once`` bytes of a binary or text column."""
+    piece = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.schema.names.index(column))), 0).to_numpy().astype(np.int64)) // at_once
     cuts = np.flatnonzero(np.concatenate([[True], piece[1:] != piece[:-1], [True]])) if len(piece) else []
     return (batch.slice(i, j - i) for i, j in zip(cuts[:-1], cuts[1:]))  # noqa: B905
 
@@ -308,7 +308,7 @@ COUNTS = "t binary, n_removed long, n_spans long, sha string, n_passage_bytes lo
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What a text loses at the two lengths, and the checksum of the rest if it loses something at the greater one."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in pieces_of(whole, "data", AT_ONCE)):
         n, columns = len(batch), [batch.column("t")]
         for name in ("longer", "spans"):
             owner, s, e = merged(batch.column(name))
@@ -365,12 +365,12 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     place = df.columns.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            for text, spans in zip(batch.column(place).to_pylist(), cuts_of(batch.column(cuts))):  # noqa: B905
-                texts.append(rest_of(text.encode(), spans).decode("utf-8", "ignore") if spans else text)
+        for batch in (part for whole in batches for part in pieces_of(whole, text_col, AT_ONCE)):
             columns = [batch.column(k) for k in range(len(batch.columns) - 1)]
-            columns[place] = pa.array(texts, pa.string())
+            spans = cuts_of(batch.column(cuts))
+            if any(spans):
+                texts = columns[place].to_pylist()
+                columns[place] = pa.array([rest_of(t.encode(), x).decode("utf-8", "ignore") if x else t for t, x in zip(texts, spans)], pa.string())  # noqa: B905
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
     return rows.mapInArrow(cut, df.schema)
