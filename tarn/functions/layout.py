@@ -25,7 +25,7 @@ def partition_path(scheme: str, time: Column) -> Column:
 
 
 def partition_columns(scheme: str, time: Column) -> dict[str, Column]:
-    """The key=value folders of a scheme as columns to partition by; a time that lacks gives ``unknown``.
+    """The key=value folders of a scheme as columns to partition by; a time that lacks gives null, Spark's default folder.
 
     The ``date`` scheme has no keys, so Spark can't write its folders; its
     paths come from ``partition_path`` and are read through a catalogue.
@@ -34,7 +34,7 @@ def partition_columns(scheme: str, time: Column) -> dict[str, Column]:
         raise ValueError(f"scheme {scheme!r} has no key=value folders")
     depth = {"hive": 3, "date_hour": 4}.get(scheme, 0)
     keys = (("year", "yyyy"), ("month", "MM"), ("day", "dd"), ("hour", "HH"))[:depth]
-    return {k: F.coalesce(F.date_format(time, p), F.lit("unknown")) for k, p in keys}
+    return {k: F.date_format(time, p) for k, p in keys}
 
 
 def safe_name(name: Column) -> Column:

@@ -45,15 +45,18 @@ def wide(text: Column, is_number: Column | None = None) -> Column:
 
 
 def event_time(record: Column, fields: tuple[str, ...] = EVENT_TIME_FIELDS) -> Column:
-    """The event time of a VARIANT record: of its time fields the first that parses; null if none does."""
-    found = []
-    for name in fields:
-        value = F.try_variant_get(record, f"$['{name}']", "variant")
+    """The event time of a VARIANT record: of its time fields the first that parses; null if none does.
+
+    The fields' values are gathered first and each is parsed by the same code.
+    """
+    values = F.array(*[F.try_variant_get(record, f"$['{name}']", "variant") for name in fields])
+
+    def parsed(value: Column) -> Column:
         kind = F.schema_of_variant(value)
-        text = F.try_variant_get(record, f"$['{name}']", "string")
         number = kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL")
-        found.append(F.when(number | (kind == "STRING"), wide(text, number)))
-    return F.coalesce(*found)
+        return F.when(number | (kind == "STRING"), wide(value.try_cast("string"), number))
+
+    return F.get(F.filter(F.transform(F.filter(values, lambda v: v.isNotNull()), parsed), lambda t: t.isNotNull()), F.lit(0))
 
 
 def rfc3339(time: Column) -> Column:

@@ -109,9 +109,10 @@ def ranked_queue(jobs: DataFrame, by: list[str]) -> DataFrame:
 
 def smoothed(events: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
     """The moving average that halves the past with each new value, after the last event of each group."""
-    entries = F.sort_array(F.collect_list(F.struct(*order, F.col(value).cast("double").alias("_x"))))
-    values = F.transform(entries, lambda e: e["_x"])
-    return events.groupBy(*by).agg(F.aggregate(F.slice(values, 2, F.greatest(F.size(values) - 1, F.lit(1))), F.get(values, F.lit(0)), lambda a, x: (a + x) / 2).alias("average"), F.count("*").alias("n"))
+    newest = F.row_number().over(W.partitionBy(*by).orderBy(*[F.desc(c) for c in order]))  # the last value weighs a half, the one before a quarter
+    rows = events.withColumns({"_back": newest, "_all": F.count("*").over(W.partitionBy(*by))})
+    weight = F.pow(F.lit(2.0), -F.least(F.col("_back"), F.col("_all") - 1))  # the first weighs as much as the second
+    return rows.groupBy(*by).agg(F.sum(F.col(value).cast("double") * weight).alias("average"), F.count("*").alias("n"))
 
 
 def recent(events: DataFrame, by: list[str], order: list[Column], most: int) -> DataFrame:

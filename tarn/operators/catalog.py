@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-FOOTER = "path string, size long, modified timestamp, n_rows long, n_row_groups int, fields array<struct<name: string, type: string, nullable: boolean>>"
+FOOTER = "path string, size long, modified timestamp, n_rows long, n_row_groups int, fields array<struct<name: string, type: string, nullable: boolean>>, stats array<struct<name: string, min_value: string, max_value: string, null_count: long>>"
 
 # Physical Parquet types by their catalogue names.
 TYPE_NAMES = {
@@ -43,13 +43,25 @@ def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 meta = pq.ParquetFile(f).metadata
             leaves = [meta.schema.column(k) for k in range(len(meta.schema))]
             fields = [{"name": c.name, "type": TYPE_NAMES.get(c.physical_type, "unknown"), "nullable": c.max_definition_level > 0} for c in leaves]
-            rows.append({"path": r["path"], "size": r["length"], "modified": r["modificationTime"], "n_rows": meta.num_rows, "n_row_groups": meta.num_row_groups, "fields": fields})
+            stats = [_column_stats(meta, k) for k in range(len(leaves))]
+            rows.append({"stats": stats, "path": r["path"], "size": r["length"], "modified": r["modificationTime"], "n_rows": meta.num_rows, "n_row_groups": meta.num_row_groups, "fields": fields})
         yield pa.RecordBatch.from_pylist(rows, schema=_schema(batch.schema.field("modificationTime").type))
 
 
+def _column_stats(meta, k: int) -> dict:
+    """Minimum, maximum (as text) and nulls of a leaf over a file's row groups, as far as its footer tells them."""
+    chunks = [meta.row_group(g).column(k).statistics for g in range(meta.num_row_groups)]
+    bounds = [c for c in chunks if c is not None and c.has_min_max]
+    nulls = [c.null_count for c in chunks if c is not None and c.has_null_count]
+    text = lambda x: x.decode("utf-8", "replace") if isinstance(x, bytes) else str(x)
+    low, high = (text(min(c.min for c in bounds)), text(max(c.max for c in bounds))) if bounds else (None, None)
+    return {"name": meta.schema.column(k).path, "min_value": low, "max_value": high, "null_count": sum(nulls) if len(nulls) == len(chunks) else None}
+
+
 def _schema(time: pa.DataType) -> pa.Schema:
+    stat = pa.struct([("name", pa.string()), ("min_value", pa.string()), ("max_value", pa.string()), ("null_count", pa.int64())])
     field = pa.struct([("name", pa.string()), ("type", pa.string()), ("nullable", pa.bool_())])
-    return pa.schema([("path", pa.string()), ("size", pa.int64()), ("modified", time), ("n_rows", pa.int64()), ("n_row_groups", pa.int32()), ("fields", pa.list_(field))])
+    return pa.schema([("path", pa.string()), ("size", pa.int64()), ("modified", time), ("n_rows", pa.int64()), ("n_row_groups", pa.int32()), ("fields", pa.list_(field)), ("stats", pa.list_(stat))])
 
 
 def scan_footers(files: DataFrame, partitions: int = 0) -> DataFrame:
@@ -89,10 +101,14 @@ def roll_up(files: DataFrame) -> DataFrame:
     return sets.agg(F.when(F.grouping("partition") == 1, "root").otherwise("leaf").alias("level"), *_summary())
 
 
-def summary_documents(files: DataFrame, by: list[str], with_stats: bool = True) -> DataFrame:
-    """One JSON document for each group: version, row, size and file counts, and the files."""
-    entry = F.struct("path", "size", "n_rows") if with_stats else F.struct("path")
-    rows = files.groupBy(*by).agg(F.sum("n_rows").alias("num_rows"), F.sum("size").alias("total_size_bytes"), F.count("*").alias("file_count"), F.sort_array(F.collect_list(entry)).alias("files"))
+def summary_documents(files: DataFrame, by: list[str], with_stats: bool = True, schema_too: bool = False) -> DataFrame:
+    """One JSON document for each group: version, row, size and file counts, and the files.
+
+    ``with_stats`` adds size and rows to each file; ``schema_too`` adds the
+    fields and column statistics that the catalogue has of each file.
+    """
+    entry = ["path", *(["size", "n_rows"] if with_stats else []), *(["fields", "stats"] if schema_too else [])]
+    rows = files.groupBy(*by).agg(F.sum("n_rows").alias("num_rows"), F.sum("size").alias("total_size_bytes"), F.count("*").alias("file_count"), F.sort_array(F.collect_list(F.struct(*entry))).alias("files"))
     return rows.select(*by, F.to_json(F.struct(F.lit(1).alias("version"), "num_rows", "total_size_bytes", "file_count", "files")).alias("document"))
 
 
@@ -167,5 +183,9 @@ def numbered_parts(rows: DataFrame, by: list[str], order: list[str], size: Colum
     sums = rows.groupBy(*by, "_bucket").agg(F.sum("_size").alias("_sum"))
     sums = sums.withColumn("_base", F.sum("_sum").over(W.partitionBy(*by).orderBy("_bucket")) - F.col("_sum")).drop("_sum")
     inside = F.sum("_size").over(W.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)) - F.col("_size")
-    rows = rows.withColumn("_inside", inside).join(sums, [*by, "_bucket"])
-    return rows.withColumn("part", (F.floor((F.col("_base") + F.col("_inside")) / limit) + 1).cast("long")).drop("_bucket", "_size", "_inside", "_base")
+    keys = [*by, "_bucket"]  # any of which may be null
+    sums = sums.select(*[F.col(k).alias(f"_key{n}") for n, k in enumerate(keys)], "_base")
+    rows = rows.withColumn("_inside", inside)
+    rows = rows.join(sums, [rows[k].eqNullSafe(sums[f"_key{n}"]) for n, k in enumerate(keys)])
+    part = (F.floor((F.col("_base") + F.col("_inside")) / limit) + 1).cast("long")
+    return rows.withColumn("part", part).drop("_bucket", "_size", "_inside", "_base", *[f"_key{n}" for n in range(len(keys))])

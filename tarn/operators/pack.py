@@ -3,10 +3,20 @@
 A run lists what it hasn't consumed, reads it, sets aside what is no record,
 infers one schema over all records (fields that the lake has keep their types,
 so that readers never meet two), casts, takes event times, numbers parts by
-running size in time order, writes, and only then appends to the catalogue and
-to the list of consumed files. A batch is known by the hash of its input
-files, so a second run of the same files does nothing. The catalogue lies in
-``_catalog`` below the lake, which readers of the lake pass over.
+running size in time order, writes, and appends to the catalogue. The
+catalogue lies in ``_catalog`` below the lake, which readers pass over.
+
+A batch is known by the hash of its input files and everything that it writes
+goes to folders of its own name, which are replaced when it runs again. Before
+anything else it writes down its files (an intent), and last of all its row in
+``batches``. A run first finishes the batches that have an intent and no such
+row, with the files of the intent. So wherever a run stops, the next one
+leaves every record in the lake once.
+
+Every field of a record is kept. Columns that packing adds start with an
+underscore; the folders of a scheme (year, month, day, hour) don't. A field
+whose name is taken, by those or by another that differs in case only, gets
+underscores at its end; ``_catalog/fields`` tells each field's column.
 """
 
 from __future__ import annotations
@@ -23,16 +33,45 @@ from tarn.operators import catalog, schema
 from tarn.sources import ndjson
 
 CODECS = ("zstd", "snappy", "uncompressed")
+LEVELS = ("leaf", "root")
+#: Columns of the lake that packing adds, and the folders of its schemes.
+OWN = ("_event_ts", "_bytes", "_part", "_batch", "year", "month", "day", "hour")
+CONSUMED = "path string, length long, _batch string"
+FIELDS = "field string, path string, column string, type string, _batch string"
+BATCHES = "tenant string, dataset string, n_files long, n_lines long, valid long, rejected long, _batch string"
 
 
 @dataclass
 class Packed:
-    batch_hash: str
-    fresh: bool
+    """What a run did: its batches (also those it finished for an earlier run) and lines by kind."""
+
+    batches: list[str]
     lines: int = 0
     valid: int = 0
     rejected: int = 0
 
+    @property
+    def fresh(self) -> bool:
+        return bool(self.batches)
+
+
+@dataclass
+class Options:
+    """How a lake is written; ``flatten`` is the delimiter of nested names, None keeps objects as JSON text."""
+
+    scheme: str = "hive"
+    codec: str = "zstd"
+    limit: int | None = 64 << 20
+    keep_raw: bool = False
+    flatten: str | None = None
+    metadata_level: str = "leaf"
+
+    def __post_init__(self):
+        layout.partition_columns(self.scheme, F.lit(None))
+        for value, known, name in ((self.codec, CODECS, "codec"), (self.metadata_level, LEVELS, "metadata level")):
+            if value not in known:
+                raise ValueError(f"unknown {name} {value!r}; one of {', '.join(known)}")
+
 
 def read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """A table, or an empty one if nothing has been written there yet."""
@@ -53,17 +92,13 @@ def write_parts(rows: DataFrame, path: str, by: list[str], time: str, codec: str
     if limit is None:
         dealt = rows.repartition(*by) if by else rows
     else:
+        columns = [F.col(f"`{c}`") for c in rows.columns if c not in (*by, time, size)]
         bucket = F.coalesce(F.date_trunc("MINUTE", time), F.lit("9999-12-31").cast("timestamp"))
-        rows = catalog.numbered_parts(rows, by, [time], F.col(size), limit, bucket)
-        dealt = rows.repartition(*by, "part")
-    order = [*by, *(["part"] if limit is not None else []), F.asc_nulls_last(time)]
-    keys = [*by, "part"] if limit is not None else by
-    dealt.sortWithinPartitions(*order).write.mode(mode).option("compression", codec).partitionBy(*keys).parquet(path)
-
-
-def write_raw(lines: DataFrame, path: str, by: list[str]) -> None:
-    """The lines as they came, compressed with gzip, in the same folders."""
-    lines.select("value", *by).write.mode("append").option("compression", "gzip").partitionBy(*by).text(path)
+        rows = rows.select(*by, time, size, F.struct(*columns).alias("_row"))  # so that no name meets those of numbering
+        rows = catalog.numbered_parts(rows, by, [time], F.col(size), limit, bucket).withColumnRenamed("part", "_part")
+        dealt = rows.repartition(*by, "_part").select("_row.*", time, size, *by, "_part")
+    keys = [*by, *(["_part"] if limit is not None else [])]
+    dealt.sortWithinPartitions(*keys, F.asc_nulls_last(time)).write.mode(mode).option("compression", codec).partitionBy(*keys).parquet(path)
 
 
 def unconsumed(files: DataFrame, consumed: DataFrame) -> DataFrame:
@@ -71,50 +106,118 @@ def unconsumed(files: DataFrame, consumed: DataFrame) -> DataFrame:
     return files.join(consumed.select("path", "length"), ["path", "length"], "left_anti")
 
 
-CONSUMED = "path string, length long, batch_hash string"
-FIELDS = "field string, type string, batch_hash string"
-#: Columns that packing adds; a record's fields of these names stay out.
-OWN = ("event_ts", "size", "part", "year", "month", "day", "hour")
-BATCHES = "batch_hash string, tenant string, dataset string, n_files long, valid long, rejected long"
-
-
-def pack(spark: SparkSession, source: str, lake: str, tenant: str, dataset: str, scheme: str = "hive", codec: str = "zstd", limit: int = 64 << 20, keep_raw: bool = False, ending: str = ndjson.DATA_FILE) -> Packed:
-    """Packs what is new below ``source`` into ``lake``/tenant/dataset; see the module's head."""
-    root = f"{lake.rstrip('/')}/{tenant}/{dataset}"
-    consumed = read_or_empty(spark, f"{root}/_catalog/consumed", CONSUMED)
-    files = unconsumed(ndjson.list_files(spark, source, ending), consumed).withColumnRenamed("length", "size")
-    found = catalog.batch_hash(files.withColumn("all", F.lit(1)), ["all"]).first()
-    if found is None:
-        return Packed("", False)
-    batch, names = found.batch_hash, [r.path for r in files.select("path").collect()]  # the files of one run, which the scan needs by name
-    if read_or_empty(spark, f"{root}/_catalog/batches", BATCHES).where(F.col("batch_hash") == batch).head(1):
-        return Packed(batch, False)
-    lines = ndjson.classified(ndjson.scan(spark, names, max(len(names), spark.sparkContext.defaultParallelism))).cache()
+def columns_of(fields: dict[str, str], taken: list[str]) -> dict[str, str]:
+    """A column for each path of a field (path: name): the name, with underscores at its end where it is taken (Spark compares without case)."""
+    used, out = {c.lower() for c in taken}, {}
+    for path, name in sorted(fields.items(), key=lambda x: (x[1], x[0])):
+        column = name or "_"
+        while column.lower() in used:
+            column += "_"
+        used.add(column.lower())
+        out[path] = column
+    return out
+
+
+def _known(spark: SparkSession, root: str) -> dict[str, tuple[str, str]]:
+    """The lake's fields by their paths: column and type; one row a field."""
+    return {r.path: (r.column, r.type) for r in read_or_empty(spark, f"{root}/_catalog/fields", FIELDS).collect()}
+
+
+def publish(lines: DataFrame, batch: str, root: str, tenant: str, dataset: str, options: Options, n_files: int = 0) -> tuple[int, int, int]:
+    """Writes a batch of lines (value, path) to a lake and its catalogue; returns lines, valid and rejected ones."""
+    spark = lines.sparkSession
+    lines = ndjson.classified(lines).persist()
+    own = lambda table: f"{root}/_catalog/{table}/_batch={batch}"
     try:
         counts = {r[0]: r[1] for r in lines.groupBy("status").count().collect()}
-        records = lines.where("status = 'valid'").withColumn("event_ts", event_time(F.col("record"))).withColumn("size", F.octet_length("value"))
-        known = {r.field: r.type for r in read_or_empty(spark, f"{root}/_catalog/fields", FIELDS).collect()}  # one row a field, here and below
-        new = [(r.field, r.type) for r in schema.inferred(records).collect() if r.field not in known and r.field not in OWN]
-        fields = sorted([*known.items(), *new])
-        rows = schema.projected(records, fields, keep=("event_ts", "size"))
-        folders = layout.partition_columns(scheme, F.col("event_ts"))
-        write_parts(rows.withColumns(folders) if folders else rows, f"{root}/data", list(folders), "event_ts", codec, limit, "size")
-        if keep_raw:
-            write_raw(records.withColumns(folders) if folders else records, f"{root}/raw", list(folders))
-        ndjson.quarantined(lines.select("value", "path")).write.mode("append").parquet(f"{root}/_catalog/quarantine")
+        records = lines.where("status = 'valid'")
+        if options.flatten is None:
+            found = [(r.field, schema.json_path(r.field), r.type) for r in schema.inferred(records).collect()]
+        else:
+            found = [(r.field, r.path, r.type) for r in schema.inferred_leaves(records, options.flatten).collect()]
+        if odd := [f for f, path, _ in found if path is None]:
+            raise ValueError(f"no path for fields with both kinds of quotes: {odd}")
+        known = _known(spark, root)
+        columns = columns_of({path: f for f, path, _ in found if path not in known}, [*OWN, *(c for c, _ in known.values())])
+        added = [(f, path, columns[path], kind) for f, path, kind in found if path in columns]
+        casts = [schema.cast_path(F.col("record"), path, kind).alias(column) for path, column, kind in [*((p, *x) for p, x in known.items()), *(a[1:] for a in added)]]
+        times = records.withColumns({"_event_ts": event_time(F.col("record")), "_bytes": F.octet_length("value").cast("long")})
+        folders = layout.partition_columns(options.scheme, F.col("_event_ts"))
+        rows = times.select(*casts, "_event_ts", "_bytes", *[c.alias(n) for n, c in folders.items()])
+        write_parts(rows, f"{root}/data/_batch={batch}", list(folders), "_event_ts", options.codec, options.limit, "_bytes", mode="overwrite")
+        if options.keep_raw:
+            raw = times.select("value", *[c.alias(n) for n, c in folders.items()])
+            raw.write.mode("overwrite").option("compression", "gzip").partitionBy(*folders).text(f"{root}/raw/_batch={batch}")
+        lines.where("status in ('not json', 'not an object')").select("value", "path", F.col("status").alias("reason")).write.mode("overwrite").parquet(own("quarantine"))
     finally:
         lines.unpersist()
-    if new:
-        spark.createDataFrame([(*f, batch) for f in new], FIELDS).coalesce(1).write.mode("append").parquet(f"{root}/_catalog/fields")
-    valid, rejected = counts.get("valid", 0), counts.get("not json", 0) + counts.get("not an object", 0)
-    taken = files.select("path", F.col("size").alias("length"), F.lit(batch).alias("batch_hash"))
-    spark.createDataFrame([(batch, tenant, dataset, len(names), valid, rejected)], BATCHES).write.mode("append").parquet(f"{root}/_catalog/batches")
-    taken.write.mode("append").parquet(f"{root}/_catalog/consumed")
-    return Packed(batch, True, sum(counts.values()), valid, rejected)
+    spark.createDataFrame(added, "field string, path string, column string, type string").coalesce(1).write.mode("overwrite").parquet(own("fields"))
+    catalogued(spark, root, batch, tenant, dataset).write.mode("overwrite").parquet(own("files"))
+    return sum(counts.values()), counts.get("valid", 0), counts.get("not json", 0) + counts.get("not an object", 0)
+
+
+def catalogued(spark: SparkSession, root: str, batch: str, tenant: str, dataset: str) -> DataFrame:
+    """The catalogue's row of each data file of a batch: footers, time ranges from one column, partition and checksum."""
+    path = f"{root}/data/_batch={batch}"
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    files = catalog.scan_footers(catalog.list_parquet(spark, path)).withColumn("path", plain("path"))
+    try:
+        times = catalog.scanned(spark, path, "_event_ts").select(plain("path").alias("path"), "min_ts", "max_ts")
+    except AnalysisException:  # a batch without records has no files
+        times = spark.createDataFrame([], "path string, min_ts timestamp_ntz, max_ts timestamp_ntz")
+    rows = files.join(times, "path", "left").withColumns({"tenant": F.lit(tenant), "dataset": F.lit(dataset), "partition": layout.partition_of(F.regexp_replace("path", ".*/_batch=[^/]*", "")), "checksum": layout.checksum(F.col("path"), F.col("size"), F.col("modified"))})
+    return rows.select("tenant", "dataset", "path", "partition", "size", "n_rows", "n_row_groups", F.col("modified").alias("created"), "modified", "min_ts", "max_ts", "fields", "stats", "checksum")
+
+
+def summarised(spark: SparkSession, root: str, level: str) -> None:
+    """Writes the lake's summary documents anew: one a partition (leaf) or one for all (root), of committed batches."""
+    files = spark.read.parquet(f"{root}/_catalog/files")
+    committed = read_or_empty(spark, f"{root}/_catalog/batches", BATCHES).select("_batch")
+    files = files.join(committed, "_batch", "left_semi")
+    catalog.summary_documents(files, ["tenant", "dataset", *(["partition"] if level == "leaf" else [])], schema_too=True).write.mode("overwrite").parquet(f"{root}/_catalog/summaries")
+
+
+def committed(spark: SparkSession, root: str, batch: str) -> bool:
+    return bool(read_or_empty(spark, f"{root}/_catalog/batches", BATCHES).where(F.col("_batch") == batch).head(1))
+
+
+def commit(spark: SparkSession, root: str, batch: str, tenant: str, dataset: str, n_files: int, counts: tuple[int, int, int]) -> None:
+    """Ends a batch: its row in ``batches``."""
+    row = [(tenant, dataset, n_files, *counts)]
+    spark.createDataFrame(row, BATCHES.rpartition(",")[0]).coalesce(1).write.mode("overwrite").parquet(f"{root}/_catalog/batches/_batch={batch}")
+
+
+def pack(
+    spark: SparkSession, source: str, lake: str, tenant: str, dataset: str, ending: str = ndjson.DATA_FILE, files_per_batch: int = 100_000, **options
+) -> Packed:
+    """Packs what is new below ``source`` into ``lake``/tenant/dataset; see the module's head and ``Options``.
+
+    New files go in batches of ``files_per_batch``, oldest first, until none is
+    left; the names of one batch's files are what the driver holds.
+    """
+    how, root, done = Options(**options), f"{lake.rstrip('/')}/{tenant}/{dataset}", Packed([])
+    intents, ended = f"{root}/_catalog/consumed", f"{root}/_catalog/batches"
+    while True:
+        begun = read_or_empty(spark, intents, CONSUMED)
+        open_ = begun.join(read_or_empty(spark, ended, BATCHES).select("_batch"), "_batch", "left_anti").agg(F.min("_batch")).first()[0]
+        if open_ is None:
+            files = unconsumed(ndjson.list_files(spark, source, ending), begun).orderBy("modificationTime", "path").limit(files_per_batch)
+            files = files.select("path", "length", F.lit(1).alias("all"))
+            found = catalog.batch_hash(files, ["all"], size="length").first()
+            if found is None:
+                return done
+            open_ = f"b-{found.batch_hash[:32]}"
+            files.select("path", "length").coalesce(1).write.mode("overwrite").parquet(f"{intents}/_batch={open_}")
+        names = [r.path for r in spark.read.parquet(f"{intents}/_batch={open_}").select("path").collect()]
+        lines = ndjson.scan(spark, names, max(len(names), spark.sparkContext.defaultParallelism))
+        counts = publish(lines, open_, root, tenant, dataset, how)
+        commit(spark, root, open_, tenant, dataset, len(names), counts)
+        summarised(spark, root, how.metadata_level)
+        done = Packed([*done.batches, open_], *(a + b for a, b in zip((done.lines, done.valid, done.rejected), counts)))  # noqa: B905
 
 
 def compacted(spark: SparkSession, source: str, target: str, by: list[str], time: str, limit: int) -> None:
     """Rewrites a lake of many small files in parts of about ``limit`` bytes of row text."""
-    rows = spark.read.parquet(source).drop("part")
-    sized = rows.withColumn("_size", F.octet_length(F.to_json(F.struct(*rows.columns))))
-    write_parts(sized, target, by, time, limit=limit, size="_size", mode="overwrite")
+    rows = spark.read.parquet(source).drop("_part")
+    sized = rows.withColumn("_bytes", F.octet_length(F.to_json(F.struct(*rows.columns))).cast("long"))
+    write_parts(sized, target, by, time, limit=limit, size="_bytes", mode="overwrite")

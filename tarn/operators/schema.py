@@ -6,34 +6,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarn.functions.timestamps import looks_like_timestamp, narrow
+from tarn.sources.folders import written
 
 # The lattice. Numbers promote in this order; any other mix is text.
 NUMERIC_RANK = {"bigint": 1, "double": 2}
 
 
+#: Element types of arrays; other arrays and mixed ones are ``array``, whose elements are text, and empty ones tell nothing.
+ELEMENTS = {"BIGINT": "array<bigint>", "DOUBLE": "array<double>", "BOOLEAN": "array<boolean>", "VOID": "array<null>"}
+
+
 def fields(records: DataFrame, record: str = "record") -> DataFrame:
-    """One row for each top-level field of each record: field, kind (bigint, double, boolean, timestamp, string, array, null) and value."""
+    """One row for each top-level field of each record: field, kind (see ``kind_of``) and value."""
     exploded = records.select(F.col(record).alias("_r")).lateralJoin(records.sparkSession.tvf.variant_explode(F.col("_r").outer()))
-    return exploded.select(F.col("key").alias("field"), kind_of(F.col("value")).alias("kind"), "value")
+    described = exploded.select(F.col("key").alias("field"), "value", F.schema_of_variant("value").alias("_as"))
+    return described.select("field", kind_of(F.col("value"), F.col("_as")).alias("kind"), "value")
 
 
-def kind_of(value: Column) -> Column:
-    """The lattice type of one JSON value."""
-    kind = F.schema_of_variant(value)
+def kind_of(value: Column, described: Column | None = None) -> Column:
+    """The lattice type of one JSON value: bigint, double, boolean, timestamp, string, null, array or array of a type."""
+    kind = F.schema_of_variant(value) if described is None else described
     text = value.try_cast("string")
+    element = F.regexp_replace(F.regexp_extract(kind, "^ARRAY<(.*)>$", 1), "^DECIMAL.*", "DOUBLE")
+    arrays = F.lit("array")
+    for name, own in ELEMENTS.items():
+        arrays = F.when(element == name, own).otherwise(arrays)
     return (
         F.when(kind == "VOID", "null").when(kind == "BOOLEAN", "boolean").when(kind == "BIGINT", "bigint")
         .when((kind == "DOUBLE") | kind.startswith("DECIMAL"), "double")
-        .when(kind.startswith("ARRAY"), "array").when(kind.startswith("OBJECT"), "string")
+        .when(kind.startswith("ARRAY"), arrays).when(kind.startswith("OBJECT"), "string")
         .when(looks_like_timestamp(text), "timestamp").otherwise("string")
     )
 
 
 def reconciled(kinds: Column) -> Column:
-    """The common type of a set of kinds: nulls are no evidence, numbers promote, other mixes are text, none is text."""
+    """The common type of a set of kinds: nulls are no evidence, numbers promote, also in arrays, other mixes are text, none is text."""
     known = F.array_remove(kinds, "null")
-    numeric = F.forall(known, lambda k: k.isin(*NUMERIC_RANK))
-    return F.when(F.size(known) == 1, known[0]).when((F.size(known) > 1) & numeric, "double").otherwise("string")
+    all_of = lambda *names: F.forall(known, lambda k: k.isin(*names))
+    some = F.array_remove(known, "array<null>")  # empty arrays agree with any array
+    return (
+        F.when(F.size(known) == 0, "string")
+        .when(F.forall(known, lambda k: k.startswith("array")), F.when(F.size(some) == 1, some[0]).when((F.size(some) > 1) & F.forall(some, lambda k: k.isin("array<bigint>", "array<double>")), "array<double>").otherwise("array"))
+        .when(F.size(known) == 1, known[0]).when(all_of(*NUMERIC_RANK), "double").otherwise("string")
+    )
 
 
 def inferred(records: DataFrame, record: str = "record") -> DataFrame:
@@ -50,8 +65,17 @@ def inferred(records: DataFrame, record: str = "record") -> DataFrame:
     )
 
 
+def inferred_leaves(records: DataFrame, delimiter: str, record: str = "record") -> DataFrame:
+    """One row for each leaf of all records: field (names joined by the delimiter), path (of JSON), type, n and nulls."""
+    rows = leaves(records.select(F.lit(0).alias("_key"), record), "_key", record)
+    rows = rows.select(F.array_join("names", delimiter).alias("field"), "path", F.col("v").alias("value"), F.schema_of_variant("v").alias("_as"))
+    counted = rows.select("field", "path", kind_of(F.col("value"), F.col("_as")).alias("kind")).groupBy("field", "path", "kind").agg(F.count("*").alias("n"))
+    total = F.sum("n").alias("n"), F.sum(F.when(F.col("kind") == "null", F.col("n")).otherwise(0)).alias("nulls")
+    return counted.groupBy("field", "path").agg(reconciled(F.collect_set("kind")).alias("type"), *total).orderBy("field", "path")
+
+
 def sampled(records: DataFrame, per_file: int, path: str = "path", order: str = "value") -> DataFrame:
-    """The first records of every file, in a stated order."""
+    """The first records of every file, in the order of a column; rows of a text scan have no other order."""
     from pyspark.sql import Window
 
     place = F.row_number().over(Window.partitionBy(path).orderBy(order))
@@ -65,45 +89,71 @@ def json_path(name: str) -> str:
     return f'$["{name}"]' if "'" in name else f"$['{name}']"
 
 
-def cast_field(record: Column, name: str, kind: str) -> Column:
-    """A field as a type; null if it is absent or its value isn't of that type (true is no number, text is none)."""
-    value = F.try_variant_get(record, json_path(name), "variant")
+def cast_path(record: Column, path: str, kind: str) -> Column:
+    """The value at a path as a type; null if it is absent or isn't of that type (true is no number, text is none)."""
+    value = F.try_variant_get(record, path, "variant")
     own, text = kind_of(value), value.try_cast("string")
     casts = {
         "bigint": F.when(own == "bigint", value.try_cast("bigint")),
         "double": F.when(own.isin("bigint", "double"), value.try_cast("double")),
         "boolean": F.when(own == "boolean", value.try_cast("boolean")),
         "timestamp": F.when(own == "timestamp", narrow(text)),
-        "array": F.when(own == "array", F.try_variant_get(record, json_path(name), "array<string>")),
+        "array": F.when(own.startswith("array"), F.try_variant_get(record, path, "array<string>")),
         "string": F.when(own != "null", F.coalesce(F.when(F.schema_of_variant(value) == "STRING", text), F.to_json(value))),
     }
+    for element, also in (("bigint", ()), ("double", ("array<bigint>",)), ("boolean", ())):
+        name = f"array<{element}>"
+        casts[name] = F.when(own.isin(name, "array<null>", *also), F.try_variant_get(record, path, name))
     return casts[kind]
 
 
+def cast_field(record: Column, name: str, kind: str) -> Column:
+    """A top-level field as a type; see ``cast_path``."""
+    return cast_path(record, json_path(name), kind)
+
+
+def array_facts(record: Column, name: str) -> tuple[Column, Column]:
+    """How many elements an array field has, and the first of them as text; null for what is no array."""
+    values = cast_field(record, name, "array")
+    return F.when(values.isNotNull(), F.size(values)), F.get(values, F.lit(0))
+
+
 def projected(records: DataFrame, schema: list[tuple[str, str]], record: str = "record", keep: tuple[str, ...] = ()) -> DataFrame:
     """Exactly the fields of ``schema`` (name, kind) as columns, after the columns to keep."""
     return records.select(*keep, *[cast_field(F.col(record), name, kind).alias(name) for name, kind in schema])
 
 
-def flattened(records: DataFrame, key: str, record: str = "record", delimiter: str = ".", depth: int = 16) -> DataFrame:
-    """One row for each leaf of each record: key, path (names and array places joined by the delimiter) and value (text).
+def leaves(records: DataFrame, key: str, record: str = "record", depth: int | None = None) -> DataFrame:
+    """One row for each leaf of each record: _k (the key), names (array), path (of JSON; null where a name has both quotes) and v (VARIANT).
 
-    Objects and arrays are opened level by level; an empty one is a leaf. What
-    lies below ``depth`` levels stays as JSON text. The delimiter joins names
-    only and leaves values alone.
+    Objects and arrays are opened level by level, each level from the one
+    before, which is written to a working folder, until none is left (or
+    ``depth`` levels are open); an empty one is a leaf.
     """
     spark = records.sparkSession
-    level = records.select(F.col(key).alias("_k"), F.lit(None).cast("string").alias("path"), F.col(record).alias("v"))
-    leaves = None
-    for _ in range(depth):
-        opened = level.withColumnRenamed("path", "_p").lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select(
-            "_k", F.concat_ws(delimiter, "_p", F.coalesce("key", F.col("pos").cast("string"))).alias("path"), F.col("value").alias("v")
-        )
+    level = records.select(F.col(key).alias("_k"), F.expr("cast(array() as array<string>)").alias("names"), F.lit("$").alias("path"), F.col(record).alias("v"))
+    found = None
+    while True:
+        opened = level.withColumnsRenamed({"names": "_n", "path": "_p"}).lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+        by_name = F.when(~F.contains("key", F.lit("'")), F.concat(F.lit("['"), "key", F.lit("']"))).when(~F.contains("key", F.lit('"')), F.concat(F.lit('["'), "key", F.lit('"]')))
+        step = F.when(F.col("key").isNotNull(), by_name).otherwise(F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]")))
+        opened = opened.select("_k", F.array_append("_n", F.coalesce("key", F.col("pos").cast("string"))).alias("names"), F.concat("_p", step).alias("path"), F.col("value").alias("v"))
         kind = F.schema_of_variant("v")
         inner = (kind.startswith("OBJECT") | kind.startswith("ARRAY")) & ~F.to_json("v").isin("{}", "[]")
-        found = opened.where(~inner)
-        leaves = found if leaves is None else leaves.unionAll(found)
-        level = opened.where(inner)
-    leaves = leaves.unionAll(level)
+        depth = None if depth is None else depth - 1
+        opened = written(opened.withColumn("inner", inner if depth != 0 else F.lit(False)), "level")
+        closed = opened.where("not inner").drop("inner")
+        found = closed if found is None else found.unionAll(closed)
+        level = opened.where("inner").drop("inner")
+        if not level.head(1):
+            return found
+
+
+def flattened(records: DataFrame, key: str, record: str = "record", delimiter: str = ".", depth: int | None = None) -> DataFrame:
+    """One row for each leaf of each record: key, path (names and array places joined by the delimiter) and value (text).
+
+    What lies below ``depth`` levels, if that is given, stays as JSON text. The
+    delimiter joins names only and leaves values alone.
+    """
     text = F.when(F.schema_of_variant("v") == "STRING", F.col("v").try_cast("string")).otherwise(F.to_json("v"))
-    return leaves.select(F.col("_k").alias(key), "path", text.alias("value"))
+    return leaves(records, key, record, depth).select(F.col("_k").alias(key), F.array_join("names", delimiter).alias("path"), text.alias("value"))

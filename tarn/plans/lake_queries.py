@@ -69,7 +69,7 @@ def raw_lineage(spark, sf_dir):
 def sorted_parts(spark, sf_dir):
     """Each file is sorted by event time and no part is larger than the limit and one row."""
     root, _, _ = _packed(spark, sf_dir, limit=20_000)
-    rows = spark.read.parquet(f"{root}/data").select("year", "month", "day", "part", "size", "event_ts", F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("k"))
+    rows = spark.read.parquet(f"{root}/data").select("year", "month", "day", F.col("_part").alias("part"), F.col("_bytes").alias("size"), F.col("_event_ts").alias("event_ts"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("k"))
     from pyspark.sql import Window
 
     before = F.lag("event_ts").over(Window.partitionBy("path").orderBy("k"))
@@ -84,11 +84,72 @@ def catalog_scan(spark, sf_dir):
     root, _, _ = _packed(spark, sf_dir)
     listed = catalog.list_parquet(spark, f"{root}/data")
     footers = catalog.scan_footers(listed).select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "n_rows")
-    scanned = catalog.scanned(spark, f"{root}/data", "event_ts").select(F.regexp_replace("path", "^file:/+", "/").alias("path"), F.col("n_rows").alias("own"))
+    scanned = catalog.scanned(spark, f"{root}/data", "_event_ts").select(F.regexp_replace("path", "^file:/+", "/").alias("path"), F.col("n_rows").alias("own"))
     rows = footers.join(scanned, "path", "full_outer")
     return rows.agg(F.sum("n_rows").alias("n_rows"), (F.count("*") > 0).alias("has_files"), F.min(F.col("n_rows").eqNullSafe(F.col("own"))).alias("same"))
 
 
+@query(f"select cast(event_id as bigint) as event_id, value ->> '$.event_type' as event_type from {_VALID} v")
+def pack_after_crash(spark, sf_dir):
+    """A run that stopped after its data and before its end leaves nothing twice, though new files came since."""
+    source, lake = _named(spark, sf_dir)
+    root = f"{lake}/t1/events"
+    some = ndjson.list_files(spark, source, r"\.gz$").orderBy("path").limit(FILES // 2).select("path", "length")
+    some.coalesce(1).write.parquet(f"{root}/_catalog/consumed/_batch=b-0")
+    pack.publish(ndjson.scan(spark, [r.path for r in some.select("path").collect()]), "b-0", root, "t1", "events", pack.Options())
+    pack.pack(spark, source, lake, "t1", "events", ending=r"\.gz$")
+    return spark.read.parquet(f"{root}/data").select("event_id", "event_type")
+
+
+@query("select event_id, event_type as size, user_id as day, event_id % 3 as upper, case when event_id % 2 = 0 then 'x' end as lower from events")
+def pack_field_names(spark, sf_dir):
+    """Fields that are named like packing's own columns and folders, or differ in case only, are all kept."""
+    base = work_folder(spark, "names")
+    events = view(spark, sf_dir, "events")
+    fields = F.struct("event_id", F.col("event_type").alias("_bytes"), F.col("user_id").alias("day"), (F.col("event_id") % 3).alias("K"), F.when(F.col("event_id") % 2 == 0, "x").alias("k"))
+    events.select(F.to_json(fields).alias("value")).write.option("compression", "gzip").text(f"{base}/in")
+    pack.pack(spark, f"{base}/in", f"{base}/out", "t1", "events", ending=r"\.gz$")
+    rows = spark.read.parquet(f"{base}/out/t1/events/data")
+    return rows.select("event_id", F.col("_bytes_").alias("size"), F.col("day_").alias("day"), F.col("K").alias("upper"), F.col("k_").alias("lower"))
+
+
+@query(f"""select cast(strftime(cast(d as timestamp), '%Y') as int) as year, count(*) as n_rows, true as has_sizes, true as has_fields, true as has_checksum, true as has_times, cast(min(event_id) as varchar) as least, cast(max(event_id) as varchar) as most
+           from (select event_id, cast(timezone('UTC', cast(case when regexp_matches(value ->> '$.timestamp', '(Z|[+-][0-9:]+)$') then value ->> '$.timestamp' else (value ->> '$.timestamp') || 'Z' end as timestamptz)) as timestamp) as d from {_VALID} v) v group by 1""")
+def catalog_rows(spark, sf_dir):
+    """What the catalogue has of the files that packing wrote, by year."""
+    root, _, _ = _packed(spark, sf_dir)
+    files = spark.read.parquet(f"{root}/_catalog/files")
+    ids = F.filter("stats", lambda x: x["name"] == "event_id")[0]
+    rows = files.select(F.regexp_extract("partition", "year=([0-9]+)", 1).cast("int").alias("year"), "n_rows", (F.col("size") > 0).alias("sized"), (F.size("fields") > 0).alias("typed"), (F.length("checksum") == 64).alias("summed"), F.col("min_ts").isNotNull().alias("timed"), ids["min_value"].cast("long").alias("low"), ids["max_value"].cast("long").alias("high"))
+    return rows.groupBy("year").agg(
+        F.sum("n_rows").alias("n_rows"), F.min("sized").alias("has_sizes"), F.min("typed").alias("has_fields"), F.min("summed").alias("has_checksum"), F.min("timed").alias("has_times"),
+        F.min("low").cast("string").alias("least"), F.max("high").cast("string").alias("most"),
+    )
+
+
+@query("select * from (values ('event_id', 'int64', true), ('event_type', 'string', true), ('ts', 'int64', true), ('user_id', 'int64', true), ('value', 'double', true), ('props', 'string', true)) t(name, type, nullable)")
+def footer_fields(spark, sf_dir):
+    """Names and types of the fields in the footers of a written table."""
+    path = f"{work_folder(spark, 'lake')}/events"
+    view(spark, sf_dir, "events").write.parquet(path)
+    return catalog.scan_footers(catalog.list_parquet(spark, path)).select(F.explode("fields").alias("x")).select("x.*").distinct()
+
+
+@query(f"""select cast(event_id as bigint) as event_id, cast(event_id % 3 as bigint) as k, list_value(cast(event_id % 3 as bigint), cast(event_id as bigint)) as ids, event_type as deep from events""")
+def flatten_pack(spark, sf_dir):
+    """Packing with flattened names: a column for each leaf, array places among them; typed arrays stay arrays without flattening."""
+    base = work_folder(spark, "flat")
+    events = view(spark, sf_dir, "events")
+    number = F.col("event_id") % 3
+    fields = F.struct("event_id", F.struct(number.alias("k"), F.struct("event_type").alias("x")).alias("o"), F.array(number, "event_id").alias("ids"))
+    events.select(F.to_json(fields).alias("value")).write.option("compression", "gzip").text(f"{base}/in")
+    for name, delimiter in (("flat", "."), ("whole", None)):
+        pack.pack(spark, f"{base}/in", f"{base}/{name}", "t1", "events", ending=r"\.gz$", flatten=delimiter)
+    flat, whole = (spark.read.parquet(f"{base}/{name}/t1/events/data") for name in ("flat", "whole"))
+    flat = flat.where("`ids.1` = event_id and `ids.0` = `o.k`").select("event_id", F.col("`o.k`").alias("k"), F.col("`o.x.event_type`").alias("deep"))
+    return flat.join(whole.select("event_id", "ids"), "event_id")
+
+
 @query(f"select {FILES} as n_files, true as sized")
 def source_listing(spark, sf_dir):
     source, _ = _named(spark, sf_dir)
@@ -133,19 +194,14 @@ def stream_dead_letters(spark, sf_dir):
     return good.crossJoin(bad)
 
 
-@query(f"select event_id, value ->> '$.event_type' as event_type from {_VALID} v")
+@query(f"select cast(event_id as bigint) as event_id, value ->> '$.event_type' as event_type from {_VALID} v")
 def stream_pack(spark, sf_dir):
-    """Packing batch by batch gives the rows of packing at once."""
-    from tarn.operators import schema
-
+    """Packing batch by batch gives the rows of packing at once; batches that run again change nothing."""
     source, out = _named(spark, sf_dir)
-
-    def each(batch: DataFrame, number: int) -> None:
-        rows = schema.projected(ndjson.records(batch), [("event_id", "bigint"), ("event_type", "string")])
-        rows.write.mode("overwrite").parquet(f"{out}/data/batch={number}")
-
-    streams.run(streams.lines_of(spark, source, files_per_batch=2), f"{out}/check", each).awaitTermination()
-    return spark.read.parquet(f"{out}/data").select("event_id", "event_type")
+    for check in ("check", "again"):  # the second query starts anew, with the numbers of the first
+        sink = streams.pack_sink(f"{out}/lake", "t1", "events", limit=20_000)
+        streams.run(streams.lines_of(spark, source, files_per_batch=2), f"{out}/{check}", sink).awaitTermination()
+    return spark.read.parquet(f"{out}/lake/t1/events/data").select("event_id", "event_type")
 
 
 @query(f"select {FILES} as n_batches, (select count(*) from raw_lines) as n_lines")
@@ -160,9 +216,14 @@ def stream_progress(spark, sf_dir):
     """The lines that the query's progress reports are those that were written."""
     source, out = _named(spark, sf_dir)
     stream = streams.lines_of(spark, source, files_per_batch=3).observe("lines", F.count("*").alias("seen"))
-    running = streams.run(stream, f"{out}/check", lambda b, k: b.write.mode("overwrite").parquet(f"{out}/data/batch={k}"))
-    running.awaitTermination()
-    seen = sum(p["observedMetrics"]["lines"]["seen"] if isinstance(p["observedMetrics"]["lines"], dict) else p["observedMetrics"]["lines"][0] for p in running.recentProgress if "lines" in p["observedMetrics"])
+    progress = streams.Progress()
+    spark.streams.addListener(progress)
+    try:
+        streams.run(stream, f"{out}/check", lambda b, k: b.write.mode("overwrite").parquet(f"{out}/data/batch={k}")).awaitTermination()
+        progress.ended.wait(60)
+    finally:
+        spark.streams.removeListener(progress)
+    seen = progress.metrics.get(("lines", "seen"), 0)
     return spark.read.parquet(f"{out}/data").agg(F.count("*").alias("n_lines")).withColumn("seen", F.lit(seen).cast("long"))
 
 
@@ -173,22 +234,34 @@ def stream_fast_lane(spark, sf_dir):
     view(spark, sf_dir, "events").select(F.col("event_type").alias("dataset")).repartition(4).write.parquet(f"{base}/in")
     rows = spark.readStream.schema("dataset string").parquet(f"{base}/in")
     fast = F.col("dataset") == "purchase"
-    for lane, part in (("fast", rows.where(fast)), ("normal", rows.where(~fast))):
-        streams.run(part, f"{base}/check-{lane}", lambda b, k, lane=lane: b.write.mode("overwrite").parquet(f"{base}/out/lane={lane}/batch={k}")).awaitTermination()
+    both = [
+        streams.run(part, f"{base}/check-{lane}", lambda b, k, lane=lane: b.write.mode("overwrite").parquet(f"{base}/out/lane={lane}/batch={k}"))
+        for lane, part in (("fast", rows.where(fast)), ("normal", rows.where(~fast)))
+    ]
+    for running in both:  # side by side
+        running.awaitTermination()
     return spark.read.parquet(f"{base}/out").groupBy("dataset", "lane").agg(F.count("*").alias("n"))
 
 
 @query("select event_type as dataset, count(*) filter (event_id % 2 = 0) as first_version, count(*) filter (event_id % 2 = 1) as second_version from events group by 1")
 def stream_config_refresh(spark, sf_dir):
-    """A batch sees the registry as it is when it runs."""
+    """A running query sees a change of the registry in its next batch."""
     base = work_folder(spark, "registry")
     events = view(spark, sf_dir, "events")
+
+    def newest(session: SparkSession) -> DataFrame:
+        rows = session.read.parquet(f"{base}/registry")
+        return rows.join(F.broadcast(rows.agg(F.max("version").alias("version"))), "version")
+
+    running = None
     for k in (0, 1):
-        events.where(F.col("event_id") % 2 == k).select(F.col("event_type").alias("dataset")).coalesce(1).write.mode("append").parquet(f"{base}/in")
-        events.select(F.col("event_type").alias("dataset"), F.lit(k).alias("version")).distinct().write.mode("overwrite").parquet(f"{base}/registry-{k}")
-        rows = spark.readStream.schema("dataset string").parquet(f"{base}/in")
-        sink = streams.refreshed_sink(lambda s, k=k: s.read.parquet(f"{base}/registry-{k}"), ["dataset"], f"{base}/out")
-        streams.run(rows, f"{base}/check", sink).awaitTermination()
+        events.select(F.col("event_type").alias("dataset")).distinct().write.mode("append").parquet(f"{base}/registry/version={k}")
+        events.where(F.col("event_id") % 2 == k).select(F.col("event_type").alias("dataset")).write.mode("append").parquet(f"{base}/in")
+        if running is None:
+            rows = spark.readStream.schema("dataset string").parquet(f"{base}/in")
+            running = streams.run(rows, f"{base}/check", streams.refreshed_sink(newest, ["dataset"], f"{base}/out"), interval="1 second")
+        running.processAllAvailable()
+    running.stop()
     rows = spark.read.parquet(f"{base}/out").groupBy("dataset")
     return rows.agg(F.count_if(F.col("version") == 0).alias("first_version"), F.count_if(F.col("version") == 1).alias("second_version"))
 

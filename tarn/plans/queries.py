@@ -88,7 +88,7 @@ def cast_null_on_mismatch(lines):
     from (select l.event_id, j.fullkey, j.atom, j.type from (select * from raw_lines where {STATUS} = 'valid') l, json_tree(l.value) j) t
     where t.type not in ('OBJECT', 'ARRAY')""")
 def flatten_keys(lines):
-    return schema.flattened(ndjson.records(lines), "event_id", depth=4)
+    return schema.flattened(ndjson.records(lines), "event_id")
 
 
 @query("raw_lines", f"""
@@ -98,6 +98,22 @@ def event_time_extract(lines):
     return ndjson.records(lines).select("event_id", timestamps.event_time(F.col("record")).alias("event_ts"))
 
 
+@query("raw_lines", f"select event_id, cast(json_array_length(value, '$.tags') as int) as n_tags, value ->> '$.tags[0]' as first_tag from raw_lines where {STATUS} = 'valid'")
+def array_facts(lines):
+    """How many elements an array field has, and the first of them."""
+    size, first = schema.array_facts(F.col("record"), "tags")
+    return ndjson.records(lines).select("event_id", size.alias("n_tags"), first.alias("first_tag"))
+
+
+@query("events", """
+    select field, type, n from (values ('ids', 'array<bigint>'), ('mixed', 'array'), ('numbers', 'array<double>'), ('flags', 'array<boolean>'), ('none', 'array')) t(field, type), (select count(*) as n from events) c""")
+def array_types(events):
+    """Types of arrays over all records: elements of one type, of numbers, of none, and mixed."""
+    k = F.col("event_id")
+    fields = F.struct(F.array(k, k + 1).alias("ids"), F.array(F.when(k % 2 == 0, "x").otherwise("1"), F.lit("y")).alias("mixed"), F.when(k % 2 == 0, F.array(k + 0.5)).otherwise(F.array(k.cast("double") + 0.25)).alias("numbers"), F.array(k % 2 == 0).alias("flags"), F.expr("cast(array() as array<int>)").alias("none"))
+    return schema.inferred(ndjson.records(ndjson.to_lines(events, fields.alias("x")).select(F.get_json_object("value", "$.x").alias("value")))).select("field", "type", "n")
+
+
 @query("events", """
     with s as (select event_id, ts, case event_id % 8 when 0 then strftime(ts, '%Y-%m-%dT%H:%M:%SZ') when 1 then strftime(ts, '%Y-%m-%dT%H:%M:%S.500Z') when 2 then strftime(ts, '%Y-%m-%d %H:%M:%S')
                       when 3 then strftime(ts, '%Y-%m-%dT%H:%M:%S') when 4 then strftime(ts, '%Y-%m-%d') when 5 then strftime(ts, '%Y') when 6 then strftime(ts, '%Y-%m-%dT%H:%M:%S+02:00') else 'no time' end as x from events)
@@ -174,7 +190,7 @@ def extract_partition(files):
     return files.select("path", layout.partition_of(p).alias("found"), layout.folder_of(p).alias("folder"), layout.base_of(p).alias("base"), layout.with_slash(F.concat("partition", F.lit("//"))).alias("slashed"))
 
 
-@query("files", "select path, case when n_rows <= 1 then path else concat(regexp_replace(path, '[.]parquet$', ''), '_part', lpad(cast(n_rows as varchar), 3, '0'), '.parquet') end as key from files where n_rows < 1000")
+@query("files", "select path, case when n_rows <= 1 then path else concat(regexp_replace(path, '[.]parquet$', ''), '_part', lpad(cast(n_rows as varchar), cast(greatest(3, length(cast(n_rows as varchar))) as int), '0'), '.parquet') end as key from files")
 def part_keys(files):
     return files.select("path", layout.part_key(F.col("path"), F.col("n_rows")).alias("key"))
 
@@ -233,6 +249,12 @@ def summary_documents(files):
     return catalog.summary_documents(files, ["tenant", "dataset"])
 
 
+@query("files", "select tenant, dataset, concat('{\"version\":1,\"num_rows\":', sum(n_rows), ',\"total_size_bytes\":', sum(size), ',\"file_count\":', count(*), ',\"files\":[', string_agg(concat('{\"path\":\"', path, '\"}'), ',' order by path), ']}') as document from files group by 1, 2")
+def plain_summaries(files):
+    """Summary documents that name the files alone."""
+    return catalog.summary_documents(files, ["tenant", "dataset"], with_stats=False)
+
+
 @query("files", """
     with l as (select path from files union all select distinct concat(tenant, '/', dataset, '/', partition, '/_metadata') from files where n_rows % 3 = 0)
     select regexp_replace(path, '/[^/]*$', '') as folder, bool_or(path like '%/\\_metadata' escape '\\') as has_summary, false as has_schema, count(*) filter (path like '%.parquet') as n_files from l group by 1""")
@@ -242,10 +264,10 @@ def catalog_report(files):
 
 
 @query("lineitem", " union all ".join(
-    f"select '{c}' as column_name, cast(min({c}) as varchar) as min_value, cast(max({c}) as varchar) as max_value, count(*) - count({c}) as null_count, count(distinct {c}) as distinct_count from lineitem"
-    for c in ("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")))
+    f"select '{c}' as column_name, cast(min({c}) as varchar) as min_value, cast(max({c}) as varchar) as max_value, count(*) - count({c}) as null_count, count(distinct {c}) as distinct_count, '{t}' as data_type from lineitem"
+    for c, t in (("l_orderkey", "bigint"), ("l_linenumber", "int"), ("l_returnflag", "string"), ("l_linestatus", "string"))))
 def column_stats(lineitem):
-    return catalog.column_statistics(lineitem, ["l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"]).drop("data_type")
+    return catalog.column_statistics(lineitem, ["l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"])
 
 
 _HASHES = "select tenant, dataset, sha256(string_agg(concat(path, ':', size, ':'), '' order by path)) as batch_hash from files group by 1, 2"
@@ -339,11 +361,11 @@ def field_log(fields):
 
 
 @query("fields", """
-    with h as (select file, count(*) as n from fields group by 1), c as (select *, case when lag(n) over (order by file) <> n then 1 else 0 end as changed from h)
+    with h as (select file, sha256(string_agg(concat(name, ':', type), ',' order by concat(name, ':', type))) as n from fields group by 1), c as (select *, case when lag(n) over (order by file) <> n then 1 else 0 end as changed from h)
     select 'd' as dataset, file, cast(1 + sum(changed) over (order by file) as bigint) as schema_version from c""")
 def schema_versions(fields):
-    hashes = fields.groupBy("file").agg(F.count("*").alias("n")).withColumn("dataset", F.lit("d"))
-    return evolution.versions(hashes, ["dataset"], "file", "n").select("dataset", "file", "schema_version")
+    hashes = evolution.schema_hash(fields, ["file"]).withColumn("dataset", F.lit("d"))
+    return evolution.versions(hashes, ["dataset"], "file").select("dataset", "file", "schema_version")
 
 
 @query("lineitem", "select case l_linenumber when 1 then 'int32' when 2 then 'timestamp' when 3 then 'string' else 'unknown' end as name, count(*) as n from lineitem group by 1")
@@ -368,11 +390,11 @@ def config_lookup(jobs, reg):
 
 @query("region nation registry", """
     select r_name as account, n_name as tenant, coalesce(string_agg(dataset, ',' order by dataset), '') as datasets, count(dataset) as n_datasets
-    from region join nation on n_regionkey = r_regionkey left join (select * from registry where testing) d on d.tenant = n_name group by 1, 2""")
+    from region join nation on n_regionkey = r_regionkey left join registry d on d.tenant = n_name group by 1, 2""")
 def registry_tree(region, nation, reg):
     accounts = region.select(F.col("r_name").alias("account"), F.col("r_regionkey").alias("k"))
     tenants = nation.join(accounts, F.col("n_regionkey") == F.col("k")).select("account", F.col("n_name").alias("tenant"))
-    rows = registry.assembled(accounts.select("account"), tenants, reg.where("testing").select("tenant", "dataset"))
+    rows = registry.assembled(accounts.select("account"), tenants, reg.select("tenant", "dataset"))
     return rows.withColumn("datasets", F.array_join("datasets", ","))
 
 
@@ -476,9 +498,9 @@ def mask_values(customer):
 
 
 @query("files", """
-    select path, concat('tenant=', case when n_rows % 2 = 0 then dataset else tenant end, ';by=packer', case when n_rows % 2 = 0 then ';own=1' else '' end) as tags from files""")
+    select path, concat('tenant=', case when n_rows % 2 = 0 then dataset else tenant end, ';by=lake', case when n_rows % 2 = 0 then ';own=1' else '' end) as tags from files""")
 def merge_tags(files):
-    first = F.create_map(F.lit("tenant"), F.col("tenant"), F.lit("by"), F.lit("packer"))
+    first = F.create_map(F.lit("tenant"), F.col("tenant"), F.lit("by"), F.lit("lake"))
     second = F.when(F.col("n_rows") % 2 == 0, F.create_map(F.lit("tenant"), F.col("dataset"), F.lit("own"), F.lit("1")))
     tags = rules.merged_tags(first, second)
     order = F.filter(F.array(F.lit("tenant"), F.lit("by"), F.lit("own")), lambda k: F.map_contains_key(tags, k))
@@ -496,12 +518,12 @@ def config_defaults(reg):
 
 
 @query("files", f"""
-    select tenant, dataset, cast(sum(size) as bigint) as bytes, count(*) as n_files, case when bool_or(dataset = 'view') then 'testing' when sum(size) >= 20000 then 'size' when epoch(timestamp '2024-01-20 00:00:00') - epoch(min(modified)) >= 86400 then 'time' else 'waiting' end as reason
-    from files group by 1, 2""")
+    select *, reason <> 'waiting' as should_flush, least(100.0, bytes * 100.0 / 20000)::double as progress from (select tenant, dataset, cast(sum(size) as bigint) as bytes, count(*) as n_files, case when bool_or(dataset = 'view') then 'testing' when sum(size) >= 20000 then 'size' when epoch(timestamp '2024-01-20 00:00:00') - epoch(min(modified)) >= 86400 then 'time' else 'waiting' end as reason
+    from files group by 1, 2) f""")
 def flush_decision(files):
     at = F.expr("cast(timestamp '2024-01-20 00:00:00' as timestamp_ntz)")
     rows = analytics.flush_decision(files.withColumn("testing", F.col("dataset") == "view"), ["tenant", "dataset"], at, 20000, 86400, "testing")
-    return rows.select("tenant", "dataset", "bytes", "n_files", "reason")
+    return rows.select("tenant", "dataset", "bytes", "n_files", "reason", "should_flush", "progress")
 
 
 @query("uploads", "select destination, kind, grouping(destination) as all_destination, grouping(kind) as all_kind, count(*) as n, count(*) filter (not success) as failures, cast(sum(bytes) as bigint) as bytes from uploads group by cube (destination, kind)")
@@ -528,10 +550,10 @@ def gauges(events):
 
 
 @query("uploads", """
-    select destination, cast(sum(bytes) as bigint) as input_bytes, cast(sum(millis) as bigint) as output_bytes, count(*) as lines, count(*) filter (not success) as errors, round(sum(millis) / sum(bytes), 6) as ratio from uploads group by 1""")
+    select destination, cast(sum(bytes) as bigint) as input_bytes, cast(sum(millis) as bigint) as output_bytes, count(*) as lines, count(*) filter (not success) as errors, round(sum(millis) / sum(bytes), 6) as ratio, round(sum(millis) / sum(bytes) * 1048576, 2) as estimated_output from uploads group by 1""")
 def throughput_ratio(uploads):
     rows = uploads.select("destination", F.col("bytes").alias("input_bytes"), F.col("millis").alias("output_bytes"), F.lit(1).alias("lines"), (~F.col("success")).cast("int").alias("errors"))
-    return analytics.throughput(rows, ["destination"], 1 << 20).withColumn("ratio", F.round("ratio", 6)).drop("estimated_output")
+    return analytics.throughput(rows, ["destination"], 1 << 20).withColumns({"ratio": F.round("ratio", 6), "estimated_output": F.round("estimated_output", 2)})
 
 
 @query("uploads", "select destination, count(*) as total, count(*) filter (success) as succeeded, count(*) filter (not success) as failed, count(*) filter (attempts > 1) as retried, cast(sum(case when success then bytes else 0 end) as bigint) as bytes from uploads group by 1")

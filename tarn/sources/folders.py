@@ -5,10 +5,27 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new path below ``spark.checkpoint.dir``; a temporary folder where the session names none (single machine)."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tarn-", dir="/tmp")
+    """A new path below the session's checkpoint folder.
+
+    A temporary folder is taken only where the session names none and all runs
+    on one machine (master local); elsewhere that raises.
+    """
+    context = spark.sparkContext
+    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="tarn-", dir="/tmp")
+        context.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a working folder and read again, which cuts its lineage."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

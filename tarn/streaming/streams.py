@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import threading
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 
+from tarn.operators import pack
 from tarn.sources import ndjson
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -30,6 +33,45 @@ def run(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], Non
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
+def pack_sink(lake: str, tenant: str, dataset: str, **options) -> Callable[[DataFrame, int], None]:
+    """Packs every batch of lines (value, path) into a lake as ``pack`` does, in folders of the batch's number.
+
+    A batch that runs again replaces what it left, or does nothing if it has ended.
+    """
+    how, root = pack.Options(**options), f"{lake.rstrip('/')}/{tenant}/{dataset}"
+
+    def each(batch: DataFrame, number: int) -> None:
+        spark, name = batch.sparkSession, f"s-{number:010d}"
+        if pack.committed(spark, root, name):
+            return
+        pack.commit(spark, root, name, tenant, dataset, 0, pack.publish(batch, name, root, tenant, dataset, how))
+        pack.summarised(spark, root, how.metadata_level)
+
+    return each
+
+
+class Progress(StreamingQueryListener):
+    """Adds up what streaming queries report: batches, rows, and their observed metrics by name."""
+
+    def __init__(self):
+        self.batches, self.rows, self.metrics, self.ended = 0, 0, {}, threading.Event()
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        self.batches, self.rows = self.batches + 1, self.rows + event.progress.numInputRows
+        for name, row in event.progress.observedMetrics.items():
+            for metric, value in row.asDict().items():
+                self.metrics[name, metric] = self.metrics.get((name, metric), 0) + (value or 0)
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.ended.set()
+
+
 def split_sink(good: str, bad: str) -> Callable[[DataFrame, int], None]:
     """Writes records and quarantined lines of a batch, each batch to its own folder, so a batch that runs again replaces itself."""
 
@@ -64,24 +106,31 @@ class Accumulator(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("gathered", "bytes long, files long, flushes long")
+        self.state = handle.getValueState("gathered", "bytes long, files long, flushes long, timer long")
 
-    def _now(self, key, add_bytes: int, add_files: int, force: bool = False) -> pd.DataFrame:
-        size, files, flushes = self.state.get() if self.state.exists() else (0, 0, 0)
-        size, files = size + add_bytes, files + add_files
-        reason = "size" if size >= self.threshold else "time" if force and files else None
+    def _now(self, key, add_bytes: int, add_files: int, now: int, expired: bool = False) -> pd.DataFrame:
+        """Adds to the state, and flushes it if it is large or its timer has run out; a flush takes the timer with it."""
+        size, files, flushes, timer = self.state.get() if self.state.exists() else (0, 0, 0, 0)
+        size, files, timer = size + add_bytes, files + add_files, 0 if expired else timer
+        reason = "size" if size >= self.threshold else "time" if expired and files else None
         row = pd.DataFrame({"dataset": [key[0]], "bytes": [size], "files": [files], "flush_count": [flushes + bool(reason)], "reason": [reason]})
-        self.state.update((0, 0, flushes + 1) if reason else (size, files, flushes))
+        if reason and timer:
+            self.handle.deleteTimer(timer)
+        if reason:
+            timer = 0
+        elif self.seconds is not None and files and not timer:  # from the first file that waits
+            timer = now + self.seconds * 1000
+            self.handle.registerTimer(timer)
+        self.state.update((0, 0, flushes + 1, timer) if reason else (size, files, flushes, timer))
         return row
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         frames = list(rows)
-        if self.seconds is not None:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.seconds * 1000)
-        yield self._now(key, int(sum(f["size"].sum() for f in frames)), int(sum(f["files"].sum() for f in frames)))
+        now = 0 if self.seconds is None else timerValues.getCurrentProcessingTimeInMs()
+        yield self._now(key, int(sum(f["size"].sum() for f in frames)), int(sum(f["files"].sum() for f in frames)), now)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        yield self._now(key, 0, 0, force=True)
+        yield self._now(key, 0, 0, timerValues.getCurrentProcessingTimeInMs(), expired=True)
 
     def close(self) -> None:
         pass

@@ -36,7 +36,9 @@ def test_inference(spark):
     assert types(spark, '{"a":null}') == {"a": "string"}
     assert types(spark, '{"f":true}', '{"f":1}') == {"f": "string"}
     assert types(spark, '{"n":1}', '{"n":1.5}') == {"n": "double"}
-    assert types(spark, '{"d":[1]}', '{"d":[]}') == {"d": "array"}
+    assert types(spark, '{"d":[1]}', '{"d":[]}', '{"d":null}') == {"d": "array<bigint>"}
+    assert types(spark, '{"d":[1,2]}', '{"d":[1.5]}', '{"e":[true]}', '{"e":[]}') == {"d": "array<double>", "e": "array<boolean>"}
+    assert types(spark, '{"d":[1,"x"]}', '{"e":[1]}', '{"e":["x"]}', '{"f":[]}', '{"g":[1]}', '{"g":2}') == {"d": "array", "e": "array", "f": "array", "g": "string"}
     assert types(spark, '{"t":"2024-01-01T00:00:00Z","o":{"x":1}}') == {"t": "timestamp", "o": "string"}
     late = [f'{{"a":{k}}}' for k in range(1200)] + ['{"late":1}']
     assert types(spark, *late) == {"a": "bigint", "late": "bigint"}
@@ -44,7 +46,7 @@ def test_inference(spark):
 
 
 def test_lattice_is_a_semilattice(spark):
-    kinds = ["bigint", "double", "boolean", "timestamp", "string", "array"]
+    kinds = ["bigint", "double", "boolean", "string", "array", "array<bigint>", "array<double>", "array<boolean>"]
     join = {}
     rows = [(list(p),) for n in (1, 2, 3) for p in itertools.combinations(kinds, n)]
     for r in spark.createDataFrame(rows, "k array<string>").select("k", schema.reconciled(F.col("k")).alias("t")).collect():
@@ -54,8 +56,11 @@ def test_lattice_is_a_semilattice(spark):
 
 
 def test_casts_give_null_on_mismatch(spark):
-    row = records(spark, '{"b":true,"t":"1.5","n":1000000,"x":1.50,"o":{"k":[1]},"a":[1,"x"],"z":null,"k\'q":7}')
+    row = records(spark, '{"b":true,"t":"1.5","n":1000000,"x":1.50,"o":{"k":[1]},"a":[1,"x"],"z":null,"k\'q":7,"i":[1,2],"e":[]}')
+    facts = row.select(*schema.array_facts(F.col("record"), "a"), *schema.array_facts(F.col("record"), "e"), *schema.array_facts(F.col("record"), "b")).first()
+    assert list(facts) == [2, "1", 0, None, None, None]
     wanted = [("b", "bigint", None), ("t", "double", None), ("n", "string", "1000000"), ("x", "string", "1.5"), ("o", "string", '{"k":[1]}'), ("a", "array", ["1", "x"]), ("z", "string", None), ("n", "double", 1e6), ("k'q", "bigint", 7), ("absent", "string", None)]
+    wanted += [("i", "array<bigint>", [1, 2]), ("i", "array<double>", [1.0, 2.0]), ("i", "array<boolean>", None), ("a", "array<bigint>", None), ("e", "array<boolean>", [])]
     out = row.select(*[schema.cast_field(F.col("record"), n, k).alias(f"c{i}") for i, (n, k, _) in enumerate(wanted)]).first()
     assert list(out) == [w for _, _, w in wanted]
 
@@ -135,28 +140,80 @@ def test_parts_are_bounded_and_whole(spark):
     for r in out:
         sums[r.part] = sums.get(r.part, 0) + r.size
     assert max(sums.values()) < 300 + 90
+    none = rows.withColumn("dataset", F.when(F.col("id") % 2 == 0, "d"))
+    assert catalog.numbered_parts(none, ["dataset"], ["id"], F.col("size"), 300).count() == 500
 
 
-def test_pack_once_and_again(spark, tmp_path):
-    source, lake = tmp_path / "in", str(tmp_path / "lake")
-    source.mkdir()
+def put(folder, name, *lines):
+    folder.mkdir(exist_ok=True)
+    with gzip.open(folder / name, "wt") as f:
+        f.write("\n".join(lines))
 
-    def put(name, *lines):
-        with gzip.open(source / name, "wt") as f:
-            f.write("\n".join(lines))
 
-    put("t--d--1--ndjson.gz", '{"timestamp":"2024-01-02T03:04:05Z","n":1}', "broken", '{"n":2,"late":[1]}')
+def test_pack_once_and_again(spark, tmp_path):
+    source, lake = tmp_path / "in", str(tmp_path / "lake")
+    put(source, "t--d--1--ndjson.gz", '{"timestamp":"2024-01-02T03:04:05Z","n":1}', "broken", '{"n":2,"late":[1]}')
     first = pack.pack(spark, str(source), lake, "t", "d", keep_raw=True)
-    assert (first.fresh, first.valid, first.rejected) == (True, 2, 1)
+    assert (first.fresh, first.lines, first.valid, first.rejected) == (True, 3, 2, 1)
     assert not pack.pack(spark, str(source), lake, "t", "d").fresh
-    put("more.ndjson.gz", '{"timestamp":"2024-01-03","n":3}')
-    put("other.txt.gz", '{"n":9}')
+    put(source, "more.ndjson.gz", '{"timestamp":"2024-01-03","n":3}')
+    put(source, "other.txt.gz", '{"n":9}')
     assert pack.pack(spark, str(source), lake, "t", "d").valid == 1
     rows = spark.read.parquet(f"{lake}/t/d/data")  # the catalogue beside it doesn't disturb readers
-    assert sorted((r.n, str(r.day).lstrip("0")) for r in rows.collect()) == [(1, "2"), (2, "unknown"), (3, "3")]
+    assert sorted((r.n, r.year, r.day, r.late) for r in rows.collect()) == [(1, 2024, 2, None), (2, None, None, [1]), (3, 2024, 3, None)]
     assert spark.read.parquet(f"{lake}/t/d/_catalog/quarantine").count() == 1
+    files = spark.read.parquet(f"{lake}/t/d/_catalog/files")
+    assert files.agg(F.sum("n_rows")).first()[0] == 3 and files.where("partition = 'year=2024/month=01/day=03/_part=1' and size > 0 and length(checksum) = 64").count() == 1
+    stats = {(x.name, x.min_value, x.max_value, x.null_count) for r in files.collect() for x in r.stats if x.name == "n"}
+    assert stats == {("n", str(k), str(k), 0) for k in (1, 2, 3)}
+    documents = [json.loads(r.document) for r in spark.read.parquet(f"{lake}/t/d/_catalog/summaries").collect()]
+    assert sum(d["num_rows"] for d in documents) == 3 and all(f["fields"] and f["stats"] for d in documents for f in d["files"])
     with pytest.raises(ValueError, match="unknown codec"):
-        pack.write_parts(rows, str(tmp_path / "x"), ["day"], "event_ts", codec="lz77")
+        pack.pack(spark, str(source), lake, "t", "d", codec="lz77")
+    with pytest.raises(ValueError, match="unknown codec"):
+        pack.write_parts(rows, str(tmp_path / "x"), ["day"], "_event_ts", codec="lz77")
+
+
+STOPS = ("classified", "write_parts", "catalogued", "commit", "summarised")
+
+
+@pytest.mark.parametrize("stop", STOPS)
+def test_a_run_that_stops_anywhere_leaves_every_record_once(spark, tmp_path, monkeypatch, stop):
+    source, lake = tmp_path / "in", str(tmp_path / "lake")
+    put(source, "a.ndjson.gz", *[f'{{"timestamp":"2024-01-0{k % 3 + 1}","n":{k}}}' for k in range(10)])
+    owner, own = (pack.ndjson, pack.ndjson.classified) if stop == "classified" else (pack, getattr(pack, stop))
+
+    def broken(*args, **kwargs):
+        if stop in ("write_parts", "commit", "summarised"):  # after the step; before the others
+            own(*args, **kwargs)
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(owner, stop, broken)
+    with pytest.raises(RuntimeError):
+        pack.pack(spark, str(source), lake, "t", "d", limit=200)
+    monkeypatch.setattr(owner, stop, own)
+    put(source, "b.ndjson.gz", '{"n":10,"more":true}')
+    pack.pack(spark, str(source), lake, "t", "d", limit=200)
+    assert sorted(r.n for r in spark.read.parquet(f"{lake}/t/d/data").collect()) == list(range(11))
+    assert spark.read.parquet(f"{lake}/t/d/_catalog/files").agg(F.sum("n_rows")).first()[0] == 11
+    assert sorted(r.valid for r in spark.read.parquet(f"{lake}/t/d/_catalog/batches").collect()) == [1, 10]
+    assert not pack.pack(spark, str(source), lake, "t", "d").fresh
+
+
+def test_every_field_is_kept(spark, tmp_path):
+    put(tmp_path / "in", "a.ndjson.gz", '{"size":77,"day":"mon","part":1,"a":1,"A":"x","_bytes":5,"_row":6,"year":null}', '{"Day":"tue"}')
+    pack.pack(spark, str(tmp_path / "in"), str(tmp_path / "lake"), "t", "d", files_per_batch=1)
+    row = spark.read.parquet(f"{tmp_path}/lake/t/d/data").where("size = 77").first().asDict()
+    names = {r.field: r.column for r in spark.read.parquet(f"{tmp_path}/lake/t/d/_catalog/fields").collect()}
+    assert names == {"size": "size", "Day": "Day_", "day": "day__", "part": "part", "A": "A", "a": "a_", "_bytes": "_bytes_", "_row": "_row", "year": "year_"}
+    assert (row["size"], row["day__"], row["part"], row["A"], row["a_"], row["_bytes_"], row["_row"]) == (77, "mon", 1, "x", 1, 5, 6)
+
+
+def test_flattened_packing(spark, tmp_path):
+    put(tmp_path / "in", "a.ndjson.gz", '{"id":1,"o":{"x":{"y":2.5}},"l":[{"k":"v"},7]}', '{"id":2,"o.x":true,"o":{"x":{"y":3}}}')
+    pack.pack(spark, str(tmp_path / "in"), str(tmp_path / "lake"), "t", "d", flatten=".")
+    rows = spark.read.parquet(f"{tmp_path}/lake/t/d/data").select("id", "`o.x.y`", "`l.0.k`", "`l.1`", "`o.x`").orderBy("id")
+    assert [tuple(r) for r in rows.collect()] == [(1, 2.5, "v", 7, None), (2, 3.0, None, None, True)]
 
 
 def test_part_keys_of_a_thousand_parts_and_more(spark, tmp_path):
@@ -171,3 +228,54 @@ def test_part_keys_of_a_thousand_parts_and_more(spark, tmp_path):
     spark.createDataFrame(events, "event_id long, user_id long, event_type string, ts timestamp_ntz, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
     found = {r.key.rsplit("/", 1)[1] for r in QUERIES["part_keys"](spark, str(tmp_path)).collect()}
     assert found == {"1.parquet", "1_part002.parquet", "1_part100.parquet", "1_part1000.parquet"}
+
+
+class Clock:
+    def __init__(self, now):
+        self.now = now
+
+    def getCurrentProcessingTimeInMs(self):  # noqa: N802
+        return self.now
+
+
+class Handle:
+    """A state store of one key and its timers."""
+
+    def __init__(self):
+        self.value, self.timers = None, set()
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def registerTimer(self, at):  # noqa: N802
+        self.timers.add(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.timers.remove(at)
+
+
+def test_timers_flush_what_waited_and_nothing_fresh():
+    import pandas as pd
+
+    from tarn.streaming import streams
+
+    handle, state = Handle(), streams.Accumulator(100, 60)
+    state.init(handle)
+    rows = lambda size: iter([pd.DataFrame({"size": [size], "files": [1]})])
+    fed = lambda size, now: next(state.handleInputRows(("d",), rows(size), Clock(now))).iloc[0]
+    assert fed(40, 0).reason is None and handle.timers == {60_000}
+    assert fed(40, 30_000).reason is None and handle.timers == {60_000}  # the first file's timer holds
+    assert fed(40, 50_000).reason == "size" and handle.timers == set()  # and goes with the flush
+    assert fed(10, 55_000).bytes == 10 and handle.timers == {115_000}
+    handle.timers.clear()
+    late = next(state.handleExpiredTimer(("d",), Clock(115_000), None)).iloc[0]
+    assert (late.reason, late.bytes, late.files, late.flush_count) == ("time", 10, 1, 2) and handle.timers == set()
