@@ -15,12 +15,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which driver and executors share.
 
-    A temporary folder is set only where the session names none (tests and
-    single-machine sessions).
+    A temporary folder is set only where the session names none and all runs
+    on one machine (master local, as in tests); elsewhere that raises.
     """
     context = spark.sparkContext
     if not context.getCheckpointDir():
         named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tarn-", dir="/tmp"))
     return context.getCheckpointDir()
 
