@@ -40,13 +40,13 @@ def tokenizer_path(name: str) -> str:
 
 
 class Encoder:
-    def __init__(self, path: str, keeps_spaces: bool):
+    def __init__(self, path: str, keeps_spaces: bool, remembered: int | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.keeps_spaces = keeps_spaces
+        self.keeps_spaces, self.remembered = keeps_spaces, remembered or REMEMBERED
         self.forget()
 
     def forget(self) -> None:
@@ -76,7 +76,7 @@ class Encoder:
         self.ids = np.concatenate([self.ids, np.fromiter((i for x in new for i in x), np.uint32, int(lengths.sum()))])
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.forget()
         parts = [self.split(t) for t in texts]
         chunks = [c for p in parts for c in p]
@@ -103,8 +103,8 @@ class Encoder:
             yield self._encode(some)
 
 
-def encoder(path: str, keeps_spaces: bool) -> Encoder:
+def encoder(path: str, keeps_spaces: bool, remembered: int | None = None) -> Encoder:
     """The encoder of this process for a tokenizer file."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path, keeps_spaces)
+        _encoders[path] = Encoder(path, keeps_spaces, remembered)
     return _encoders[path]

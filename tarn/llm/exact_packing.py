@@ -28,18 +28,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept, ranked
-from .encoding import encoder, tokenizer_path
+from .common import kept, pieces_of, ranked
+from .encoding import AT_ONCE, encoder, tokenizer_path
 
 ROOM = 2048
+#: Distinct chunks that a process remembers; fewer than elsewhere, as its memory stays in use by later stages.
+REMEMBERED = 200_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def _cutter(path: str, keeps_spaces: bool, end_id: int, room: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for every in batches for part in pieces_of(every, "text", AT_ONCE)):
             docs, done = batch.column(0).to_pylist(), 0
-            for ids, counts in encoder(path, keeps_spaces)(batch.column(1).to_pylist()):
+            for ids, counts in encoder(path, keeps_spaces, REMEMBERED)(batch.column(1).to_pylist()):
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id).astype("<u4")
                 ends += np.arange(1, len(ends) + 1)

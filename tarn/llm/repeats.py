@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import anchor_hashes, anchor_length, segments
-from .common import fresh, kept, written
+from .common import fresh, kept, pieces_of, written
 from .run_index import repeated_spans
 
 #: Bytes of a string whose repeats are removed.
@@ -142,13 +142,6 @@ def _slices(match: int, at_once: int):
     return slices
 
 
-def pieces_of(batch: pa.RecordBatch, column: str, at_once: int) -> Iterator[pa.RecordBatch]:
-    """A batch in pieces of about ``at_once`` bytes of a binary or text column."""
-    piece = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.schema.names.index(column))), 0).to_numpy().astype(np.int64)) // at_once
-    cuts = np.flatnonzero(np.concatenate([[True], piece[1:] != piece[:-1], [True]])) if len(piece) else []
-    return (batch.slice(i, j - i) for i, j in zip(cuts[:-1], cuts[1:]))  # noqa: B905
-
-
 def places_of(data: bytes, v: int, match: int) -> np.ndarray:
     """Places of the anchor ``v`` in a segment, one at least for each different window.
 

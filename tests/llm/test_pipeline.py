@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+import pytest
+
 import corpus_pipeline
 from tarn.llm import exact_packing, mixing, quality_rules, repeats, simhash
 
@@ -51,6 +53,23 @@ def test_stages_take_effect(spark, tmp_path):
     assert sorted(map(key, whole)) == sorted(map(key, packed))
 
 
-def test_every_operator_is_used():
-    names = {f.__name__ for _, f in corpus_pipeline.STAGES}
-    assert len(names) == 5 and all(m for m in (quality_rules, simhash, repeats, mixing, exact_packing))
+def test_every_operator_is_used(spark, tmp_path, monkeypatch):
+    """Each stage goes through its operator: with the operator gone, the stage fails."""
+    df = spark.createDataFrame([(1, "a b c", "en", "s", 5)], SCHEMA)
+    operators = {"quality_rules": (quality_rules, "cleaned"), "simhash_dedup": (simhash, "deduplicated"), "repeat_removal": (repeats, "without_repeats"), "source_mixing": (mixing, "mixed"), "exact_packing": (exact_packing, "packed")}
+    assert [name for name, _ in corpus_pipeline.STAGES] == list(operators)
+    for name, stage in corpus_pipeline.STAGES:
+        with monkeypatch.context() as m:
+            m.delattr(*operators[name])
+            with pytest.raises(AttributeError):
+                stage(spark, df, str(tmp_path))
+
+
+def test_edge_cases_of_the_whole(spark, tmp_path):
+    text = "\n".join(" ".join(f"word{i}x{j}" for j in range(10)) + "." for i in range(12))
+    wide = SCHEMA + ", size int, shard string, _one int"
+    rows = [(None, text, "en", None, 0, 1, "x", 2), (1, None, None, "s", 0, 1, "x", 2), (2, text, "en", "s", 0, None, None, None), (2, text, "en", "s", 0, None, None, None), (3, "", "en", "s", 0, 1, "x", 2)]
+    for name, some in (("some", rows), ("none", [])):
+        spark.createDataFrame(some, wide).write.parquet(str(tmp_path / name / "documents.parquet"))
+        out = corpus_pipeline.run(spark, str(tmp_path / name)).collect()
+        assert {r.doc_id for r in out} == ({2} if some else set())
