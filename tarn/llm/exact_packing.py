@@ -33,7 +33,7 @@ from .encoding import AT_ONCE, encoder, tokenizer_path
 
 ROOM = 2048
 #: Distinct chunks that a process remembers; fewer than elsewhere, as its memory stays in use by later stages.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
