@@ -32,6 +32,16 @@ def severity(failures: Column) -> Column:
     return F.when(failures >= 10, "CRITICAL").when(failures >= 5, "HIGH").otherwise("MEDIUM")
 
 
+# How severe an alert of a kind is; an update of the registry goes by failures in a row.
+SEVERITIES = {"registry start": "CRITICAL", "processing": "HIGH", "upload given up": "CRITICAL", "upload retry": "MEDIUM"}
+
+
+def alert_severity(kind: Column, failures: Column) -> Column:
+    """The severity of an alert by its kind; other kinds climb the ladder of failures."""
+    known = F.create_map(*[F.lit(x) for pair in SEVERITIES.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, kind), severity(failures))
+
+
 def health(dead: Column) -> Column:
     return F.when(dead > 500, "unhealthy").when(dead > 100, "warning").otherwise("healthy")
 

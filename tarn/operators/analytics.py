@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tarn.operators.catalog import beside
+
 
 def flush_decision(files: DataFrame, by: list[str], now: Column, threshold_bytes: int, threshold_seconds: int, testing: str | None = None) -> DataFrame:
     """What has gathered for each dataset, and whether and why to flush.
@@ -75,44 +77,76 @@ def error_roll_up(errors: DataFrame, by: list[str], order: list[str]) -> DataFra
     return rows.groupBy(*by, "severity").agg(F.count("*").alias("n"), F.max_by("message", F.struct(*order)).alias("sample"))
 
 
-def streaks(events: DataFrame, by: list[str], order: list[str], limit: int = 3, reset_hours: int | None = None, time: str | None = None) -> DataFrame:
-    """``events`` with streak (failures since the last success, or since a pause of ``reset_hours``) and open_circuit (at the limit or beyond)."""
-    sequence = W.partitionBy(*by).orderBy(*order)
-    breaks = F.col("success").cast("long")
-    rows = events.withColumn("_after", F.lag("success", 1, False).over(sequence).cast("long"))
-    if reset_hours is not None:
-        gap = F.unix_seconds(F.col(time).cast("timestamp")) - F.unix_seconds(F.lag(time).over(sequence).cast("timestamp"))
-        rows = rows.withColumn("_after", F.greatest("_after", F.coalesce((gap >= reset_hours * 3600).cast("long"), F.lit(0))))
-    rows = rows.withColumn("_island", F.sum("_after").over(sequence))
-    failures = F.sum(1 - breaks).over(W.partitionBy(*by, "_island").orderBy(*order))
-    rows = rows.withColumn("streak", F.when(F.col("success"), 0).otherwise(failures).cast("long"))
-    return rows.withColumn("open_circuit", F.col("streak") >= limit).drop("_after", "_island")
-
+def streaks(
+    events: DataFrame, by: list[str], order: list[str], limit: int = 3, reset_hours: int | None = None, time: str | None = None, bucket: Column | None = None
+) -> DataFrame:
+    """``events`` with streak (failures since the last success, or since a pause of ``reset_hours``) and open_circuit (at the limit or beyond).
 
-def circuits(events: DataFrame, by: list[str], order: list[str], limit: int = 3) -> DataFrame:
+    ``bucket`` follows the order (such as its day): streaks are counted within
+    buckets and carried from one to the next, so no task holds more of a hot
+    group than a bucket.
+    """
+    keys, at = [*by, "_bucket"], F.struct(*order)
+    inside, across = W.partitionBy(*keys).orderBy(*order), W.partitionBy(*by).orderBy("_bucket")
+    state = F.struct(F.col("success").alias("success"), (F.col(time) if time else F.lit(None)).alias("time"))
+    rows = events.withColumn("_bucket", F.lit(0) if bucket is None else bucket)
+    ends = rows.groupBy(*keys).agg(F.max_by(state, at).alias("_end")).withColumn("_end", F.lag("_end").over(across))
+    rows = beside(rows, ends, keys).withColumn("_end", F.coalesce(F.lag(state).over(inside), "_end"))
+    after = F.coalesce(F.col("_end.success"), F.lit(False))
+    if reset_hours is not None:
+        gap = F.unix_seconds(F.col(time).cast("timestamp")) - F.unix_seconds(F.col("_end.time").cast("timestamp"))
+        after = after | F.coalesce(gap >= reset_hours * 3600, F.lit(False))
+    rows = rows.withColumn("_island", F.sum(after.cast("long")).over(inside))
+    failures = F.sum(1 - F.col("success").cast("long")).over(W.partitionBy(*keys, "_island").orderBy(*order))
+    rows = rows.withColumn("_failures", F.coalesce(failures, F.lit(0)))
+    carried = rows.groupBy(*keys).agg(F.max("_island").alias("_broke"), F.max_by("_failures", at).alias("_tail"))
+    carried = carried.withColumn("_era", F.sum((F.col("_broke") > 0).cast("long")).over(across))
+    carried = carried.withColumn("_carry", F.sum("_tail").over(W.partitionBy(*by, "_era").orderBy("_bucket")))
+    carried = carried.select(*keys, F.coalesce(F.lag("_carry").over(across), F.lit(0)).alias("_carry"))
+    rows = beside(rows, carried, keys)
+    streak = F.when(F.col("success"), 0).otherwise(F.col("_failures") + F.when(F.col("_island") == 0, F.col("_carry")).otherwise(0))
+    rows = rows.withColumn("streak", streak.cast("long")).withColumn("open_circuit", F.col("streak") >= limit)
+    return rows.drop("_bucket", "_end", "_island", "_failures", "_carry")
+
+
+def circuits(events: DataFrame, by: list[str], order: list[str], limit: int = 3, bucket: Column | None = None) -> DataFrame:
     """Each destination's state after its last event: failures in a row, whether it is active, the last error."""
     at = F.struct(*order)
-    rows = streaks(events, by, order, limit).groupBy(*by).agg(F.max_by("streak", at).alias("failures"), F.max_by("error", F.when(~F.col("success"), at)).alias("last_error"))
+    rows = streaks(events, by, order, limit, bucket=bucket).groupBy(*by).agg(F.max_by("streak", at).alias("failures"), F.max_by("error", F.when(~F.col("success"), at)).alias("last_error"))
     return rows.withColumn("active", F.col("failures") < limit)
 
 
-def alerts(events: DataFrame, by: list[str], order: list[str], every: int = 3) -> DataFrame:
+def alerts(events: DataFrame, by: list[str], order: list[str], every: int = 3, bucket: Column | None = None) -> DataFrame:
     """The failures at which an alert fires: every third in a row."""
-    return streaks(events, by, order, every).where((F.col("streak") >= every) & (F.col("streak") % every == 0))
+    return streaks(events, by, order, every, bucket=bucket).where((F.col("streak") >= every) & (F.col("streak") % every == 0))
+
+
+def placed(rows: DataFrame, by: list[str], order: list[Column | str], bucket: Column | None = None) -> DataFrame:
+    """``rows`` with their place in the order of each group, from 1; places go on from ``bucket`` to bucket, which follows the order."""
+    keys, across = [*by, "_bucket"], W.partitionBy(*by).orderBy("_bucket")
+    rows = rows.withColumn("_bucket", F.lit(0) if bucket is None else bucket)
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n")).withColumn("_before", F.sum("_n").over(across) - F.col("_n")).drop("_n")
+    rows = beside(rows.withColumn("_own", F.row_number().over(W.partitionBy(*keys).orderBy(*order))), counts, keys)
+    return rows.withColumn("place", F.col("_own") + F.col("_before")).drop("_bucket", "_own", "_before")
 
 
 def ranked_queue(jobs: DataFrame, by: list[str]) -> DataFrame:
     """Queued jobs with their place: higher priority first, then older."""
-    order = W.partitionBy(*by).orderBy(F.desc("priority"), "created", "job_id")
-    return jobs.where(F.col("state") == "queue").withColumn("place", F.row_number().over(order))
+    bucket = F.struct(F.col("priority").isNull().alias("none"), (-F.col("priority")).alias("priority"), F.date_trunc("DAY", "created").alias("day"))
+    return placed(jobs.where(F.col("state") == "queue"), by, [F.desc("priority"), "created", "job_id"], bucket)
+
+
+#: Values further back than this weigh nothing: a double has no such halves.
+HALVES = 1100
 
 
 def smoothed(events: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
     """The moving average that halves the past with each new value, after the last event of each group."""
-    newest = F.row_number().over(W.partitionBy(*by).orderBy(*[F.desc(c) for c in order]))  # the last value weighs a half, the one before a quarter
-    rows = events.withColumns({"_back": newest, "_all": F.count("*").over(W.partitionBy(*by))})
+    back = F.row_number().over(W.partitionBy(*by).orderBy(*[F.desc(c) for c in order]))  # the last value weighs a half, the one before a quarter
+    rows = events.withColumn("_back", back).where(F.col("_back") <= HALVES)
+    rows = beside(rows, events.groupBy(*by).agg(F.count("*").alias("_all")), by)
     weight = F.pow(F.lit(2.0), -F.least(F.col("_back"), F.col("_all") - 1))  # the first weighs as much as the second
-    return rows.groupBy(*by).agg(F.sum(F.col(value).cast("double") * weight).alias("average"), F.count("*").alias("n"))
+    return rows.groupBy(*by).agg(F.sum(F.col(value).cast("double") * weight).alias("average"), F.max("_all").alias("n"))
 
 
 def recent(events: DataFrame, by: list[str], order: list[Column], most: int) -> DataFrame:
@@ -120,8 +154,10 @@ def recent(events: DataFrame, by: list[str], order: list[Column], most: int) ->
     return events.withColumn("_place", F.row_number().over(W.partitionBy(*by).orderBy(*order))).where(F.col("_place") <= most).drop("_place")
 
 
-def throttled(events: DataFrame, by: list[str], order: list[str], every: int, seconds: int, time: str) -> DataFrame:
-    """Events at which a report is due: every so many, or after a pause of so many seconds."""
-    sequence = W.partitionBy(*by).orderBy(*order)
-    gap = F.unix_seconds(F.col(time).cast("timestamp")) - F.unix_seconds(F.lag(time).over(sequence).cast("timestamp"))
-    return events.withColumn("place", F.row_number().over(sequence)).withColumn("_gap", gap).where((F.col("place") % every == 0) | (F.col("_gap") > seconds)).drop("_gap")
+def throttled(events: DataFrame, by: list[str], order: list[str], every: int, seconds: int, time: str, bucket: Column | None = None) -> DataFrame:
+    """Events at which a report is due: every so many, or after a pause of so many seconds; ``bucket`` as for ``streaks``."""
+    keys, rows = [*by, "_due"], placed(events, by, order, bucket).withColumn("_due", F.lit(0) if bucket is None else bucket)
+    ends = rows.groupBy(*keys).agg(F.max_by(time, F.struct(*order)).alias("_end")).withColumn("_end", F.lag("_end").over(W.partitionBy(*by).orderBy("_due")))
+    last = F.coalesce(F.lag(time).over(W.partitionBy(*keys).orderBy(*order)), F.col("_end"))
+    gap = F.unix_seconds(F.col(time).cast("timestamp")) - F.unix_seconds(last.cast("timestamp"))
+    return beside(rows, ends, keys).withColumn("_gap", gap).where((F.col("place") % every == 0) | (F.col("_gap") > seconds)).drop("_gap", "_due", "_end")

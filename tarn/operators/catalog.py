@@ -156,9 +156,9 @@ def without_keys(table: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
 
 def upserted(table: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """The latest row of each key, with its version: how many rows it has had."""
-    newest = F.row_number().over(W.partitionBy(*key).orderBy(*order))
-    rows = table.withColumn("version", F.count("*").over(W.partitionBy(*key))).withColumn("_place", newest)
-    return rows.where("_place = 1").drop("_place")
+    newest = F.row_number().over(W.partitionBy(*key).orderBy(*order))  # the filter is applied before the shuffle as well
+    rows = table.withColumn("_place", newest).where("_place = 1").drop("_place")
+    return beside(rows, table.groupBy(*key).agg(F.count("*").alias("version")), key)
 
 
 def with_status(wanted: DataFrame, status: DataFrame, on: list[str]) -> DataFrame:
@@ -171,6 +171,12 @@ def expired(table: DataFrame, now: Column, until: str = "expires_at") -> DataFra
     return table.where(F.col(until) < now)
 
 
+def beside(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with the other columns of ``table``, which has one row for each of their keys; keys may be null."""
+    own = table.select(*[F.col(k).alias(f"_key{n}") for n, k in enumerate(keys)], *[c for c in table.columns if c not in keys])
+    return rows.join(own, [rows[k].eqNullSafe(own[f"_key{n}"]) for n, k in enumerate(keys)]).drop(*[f"_key{n}" for n in range(len(keys))])
+
+
 def numbered_parts(rows: DataFrame, by: list[str], order: list[str], size: Column, limit: int, bucket: Column | None = None) -> DataFrame:
     """``rows`` with a part number from 1: by running size in order, a new part starts once the limit is reached.
 
@@ -183,9 +189,6 @@ def numbered_parts(rows: DataFrame, by: list[str], order: list[str], size: Colum
     sums = rows.groupBy(*by, "_bucket").agg(F.sum("_size").alias("_sum"))
     sums = sums.withColumn("_base", F.sum("_sum").over(W.partitionBy(*by).orderBy("_bucket")) - F.col("_sum")).drop("_sum")
     inside = F.sum("_size").over(W.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)) - F.col("_size")
-    keys = [*by, "_bucket"]  # any of which may be null
-    sums = sums.select(*[F.col(k).alias(f"_key{n}") for n, k in enumerate(keys)], "_base")
-    rows = rows.withColumn("_inside", inside)
-    rows = rows.join(sums, [rows[k].eqNullSafe(sums[f"_key{n}"]) for n, k in enumerate(keys)])
+    rows = beside(rows.withColumn("_inside", inside), sums, [*by, "_bucket"])
     part = (F.floor((F.col("_base") + F.col("_inside")) / limit) + 1).cast("long")
-    return rows.withColumn("part", part).drop("_bucket", "_size", "_inside", "_base", *[f"_key{n}" for n in range(len(keys))])
+    return rows.withColumn("part", part).drop("_bucket", "_size", "_inside", "_base")

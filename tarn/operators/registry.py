@@ -73,3 +73,13 @@ def overaged(rows: DataFrame, limits: dict[str, int], now: Column, kind: str = "
     hours = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
     age = F.unix_seconds(now.cast("timestamp")) - F.unix_seconds(F.col(time).cast("timestamp"))
     return rows.where(age > F.try_element_at(hours, F.col(kind)) * 3600)
+
+
+def admitted(waiting: DataFrame, queued: DataFrame, by: list[str], order: list[str], most: int) -> DataFrame:
+    """The first of the waiting jobs for which a queue of at most ``most`` has room beside what is queued."""
+    from pyspark.sql import Window
+
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    first = waiting.withColumn("_place", place).where(F.col("_place") <= most)
+    rows = first.join(queued.groupBy(*by).agg(F.count("*").alias("_queued")), by, "left")
+    return rows.where(F.col("_place") <= most - F.coalesce("_queued", F.lit(0))).drop("_place", "_queued")

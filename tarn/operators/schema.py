@@ -92,18 +92,20 @@ def json_path(name: str) -> str:
 def cast_path(record: Column, path: str, kind: str) -> Column:
     """The value at a path as a type; null if it is absent or isn't of that type (true is no number, text is none)."""
     value = F.try_variant_get(record, path, "variant")
-    own, text = kind_of(value), value.try_cast("string")
+    text, own = value.try_cast("string"), F.schema_of_variant(value)  # only what the type needs is asked; texts are matched for timestamps alone
+    decimal = own.startswith("DECIMAL")
     casts = {
-        "bigint": F.when(own == "bigint", value.try_cast("bigint")),
-        "double": F.when(own.isin("bigint", "double"), value.try_cast("double")),
-        "boolean": F.when(own == "boolean", value.try_cast("boolean")),
-        "timestamp": F.when(own == "timestamp", narrow(text)),
-        "array": F.when(own.startswith("array"), F.try_variant_get(record, path, "array<string>")),
-        "string": F.when(own != "null", F.coalesce(F.when(F.schema_of_variant(value) == "STRING", text), F.to_json(value))),
+        "bigint": F.when(own == "BIGINT", value.try_cast("bigint")),
+        "double": F.when(own.isin("BIGINT", "DOUBLE") | decimal, value.try_cast("double")),
+        "boolean": F.when(own == "BOOLEAN", value.try_cast("boolean")),
+        "timestamp": F.when(own == "STRING", narrow(text)),
+        "array": F.when(own.startswith("ARRAY"), F.try_variant_get(record, path, "array<string>")),
+        "string": F.when(own == "STRING", text).when(own != "VOID", F.to_json(value)),
     }
-    for element, also in (("bigint", ()), ("double", ("array<bigint>",)), ("boolean", ())):
-        name = f"array<{element}>"
-        casts[name] = F.when(own.isin(name, "array<null>", *also), F.try_variant_get(record, path, name))
+    if kind.startswith("array<"):
+        elements = {"array<bigint>": ["BIGINT"], "array<double>": ["BIGINT", "DOUBLE"], "array<boolean>": ["BOOLEAN"]}[kind]
+        fits = own.isin(*[f"ARRAY<{e}>" for e in (*elements, "VOID")])
+        return F.when(fits | own.startswith("ARRAY<DECIMAL") if "DOUBLE" in elements else fits, F.try_variant_get(record, path, kind))
     return casts[kind]
 
 
@@ -123,6 +125,22 @@ def projected(records: DataFrame, schema: list[tuple[str, str]], record: str = "
     return records.select(*keep, *[cast_field(F.col(record), name, kind).alias(name) for name, kind in schema])
 
 
+def cast_losses(records: DataFrame, schema: list[tuple[str, str]], record: str = "record") -> DataFrame:
+    """One row for each field of ``schema``: field, type, n (values that aren't null) and lost (those that the cast makes null); one pass."""
+    parts = []
+    for name, kind in schema:
+        there = F.coalesce(F.schema_of_variant(F.try_variant_get(record, json_path(name), "variant")) != "VOID", F.lit(False))
+        lost = there & cast_field(F.col(record), name, kind).isNull()
+        parts.append(F.struct(F.lit(name).alias("field"), F.lit(kind).alias("type"), F.count_if(there).alias("n"), F.count_if(lost).alias("lost")))
+    return records.agg(F.array(*parts).alias("all")).select(F.inline("all"))
+
+
+def rest(record: Column, names: list[str]) -> Column:
+    """The fields of a record that aren't among ``names``, as JSON in the order of their names; null if there are none."""
+    others = F.map_filter(F.try_variant_get(record, "$", "map<string, variant>"), lambda k, _: ~k.isin(names))
+    return F.when(F.size(others) > 0, F.to_json(others))
+
+
 def leaves(records: DataFrame, key: str, record: str = "record", depth: int | None = None) -> DataFrame:
     """One row for each leaf of each record: _k (the key), names (array), path (of JSON; null where a name has both quotes) and v (VARIANT).
 

@@ -83,6 +83,24 @@ def cast_null_on_mismatch(lines):
     return rows.withColumn("flag", F.col("flag").cast("int"))
 
 
+_DECLARED = [("event_id", "bigint"), ("user_id", "bigint"), ("cents", "bigint"), ("flag", "boolean"), ("event_type", "boolean")]
+_FITS = {"bigint": "in ('UBIGINT', 'BIGINT')", "boolean": "= 'BOOLEAN'"}
+
+
+@query("raw_lines", " union all ".join(
+    f"select '{name}' as field, '{kind}' as type, count(*) filter (t <> 'NULL') as n, count(*) filter (t <> 'NULL' and not t {_FITS[kind]}) as lost from (select json_type(value -> '$.{name}') as t from raw_lines where {STATUS} = 'valid') as v"
+    for name, kind in _DECLARED))
+def cast_losses(lines):
+    """Values that a declared schema turns to null, by field."""
+    return schema.cast_losses(ndjson.records(lines), _DECLARED)
+
+
+@query("raw_lines", f"""select event_id, concat('{{"cents":', value -> '$.cents', ',"flag":', value -> '$.flag', ',"props":', replace(value -> '$.props', ' ', ''), '}}') as rest from raw_lines where {STATUS} = 'valid'""")
+def rest_fields(lines):
+    """What a declared schema has no column for, as JSON."""
+    return ndjson.records(lines).select("event_id", schema.rest(F.col("record"), ["event_id", "timestamp", "user_id", "event_type", "tags"]).alias("rest"))
+
+
 @query("raw_lines", f"""
     select t.event_id, replace(replace(replace(substr(t.fullkey, 3), '"', ''), '[', '.'), ']', '') as path, coalesce(t.atom ->> '$', 'null') as value
     from (select l.event_id, j.fullkey, j.atom, j.type from (select * from raw_lines where {STATUS} = 'valid') l, json_tree(l.value) j) t
@@ -464,6 +482,16 @@ def queue_cap(jobs):
     return jobs.where("state = 'queue'").orderBy("created", "job_id").limit(50).select("job_id")
 
 
+@query("jobs", """
+    with q as (select tenant, dataset, count(*) filter (state = 'queue') as queued from jobs group by 1, 2),
+    r as (select *, row_number() over (partition by tenant, dataset order by created, job_id) as place from jobs where state = 'retry')
+    select r.job_id, r.tenant, r.dataset from r join q on q.tenant = r.tenant and q.dataset = r.dataset where place <= 50 - queued""")
+def queue_room(jobs):
+    """Jobs to be tried again that find room beside what is queued."""
+    waiting, queued = jobs.where("state = 'retry'"), jobs.where("state = 'queue'")
+    return registry.admitted(waiting, queued, ["tenant", "dataset"], ["created", "job_id"], 50).select("job_id", "tenant", "dataset")
+
+
 _STATES = f"count(*) filter (state = 'queue') as queue, count(*) filter (state = 'retry') as retry, count(*) filter (state = 'dlq') as dlq, count(*) filter (state = 'retry' and created < {NOW}) as ready_retries"
 
 
@@ -484,6 +512,15 @@ def backoff(jobs):
     return jobs.select("job_id", rules.requeue_delay(a).alias("requeue"), rules.upload_delay(a).alias("upload"), rules.startup_delay(a).alias("startup"), rules.severity(a).alias("severity"))
 
 
+@query("uploads", """
+    select order_key, line, case kind when 'R' then case when attempts >= 10 then 'CRITICAL' when attempts >= 5 then 'HIGH' else 'MEDIUM' end
+                                      when 'A' then case when attempts > 3 then 'CRITICAL' else 'MEDIUM' end else 'HIGH' end as severity
+    from uploads""")
+def alert_severity(uploads):
+    kind = F.when(F.col("kind") == "R", "registry update").when(F.col("kind") != "A", "processing").when(F.col("attempts") > 3, "upload given up").otherwise("upload retry")
+    return uploads.select("order_key", "line", rules.alert_severity(kind, F.col("attempts")).alias("severity"))
+
+
 @query("jobs", "select job_id % 4 = 1 as lock_conflict, count(*) as n from jobs group by 1")
 def classify_errors(jobs):
     k = F.col("job_id") % 4
@@ -587,19 +624,24 @@ _STREAK = """
 _ORDER = ["happened", "order_key", "line"]
 
 
+def _day() -> Column:
+    return F.date_trunc("DAY", "happened")
+
+
+
 @query("uploads", _STREAK + " select destination, order_key, line, streak from s")
 def failure_streak(uploads):
-    return analytics.streaks(uploads, ["destination"], _ORDER).select("destination", "order_key", "line", "streak")
+    return analytics.streaks(uploads, ["destination"], _ORDER, bucket=_day()).select("destination", "order_key", "line", "streak")
 
 
 @query("uploads", _STREAK + " select destination, arg_max(streak, row(happened, order_key, line)) as failures, arg_max(error, row(happened, order_key, line)) filter (not success) as last_error, arg_max(streak, row(happened, order_key, line)) < 3 as active from s group by 1")
 def circuit_breaker(uploads):
-    return analytics.circuits(uploads, ["destination"], _ORDER)
+    return analytics.circuits(uploads, ["destination"], _ORDER, bucket=_day())
 
 
 @query("uploads", _STREAK + " select destination, order_key, line, streak from s where streak >= 3 and streak % 3 = 0")
 def every_third_alert(uploads):
-    return analytics.alerts(uploads, ["destination"], _ORDER).select("destination", "order_key", "line", "streak")
+    return analytics.alerts(uploads, ["destination"], _ORDER, bucket=_day()).select("destination", "order_key", "line", "streak")
 
 
 @query("uploads", "select order_key, round(list_reduce(list(cast(millis as double) order by line, millis), lambda a, x: (a + x) / 2), 6) as average, count(*) as n from uploads group by 1")
@@ -615,7 +657,7 @@ def recent_history(uploads):
 @query("events", """
     select event_id, place from (select event_id, row_number() over w as place, epoch(ts) - epoch(lag(ts) over w) as gap from events window w as (partition by event_type order by ts, event_id)) e where place % 100 = 0 or floor(gap) > 30""".replace("epoch(ts) - epoch(lag(ts) over w)", "floor(epoch(ts)) - floor(epoch(lag(ts) over w))").replace("floor(gap)", "gap"))
 def throttle_reports(events):
-    return analytics.throttled(events, ["event_type"], ["ts", "event_id"], 100, 30, "ts").select("event_id", F.col("place").cast("long").alias("place"))
+    return analytics.throttled(events, ["event_type"], ["ts", "event_id"], 100, 30, "ts", F.date_trunc("HOUR", "ts")).select("event_id", F.col("place").cast("long").alias("place"))
 
 
 # ---- consumers

@@ -3,7 +3,7 @@
 import gzip
 import itertools
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -279,3 +279,42 @@ def test_timers_flush_what_waited_and_nothing_fresh():
     handle.timers.clear()
     late = next(state.handleExpiredTimer(("d",), Clock(115_000), None)).iloc[0]
     assert (late.reason, late.bytes, late.files, late.flush_count) == ("time", 10, 1, 2) and handle.timers == set()
+
+
+def test_buckets_carry_streaks_places_and_pauses(spark):
+    import random
+
+    rng, rows = random.Random(5), []
+    for dest in ("a", "b", None):
+        t = 0
+        for k in range(120):
+            t += rng.choice([1, 600, 90_000])
+            rows.append((dest, k, datetime(2024, 1, 1) + timedelta(seconds=t), rng.random() < 0.2))
+    df = spark.createDataFrame(rows, "dest string, k int, t timestamp_ntz, success boolean")
+    day = F.date_trunc("DAY", "t")
+
+    expected = {}
+    for dest in ("a", "b", None):
+        for hours in (None, 24):
+            streak, last = 0, None
+            for place, (_, k, t, success) in enumerate([r for r in rows if r[0] == dest], 1):
+                pause = last and (t - last).total_seconds()
+                streak = 0 if success else 1 if hours and last and pause >= hours * 3600 else streak + 1
+                expected[dest, k, hours] = (streak, place % 10 == 0 or bool(last) and pause > 700)
+                last = t
+    for hours in (None, 24):
+        for bucket in (None, day):
+            found = analytics.streaks(df, ["dest"], ["t", "k"], reset_hours=hours, time="t", bucket=bucket)
+            assert found.columns == [*df.columns, "streak", "open_circuit"]
+            assert {(r.dest, r.k): r.streak for r in found.collect()} == {x[:2]: v[0] for x, v in expected.items() if x[2] == hours}
+    for bucket in (None, day):
+        due = {(r.dest, r.k) for r in analytics.throttled(df, ["dest"], ["t", "k"], 10, 700, "t", bucket).collect()}
+        assert due == {x[:2] for x, v in expected.items() if v[1]}
+    assert analytics.streaks(df.limit(0), ["dest"], ["t"], bucket=day).count() == 0
+
+
+def test_the_rest_of_a_record_and_lost_values(spark):
+    lines = spark.createDataFrame([('{"a":1,"b":[1],"c":null}',), ('{"a":"x"}',), ('{"a":true,"d":{"e":2.5}}',)], "value string")
+    records = ndjson.records(lines)
+    assert [r[0] for r in records.select(schema.rest(F.col("record"), ["a"])).collect()] == ['{"b":[1],"c":null}', None, '{"d":{"e":2.5}}']
+    assert [tuple(r) for r in schema.cast_losses(records, [("a", "bigint"), ("c", "string")]).collect()] == [("a", "bigint", 3, 2), ("c", "string", 0, 0)]
