@@ -86,11 +86,12 @@ def streaks(
     buckets and carried from one to the next, so no task holds more of a hot
     group than a bucket.
     """
-    keys, at = [*by, "_bucket"], F.struct(*order)
+    keys = [*by, "_bucket"]
     inside, across = W.partitionBy(*keys).orderBy(*order), W.partitionBy(*by).orderBy("_bucket")
     state = F.struct(F.col("success").alias("success"), (F.col(time) if time else F.lit(None)).alias("time"))
     rows = events.withColumn("_bucket", F.lit(0) if bucket is None else bucket)
-    ends = rows.groupBy(*keys).agg(F.max_by(state, at).alias("_end")).withColumn("_end", F.lag("_end").over(across))
+    final = F.lead(F.lit(True)).over(inside).isNull()  # the last row of a bucket
+    ends = rows.withColumn("_final", final).where("_final").select(*keys, F.lag(state).over(across).alias("_end"))
     rows = beside(rows, ends, keys).withColumn("_end", F.coalesce(F.lag(state).over(inside), "_end"))
     after = F.coalesce(F.col("_end.success"), F.lit(False))
     if reset_hours is not None:
@@ -99,9 +100,9 @@ def streaks(
     rows = rows.withColumn("_island", F.sum(after.cast("long")).over(inside))
     failures = F.sum(1 - F.col("success").cast("long")).over(W.partitionBy(*keys, "_island").orderBy(*order))
     rows = rows.withColumn("_failures", F.coalesce(failures, F.lit(0)))
-    carried = rows.groupBy(*keys).agg(F.max("_island").alias("_broke"), F.max_by("_failures", at).alias("_tail"))
-    carried = carried.withColumn("_era", F.sum((F.col("_broke") > 0).cast("long")).over(across))
-    carried = carried.withColumn("_carry", F.sum("_tail").over(W.partitionBy(*by, "_era").orderBy("_bucket")))
+    carried = rows.withColumn("_final", final).where("_final").select(*keys, "_island", "_failures")
+    carried = carried.withColumn("_era", F.sum((F.col("_island") > 0).cast("long")).over(across))
+    carried = carried.withColumn("_carry", F.sum("_failures").over(W.partitionBy(*by, "_era").orderBy("_bucket")))
     carried = carried.select(*keys, F.coalesce(F.lag("_carry").over(across), F.lit(0)).alias("_carry"))
     rows = beside(rows, carried, keys)
     streak = F.when(F.col("success"), 0).otherwise(F.col("_failures") + F.when(F.col("_island") == 0, F.col("_carry")).otherwise(0))
