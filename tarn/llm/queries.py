@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_packing, hilbert_shards, language_id, mixing, projection_dedup, quality_rules, repeats, simhash, token_files, trie_counts
+from . import exact_packing, filter_audit, hilbert_shards, language_id, mixing, projection_dedup, quality_rules, repeats, simhash, token_files, trie_counts
 from .common import table
 
 
@@ -48,6 +48,10 @@ def op10_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_counts(table(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -59,6 +63,7 @@ QUERIES = {
     "op8_trie_token_counts": op8_trie_token_counts,
     "op9_hilbert_sharding": op9_hilbert_sharding,
     "op10_repeat_removal": op10_repeat_removal,
+    "op13_filter_audit": op13_filter_audit,
 }
 
-ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.ORACLE, "op6_source_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.ORACLE, "op6_source_mixing": mixing.ORACLE, "op13_filter_audit": filter_audit.SQL}
