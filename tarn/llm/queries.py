@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_packing, filter_audit, hilbert_shards, language_id, mixing, projection_dedup, quality_rules, repeats, simhash, token_files, trie_counts
+from . import exact_packing, filter_audit, hilbert_shards, language_id, mixing, projection_dedup, quality_rules, repeats, simhash, token_files, trie_counts, whitening
 from .common import table
 
 
@@ -48,6 +48,10 @@ def op10_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_counts(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -63,6 +67,7 @@ QUERIES = {
     "op8_trie_token_counts": op8_trie_token_counts,
     "op9_hilbert_sharding": op9_hilbert_sharding,
     "op10_repeat_removal": op10_repeat_removal,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op13_filter_audit": op13_filter_audit,
 }
 
