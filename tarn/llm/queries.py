@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_packing, filter_audit, hilbert_shards, language_id, mixing, projection_dedup, quality_rules, repeats, simhash, token_files, trie_counts, whitening
+from . import exact_packing, filter_audit, hilbert_shards, language_id, mixing, personal_data, projection_dedup, quality_rules, repeats, simhash, token_files, trie_counts, whitening
 from .common import table
 
 
@@ -52,6 +52,10 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.found(table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -68,6 +72,7 @@ QUERIES = {
     "op9_hilbert_sharding": op9_hilbert_sharding,
     "op10_repeat_removal": op10_repeat_removal,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_personal_data": op12_personal_data,
     "op13_filter_audit": op13_filter_audit,
 }
 
