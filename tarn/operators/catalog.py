@@ -31,14 +31,22 @@ def list_parquet(spark: SparkSession, root: str) -> DataFrame:
     return files.where(F.lower("path").endswith(".parquet") & ~F.substring_index("path", "/", -1).isin("_metadata", "_common_metadata"))
 
 
+def open_store(path: str):
+    """Arrow's file system and path of a listed path: local, hdfs, s3 (s3a and s3n are its names in Hadoop), gs and abfs, as far as Arrow has them."""
+    from pyarrow import fs
+
+    path = path.replace("%", "%25") if "://" not in path or path.startswith("file:") else path  # listed paths are names, not URIs
+    scheme, mark, rest = path.partition("://")
+    return fs.FileSystem.from_uri(f"s3://{rest}" if mark and scheme in ("s3a", "s3n") else path)
+
+
 def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import pyarrow.parquet as pq
-    from pyarrow import fs
 
     for batch in batches:
         rows = []
         for r in batch.to_pylist():
-            store, path = fs.FileSystem.from_uri(r["path"].replace("%", "%25"))  # listed paths are names, not URIs
+            store, path = open_store(r["path"])
             with store.open_input_file(path) as f:
                 meta = pq.ParquetFile(f).metadata
             leaves = [meta.schema.column(k) for k in range(len(meta.schema))]
@@ -140,6 +148,21 @@ def batch_hash(files: DataFrame, by: list[str], key: str = "path", size: str = "
     return files.groupBy(*by).agg(F.sha2(F.array_join(F.transform(entries, lambda e: e["x"]), ""), 256).alias("batch_hash"))
 
 
+def tree_hash(files: DataFrame, by: list[str], key: str = "path", size: str = "size") -> DataFrame:
+    """One hash for each group of input files, whatever the order of the listing, from hashes of ranges.
+
+    Files are dealt to 4096 ranges by the hash of their keys; a range's hash is
+    that of its keys and sizes in key order, a group's that of its ranges'
+    hashes in order. So no array holds more than a group's 4096th part, or
+    4096 hashes.
+    """
+    name = F.left(F.sha2(F.col(key), 256), F.lit(3))
+    entries = F.sort_array(F.collect_list(F.concat(F.col(key), F.lit(":"), F.col(size).cast("string"))))
+    ranges = files.groupBy(*by, name.alias("_range")).agg(F.sha2(F.array_join(entries, ","), 256).alias("_hash"))
+    whole = F.sort_array(F.collect_list(F.concat(F.col("_range"), F.lit(":"), F.col("_hash"))))
+    return ranges.groupBy(*by).agg(F.sha2(F.array_join(whole, ","), 256).alias("tree_hash"))
+
+
 def unprocessed(batches: DataFrame, catalogue: DataFrame, on: str = "batch_hash") -> DataFrame:
     """Batches that the catalogue doesn't have yet."""
     return batches.join(catalogue.select(on).distinct(), on, "left_anti")

@@ -1,63 +1,86 @@
 """Packing: JSON lines of a dataset to a partitioned Parquet lake, once, in parts of bounded size.
 
-A run lists what it hasn't consumed, reads it, sets aside what is no record,
-infers one schema over all records (fields that the lake has keep their types,
-so that readers never meet two), casts, takes event times, numbers parts by
-running size in time order, writes, and appends to the catalogue. The
-catalogue lies in ``_catalog`` below the lake, which readers pass over.
-
-A batch is known by the hash of its input files and everything that it writes
-goes to folders of its own name, which are replaced when it runs again. Before
-anything else it writes down its files (an intent), and last of all its row in
-``batches``. A run first finishes the batches that have an intent and no such
-row, with the files of the intent. So wherever a run stops, the next one
-leaves every record in the lake once.
-
-Every field of a record is kept. Columns that packing adds start with an
-underscore; the folders of a scheme (year, month, day, hour) don't. A field
-whose name is taken, by those or by another that differs in case only, gets
-underscores at its end; ``_catalog/fields`` tells each field's column.
+A run lists what no ended batch has read, reads it, sets aside what is no
+record, infers one schema over all records and the kinds that the lake has
+seen, casts, takes event times, numbers parts by running size in time order,
+writes, and appends to the catalogue (see ``lake`` for its tables).
+
+A batch is known by the hash of its input files, however they came (a run, a
+stream, another stream). Before anything else it writes down its files (an
+intent), and last of all its row in ``batches``. Each attempt at a batch writes
+to a folder of its own, which its row names; readers take ended batches only.
+A run first finishes the batches that have an intent and no row, with those
+files of the intent that no ended batch has. So wherever a run stops, the next
+one leaves every record in the lake once. One run or stream at a time should
+pack the same source; runs over different sources may share a lake in turn.
+
+Every value of a record is kept. A field whose kind differs from before gets
+the wider type (numbers double, others text) from this batch on, and ``read``
+joins what older batches stored. What a column can't hold (a field without an address, as
+its name has both kinds of quotes; a number of more digits than a double has)
+is in the VARIANT ``_rest`` by field, and counted in ``batches``. Columns that
+packing adds start with an underscore; the folders of a scheme (year, month,
+day, hour) don't. A field whose name is taken, by those or by another that
+differs in case only, gets underscores at its end; ``_catalog/fields`` tells
+each field's column.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, replace
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarn.functions import layout
 from tarn.functions.timestamps import event_time
-from tarn.operators import catalog, schema
+from tarn.operators import catalog, lake, schema
+from tarn.operators.lake import BATCHES, CONSUMED, read_or_empty, summarised
 from tarn.sources import ndjson
+from tarn.sources.folders import exists, folders_in, moved, plain_path, removed, without_globs
 
 CODECS = ("zstd", "snappy", "uncompressed")
 LEVELS = ("leaf", "root")
 #: Columns of the lake that packing adds, and the folders of its schemes.
-OWN = ("_event_ts", "_bytes", "_part", "_batch", "year", "month", "day", "hour")
-CONSUMED = "path string, length long, _batch string"
-FIELDS = "field string, path string, column string, type string, _batch string"
-BATCHES = "tenant string, dataset string, n_files long, n_lines long, valid long, rejected long, _batch string"
+OWN = ("_event_ts", "_bytes", "_rest", "_part", "_batch", "_try", "_folder", "year", "month", "day", "hour")
 
 
 @dataclass
 class Packed:
-    """What a run did: its batches (also those it finished for an earlier run) and lines by kind."""
+    """What a run did: its batches (also those it finished for an earlier run) and lines by kind; lost counts values in ``_rest``."""
 
     batches: list[str]
     lines: int = 0
     valid: int = 0
     rejected: int = 0
+    lost: int = 0
 
     @property
     def fresh(self) -> bool:
         return bool(self.batches)
 
 
+@dataclass
+class Published:
+    """An attempt at a batch that has been written, and how."""
+
+    lines: int
+    valid: int
+    rejected: int
+    lost: int
+    attempt: str
+    layout: str
+
+
 @dataclass
 class Options:
-    """How a lake is written; ``flatten`` is the delimiter of nested names, None keeps objects as JSON text."""
+    """How a lake is written; ``flatten`` is the delimiter of nested names, None keeps objects as JSON text.
+
+    ``template`` is a layout of its own, such as ``{year}-{month}/{day}``,
+    and goes before ``scheme``.
+    """
 
     scheme: str = "hive"
     codec: str = "zstd"
@@ -65,32 +88,32 @@ class Options:
     keep_raw: bool = False
     flatten: str | None = None
     metadata_level: str = "leaf"
+    template: str | None = None
 
     def __post_init__(self):
-        layout.partition_columns(self.scheme, F.lit(None))
+        layout.partition_path(self.scheme, F.lit(None))
         for value, known, name in ((self.codec, CODECS, "codec"), (self.metadata_level, LEVELS, "metadata level")):
             if value not in known:
                 raise ValueError(f"unknown {name} {value!r}; one of {', '.join(known)}")
 
-
-def read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """A table, or an empty one if nothing has been written there yet."""
-    try:
-        return spark.read.schema(ddl).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], ddl)
+    @property
+    def keyless(self) -> bool:
+        return self.template is not None or self.scheme == "date"
 
 
-def write_parts(rows: DataFrame, path: str, by: list[str], time: str, codec: str = "zstd", limit: int | None = None, size: str | None = None, mode: str = "append") -> None:
+def write_parts(rows: DataFrame, path: str, by: list[str], time: str, codec: str = "zstd", limit: int | None = None, size: str | None = None, mode: str = "append", total: int | None = None) -> None:
     """Writes rows in folders by the columns ``by``, sorted by time within files, each of about ``limit`` bytes of ``size`` at most.
 
     One shuffle deals (partition, part) pairs to tasks; Spark's committer
-    publishes all files of the job at its end.
+    publishes all files of the job at its end. Where ``total`` (bytes of all
+    rows) is below the limit, no part number but 1 can come out.
     """
     if codec not in CODECS:
         raise ValueError(f"unknown codec {codec!r}; one of {', '.join(CODECS)}")
     if limit is None:
         dealt = rows.repartition(*by) if by else rows
+    elif total is not None and total < limit:
+        dealt = (rows.repartition(*by) if by else rows.coalesce(1)).withColumn("_part", F.lit(1).cast("long"))
     else:
         columns = [F.col(f"`{c}`") for c in rows.columns if c not in (*by, time, size)]
         bucket = F.coalesce(F.date_trunc("MINUTE", time), F.lit("9999-12-31").cast("timestamp"))
@@ -102,7 +125,7 @@ def write_parts(rows: DataFrame, path: str, by: list[str], time: str, codec: str
 
 
 def unconsumed(files: DataFrame, consumed: DataFrame) -> DataFrame:
-    """Files that no committed run has read; a file that changed since counts as new."""
+    """Files that no ended batch has read; a file that changed since counts as new."""
     return files.join(consumed.select("path", "length"), ["path", "length"], "left_anti")
 
 
@@ -118,102 +141,199 @@ def columns_of(fields: dict[str, str], taken: list[str]) -> dict[str, str]:
     return out
 
 
-def _known(spark: SparkSession, root: str) -> dict[str, tuple[str, str]]:
-    """The lake's fields by their paths: column and type; one row a field."""
-    return {r.path: (r.column, r.type) for r in read_or_empty(spark, f"{root}/_catalog/fields", FIELDS).collect()}
+def _merged(found: list[tuple[str, str | None, list[str]]], known: dict) -> list[tuple[str, str, str, str, list[str], list[str]]]:
+    """(field, path, column, type, kinds, names) of each field of a batch that has a path, with what the lake knows of it.
+
+    The last of ``names`` is the stored column now; a field whose type has
+    changed gets a new one.
+    """
+    fields = {path: (field, kinds) for field, path, kinds in found if path is not None}
+    taken = [*OWN, *(n for r in known.values() for n in r.names)]
+    columns = columns_of({path: f for path, (f, _) in fields.items() if path not in known}, taken)
+    used = {c.lower() for c in (*taken, *columns.values())}
+    out = []
+    for path, (field, kinds) in fields.items():
+        every = sorted({*kinds, *(known[path].kinds if path in known else [])} - {"null"})
+        kind = schema.common_kind(every)
+        names = list(known[path].names) if path in known else [columns[path]]
+        if path in known and known[path].type != kind:
+            name = f"{names[0]}_v{len(names) + 1}"
+            while name.lower() in used:
+                name += "_"
+            used.add(name.lower())
+            names.append(name)
+        out.append((field, path, names[0], kind, every, names))
+    return out
 
 
-def publish(lines: DataFrame, batch: str, root: str, tenant: str, dataset: str, options: Options, n_files: int = 0) -> tuple[int, int, int]:
-    """Writes a batch of lines (value, path) to a lake and its catalogue; returns lines, valid and rejected ones."""
-    spark = lines.sparkSession
+def publish(lines: DataFrame, batch: str, root: str, tenant: str, dataset: str, options: Options, n_files: int = 0) -> Published:
+    """Writes an attempt at a batch of lines (value, path) to a lake and its catalogue."""
+    spark, attempt = lines.sparkSession, uuid.uuid4().hex[:8]
     lines = ndjson.classified(lines).persist()
     own = lambda table: f"{root}/_catalog/{table}/_batch={batch}"
+    data = f"{root}/data/_batch={batch}/_try={attempt}"
     try:
-        counts = {r[0]: r[1] for r in lines.groupBy("status").count().collect()}
+        found = lines.groupBy("status").agg(F.count("*"), F.sum(F.octet_length("value"))).collect()
+        counts, size = {r[0]: r[1] for r in found}, sum(r[2] or 0 for r in found)
+        valid, rejected = counts.get("valid", 0), counts.get("not json", 0) + counts.get("not an object", 0)
         records = lines.where("status = 'valid'")
-        if options.flatten is None:
-            found = [(r.field, schema.json_path(r.field), r.type) for r in schema.inferred(records).collect()]
+        if not valid:
+            found = []
+        elif options.flatten is None:
+            found = [(r.field, schema.json_path_or_none(r.field), r.kinds) for r in schema.observed(records).collect()]
         else:
-            found = [(r.field, r.path, r.type) for r in schema.inferred_leaves(records, options.flatten).collect()]
-        if odd := [f for f, path, _ in found if path is None]:
-            raise ValueError(f"no path for fields with both kinds of quotes: {odd}")
-        known = _known(spark, root)
-        columns = columns_of({path: f for f, path, _ in found if path not in known}, [*OWN, *(c for c, _ in known.values())])
-        added = [(f, path, columns[path], kind) for f, path, kind in found if path in columns]
-        casts = [schema.cast_path(F.col("record"), path, kind).alias(column) for path, column, kind in [*((p, *x) for p, x in known.items()), *(a[1:] for a in added)]]
-        times = records.withColumns({"_event_ts": event_time(F.col("record")), "_bytes": F.octet_length("value").cast("long")})
-        folders = layout.partition_columns(options.scheme, F.col("_event_ts"))
-        rows = times.select(*casts, "_event_ts", "_bytes", *[c.alias(n) for n, c in folders.items()])
-        write_parts(rows, f"{root}/data/_batch={batch}", list(folders), "_event_ts", options.codec, options.limit, "_bytes", mode="overwrite")
+            found = [(r.field, r.path, r.kinds) for r in schema.observed_leaves(records, options.flatten).collect()]
+        known = lake.known(spark, root)
+        fields = _merged(found, known)
+        absent = [(r.field, r.path, r.column, r.type, r.kinds, r.names) for path, r in known.items() if path not in {f[1] for f in fields}]
+        columns = {names[-1]: (column, kind) for _, _, column, kind, _, names in [*fields, *absent]}
+        record = F.col("record")
+        casts = [schema.cast_path(record, path, kind).alias(names[-1]) for _, path, _, kind, _, names in [*fields, *absent]]
+        rest = schema.misfits(record, [(field, path, kind) for field, path, _, kind, *_ in fields], [field for field, path, _ in found if path is None], options.flatten is not None)
+        times = records.withColumns({"_event_ts": event_time(record), "_bytes": F.octet_length("value").cast("long")})
+        keys = {"_folder": lake.folder_path(options.scheme, options.template, tenant, dataset, F.col("_event_ts"))} if options.keyless else layout.partition_columns(options.scheme, F.col("_event_ts"))
+        if valid:
+            rows = times.select(*casts, rest.alias("_rest"), "_event_ts", "_bytes", *[c.alias(n) for n, c in keys.items()])
+            write_parts(rows, data, list(keys), "_event_ts", options.codec, options.limit, "_bytes", mode="overwrite", total=size)
         if options.keep_raw:
-            raw = times.select("value", *[c.alias(n) for n, c in folders.items()])
-            raw.write.mode("overwrite").option("compression", "gzip").partitionBy(*folders).text(f"{root}/raw/_batch={batch}")
-        lines.where("status in ('not json', 'not an object')").select("value", "path", F.col("status").alias("reason")).write.mode("overwrite").parquet(own("quarantine"))
+            raw = times.select("value", *[c.alias(n) for n, c in keys.items()])
+            raw.write.mode("overwrite").option("compression", "gzip").partitionBy(*keys).text(f"{root}/raw/_batch={batch}")
+        if rejected:
+            lines.where("status in ('not json', 'not an object')").select("value", "path", F.col("status").alias("reason")).write.mode("overwrite").parquet(own("quarantine"))
     finally:
         lines.unpersist()
-    spark.createDataFrame(added, "field string, path string, column string, type string").coalesce(1).write.mode("overwrite").parquet(own("fields"))
-    catalogued(spark, root, batch, tenant, dataset).write.mode("overwrite").parquet(own("files"))
-    return sum(counts.values()), counts.get("valid", 0), counts.get("not json", 0) + counts.get("not an object", 0)
+    if options.keyless and valid:
+        without_keys(spark, data)
+    lake.small_table(spark, fields, lake.FIELDS.rpartition(",")[0]).coalesce(1).write.mode("overwrite").parquet(own("fields"))
+    if valid:
+        catalogued(spark, root, batch, tenant, dataset, attempt).write.mode("overwrite").parquet(own("files"))
+    lost = 0
+    if valid:
+        kept = spark.read.schema("_rest variant").option("recursiveFileLookup", True).parquet(data).where("_rest is not null")
+        lost = kept.agg(F.sum(F.size(F.try_variant_get("_rest", "$", "map<string, variant>")))).first()[0] or 0
+    return Published(sum(counts.values()), valid, rejected, lost, attempt, lake.layout_of(columns, [] if options.keyless else list(keys), options.keyless))
+
+
+def without_keys(spark: SparkSession, data: str) -> None:
+    """Moves the folders ``_folder=a%2Fb`` of an attempt to ``a/b``: one rename a partition."""
+    for name in folders_in(spark, data):
+        if name.startswith("_folder="):
+            moved(spark, f"{data}/{name}", f"{data}/{unquote(name.removeprefix('_folder='))}")
+
+
+def catalogued(spark: SparkSession, root: str, batch: str, tenant: str, dataset: str, attempt: str) -> DataFrame:
+    """The catalogue's row of each data file of a batch: footers with bounds of event times, partition and checksum."""
+    files = catalog.scan_footers(catalog.list_parquet(spark, f"{root}/data/_batch={batch}/_try={attempt}")).withColumn("path", plain_path(F.col("path")))
+    times = F.get(F.filter("stats", lambda x: x["name"] == "_event_ts"), F.lit(0))
+    inner = F.regexp_replace("path", ".*/_try=[^/]*/?", "")
+    folder = F.regexp_replace(inner, "/?[^/]*$", "")
+    rows = files.withColumns({
+        "tenant": F.lit(tenant), "dataset": F.lit(dataset), "partition": folder, "checksum": layout.checksum(F.col("path"), F.col("size"), F.col("modified")),
+        "min_ts": times["min_value"].try_cast("timestamp_ntz"), "max_ts": times["max_value"].try_cast("timestamp_ntz"),
+    })
+    return rows.select("tenant", "dataset", "path", "partition", "size", "n_rows", "n_row_groups", F.col("modified").alias("created"), "modified", "min_ts", "max_ts", "fields", "stats", "checksum")
+
+
+def committed(spark: SparkSession, root: str, batch: str) -> bool:
+    return exists(spark, f"{root}/_catalog/batches/_batch={batch}/_SUCCESS")
 
 
-def catalogued(spark: SparkSession, root: str, batch: str, tenant: str, dataset: str) -> DataFrame:
-    """The catalogue's row of each data file of a batch: footers, time ranges from one column, partition and checksum."""
-    path = f"{root}/data/_batch={batch}"
-    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
-    files = catalog.scan_footers(catalog.list_parquet(spark, path)).withColumn("path", plain("path"))
+def commit(spark: SparkSession, root: str, batch: str, tenant: str, dataset: str, n_files: int, done: Published) -> None:
+    """Ends a batch: its row in ``batches``. Other attempts at it go."""
+    seq = (lake.ended(spark, root).agg(F.max("seq")).first()[0] or 0) + 1
+    row = [(tenant, dataset, n_files, done.lines, done.valid, done.rejected, done.lost, seq, done.attempt, done.layout)]
+    lake.small_table(spark, row, BATCHES.rpartition(",")[0]).coalesce(1).write.mode("overwrite").parquet(f"{root}/_catalog/batches/_batch={batch}")
+    for name in folders_in(spark, f"{root}/data/_batch={batch}"):
+        if name != f"_try={done.attempt}":
+            removed(spark, f"{root}/data/_batch={batch}/{name}")
+
+
+def intend(files: DataFrame, root: str) -> str | None:
+    """Writes down the files (path, length) of a new batch and gives its name, the hash of them; None if there are none."""
+    files = files.select("path", "length").persist()
     try:
-        times = catalog.scanned(spark, path, "_event_ts").select(plain("path").alias("path"), "min_ts", "max_ts")
-    except AnalysisException:  # a batch without records has no files
-        times = spark.createDataFrame([], "path string, min_ts timestamp_ntz, max_ts timestamp_ntz")
-    rows = files.join(times, "path", "left").withColumns({"tenant": F.lit(tenant), "dataset": F.lit(dataset), "partition": layout.partition_of(F.regexp_replace("path", ".*/_batch=[^/]*", "")), "checksum": layout.checksum(F.col("path"), F.col("size"), F.col("modified"))})
-    return rows.select("tenant", "dataset", "path", "partition", "size", "n_rows", "n_row_groups", F.col("modified").alias("created"), "modified", "min_ts", "max_ts", "fields", "stats", "checksum")
+        found = catalog.tree_hash(files.withColumn("all", F.lit(1)), ["all"], size="length").first()
+        if found is None:
+            return None
+        batch = f"b-{found.tree_hash[:32]}"
+        files.coalesce(1).write.mode("overwrite").parquet(f"{root}/_catalog/consumed/_batch={batch}")
+        return batch
+    finally:
+        files.unpersist()
 
 
-def summarised(spark: SparkSession, root: str, level: str) -> None:
-    """Writes the lake's summary documents anew: one a partition (leaf) or one for all (root), of committed batches."""
-    files = spark.read.parquet(f"{root}/_catalog/files")
-    committed = read_or_empty(spark, f"{root}/_catalog/batches", BATCHES).select("_batch")
-    files = files.join(committed, "_batch", "left_semi")
-    catalog.summary_documents(files, ["tenant", "dataset", *(["partition"] if level == "leaf" else [])], schema_too=True).write.mode("overwrite").parquet(f"{root}/_catalog/summaries")
+def _open(spark: SparkSession, root: str) -> list[str]:
+    """Batches with an intent and no end."""
+    return [n.removeprefix("_batch=") for n in sorted({*folders_in(spark, f"{root}/_catalog/consumed")} - {*folders_in(spark, f"{root}/_catalog/batches")}) if n.startswith("_batch=")] + [
+        n.removeprefix("_batch=") for n in folders_in(spark, f"{root}/_catalog/batches") if n.startswith("_batch=") and not committed(spark, root, n.removeprefix("_batch="))
+    ]
 
 
-def committed(spark: SparkSession, root: str, batch: str) -> bool:
-    return bool(read_or_empty(spark, f"{root}/_catalog/batches", BATCHES).where(F.col("_batch") == batch).head(1))
+def _finish(spark: SparkSession, root: str, batch: str, tenant: str, dataset: str, how: Options) -> Published:
+    """Packs the files of an intent, but for those that an ended batch has."""
+    mine = spark.read.schema("path string, length long").parquet(f"{root}/_catalog/consumed/_batch={batch}").withColumn("path", plain_path(F.col("path")))
+    names = [r.path for r in unconsumed(mine, lake.consumed(spark, root)).select("path").collect()]
+    lines = ndjson.scan(spark, [without_globs(n) for n in names], max(len(names), spark.sparkContext.defaultParallelism)) if names else spark.createDataFrame([], "value string, path string")
+    done = publish(lines, batch, root, tenant, dataset, how)
+    commit(spark, root, batch, tenant, dataset, len(names), done)
+    summarised(spark, root, how.metadata_level)
+    return done
 
 
-def commit(spark: SparkSession, root: str, batch: str, tenant: str, dataset: str, n_files: int, counts: tuple[int, int, int]) -> None:
-    """Ends a batch: its row in ``batches``."""
-    row = [(tenant, dataset, n_files, *counts)]
-    spark.createDataFrame(row, BATCHES.rpartition(",")[0]).coalesce(1).write.mode("overwrite").parquet(f"{root}/_catalog/batches/_batch={batch}")
+def recovered(spark: SparkSession, root: str, tenant: str, dataset: str, how: Options) -> dict[str, Published]:
+    """Finishes what an earlier run left: summaries of ended batches, and batches with an intent and no end, whose files must still be there."""
+    lake.summarised(spark, root, how.metadata_level)
+    return {batch: _finish(spark, root, batch, tenant, dataset, how) for batch in _open(spark, root)}
 
 
 def pack(
-    spark: SparkSession, source: str, lake: str, tenant: str, dataset: str, ending: str = ndjson.DATA_FILE, files_per_batch: int = 100_000, **options
+    spark: SparkSession, source: str, lake_: str, tenant: str, dataset: str, ending: str = ndjson.DATA_FILE, files_per_batch: int = 100_000, **options
 ) -> Packed:
-    """Packs what is new below ``source`` into ``lake``/tenant/dataset; see the module's head and ``Options``.
+    """Packs what is new below ``source`` into the lake's tenant/dataset; see the module's head and ``Options``.
 
     New files go in batches of ``files_per_batch``, oldest first, until none is
-    left; the names of one batch's files are what the driver holds.
+    left; the source is listed once, and the names of one batch's files are
+    what the driver holds.
+    """
+    how, root, done = Options(**options), f"{lake_.rstrip('/')}/{tenant}/{dataset}", Packed([])
+
+    def add(batch: str, new: Published) -> Packed:
+        return replace(done, batches=[*done.batches, batch], lines=done.lines + new.lines, valid=done.valid + new.valid, rejected=done.rejected + new.rejected, lost=done.lost + new.lost)
+
+    for batch, new in recovered(spark, root, tenant, dataset, how).items():
+        done = add(batch, new)
+    listed = ndjson.list_files(spark, source, ending).withColumn("path", plain_path(F.col("path"))).persist()
+    try:
+        while batch := intend(unconsumed(listed, lake.consumed(spark, root)).orderBy("modificationTime", "path").limit(files_per_batch), root):
+            done = add(batch, _finish(spark, root, batch, tenant, dataset, how))
+    finally:
+        listed.unpersist()
+    return done
+
+
+def pack_lines(lines: DataFrame, lake_: str, tenant: str, dataset: str, how: Options) -> str | None:
+    """Packs lines (value, path, size) of whole files, such as a stream's batch; files that an ended batch has are left out.
+
+    The batch is known by its files, so a batch that runs again, another
+    stream over the same files, or a stream that lost its place packs nothing
+    twice, and streams over different sources share the lake.
     """
-    how, root, done = Options(**options), f"{lake.rstrip('/')}/{tenant}/{dataset}", Packed([])
-    intents, ended = f"{root}/_catalog/consumed", f"{root}/_catalog/batches"
-    while True:
-        begun = read_or_empty(spark, intents, CONSUMED)
-        open_ = begun.join(read_or_empty(spark, ended, BATCHES).select("_batch"), "_batch", "left_anti").agg(F.min("_batch")).first()[0]
-        if open_ is None:
-            files = unconsumed(ndjson.list_files(spark, source, ending), begun).orderBy("modificationTime", "path").limit(files_per_batch)
-            files = files.select("path", "length", F.lit(1).alias("all"))
-            found = catalog.batch_hash(files, ["all"], size="length").first()
-            if found is None:
-                return done
-            open_ = f"b-{found.batch_hash[:32]}"
-            files.select("path", "length").coalesce(1).write.mode("overwrite").parquet(f"{intents}/_batch={open_}")
-        names = [r.path for r in spark.read.parquet(f"{intents}/_batch={open_}").select("path").collect()]
-        lines = ndjson.scan(spark, names, max(len(names), spark.sparkContext.defaultParallelism))
-        counts = publish(lines, open_, root, tenant, dataset, how)
-        commit(spark, root, open_, tenant, dataset, len(names), counts)
-        summarised(spark, root, how.metadata_level)
-        done = Packed([*done.batches, open_], *(a + b for a, b in zip((done.lines, done.valid, done.rejected), counts)))  # noqa: B905
+    spark, root = lines.sparkSession, f"{lake_.rstrip('/')}/{tenant}/{dataset}"
+    lake.summarised(spark, root, how.metadata_level)
+    lines = lines.persist()
+    try:
+        files = unconsumed(lines.select("path", F.col("size").alias("length")).distinct(), lake.consumed(spark, root)).persist()
+        batch = intend(files, root)
+        if batch is None:
+            return None
+        mine = lines.withColumnRenamed("size", "length").join(files, ["path", "length"], "left_semi")
+        done = publish(mine, batch, root, tenant, dataset, how)
+        commit(spark, root, batch, tenant, dataset, files.count(), done)
+        files.unpersist()
+    finally:
+        lines.unpersist()
+    summarised(spark, root, how.metadata_level)
+    return batch
 
 
 def compacted(spark: SparkSession, source: str, target: str, by: list[str], time: str, limit: int) -> None:

@@ -51,6 +51,29 @@ def reconciled(kinds: Column) -> Column:
     )
 
 
+def common_kind(kinds: list[str]) -> str:
+    """``reconciled`` for a few kinds on the driver: the type of a field from all kinds that it has had."""
+    known = {k for k in kinds if k != "null"}
+    some = known - {"array<null>"}
+    if not known:
+        return "string"
+    if all(k.startswith("array") for k in known):
+        return next(iter(some)) if len(some) == 1 else "array<double>" if some and some <= {"array<bigint>", "array<double>"} else "array"
+    return next(iter(known)) if len(known) == 1 else "double" if known <= set(NUMERIC_RANK) else "string"
+
+
+def observed(records: DataFrame, record: str = "record") -> DataFrame:
+    """One row for each field over all records: field and the kinds of its values."""
+    return fields(records, record).groupBy("field").agg(F.sort_array(F.collect_set("kind")).alias("kinds"))
+
+
+def observed_leaves(records: DataFrame, delimiter: str, record: str = "record") -> DataFrame:
+    """One row for each leaf of all records: field (names joined by the delimiter; the first of them where the leaf has no path), path and kinds."""
+    rows = leaves(records.select(F.lit(0).alias("_key"), record), "_key", record)
+    rows = rows.select(F.when(F.col("path").isNull(), F.get("names", F.lit(0))).otherwise(F.array_join("names", delimiter)).alias("field"), "path", kind_of(F.col("v"), F.schema_of_variant("v")).alias("kind"))
+    return rows.groupBy("field", "path").agg(F.sort_array(F.collect_set("kind")).alias("kinds"))
+
+
 def inferred(records: DataFrame, record: str = "record") -> DataFrame:
     """One row for each field over all records: field, type, n (values) and nulls, by name.
 
@@ -89,6 +112,36 @@ def json_path(name: str) -> str:
     return f'$["{name}"]' if "'" in name else f"$['{name}']"
 
 
+def json_path_or_none(name: str) -> str | None:
+    return None if "'" in name and '"' in name else json_path(name)
+
+
+def misfits(record: Column, columns: list[tuple[str, str, str]], unaddressed: list[str], deep: bool = False) -> Column:
+    """What the columns (field, path, kind) of a record don't hold, as a VARIANT object by field; null if they hold all.
+
+    That is a value which its cast makes null, a number with more digits than
+    a double has, and the fields that have no address (with ``deep``, the
+    whole top-level field that one stands in).
+    """
+    parts = []
+    for field, path, kind in columns:
+        if kind == "string":
+            continue  # holds anything
+        value = F.try_variant_get(record, path, "variant")
+        own = F.schema_of_variant(value)
+        lost = (own != "VOID") & cast_path(record, path, kind).isNull()
+        if kind == "double":
+            lost = lost | ((own == "BIGINT") & (F.abs(value.try_cast("bigint")) > (1 << 53))) | own.rlike(r"^DECIMAL\((1[89]|[2-9][0-9]),")
+        parts.append(F.when(lost, F.struct(F.lit(field).alias("key"), value.alias("value"))))
+    found = F.array_compact(F.array(*parts)) if parts else None
+    if unaddressed:
+        odd = F.map_entries(F.map_filter(F.try_variant_get(record, "$", "map<string, variant>"), lambda k, _: k.isin(*unaddressed)))
+        found = odd if found is None else F.concat(found, odd)
+    if found is None:
+        return F.lit(None).cast("variant")
+    return F.when(F.size(found) > 0, F.to_variant_object(F.map_from_entries(found)))
+
+
 def cast_path(record: Column, path: str, kind: str) -> Column:
     """The value at a path as a type; null if it is absent or isn't of that type (true is no number, text is none)."""
     value = F.try_variant_get(record, path, "variant")

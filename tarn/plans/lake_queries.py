@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.operators import catalog, pack
+from tarn.operators import catalog, lake, pack
 from tarn.sources import ndjson
 from tarn.sources.folders import work_folder
 from tarn.streaming import streams
@@ -36,9 +36,9 @@ def _named(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 
 def _packed(spark: SparkSession, sf_dir: str, **options) -> tuple[str, pack.Packed, pack.Packed]:
-    source, lake = _named(spark, sf_dir)
-    first, second = (pack.pack(spark, source, lake, "t1", "events", ending=r"\.gz$", **options) for _ in range(2))
-    return f"{lake}/t1/events", first, second
+    source, out = _named(spark, sf_dir)
+    first, second = (pack.pack(spark, source, out, "t1", "events", ending=r"\.gz$", **options) for _ in range(2))
+    return f"{out}/t1/events", first, second
 
 
 _VALID = f"(select * from raw_lines where {STATUS} = 'valid')"
@@ -48,7 +48,7 @@ _COUNTS = f"select count(*) as valid, (select count(*) from raw_lines where {STA
 @query(f"select cast(event_id as bigint) as event_id, value ->> '$.event_type' as event_type from {_VALID} v")
 def pack_roundtrip(spark, sf_dir):
     root, _, _ = _packed(spark, sf_dir, limit=20_000)
-    return spark.read.parquet(f"{root}/data").select("event_id", "event_type")
+    return lake.read(spark, root).select("event_id", "event_type")
 
 
 @query(_COUNTS.replace("as rejected", "as rejected, 0 as again"))
@@ -92,13 +92,115 @@ def catalog_scan(spark, sf_dir):
 @query(f"select cast(event_id as bigint) as event_id, value ->> '$.event_type' as event_type from {_VALID} v")
 def pack_after_crash(spark, sf_dir):
     """A run that stopped after its data and before its end leaves nothing twice, though new files came since."""
-    source, lake = _named(spark, sf_dir)
-    root = f"{lake}/t1/events"
+    source, out = _named(spark, sf_dir)
+    root = f"{out}/t1/events"
+    _attempted(spark, source, root)
+    pack.pack(spark, source, out, "t1", "events", ending=r"\.gz$")
+    return spark.read.parquet(f"{root}/data").select("event_id", "event_type")
+
+
+def _attempted(spark: SparkSession, source: str, root: str) -> None:
+    """What a run leaves that stopped before the end of a batch of half the files."""
     some = ndjson.list_files(spark, source, r"\.gz$").orderBy("path").limit(FILES // 2).select("path", "length")
     some.coalesce(1).write.parquet(f"{root}/_catalog/consumed/_batch=b-0")
     pack.publish(ndjson.scan(spark, [r.path for r in some.select("path").collect()]), "b-0", root, "t1", "events", pack.Options())
-    pack.pack(spark, source, lake, "t1", "events", ending=r"\.gz$")
-    return spark.read.parquet(f"{root}/data").select("event_id", "event_type")
+
+
+@query(f"select 0 as before, count(*) as after from {_VALID} v")
+def lake_snapshot(spark, sf_dir):
+    """A reader sees nothing of a batch that hasn't ended, and each record once when it has."""
+    source, out = _named(spark, sf_dir)
+    root = f"{out}/t1/events"
+    _attempted(spark, source, root)
+    before = lake.read(spark, root).agg(F.count("*").cast("int").alias("before"))
+    before = pack.read_or_empty(spark, f"{root}/_catalog/none", "n int").agg(F.lit(before.first()[0]).alias("before"))
+    pack.pack(spark, source, out, "t1", "events", ending=r"\.gz$")
+    return before.crossJoin(lake.read(spark, root).agg(F.count("*").alias("after")))
+
+
+def _lines(spark: SparkSession, sf_dir: str, base: str, *batches: list) -> str:
+    """Packs events as records of given fields, the batches (a condition and its fields) one after the other; the lake's root."""
+    events = view(spark, sf_dir, "events")
+    for k, (condition, *fields) in enumerate(batches):
+        events.where(condition).select(F.to_json(F.struct(*fields)).alias("value")).write.option("compression", "gzip").text(f"{base}/in/{k}")
+        pack.pack(spark, f"{base}/in", f"{base}/out", "t1", "events", ending=r"\.gz$")
+    return f"{base}/out/t1/events"
+
+
+#: Fields of the records below.
+_WHOLE, _HALF = "event_id % 1000 as {}", "event_id % 1000 + 0.5 as {}"
+
+
+@query("""select event_id, case event_id % 3 when 0 then cast(event_id % 1000 as varchar) when 1 then cast(event_id % 1000 as varchar) || '.5' else event_type end as a,
+                 case when event_id % 3 = 0 then cast(event_id as double) when event_id % 3 = 1 then event_id + 0.5 end as b,
+                 case when event_id % 3 = 2 then cast(event_id as bigint) + 9007199254740993 end as exact from events""")
+def pack_widening(spark, sf_dir):
+    """A field that is whole, then fractional, then text; every value comes back, also whole numbers that no double holds."""
+    root = _lines(
+        spark, sf_dir, work_folder(spark, "wide"),
+        ("event_id % 3 = 0", "event_id", F.expr(_WHOLE.format("a")), F.col("event_id").alias("b")),
+        ("event_id % 3 = 1", "event_id", F.expr(_HALF.format("a")), (F.col("event_id") + 0.5).alias("b")),
+        ("event_id % 3 = 2", "event_id", F.col("event_type").alias("a"), (F.col("event_id") + 9007199254740993).alias("b")),
+    )
+    exact = F.try_variant_get("_rest", "$.b", "long")
+    return lake.read(spark, root).select("event_id", "a", F.when(exact.isNull(), F.col("b")).alias("b"), exact.alias("exact"))
+
+
+@query("select event_id, event_type as odd, cast(event_id % 7 as bigint) as plain, true as counted from events")
+def pack_odd_keys(spark, sf_dir):
+    """A key with both kinds of quotes can't be addressed: its values are in ``_rest``, they are counted, and later batches go on."""
+    base, name = work_folder(spark, "odd"), "o'd\"d"
+    both = ["event_id", (F.col("event_id") % 7).alias("plain")]
+    root = _lines(spark, sf_dir, base, ("event_id % 2 = 0", *both, F.col("event_type").alias(name)), ("event_id % 2 = 1", *both, F.col("event_type").alias(name)))
+    counted = lake.ended(spark, root).agg((F.sum("lost") == F.sum("valid")).alias("counted"))
+    odd = F.try_variant_get("_rest", "$", "map<string, string>")[name]
+    return lake.read(spark, root).select("event_id", odd.alias("odd"), "plain").crossJoin(F.broadcast(counted))
+
+
+def _foldered(spark: SparkSession, sf_dir: str, **layout) -> DataFrame:
+    """Rows of a lake without key=value folders, by the folder that the catalogue has and by what a reader gives."""
+    base = work_folder(spark, "folders")
+    events = view(spark, sf_dir, "events")
+    events.select(F.to_json(F.struct("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"))).alias("value")).write.option("compression", "gzip").text(f"{base}/in")
+    pack.pack(spark, f"{base}/in", f"{base}/out", "t1", "events", ending=r"\.gz$", limit=50_000, **layout)
+    root = f"{base}/out/t1/events"
+    kept = lake.files(spark, root).groupBy(F.regexp_replace("partition", "/_part=.*", "").alias("folder")).agg(F.sum("n_rows").alias("n_stored"))
+    pattern = "yyyy/MM/dd" if "scheme" in layout else "'t1/'yyyy-MM"
+    return lake.read(spark, root).groupBy(F.date_format("_event_ts", pattern).alias("folder")).agg(F.count("*").alias("n"), F.sum("event_id").alias("ids")).join(kept, "folder", "full_outer")
+
+
+@query("select strftime(ts, '%Y/%m/%d') as folder, count(*) as n, cast(sum(event_id) as bigint) as ids, count(*) as n_stored from events group by 1")
+def pack_date_layout(spark, sf_dir):
+    return _foldered(spark, sf_dir, scheme="date")
+
+
+@query("select 't1/' || strftime(ts, '%Y-%m') as folder, count(*) as n, cast(sum(event_id) as bigint) as ids, count(*) as n_stored from events group by 1")
+def pack_template(spark, sf_dir):
+    return _foldered(spark, sf_dir, template="{tenant}/{year}-{month}")
+
+
+@query("""select count(*) as n, true as fewer, (select count(*) from events where event_id between 100 and 120) as n_between, true as fewer_between
+          from events where ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-07'""")
+def lake_skipping(spark, sf_dir):
+    """Bounds on event times and numbers open only the files whose catalogue rows may match."""
+    base = work_folder(spark, "skip")
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp")
+    root = _lines(spark, sf_dir, base, ("event_id <= 500", "event_id", stamp), ("event_id > 500", "event_id", stamp))
+    every = len(lake.read(spark, root).inputFiles())
+    times, numbers = lake.read(spark, root, since="2024-01-05", until="2024-01-07"), lake.read(spark, root, between={"event_id": (100, 120)})
+    facts = [rows.agg(F.count("*").alias(n)).withColumn(f, F.lit(len(rows.inputFiles()) < every)) for rows, n, f in ((times, "n", "fewer"), (numbers, "n_between", "fewer_between"))]
+    return facts[0].crossJoin(facts[1])
+
+
+@query("""select field, type, n_changes, gone, n from (values ('event_id', 'bigint', 0::bigint, false, (select count(*) from events)),
+            ('x', 'double', 1::bigint, true, (select count(*) from events where event_id % 3 < 2)), ('y', 'string', 0::bigint, false, (select count(*) from events where event_id % 3 > 0))) t(field, type, n_changes, gone, n)""")
+def lake_field_log(spark, sf_dir):
+    """The log that packing keeps of fields that come, change their type and go, with how many values each has."""
+    y = F.col("event_type").alias("y")
+    root = _lines(spark, sf_dir, work_folder(spark, "log"), ("event_id % 3 = 0", "event_id", F.expr(_WHOLE.format("x"))), ("event_id % 3 = 1", "event_id", F.expr(_HALF.format("x")), y), ("event_id % 3 = 2", "event_id", y))
+    rows = lake.read(spark, root)
+    counts = rows.agg(*[F.count(c).alias(c) for c in ("event_id", "x", "y")]).unpivot([], ["event_id", "x", "y"], "field", "n")
+    return lake.field_log(spark, root).select("field", "type", "n_changes", "gone").join(counts, "field")
 
 
 @query("select event_id, event_type as size, user_id as day, event_id % 3 as upper, case when event_id % 2 = 0 then 'x' end as lower from events")
@@ -201,7 +303,19 @@ def stream_pack(spark, sf_dir):
     for check in ("check", "again"):  # the second query starts anew, with the numbers of the first
         sink = streams.pack_sink(f"{out}/lake", "t1", "events", limit=20_000)
         streams.run(streams.lines_of(spark, source, files_per_batch=2), f"{out}/{check}", sink).awaitTermination()
-    return spark.read.parquet(f"{out}/lake/t1/events/data").select("event_id", "event_type")
+    return lake.read(spark, f"{out}/lake/t1/events").select("event_id", "event_type")
+
+
+@query(f"select cast(event_id as bigint) as event_id, value ->> '$.event_type' as event_type from {_VALID} v")
+def stream_two_sources(spark, sf_dir):
+    """Two streams and a run feed one lake; a stream that lost its checkpoint and takes other batches, and a run over what it packed, add nothing."""
+    source, out = _named(spark, sf_dir)
+    ways = ((f"{source}/deal=[012]", "first", 2), (f"{source}/deal=[345]", "second", 3), (f"{source}/deal=[012]", "lost", 1))
+    for path, check, files in ways:
+        sink = streams.pack_sink(f"{out}/lake", "t1", "events")
+        streams.run(streams.lines_of(spark, path, files_per_batch=files), f"{out}/{check}", sink).awaitTermination()
+    pack.pack(spark, source, f"{out}/lake", "t1", "events", ending=r"\.gz$")
+    return lake.read(spark, f"{out}/lake/t1/events").select("event_id", "event_type")
 
 
 @query(f"select {FILES} as n_batches, (select count(*) from raw_lines) as n_lines")

@@ -10,8 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-_SPARK = {"stamp": "date_format({0}, \"yyyy-MM-dd'T'HH:mm:ss\")", "day": "date_format({0}, 'yyyy-MM-dd')", "secs": "unix_seconds(cast({0} as timestamp))", "div": "({0} div {1})", "ts": "cast({0} as timestamp_ntz)"}
-_DUCK = {"stamp": "strftime({0}, '%Y-%m-%dT%H:%M:%S')", "day": "strftime({0}, '%Y-%m-%d')", "secs": "cast(floor(epoch({0})) as bigint)", "div": "({0} // {1})", "ts": "cast({0} as timestamp)"}
+_SPARK = {"stamp": "date_format({0}, \"yyyy-MM-dd'T'HH:mm:ss\")", "day": "date_format({0}, 'yyyy-MM-dd')", "secs": "unix_seconds(cast({0} as timestamp))", "days": "datediff(cast({0} as date), date '2024-01-01')", "div": "({0} div {1})", "ts": "cast({0} as timestamp_ntz)"}
+_DUCK = {"stamp": "strftime({0}, '%Y-%m-%dT%H:%M:%S')", "day": "strftime({0}, '%Y-%m-%d')", "secs": "cast(floor(epoch({0})) as bigint)", "days": "datediff('day', date '2024-01-01', cast({0} as date))", "div": "({0} // {1})", "ts": "cast({0} as timestamp)"}
 
 #: name: (tables it reads, SELECT).
 VIEWS = {
@@ -50,8 +50,9 @@ VIEWS = {
         from lineitem"""),
     "fields": (["events"], """
         select distinct concat('f', @day(ts)) as file, cast(k as int) as pos,
-               case cast(k as int) when 0 then 'event-id' when 1 then 'Event_Id_1' when 2 then concat('col_', cast(event_id % 6 as string)) else event_type end as name,
-               case when cast(k as int) = 2 and event_id % 12 > 5 then 'double' else 'bigint' end as type
+               case cast(k as int) when 0 then 'event-id' when 1 then 'Event_Id_1' when 2 then concat('col_', cast(@days(ts) % 6 as string))
+                                   else concat(event_type, case when @days(ts) % 10 > 6 then '-2' else '' end) end as name,
+               case when cast(k as int) = 2 and event_id % 12 > 5 then 'double' when cast(k as int) > 0 and @days(ts) % 9 > 5 then 'string' else 'bigint' end as type
         from events cross join (select 0 as k union all select 1 union all select 2 union all select 3) as n"""),
 }
 

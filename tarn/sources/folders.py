@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -29,3 +30,46 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = work_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def plain_path(path: Column, encoded: bool = False) -> Column:
+    """A path as one text however Spark lists it: no ``file:`` in front; ``encoded`` for URIs, whose %20 are blanks."""
+    if encoded:
+        path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def _store(spark: SparkSession, path: str):
+    """Hadoop's file system and path object of a path, whatever its store."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, where = _store(spark, path)
+    return store.exists(where)
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a path; none if it doesn't exist."""
+    store, where = _store(spark, path)
+    return sorted(f.getPath().getName() for f in store.listStatus(where) if f.isDirectory()) if store.exists(where) else []
+
+
+def moved(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a folder; the folders above the new name are made. The new name must be free."""
+    store, where = _store(spark, source)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    store.mkdirs(to.getParent())
+    if store.exists(to) or not store.rename(where, to):
+        raise OSError(f"can't move {source} to {target}")
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    store, where = _store(spark, path)
+    store.delete(where, True)
+
+
+def without_globs(path: str) -> str:
+    """A path for Spark's readers, whose glob characters stand for themselves."""
+    return "".join(f"\\{c}" if c in "\\*?[]{}" else c for c in path)

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from tarn.operators import pack
 from tarn.sources import ndjson
+from tarn.sources.folders import plain_path
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -24,7 +25,7 @@ def lines_of(spark: SparkSession, source: str, files_per_batch: int | None = Non
     for name, value in options.items():
         if value is not None:
             reader = reader.option(name, value)
-    return reader.load(source).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
+    return reader.load(source).select("value", plain_path(F.col("_metadata.file_path"), encoded=True).alias("path"), F.col("_metadata.file_size").alias("size"))
 
 
 def run(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], interval: str | None = None):
@@ -34,18 +35,17 @@ def run(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], Non
 
 
 def pack_sink(lake: str, tenant: str, dataset: str, **options) -> Callable[[DataFrame, int], None]:
-    """Packs every batch of lines (value, path) into a lake as ``pack`` does, in folders of the batch's number.
+    """Packs every batch of lines (value, path, size) into a lake as ``pack`` does; see ``pack_lines``.
 
-    A batch that runs again replaces what it left, or does nothing if it has ended.
+    A batch is known by its files, not by the stream's number for it: streams
+    over different sources may feed one lake, a stream whose checkpoint is lost
+    starts anew and packs nothing twice, and what a stream packed no later
+    ``pack`` of its source takes again.
     """
-    how, root = pack.Options(**options), f"{lake.rstrip('/')}/{tenant}/{dataset}"
+    how = pack.Options(**options)
 
     def each(batch: DataFrame, number: int) -> None:
-        spark, name = batch.sparkSession, f"s-{number:010d}"
-        if pack.committed(spark, root, name):
-            return
-        pack.commit(spark, root, name, tenant, dataset, 0, pack.publish(batch, name, root, tenant, dataset, how))
-        pack.summarised(spark, root, how.metadata_level)
+        pack.pack_lines(batch, lake, tenant, dataset, how)
 
     return each
 
