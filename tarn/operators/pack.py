@@ -189,7 +189,7 @@ def publish(lines: DataFrame, batch: str, root: str, tenant: str, dataset: str,
         columns = {names[-1]: (column, kind) for _, _, column, kind, _, names in [*fields, *absent]}
         record = F.col("record")
         casts = [schema.cast_path(record, path, kind).alias(names[-1]) for _, path, _, kind, _, names in [*fields, *absent]]
-        rest = schema.misfits(record, [(field, path, kind) for field, path, _, kind, *_ in fields], [field for field, path, _ in found if path is None], options.flatten is not None)
+        rest = schema.misfits(record, [(field, path, kind) for field, path, _, kind, *_ in fields], [field for field, path, _ in found if path is None])
         times = records.withColumns({"_event_ts": event_time(record), "_bytes": F.octet_length("value").cast("long")})
         keys = {"_folder": lake.folder_path(options.scheme, options.template, tenant, dataset, F.col("_event_ts"))} if options.keyless else layout.partition_columns(options.scheme, F.col("_event_ts"))
         if valid:
@@ -256,7 +256,9 @@ def intend(files: DataFrame, root: str) -> str | None:
         if found is None:
             return None
         batch = f"b-{found.tree_hash[:32]}"
-        files.coalesce(1).write.mode("overwrite").parquet(f"{root}/_catalog/consumed/_batch={batch}")
+        path = f"{root}/_catalog/consumed/_batch={batch}"
+        if not exists(files.sparkSession, f"{path}/_SUCCESS"):  # else the same files were written down before
+            files.coalesce(1).write.mode("overwrite").parquet(path)
         return batch
     finally:
         files.unpersist()
@@ -311,6 +313,16 @@ def pack(
     return done
 
 
+def pack_files(files: DataFrame, lake_: str, tenant: str, dataset: str, how: Options) -> str | None:
+    """Packs some files (path, length) as one batch, but for those that an ended batch has; gives its name, None if nothing is left."""
+    spark, root = files.sparkSession, f"{lake_.rstrip('/')}/{tenant}/{dataset}"
+    lake.summarised(spark, root, how.metadata_level)
+    batch = intend(unconsumed(files, lake.consumed(spark, root)), root)
+    if batch is not None:
+        _finish(spark, root, batch, tenant, dataset, how)
+    return batch
+
+
 def pack_lines(lines: DataFrame, lake_: str, tenant: str, dataset: str, how: Options) -> str | None:
     """Packs lines (value, path, size) of whole files, such as a stream's batch; files that an ended batch has are left out.
 
@@ -322,14 +334,13 @@ def pack_lines(lines: DataFrame, lake_: str, tenant: str, dataset: str, how: Opt
     lake.summarised(spark, root, how.metadata_level)
     lines = lines.persist()
     try:
-        files = unconsumed(lines.select("path", F.col("size").alias("length")).distinct(), lake.consumed(spark, root)).persist()
-        batch = intend(files, root)
+        batch = intend(unconsumed(lines.select("path", F.col("size").alias("length")).distinct(), lake.consumed(spark, root)), root)
         if batch is None:
             return None
+        files = spark.read.schema("path string, length long").parquet(f"{root}/_catalog/consumed/_batch={batch}")
         mine = lines.withColumnRenamed("size", "length").join(files, ["path", "length"], "left_semi")
         done = publish(mine, batch, root, tenant, dataset, how)
         commit(spark, root, batch, tenant, dataset, files.count(), done)
-        files.unpersist()
     finally:
         lines.unpersist()
     summarised(spark, root, how.metadata_level)

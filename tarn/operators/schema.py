@@ -116,22 +116,24 @@ def json_path_or_none(name: str) -> str | None:
     return None if "'" in name and '"' in name else json_path(name)
 
 
-def misfits(record: Column, columns: list[tuple[str, str, str]], unaddressed: list[str], deep: bool = False) -> Column:
+def misfits(record: Column, columns: list[tuple[str, str, str]], unaddressed: list[str]) -> Column:
     """What the columns (field, path, kind) of a record don't hold, as a VARIANT object by field; null if they hold all.
 
-    That is a value which its cast makes null, a number with more digits than
-    a double has, and the fields that have no address (with ``deep``, the
-    whole top-level field that one stands in).
+    Kinds are those of all values of a field (``common_kind``), so whole
+    numbers, booleans, timestamps and texts always fit. What is left is a list
+    whose cast is null, a number with more digits than a double has, and the
+    top-level fields ``unaddressed``.
     """
     parts = []
     for field, path, kind in columns:
-        if kind == "string":
-            continue  # holds anything
+        if kind != "double" and not kind.startswith("array"):
+            continue
         value = F.try_variant_get(record, path, "variant")
         own = F.schema_of_variant(value)
-        lost = (own != "VOID") & cast_path(record, path, kind).isNull()
-        if kind == "double":
-            lost = lost | ((own == "BIGINT") & (F.abs(value.try_cast("bigint")) > (1 << 53))) | own.rlike(r"^DECIMAL\((1[89]|[2-9][0-9]),")
+        if kind != "double":
+            lost = (own != "VOID") & cast_path(record, path, kind).isNull()
+        else:
+            lost = ((own == "BIGINT") & (F.abs(value.try_cast("bigint")) > (1 << 53))) | own.rlike(r"^DECIMAL\((1[89]|[2-9][0-9]),")
         parts.append(F.when(lost, F.struct(F.lit(field).alias("key"), value.alias("value"))))
     found = F.array_compact(F.array(*parts)) if parts else None
     if unaddressed:
@@ -146,20 +148,21 @@ def cast_path(record: Column, path: str, kind: str) -> Column:
     """The value at a path as a type; null if it is absent or isn't of that type (true is no number, text is none)."""
     value = F.try_variant_get(record, path, "variant")
     text, own = value.try_cast("string"), F.schema_of_variant(value)  # only what the type needs is asked; texts are matched for timestamps alone
-    decimal = own.startswith("DECIMAL")
-    casts = {
-        "bigint": F.when(own == "BIGINT", value.try_cast("bigint")),
-        "double": F.when(own.isin("BIGINT", "DOUBLE") | decimal, value.try_cast("double")),
-        "boolean": F.when(own == "BOOLEAN", value.try_cast("boolean")),
-        "timestamp": F.when(own == "STRING", narrow(text)),
-        "array": F.when(own.startswith("ARRAY"), F.try_variant_get(record, path, "array<string>")),
-        "string": F.when(own == "STRING", text).when(own != "VOID", F.to_json(value)),
-    }
-    if kind.startswith("array<"):
-        elements = {"array<bigint>": ["BIGINT"], "array<double>": ["BIGINT", "DOUBLE"], "array<boolean>": ["BOOLEAN"]}[kind]
-        fits = own.isin(*[f"ARRAY<{e}>" for e in (*elements, "VOID")])
-        return F.when(fits | own.startswith("ARRAY<DECIMAL") if "DOUBLE" in elements else fits, F.try_variant_get(record, path, kind))
-    return casts[kind]
+    if kind == "bigint":
+        return F.when(own == "BIGINT", value.try_cast("bigint"))
+    if kind == "double":
+        return F.when(own.isin("BIGINT", "DOUBLE") | own.startswith("DECIMAL"), value.try_cast("double"))
+    if kind == "boolean":
+        return F.when(own == "BOOLEAN", value.try_cast("boolean"))
+    if kind == "timestamp":
+        return F.when(own == "STRING", narrow(text))
+    if kind == "string":
+        return F.when(own == "STRING", text).when(own != "VOID", F.to_json(value))
+    if kind == "array":
+        return F.when(own.startswith("ARRAY"), F.try_variant_get(record, path, "array<string>"))
+    elements = {"array<bigint>": ["BIGINT"], "array<double>": ["BIGINT", "DOUBLE"], "array<boolean>": ["BOOLEAN"]}[kind]
+    fits = own.isin(*[f"ARRAY<{e}>" for e in (*elements, "VOID")])
+    return F.when(fits | own.startswith("ARRAY<DECIMAL") if "DOUBLE" in elements else fits, F.try_variant_get(record, path, kind))
 
 
 def cast_field(record: Column, name: str, kind: str) -> Column:

@@ -400,6 +400,44 @@ def stream_flush_state(spark, sf_dir):
     return counted.groupBy("dataset").agg(F.sum("bytes").alias("flushed_or_waiting"), F.sum("files").alias("files"))
 
 
+@query("select event_type as dataset, count(*) as n, cast(sum(event_id) as bigint) as ids, true as exact from events group by 1")
+def stream_flush_pack(spark, sf_dir):
+    """Files wait in state until a dataset has enough; the lake then holds exactly the flushed files, and those that wait are the rest."""
+    base = work_folder(spark, "flush")
+    deals = 5
+    lines = view(spark, sf_dir, "events").select(F.to_json(F.struct("event_id", "event_type")).alias("value"), F.col("event_type").alias("dataset"), (F.col("event_id") % deals).alias("deal"))
+    lines.repartition(deals, "deal").write.partitionBy("deal", "dataset").option("compression", "gzip").text(f"{base}/in")
+    name = F.regexp_extract("path", "dataset=([^/]+)", 1)
+    listed = ndjson.list_files(spark, f"{base}/in", r"\.gz$").select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length", name.alias("dataset"))
+    threshold = listed.agg(F.max("length") * 2).first()[0]  # two to three files a flush
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", streams.ROCKS)
+    try:
+        let_go = streams.flushed(streams.files_of(spark, f"{base}/in", name, files_per_batch=10), threshold)
+        sink = streams.flush_sink(f"{base}/lake", "t1")
+
+        def each(batch: DataFrame, number: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{base}/log/batch={number}")
+            sink(batch, number)
+
+        state = let_go.writeStream.outputMode("update").option("checkpointLocation", f"{base}/check").foreachBatch(each)
+        state.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    log = spark.read.schema(f"{streams.FLUSHED}, batch int").parquet(f"{base}/log")
+    packed = None
+    for dataset in [r.dataset for r in log.select("dataset").distinct().collect()]:
+        root = f"{base}/lake/t1/{dataset}"
+        same = lake.consumed(spark, root).join(log.where(F.col("dataset") == dataset).select("path", "length"), ["path", "length"], "full_outer").count() == log.where(F.col("dataset") == dataset).count()
+        rows = lake.read(spark, root).select("event_id", F.col("event_type").alias("dataset"), F.lit(same).alias("exact"))
+        packed = rows if packed is None else packed.unionAll(rows)
+    waiting = listed.join(log, "path", "left_anti")
+    rest = spark.read.text(f"{base}/in").select(F.from_json("value", "event_id long, event_type string").alias("x"), F.regexp_replace("_metadata.file_path", "^file:/+", "/").alias("path")).join(waiting, "path")
+    rest = rest.select("x.event_id", F.col("x.event_type").alias("dataset"), F.lit(True).alias("exact"))
+    every = rest if packed is None else packed.unionAll(rest)
+    return every.groupBy("dataset").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"), F.min("exact").alias("exact"))
+
+
 @query("select 0 as left_over, (select count(*) from raw_lines) as n_lines")
 def stream_source_clean(spark, sf_dir):
     """Files leave the source once a later batch has been committed."""

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import threading
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 
@@ -136,6 +136,84 @@ class Accumulator(StatefulProcessor):
         pass
 
 
+class Holder(StatefulProcessor):
+    """Holds the files of a dataset until they are large enough together or the first has waited long enough, and lets all go at once.
+
+    The files wait in list state, beside their sum and the timer in value state.
+    Nothing is let go twice: what leaves goes from the state in the same step.
+    """
+
+    def __init__(self, threshold: int, seconds: int | None = None):
+        self.threshold, self.seconds = threshold, seconds
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "path string, length long")
+        self.sum = handle.getValueState("sum", "bytes long, flushes long, timer long")
+
+    def _flushed(self, key, reason: str) -> pd.DataFrame:
+        _, flushes, timer = self.sum.get()
+        rows = list(self.waiting.get())
+        self.waiting.clear()
+        if timer and reason == "size":
+            self.handle.deleteTimer(timer)
+        self.sum.update((0, flushes + 1, 0))
+        return pd.DataFrame({"dataset": [key[0]] * len(rows), "path": [r[0] for r in rows], "length": [r[1] for r in rows], "flush": [flushes + 1] * len(rows), "reason": [reason] * len(rows)})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        size, flushes, timer = self.sum.get() if self.sum.exists() else (0, 0, 0)
+        for frame in rows:
+            new = [(str(p), int(n)) for p, n in zip(frame["path"], frame["length"])]  # noqa: B905
+            self.waiting.appendList(new)
+            size += sum(n for _, n in new)
+        if self.seconds is not None and not timer:  # from the first file that waits
+            timer = timerValues.getCurrentProcessingTimeInMs() + self.seconds * 1000
+            self.handle.registerTimer(timer)
+        self.sum.update((size, flushes, timer))
+        if size >= self.threshold:
+            yield self._flushed(key, "size")
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        if self.waiting.exists():
+            yield self._flushed(key, "time")
+
+    def close(self) -> None:
+        pass
+
+
+FLUSHED = "dataset string, path string, length long, flush long, reason string"
+
+
+def files_of(spark: SparkSession, source: str, dataset: Column, files_per_batch: int | None = None) -> DataFrame:
+    """New files as a stream: dataset (an expression over ``path``), path and length; contents aren't read."""
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("recursiveFileLookup", True)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.load(source).select(dataset.alias("dataset"), plain_path(F.col("path")).alias("path"), "length")
+
+
+def flushed(files: DataFrame, threshold: int, seconds: int | None = None) -> DataFrame:
+    """The files of a stream (dataset, path, length) that are let go, with the number of the flush and its reason; needs the RocksDB state store."""
+    mode = "None" if seconds is None else "ProcessingTime"
+    return files.groupBy("dataset").transformWithStateInPandas(Holder(threshold, seconds), outputStructType=FLUSHED, outputMode="Update", timeMode=mode)
+
+
+def flush_sink(lake: str, tenant: str, **options) -> Callable[[DataFrame, int], None]:
+    """Packs the files that a batch lets go, each flush of a dataset as one batch of its lake; a batch that runs again packs nothing twice."""
+    how = pack.Options(**options)
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        try:
+            for r in batch.select("dataset", "flush").distinct().orderBy("dataset", "flush").collect():  # a row a dataset that flushes just now
+                mine = batch.where(F.col("dataset").eqNullSafe(F.lit(r.dataset)) & (F.col("flush") == r.flush))
+                pack.pack_files(mine.select("path", "length"), lake, tenant, r.dataset, how)
+        finally:
+            batch.unpersist()
+
+    return each
+
+
 GATHERED = "dataset string, bytes long, files long, flush_count long, reason string"
 
 

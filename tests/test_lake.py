@@ -318,3 +318,161 @@ def test_the_rest_of_a_record_and_lost_values(spark):
     records = ndjson.records(lines)
     assert [r[0] for r in records.select(schema.rest(F.col("record"), ["a"])).collect()] == ['{"b":[1],"c":null}', None, '{"d":{"e":2.5}}']
     assert [tuple(r) for r in schema.cast_losses(records, [("a", "bigint"), ("c", "string")]).collect()] == [("a", "bigint", 3, 2), ("c", "string", 0, 0)]
+
+
+def test_common_kinds_are_those_of_the_lattice(spark):
+    kinds = ["null", "bigint", "double", "boolean", "string", "timestamp", "array", "array<null>", "array<bigint>", "array<double>", "array<boolean>"]
+    sets = [list(p) for n in (0, 1, 2, 3) for p in itertools.combinations(kinds, n)]
+    rows = spark.createDataFrame([(s,) for s in sets], "k array<string>").select("k", schema.reconciled(F.col("k")).alias("t")).collect()
+    assert all(schema.common_kind(r.k) == r.t for r in rows) and len(rows) == len(sets)
+
+
+def test_values_that_drift_are_all_kept(spark, tmp_path):
+    from tarn.operators import lake
+
+    source, out = tmp_path / "in", str(tmp_path / "lake")
+    root = f"{out}/t/d"
+    put(source, "1.ndjson.gz", '{"id":1,"a":7,"t":"2024-01-02T03:04:05Z","l":[1],"z":null,"a_v2":"taken"}')
+    assert pack.pack(spark, str(source), out, "t", "d").lost == 0
+    put(source, "2.ndjson.gz", '{"id":2,"a":1.5,"t":"soon","l":["x"],"z":4}', '{"id":3,"a":0.1234567890123456789}')
+    assert pack.pack(spark, str(source), out, "t", "d").lost == 1
+    put(source, "3.ndjson.gz", '{"id":4,"a":"text","l":5,"o\'d\\"d":{"x":[1]}}', "no record")
+    last = pack.pack(spark, str(source), out, "t", "d")
+    assert (last.valid, last.rejected, last.lost) == (1, 1, 1) and not pack.pack(spark, str(source), out, "t", "d").fresh
+    rows = {r.id: r.asDict() for r in lake.read(spark, root).select("*", F.to_json("_rest").alias("rest")).collect()}
+    assert [rows[k]["a"] for k in (1, 2, 3, 4)] == ["7", "1.5", "0.12345678901234568", "text"]
+    assert [rows[k]["t"] for k in (1, 2, 3)] == ["2024-01-02T03:04:05.000Z", "soon", None] and [rows[k]["l"] for k in (1, 2, 4)] == ["[1]", '["x"]', "5"]
+    assert rows[1]["a_v2"] == "taken" and rows[2]["z"] == 4 and rows[1]["z"] is None
+    assert [json.loads(rows[k]["rest"] or "null") for k in (1, 3, 4)] == [None, {"a": 0.1234567890123456789}, {"o'd\"d": {"x": [1]}}]
+    log = {r.field: r for r in lake.field_log(spark, root).collect()}
+    assert (log["a"].type, log["a"].n_changes, log["a"].gone, list(log["a"].names)) == ("string", 2, False, ["a", "a_v2_", "a_v3"])
+    assert log["z"].type == "bigint" and log["t"].gone and (log["t"].first_seq, log["t"].last_seq) == (1, 2)
+    assert spark.read.option("mergeSchema", True).parquet(f"{root}/data").count() == 4  # no column has two types
+
+
+def lines_at(spark, source):
+    from tarn.streaming import streams
+
+    return lambda path, check, sink, **o: streams.run(streams.lines_of(spark, str(path), **o), f"{source}/{check}", sink).awaitTermination()
+
+
+@pytest.mark.parametrize("stop", STOPS)
+def test_a_stream_that_stops_anywhere_leaves_every_record_once(spark, tmp_path, monkeypatch, stop):
+    from pyspark.errors import StreamingQueryException
+
+    from tarn.operators import lake
+    from tarn.streaming import streams
+
+    source, out = tmp_path / "in a+b%20", str(tmp_path / "lake")
+    put(source, "a.ndjson.gz", *[f'{{"n":{k}}}' for k in range(10)])
+    owner, own = (pack.ndjson, pack.ndjson.classified) if stop == "classified" else (pack, getattr(pack, stop))
+
+    def broken(*args, **kwargs):
+        if stop in ("write_parts", "commit", "summarised"):
+            own(*args, **kwargs)
+        raise RuntimeError("stopped")
+
+    run, sink = lines_at(spark, tmp_path), streams.pack_sink(out, "t", "d")
+    monkeypatch.setattr(owner, stop, broken)
+    with pytest.raises(StreamingQueryException):
+        run(source, "check", sink)
+    assert len(lake.read(spark, f"{out}/t/d").collect()) == (10 if stop in ("commit", "summarised") else 0)
+    monkeypatch.setattr(owner, stop, own)
+    put(source, "b.ndjson.gz", '{"n":10}')
+    run(source, "lost-check" if stop == "catalogued" else "check", sink, files_per_batch=1)
+    assert not pack.pack(spark, str(source), out, "t", "d").valid  # what a stream packed is consumed, and what it left is over
+    assert sorted(r.n for r in lake.read(spark, f"{out}/t/d").collect()) == list(range(11))
+    assert {r.file_count for r in lake.partition_totals(spark, f"{out}/t/d").collect()} == {2}
+
+
+def test_reading_by_the_catalogue(spark, tmp_path):
+    from tarn.operators import lake
+
+    source, out = tmp_path / "in", str(tmp_path / "lake")
+    put(source, "a.ndjson.gz", *[f'{{"timestamp":"2024-01-{k:02d}","n":{k}}}' for k in range(1, 21)], '{"n":99}')
+    for layout_ in ({}, {"scheme": "date"}, {"template": "{dataset}/{year}/{month}{day}"}, {"scheme": "none", "metadata_level": "root"}):
+        name = "-".join(layout_) or "hive"
+        root = f"{out}/{name}/d"
+        pack.pack(spark, str(source), out, name, "d", limit=100, **layout_)
+        rows = lake.read(spark, root)
+        assert sorted(r.n for r in rows.collect()) == [*range(1, 21), 99]
+        some = lake.read(spark, root, since=datetime(2024, 1, 3), until="2024-01-05")
+        assert sorted(r.n for r in some.collect()) == [3, 4] and len(some.inputFiles()) <= 4 < len(rows.inputFiles())
+        few = lake.read(spark, root, between={"n": (19, 98)})
+        assert sorted(r.n for r in few.collect()) == [19, 20] and len(few.inputFiles()) < len(rows.inputFiles())
+        assert lake.read(spark, root, since="2030-01-01").count() == 0
+    folders = {r.partition.split("/_part")[0] for r in lake.files(spark, f"{out}/scheme/d").collect()}
+    assert folders == {*(f"2024/01/{k:02d}" for k in range(1, 21)), "undated"}
+    assert lake.read(spark, f"{out}/nothing/d").count() == 0
+
+
+def test_summaries_grow_by_what_is_touched(spark, tmp_path, monkeypatch):
+    from tarn.operators import lake
+
+    source, out = tmp_path / "in", tmp_path / "lake"
+    root = out / "t/d"
+    put(source, "a.ndjson.gz", '{"timestamp":"2024-01-02","n":1}', '{"timestamp":"2024-01-03","n":2}')
+    pack.pack(spark, str(source), str(out), "t", "d")
+    before = {p: p.stat().st_mtime_ns for p in (root / "_catalog/partitions").rglob("*.parquet")}
+    put(source, "b.ndjson.gz", '{"timestamp":"2024-01-03","n":3}', '{"timestamp":"2024-01-04","n":4}')
+    monkeypatch.setattr(lake, "DOCUMENT", 1)
+    pack.pack(spark, str(source), str(out), "t", "d")
+    after = {p: p.stat().st_mtime_ns for p in (root / "_catalog/partitions").rglob("*.parquet")}
+    assert len(set(before) & set(after)) == 1 and len(after) == 3  # the day that wasn't touched
+    totals = {r.partition[:28]: (r.file_count, r.total_rows) for r in lake.partition_totals(spark, str(root)).collect()}
+    assert totals == {"year=2024/month=01/day=02/_p": (1, 1), "year=2024/month=01/day=03/_p": (2, 2), "year=2024/month=01/day=04/_p": (1, 1)}
+    lake._summarised(spark, str(root), "leaf", *lake.ended(spark, str(root)).where("seq = 2").select("_batch", "seq").first())  # once more changes nothing
+    assert {r.partition[:28]: (r.file_count, r.total_rows) for r in lake.partition_totals(spark, str(root)).collect()} == totals
+    assert sum(json.loads(r.document)["num_rows"] for r in spark.read.parquet(f"{root}/_catalog/summaries").collect()) == 4
+
+
+def test_tree_hash_is_that_of_a_set(spark):
+    rows = [("g", f"p{k}", k) for k in range(500)] + [("h", "p1", 1)]
+    a = {r.g: r.tree_hash for r in catalog.tree_hash(spark.createDataFrame(rows, "g string, path string, size long"), ["g"]).collect()}
+    b = {r.g: r.tree_hash for r in catalog.tree_hash(spark.createDataFrame(rows[::-1], "g string, path string, size long").repartition(5), ["g"]).collect()}
+    c = {r.g: r.tree_hash for r in catalog.tree_hash(spark.createDataFrame([("g", "p0", 1), *rows[1:]], "g string, path string, size long"), ["g"]).collect()}
+    assert a == b and a["g"] != c["g"] and a["h"] == c["h"]
+
+
+class Listed(Handle):
+    """List state beside the value state of ``Handle``."""
+
+    def __init__(self):
+        super().__init__()
+        self.rows = []
+
+    def getListState(self, name, schema):  # noqa: N802
+        owner = self
+
+        class State:
+            def exists(self):
+                return bool(owner.rows)
+
+            def get(self):
+                return iter(owner.rows)
+
+            def appendList(self, rows):  # noqa: N802
+                owner.rows.extend(rows)
+
+            def clear(self):
+                owner.rows = []
+
+        return State()
+
+
+def test_files_wait_until_a_flush():
+    import pandas as pd
+
+    from tarn.streaming import streams
+
+    handle, state = Listed(), streams.Holder(100, 60)
+    state.init(handle)
+    fed = lambda names, size, now: list(state.handleInputRows(("d",), iter([pd.DataFrame({"path": names, "length": [size] * len(names)})]), Clock(now)))
+    assert fed(["a"], 40, 0) == [] and handle.timers == {60_000}
+    (out,) = fed(["b", "c"], 40, 30_000)
+    assert list(out.path) == ["a", "b", "c"] and set(out.flush) == {1} and set(out.reason) == {"size"} and handle.timers == set() and handle.rows == []
+    assert fed(["d"], 10, 40_000) == [] and handle.timers == {100_000}
+    handle.timers.clear()
+    (late,) = state.handleExpiredTimer(("d",), Clock(100_000), None)
+    assert list(late.path) == ["d"] and list(late.reason) == ["time"] and list(late.flush) == [2]
+    assert list(state.handleExpiredTimer(("d",), Clock(200_000), None)) == []
