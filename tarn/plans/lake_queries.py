@@ -409,7 +409,7 @@ def stream_flush_pack(spark, sf_dir):
     lines.repartition(deals, "deal").write.partitionBy("deal", "dataset").option("compression", "gzip").text(f"{base}/in")
     name = F.regexp_extract("path", "dataset=([^/]+)", 1)
     listed = ndjson.list_files(spark, f"{base}/in", r"\.gz$").select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length", name.alias("dataset"))
-    threshold = listed.agg(F.max("length") * 2).first()[0]  # two to three files a flush
+    threshold = listed.agg(F.max("length") * 3).first()[0]  # three files or more a flush
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", streams.ROCKS)
     try:
