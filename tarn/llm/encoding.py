@@ -6,6 +6,9 @@ the vocabulary is. In texts with other characters a chunk is what stands
 between white space, with one space before it where the vocabulary keeps
 spaces; no pre-token crosses such a border. Texts with unusual white space or
 separators go to the tokenizer whole.
+
+A process remembers short chunks up to a number of bytes, then starts anew;
+long ones (whole texts among them) are encoded where they stand and forgotten.
 """
 
 from __future__ import annotations
@@ -15,8 +18,10 @@ import re
 
 import numpy as np
 
-#: Distinct chunks that a process remembers; then it starts anew.
-REMEMBERED = 1_000_000
+#: Bytes of chunks, their places and their ids that a process remembers, about; then it starts anew.
+REMEMBERED = 192 << 20
+#: Characters of a chunk that is remembered, at most; and bytes that one takes in Python besides its text and ids.
+SHORT, ENTRY = 64, 180
 #: Characters of texts that are split into chunks at once.
 AT_ONCE = 2_000_000
 UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff]")
@@ -51,7 +56,19 @@ class Encoder:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.starts, self.lengths, self.ids = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32))
+        self.held, self.size, self.n_ids = 0, 0, 0
+        self.starts, self.lengths, self.ids = (np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int32), np.zeros(1 << 12, np.uint32))
+
+    def _append(self, lengths: np.ndarray, ids: np.ndarray) -> None:
+        """Chunks' ids at the end of what is held; the arrays grow by doubling."""
+        size, n_ids = self.size + len(lengths), self.n_ids + len(ids)
+        while size > len(self.starts):
+            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
+        if n_ids > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), n_ids - len(self.ids)), np.uint32)])
+        self.starts[self.size : size] = self.n_ids + np.cumsum(lengths) - lengths
+        self.lengths[self.size : size], self.ids[self.n_ids : n_ids] = lengths, ids
+        self.size, self.n_ids = size, n_ids
 
     def split(self, text: str) -> list[str]:
         if not OTHER.search(text):
@@ -61,34 +78,44 @@ class Encoder:
         chunks = SPACED.findall(text) if self.keeps_spaces else text.split()
         return [c for chunk in chunks for c in ([chunk] if OTHER.search(chunk) else self.split(chunk))]
 
-    def learn(self, chunks: list[str]) -> None:
-        """Encodes new chunks: Latin pre-tokens by the model alone, others with all that goes before it."""
+    def learn(self, chunks: list[str], known: dict[str, int]) -> None:
+        """Encodes new chunks: Latin pre-tokens by the model alone, others with all that goes before it; ``known`` gets their places."""
         other = [c for c in chunks if OTHER.search(c)]
         latin = list(set(chunks).difference(other)) if other else chunks
         new = [e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]
         tokenize = self.tokenizer.model.tokenize
         new += [[t.id for t in tokenize(c.encode().decode("latin-1").translate(LETTERS))] for c in latin]
-        chunks = other + latin
         lengths = np.fromiter(map(len, new), np.int64, len(new))
-        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks))))  # noqa: B905
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in new for i in x), np.uint32, int(lengths.sum()))])
+        known.update(zip(other + latin, range(self.size, self.size + len(new))))  # noqa: B905
+        self._append(lengths, np.fromiter((i for x in new for i in x), np.uint32, int(lengths.sum())))
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > self.remembered:
+        if self.held > self.remembered:
             self.forget()
         parts = [self.split(t) for t in texts]
         chunks = [c for p in parts for c in p]
-        if new := [c for c in set(chunks) if c not in self.known]:
-            self.learn(new)
-        at = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
-        lengths = self.lengths[at]
+        new = [c for c in set(chunks) if c not in self.known]
+        short, long = [c for c in new if len(c) <= SHORT], [c for c in new if len(c) > SHORT]
+        if short:
+            before = self.n_ids
+            self.learn(short, self.known)
+            self.held += ENTRY * len(short) + 2 * sum(map(len, short)) + 4 * (self.n_ids - before)
+        size, n_ids, places = self.size, self.n_ids, self.known
+        if long:
+            passing: dict[str, int] = {}
+            self.learn(long, passing)
+            at = np.fromiter((passing[c] if len(c) > SHORT else places[c] for c in chunks), np.int64, len(chunks))
+        else:
+            at = np.fromiter(map(places.__getitem__, chunks), np.int64, len(chunks))
+        lengths = self.lengths[at].astype(np.int64)
         ends = np.cumsum(lengths)
-        places = np.repeat(self.starts[at] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+        found = self.ids[np.repeat(self.starts[at] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        self.size, self.n_ids = size, n_ids  # long chunks are forgotten
+        if len(self.ids) > max(1 << 20, 4 * n_ids):
+            self.ids = self.ids[: max(n_ids, 1 << 12)].copy()
         last = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
         ends = np.concatenate([[0], ends])[last]
-        return self.ids[places], np.diff(ends, prepend=0)
+        return found, np.diff(ends, prepend=0)
 
     def __call__(self, texts: list[str | None]):
         """Yields (ids, number of ids of each text) for some texts after others."""

@@ -32,8 +32,8 @@ from .common import kept, pieces_of, ranked
 from .encoding import AT_ONCE, encoder, tokenizer_path
 
 ROOM = 2048
-#: Distinct chunks that a process remembers; fewer than elsewhere, as its memory stays in use by later stages.
-REMEMBERED = 400_000
+#: Bytes of chunks that a process remembers; fewer than elsewhere, as its memory stays in use by later stages.
+REMEMBERED = 80 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 

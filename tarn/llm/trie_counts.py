@@ -7,8 +7,9 @@ stores its token count. Each process keeps its trie from batch to batch and
 starts anew when it holds enough nodes, which is checked every few thousand
 words, and nothing is shuffled: a hot word costs one lookup wherever it stands.
 A word of over ``LONG`` characters doesn't join the trie: its forward scores
-are streamed, of which only as many are kept as a piece can be long. So memory
-is bounded whatever the texts are.
+are streamed, of which only as many are kept as a piece can be long, and it
+isn't remembered. Nodes and the bytes of remembered words are bounded, so
+memory is, whatever the texts are.
 
 The vocabulary's file orders pieces by rank and has no probabilities; a piece
 of rank r scores -log(r + 2), as under Zipf's law, and a byte of a character
@@ -33,6 +34,8 @@ from .encoding import tokenizer_path
 
 MARK = "▁"
 NODES = 2_000_000
+#: Bytes of remembered words, with what Python takes for each.
+WORD_BYTES, ENTRY = 96 << 20, 120
 #: Characters of a word beyond which it is streamed, and words after which the trie's size is looked at.
 LONG = 256
 AT_ONCE = 4096
@@ -59,7 +62,8 @@ class Trie:
     def start(self) -> None:
         self.children: dict[int, int] = {}  # by node and character
         self.forward, self.tokens = [0.0], [0]
-        self.words: dict[bytes, int] = {}  # of whole words, for the lookup
+        self.words: dict[bytes, int] = {}  # of whole words that aren't very long, for the lookup
+        self.held = 0
 
     def count(self, word: bytes) -> int:
         """Tokens of a word, which joins the trie if it isn't very long."""
@@ -87,7 +91,6 @@ class Trie:
             path.append(node)
         return tokens[node]
 
-
     def streamed(self, text: str) -> int:
         """Tokens of a word by forward scores of which the last few are kept."""
         keep, scores = self.longest, self.scores
@@ -117,11 +120,15 @@ def _counter(path: str, nodes: int):
                 words[k] = len(own)
                 for at in range(0, len(own), AT_ONCE):
                     some = own[at : at + AT_ONCE]
+                    passing: dict[bytes, int] = {}  # words too long to be remembered
                     for w in set(some):
-                        if w not in trie.words:
+                        if len(w) > LONG:
+                            passing[w] = trie.count(w)
+                        elif w not in trie.words:
                             trie.words[w] = trie.count(w)
-                    tokens[k] += sum(map(trie.words.__getitem__, some))
-                    if len(trie.forward) > nodes:
+                            trie.held += len(w) + ENTRY
+                    tokens[k] += sum(passing[w] if len(w) > LONG else trie.words[w] for w in some) if passing else sum(map(trie.words.__getitem__, some))
+                    if len(trie.forward) > nodes or trie.held > WORD_BYTES:
                         trie.start()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words), pa.array(tokens)], names=["doc_id", "n_words", "n_tokens"])
 

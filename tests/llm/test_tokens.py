@@ -38,6 +38,20 @@ def test_chunks_give_the_ids_of_whole_texts(name, keeps_spaces, monkeypatch):
     assert found == expected
 
 
+def test_unusual_texts_are_forgotten():
+    rng = random.Random(3)
+    texts = [f"{rng.random()}\u00a0" + " ".join(f"{rng.randrange(10**9)}" for _ in range(400)) for _ in range(300)]
+    e = Encoder(tokenizer_path("byte_bpe_50k.json"), True)
+    n = sum(len(ids) for ids, _ in e(texts))
+    assert n > 300_000 and len(e.known) == 0 and e.n_ids == 0 and len(e.ids) < 1 << 22
+    limit = Encoder(tokenizer_path("byte_bpe_50k.json"), True, 1 << 20)
+    most = 0
+    for _ in limit([" ".join(f"w{rng.randrange(10**9)}" for _ in range(2000)) for _ in range(200)] * 2):
+        most = max(most, limit.held)
+    assert most < (1 << 20) + 400 * encoding.AT_ONCE  # one stretch of texts beyond the limit at most
+    assert limit.held >= sum(map(len, limit.known)) + 4 * limit.n_ids
+
+
 def test_token_files_round_trip(spark):
     rows = [(i * 7 % 1009, t) for i, t in enumerate(texts())]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)

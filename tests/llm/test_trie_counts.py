@@ -39,3 +39,18 @@ def test_very_long_words_take_no_nodes():
     word = "unspaced🙂text" * 200
     assert trie.count(word.encode()) == brute(word, trie.scores, trie.byte_score)
     assert len(trie.forward) == 1
+
+
+def test_long_words_are_forgotten(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(trie_counts, "WORD_BYTES", 50_000)
+    path = tokenizer_path("piece_bpe_32k.model")
+    long = [f"{k:06d}" + "x" * 294 for k in range(500)]
+    texts = [" ".join(long), " ".join(long[:3] + ["the"]), " ".join(f"w{k}" for k in range(30_000))]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(texts)], names=["id", "text"])
+    (out,) = trie_counts._counter(path, 1 << 20)(iter([batch]))
+    trie = trie_counts._tries[path]
+    assert all(len(w) <= trie_counts.LONG for w in trie.words) and sum(map(len, trie.words)) <= trie.held <= 50_000 + 400 * trie_counts.AT_ONCE
+    fresh = Trie(*vocabulary(path))
+    assert out.column(2).to_pylist() == [sum(fresh.count(w.encode()) for w in t.split()) for t in texts]
