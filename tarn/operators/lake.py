@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarn.functions import layout
-from tarn.operators import catalog
+from tarn.operators import catalog, sketches
 from tarn.sources.folders import exists, folders_in, plain_path, removed
 
 CONSUMED = "path string, length long, _batch string"
@@ -247,6 +247,16 @@ def partition_totals(spark: SparkSession, root: str) -> DataFrame:
     return read_or_empty(spark, f"{root}/_catalog/partitions", TOTALS)
 
 
+def column_figures(spark: SparkSession, root: str, by: list[str] | None = None) -> DataFrame:
+    """Distinct values and quantiles of the lake's stored columns, united from the sketches of its files (``sketches`` of ``pack.Options``).
+
+    ``by`` are columns of ``files``, such as ``partition``.
+    """
+    kept = spark.read.parquet(f"{root}/_catalog/sketches").drop("_batch")
+    rows = kept.join(files(spark, root).select("path", *(by or [])), "path")
+    return sketches.estimated(sketches.united(rows, by or []))
+
+
 def folder_path(scheme: str, template: str | None, tenant: str, dataset: str, time: Column) -> Column:
     """The folder of a time for layouts without keys: the ``date`` scheme's, or a template's; ``undated`` where there is no time."""
     path = layout.custom_path(template, F.lit(tenant), F.lit(dataset), time) if template else layout.partition_path(scheme, time)

@@ -28,6 +28,7 @@ each field's column.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from urllib.parse import unquote
 
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tarn.functions import layout
 from tarn.functions.timestamps import event_time
-from tarn.operators import catalog, lake, schema
+from tarn.operators import catalog, lake, schema, sketches
 from tarn.operators.lake import BATCHES, CONSUMED, read_or_empty, summarised
 from tarn.sources import ndjson
 from tarn.sources.folders import exists, folders_in, moved, plain_path, removed, without_globs
@@ -79,7 +80,8 @@ class Options:
     """How a lake is written; ``flatten`` is the delimiter of nested names, None keeps objects as JSON text.
 
     ``template`` is a layout of its own, such as ``{year}-{month}/{day}``,
-    and goes before ``scheme``.
+    and goes before ``scheme``. ``sketches`` keeps sketches of each file's
+    columns (``lake.column_figures``), which takes one more scan of a batch.
     """
 
     scheme: str = "hive"
@@ -89,6 +91,7 @@ class Options:
     flatten: str | None = None
     metadata_level: str = "leaf"
     template: str | None = None
+    sketches: bool = False
 
     def __post_init__(self):
         layout.partition_path(self.scheme, F.lit(None))
@@ -166,10 +169,14 @@ def _merged(found: list[tuple[str, str | None, list[str]]], known: dict) -> list
     return out
 
 
-def publish(lines: DataFrame, batch: str, root: str, tenant: str, dataset: str, options: Options, n_files: int = 0) -> Published:
-    """Writes an attempt at a batch of lines (value, path) to a lake and its catalogue."""
+def publish(lines: DataFrame, batch: str, root: str, tenant: str, dataset: str, options: Options, n_files: int = 0, observed: list | None = None) -> Published:
+    """Writes an attempt at a batch of lines (value, path) to a lake and its catalogue.
+
+    ``observed`` are the (field, path, kinds) of lines that are classified
+    and cached already.
+    """
     spark, attempt = lines.sparkSession, uuid.uuid4().hex[:8]
-    lines = ndjson.classified(lines).persist()
+    lines = ndjson.classified(lines).persist() if observed is None else lines
     own = lambda table: f"{root}/_catalog/{table}/_batch={batch}"
     data = f"{root}/data/_batch={batch}/_try={attempt}"
     try:
@@ -177,8 +184,8 @@ def publish(lines: DataFrame, batch: str, root: str, tenant: str, dataset: str,
         counts, size = {r[0]: r[1] for r in found}, sum(r[2] or 0 for r in found)
         valid, rejected = counts.get("valid", 0), counts.get("not json", 0) + counts.get("not an object", 0)
         records = lines.where("status = 'valid'")
-        if not valid:
-            found = []
+        if observed is not None or not valid:
+            found = observed or []
         elif options.flatten is None:
             found = [(r.field, schema.json_path_or_none(r.field), r.kinds) for r in schema.observed(records).collect()]
         else:
@@ -201,12 +208,19 @@ def publish(lines: DataFrame, batch: str, root: str, tenant: str, dataset: str,
         if rejected:
             lines.where("status in ('not json', 'not an object')").select("value", "path", F.col("status").alias("reason")).write.mode("overwrite").parquet(own("quarantine"))
     finally:
-        lines.unpersist()
+        if observed is None:
+            lines.unpersist()
     if options.keyless and valid:
         without_keys(spark, data)
     lake.small_table(spark, fields, lake.FIELDS.rpartition(",")[0]).coalesce(1).write.mode("overwrite").parquet(own("fields"))
     if valid:
         catalogued(spark, root, batch, tenant, dataset, attempt).write.mode("overwrite").parquet(own("files"))
+    if valid and options.sketches:
+        stored = spark.read.option("recursiveFileLookup", True).parquet(data)
+        plain = [c for c, kind in stored.dtypes if c in columns and not kind.startswith("array")]
+        own_path = plain_path(F.col("_metadata.file_path"), encoded=True).alias("path")
+        if plain:
+            sketches.column_sketches(stored.select(own_path, *[f"`{c}`" for c in plain]), ["path"], plain).write.mode("overwrite").parquet(own("sketches"))
     lost = 0
     if valid:
         kept = spark.read.schema("_rest variant").option("recursiveFileLookup", True).parquet(data).where("_rest is not null")
@@ -347,6 +361,70 @@ def pack_lines(lines: DataFrame, lake_: str, tenant: str, dataset: str, how: Opt
     return batch
 
 
+def pack_many(spark: SparkSession, source: str, lake_: str, ending: str = ndjson.DATA_FILE, at_once: int = 8, **options) -> dict[tuple[str, str], Packed]:
+    """Packs all datasets below ``source``/tenant/dataset in one go: one listing, one scan, one inference, then one write a dataset.
+
+    A dataset that an earlier run left unfinished is finished first. Datasets
+    are written some ``at_once`` by threads of the driver, whose jobs share the
+    session's executors; a fault in one leaves the others packed and is raised
+    at the end. Equal to ``pack`` of each dataset's folder.
+    """
+    how, base = Options(**options), lake_.rstrip("/")
+    above = plain_path(F.lit(source.rstrip("/")))
+    inner = F.split(F.substring(F.col("path"), F.length(above) + 2, F.length("path")), "/")
+    place = {"tenant": F.get(inner, F.lit(0)), "dataset": F.get(inner, F.lit(1))}
+    listed = ndjson.list_files(spark, source, ending).withColumn("path", plain_path(F.col("path"))).withColumns(place).where(F.size(inner) > 2).persist()
+    done: dict[tuple[str, str], Packed] = {}
+    intents: dict[tuple[str, str], str] = {}
+    lines = None
+    try:
+        found = [(r.tenant, r.dataset) for r in listed.select("tenant", "dataset").distinct().collect()]  # a row a dataset
+
+        def begin(key: tuple[str, str]) -> tuple[tuple[str, str], Packed, str | None]:
+            root = f"{base}/{key[0]}/{key[1]}"
+            left = recovered(spark, root, *key, how)
+            mine = listed.where((F.col("tenant") == key[0]) & (F.col("dataset") == key[1])).select("path", "length")
+            packed = Packed([*left], *(sum(getattr(p, n) for p in left.values()) for n in ("lines", "valid", "rejected", "lost")))
+            return key, packed, intend(unconsumed(mine, lake.consumed(spark, root)), root)
+
+        with ThreadPoolExecutor(at_once) as pool:
+            for key, packed, batch in pool.map(begin, found):
+                done[key] = packed
+                if batch is not None:
+                    intents[key] = batch
+        if not intents:
+            return done
+        files = None
+        for (tenant, dataset), batch in intents.items():
+            mine = spark.read.schema("path string, length long").parquet(f"{base}/{tenant}/{dataset}/_catalog/consumed/_batch={batch}").withColumns({"tenant": F.lit(tenant), "dataset": F.lit(dataset)})
+            files = mine if files is None else files.unionAll(mine)
+        counts = {(r.tenant, r.dataset): r.n for r in files.groupBy("tenant", "dataset").agg(F.count("*").alias("n")).collect()}
+        names = [without_globs(r.path) for r in files.select("path").collect()]
+        lines = ndjson.classified(ndjson.scan(spark, names).withColumn("path", plain_path(F.col("path"), encoded=True)).withColumns(place).repartition("path")).persist()
+        kinds: dict[tuple[str, str], list] = {key: [] for key in intents}
+        for r in schema.observed(lines.where("status = 'valid'"), by=["tenant", "dataset"]).collect() if how.flatten is None else schema.observed_leaves(lines.where("status = 'valid'"), how.flatten, by=["tenant", "dataset"]).collect():
+            kinds[r.tenant, r.dataset].append((r.field, schema.json_path_or_none(r.field) if how.flatten is None else r.path, r.kinds))
+
+        def end(key: tuple[str, str]) -> Published:
+            root, batch = f"{base}/{key[0]}/{key[1]}", intents[key]
+            mine = lines.where((F.col("tenant") == key[0]) & (F.col("dataset") == key[1])).drop("tenant", "dataset")
+            new = publish(mine, batch, root, *key, how, observed=kinds[key])
+            commit(spark, root, batch, *key, counts[key], new)
+            summarised(spark, root, how.metadata_level)
+            return new
+
+        with ThreadPoolExecutor(at_once) as pool:
+            jobs = {key: pool.submit(end, key) for key in intents}
+        for key, job in jobs.items():
+            new, old = job.result(), done[key]
+            done[key] = Packed([*old.batches, intents[key]], old.lines + new.lines, old.valid + new.valid, old.rejected + new.rejected, old.lost + new.lost)
+        return done
+    finally:
+        listed.unpersist()
+        if lines is not None:
+            lines.unpersist()
+
+
 def compacted(spark: SparkSession, source: str, target: str, by: list[str], time: str, limit: int) -> None:
     """Rewrites a lake of many small files in parts of about ``limit`` bytes of row text."""
     rows = spark.read.parquet(source).drop("_part")

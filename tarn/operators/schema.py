@@ -16,11 +16,12 @@ NUMERIC_RANK = {"bigint": 1, "double": 2}
 ELEMENTS = {"BIGINT": "array<bigint>", "DOUBLE": "array<double>", "BOOLEAN": "array<boolean>", "VOID": "array<null>"}
 
 
-def fields(records: DataFrame, record: str = "record") -> DataFrame:
-    """One row for each top-level field of each record: field, kind (see ``kind_of``) and value."""
-    exploded = records.select(F.col(record).alias("_r")).lateralJoin(records.sparkSession.tvf.variant_explode(F.col("_r").outer()))
-    described = exploded.select(F.col("key").alias("field"), "value", F.schema_of_variant("value").alias("_as"))
-    return described.select("field", kind_of(F.col("value"), F.col("_as")).alias("kind"), "value")
+def fields(records: DataFrame, record: str = "record", by: list[str] | None = None) -> DataFrame:
+    """One row for each top-level field of each record: field, kind (see ``kind_of``) and value, after the columns ``by``."""
+    by = by or []
+    exploded = records.select(*by, F.col(record).alias("_r")).lateralJoin(records.sparkSession.tvf.variant_explode(F.col("_r").outer()))
+    described = exploded.select(*by, F.col("key").alias("field"), "value", F.schema_of_variant("value").alias("_as"))
+    return described.select(*by, "field", kind_of(F.col("value"), F.col("_as")).alias("kind"), "value")
 
 
 def kind_of(value: Column, described: Column | None = None) -> Column:
@@ -62,16 +63,17 @@ def common_kind(kinds: list[str]) -> str:
     return next(iter(known)) if len(known) == 1 else "double" if known <= set(NUMERIC_RANK) else "string"
 
 
-def observed(records: DataFrame, record: str = "record") -> DataFrame:
-    """One row for each field over all records: field and the kinds of its values."""
-    return fields(records, record).groupBy("field").agg(F.sort_array(F.collect_set("kind")).alias("kinds"))
+def observed(records: DataFrame, record: str = "record", by: list[str] | None = None) -> DataFrame:
+    """One row for each field over all records (of each group): field and the kinds of its values."""
+    return fields(records, record, by).groupBy(*(by or []), "field").agg(F.sort_array(F.collect_set("kind")).alias("kinds"))
 
 
-def observed_leaves(records: DataFrame, delimiter: str, record: str = "record") -> DataFrame:
+def observed_leaves(records: DataFrame, delimiter: str, record: str = "record", by: list[str] | None = None) -> DataFrame:
     """One row for each leaf of all records: field (names joined by the delimiter; the first of them where the leaf has no path), path and kinds."""
-    rows = leaves(records.select(F.lit(0).alias("_key"), record), "_key", record)
-    rows = rows.select(F.when(F.col("path").isNull(), F.get("names", F.lit(0))).otherwise(F.array_join("names", delimiter)).alias("field"), "path", kind_of(F.col("v"), F.schema_of_variant("v")).alias("kind"))
-    return rows.groupBy("field", "path").agg(F.sort_array(F.collect_set("kind")).alias("kinds"))
+    by = by or []
+    rows = leaves(records.select(F.struct(*(by or [F.lit(0)])).alias("_key"), record), "_key", record)
+    rows = rows.select(*[F.col(f"_k.{c}") for c in by], F.when(F.col("path").isNull(), F.get("names", F.lit(0))).otherwise(F.array_join("names", delimiter)).alias("field"), "path", kind_of(F.col("v"), F.schema_of_variant("v")).alias("kind"))
+    return rows.groupBy(*by, "field", "path").agg(F.sort_array(F.collect_set("kind")).alias("kinds"))
 
 
 def inferred(records: DataFrame, record: str = "record") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -357,6 +359,49 @@ def stream_fast_lane(spark, sf_dir):
     return spark.read.parquet(f"{base}/out").groupBy("dataset", "lane").agg(F.count("*").alias("n"))
 
 
+@query("select event_type as dataset, case when event_type = 'purchase' then 'fast' else 'slow' end as lane, count(*) as n, true as fast_first from events group by 1, 2")
+def stream_lanes(spark, sf_dir):
+    """Two lanes with triggers of their own: the fast one ends a batch while a batch of the slow one runs."""
+    base, ended = work_folder(spark, "lanes"), threading.Event()
+    view(spark, sf_dir, "events").select(F.col("event_type").alias("dataset")).repartition(4).write.parquet(f"{base}/in")
+    rows = spark.readStream.schema("dataset string").parquet(f"{base}/in")
+    fast, first = F.col("dataset") == "purchase", []
+
+    def sink(lane: str):
+        def each(batch: DataFrame, number: int) -> None:
+            if lane == "slow" and not first:
+                first.append(ended.wait(120))  # a batch that runs for as long as the fast lane takes
+            batch.write.mode("overwrite").parquet(f"{base}/out/lane={lane}/batch={number}")
+            if lane == "fast":
+                ended.set()
+
+        return each
+
+    running = streams.lanes({"slow": (rows.where(~fast), f"{base}/slow", sink("slow"), "5 seconds"), "fast": (rows.where(fast), f"{base}/fast", sink("fast"), "1 second")})
+    for lane in running.values():
+        lane.processAllAvailable()
+        lane.stop()
+    return spark.read.parquet(f"{base}/out").groupBy("dataset", "lane").agg(F.count("*").alias("n"), F.lit(first == [True]).alias("fast_first"))
+
+
+@query("select 't' || (user_id % 2) as tenant, event_type as dataset, count(*) as n, cast(sum(event_id) as bigint) as ids, cast(sum(event_id % 3) as bigint) as own, 1::bigint as n_batches from events group by 1, 2")
+def pack_many_datasets(spark, sf_dir):
+    """All datasets of all tenants in one run: one listing, scan and inference; a field of each dataset has its name. Packing again adds nothing."""
+    base = work_folder(spark, "many")
+    events = view(spark, sf_dir, "events").select("event_id", "event_type", F.concat(F.lit("t"), (F.col("user_id") % 2).cast("string")).alias("tenant"))
+    line = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"'), F.col("event_type"), F.lit('":'), (F.col("event_id") % 3).cast("string"), F.lit("}"))
+    events.select("tenant", F.col("event_type").alias("dataset"), line.alias("value")).write.partitionBy("tenant", "dataset").option("compression", "gzip").text(f"{base}/in")
+    for _ in range(2):
+        done = pack.pack_many(spark, f"{base}/in", f"{base}/out", ending=r"\.gz$")
+    found = None
+    for tenant, dataset in done:
+        root, name = f"{base}/out/{tenant}/{dataset}", dataset.removeprefix("dataset=")
+        rows = lake.read(spark, root).agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"), F.sum(F.col(f"`{name}`")).alias("own"))
+        rows = rows.select(F.lit(tenant.removeprefix("tenant=")).alias("tenant"), F.lit(name).alias("dataset"), "*").crossJoin(lake.ended(spark, root).agg(F.count("*").alias("n_batches")))
+        found = rows if found is None else found.unionAll(rows)
+    return found
+
+
 @query("select event_type as dataset, count(*) filter (event_id % 2 = 0) as first_version, count(*) filter (event_id % 2 = 1) as second_version from events group by 1")
 def stream_config_refresh(spark, sf_dir):
     """A running query sees a change of the registry in its next batch."""

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarn.functions import layout, rules, timestamps
-from tarn.operators import analytics, catalog, evolution, registry, schema
+from tarn.operators import analytics, catalog, evolution, registry, schema, sketches
 from tarn.sources import ndjson
 
 from .views import view, with_views
@@ -288,6 +288,23 @@ def column_stats(lineitem):
     return catalog.column_statistics(lineitem, ["l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"])
 
 
+_SKETCHED = ("l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag")
+
+
+@query("lineitem", "select name, (select count(*) from lineitem) as n, true as distinct_within, case when name <> 'l_returnflag' then true end as quantiles_within from (values " + ", ".join(f"('{c}')" for c in _SKETCHED) + ") t(name)")
+def sketch_statistics(lineitem):
+    """Sketches by file, united: distinct counts are within 5% (three standard errors) of the exact ones, ranks of quantiles within 0.02."""
+    by_file = sketches.column_sketches(lineitem.withColumn("file", F.col("l_suppkey") % 20), ["file"], list(_SKETCHED))
+    figures = sketches.estimated(sketches.united(by_file, []))
+    exact = catalog.column_statistics(lineitem, list(_SKETCHED)).select(F.col("column_name").alias("name"), F.col("distinct_count").alias("exact"))
+    rows = figures.join(F.broadcast(exact), F.col("column_name") == F.col("name"))  # a row a column
+    values = lineitem.unpivot([], [F.col(c).cast("double").alias(c) for c in _SKETCHED if c != "l_returnflag"], "name", "v")
+    ranked = values.join(F.broadcast(rows.select("name", "q50", "q95", "q99")), "name").groupBy("name").agg(*[F.avg((F.col("v") <= F.col(q)).cast("double")).alias(f"at{q}") for q in ("q50", "q95", "q99")], *[F.avg((F.col("v") < F.col(q)).cast("double")).alias(f"below{q}") for q in ("q50", "q95", "q99")])
+    near = [(F.col(f"at{q}") >= p - 0.02) & (F.col(f"below{q}") <= p + 0.02) for q, p in (("q50", 0.5), ("q95", 0.95), ("q99", 0.99))]
+    rows = rows.join(ranked.select("name", (near[0] & near[1] & near[2]).alias("quantiles_within")), "name", "left")
+    return rows.select("name", "n", (F.abs(F.col("distinct_count") - F.col("exact")) <= 0.05 * F.col("exact")).alias("distinct_within"), "quantiles_within")
+
+
 _HASHES = "select tenant, dataset, sha256(string_agg(concat(path, ':', size, ':'), '' order by path)) as batch_hash from files group by 1, 2"
 
 

@@ -34,6 +34,26 @@ def run(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], Non
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
+def lanes(each_lane: dict[str, tuple[DataFrame, str, Callable[[DataFrame, int], None], str]]) -> dict:
+    """Starts a query for each lane (stream, checkpoint, sink, interval), which run side by side, each in a scheduler pool of its name.
+
+    A lane's batches wait for its own interval and its own batches only.
+    Under ``spark.scheduler.mode`` FAIR pools share the executors, so a lane
+    of small datasets isn't held up by the tasks of a large one; give it a
+    weight or a minimum share in ``spark.scheduler.allocation.file``.
+    """
+    context, running = None, {}
+    for name, (stream, checkpoint, each, interval) in each_lane.items():
+        context = stream.sparkSession.sparkContext
+        before = context.getLocalProperty("spark.scheduler.pool")
+        context.setLocalProperty("spark.scheduler.pool", name)  # the query's thread takes it over
+        try:
+            running[name] = run(stream, checkpoint, each, interval)
+        finally:
+            context.setLocalProperty("spark.scheduler.pool", before)
+    return running
+
+
 def pack_sink(lake: str, tenant: str, dataset: str, **options) -> Callable[[DataFrame, int], None]:
     """Packs every batch of lines (value, path, size) into a lake as ``pack`` does; see ``pack_lines``.
 
