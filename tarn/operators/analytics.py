@@ -88,26 +88,26 @@ def streaks(
     """
     keys = [*by, "_bucket"]
     inside, across = W.partitionBy(*keys).orderBy(*order), W.partitionBy(*by).orderBy("_bucket")
-    state = F.struct(F.col("success").alias("success"), (F.col(time) if time else F.lit(None)).alias("time"))
+    so_far = inside.rowsBetween(W.unboundedPreceding, 0)
     rows = events.withColumn("_bucket", F.lit(0) if bucket is None else bucket)
-    final = F.lead(F.lit(True)).over(inside).isNull()  # the last row of a bucket
-    ends = rows.withColumn("_final", final).where("_final").select(*keys, F.lag(state).over(across).alias("_end"))
-    rows = beside(rows, ends, keys).withColumn("_end", F.coalesce(F.lag(state).over(inside), "_end"))
-    after = F.coalesce(F.col("_end.success"), F.lit(False))
+    seconds = F.unix_seconds(F.col(time).cast("timestamp")) if time else F.lit(None).cast("long")
+    failure = F.coalesce(1 - F.col("success").cast("long"), F.lit(0))
+    rows = rows.withColumn("_failures", F.sum(failure).over(inside)).withColumn("_rows", F.sum(failure).over(so_far))  # rows that tie count together
+    begin = F.when(F.col("success"), F.col("_rows"))  # failures that no longer count from here on
     if reset_hours is not None:
-        gap = F.unix_seconds(F.col(time).cast("timestamp")) - F.unix_seconds(F.col("_end.time").cast("timestamp"))
-        after = after | F.coalesce(gap >= reset_hours * 3600, F.lit(False))
-    rows = rows.withColumn("_island", F.sum(after.cast("long")).over(inside))
-    failures = F.sum(1 - F.col("success").cast("long")).over(W.partitionBy(*keys, "_island").orderBy(*order))
-    rows = rows.withColumn("_failures", F.coalesce(failures, F.lit(0)))
-    carried = rows.withColumn("_final", final).where("_final").select(*keys, "_island", "_failures")
-    carried = carried.withColumn("_era", F.sum((F.col("_island") > 0).cast("long")).over(across))
-    carried = carried.withColumn("_carry", F.sum("_failures").over(W.partitionBy(*by, "_era").orderBy("_bucket")))
-    carried = carried.select(*keys, F.coalesce(F.lag("_carry").over(across), F.lit(0)).alias("_carry"))
+        rows = rows.withColumn("_gap", seconds - F.lag(seconds).over(inside))
+        begin = begin.when(F.col("_gap") >= reset_hours * 3600, F.col("_rows") - failure)
+    rows = rows.withColumn("_begin", F.max(begin).over(so_far))
+    ends = rows.groupBy(*keys).agg(F.max("_failures").alias("_all"), F.max("_begin").alias("_last"), F.min(seconds).alias("_low"), F.max(seconds).alias("_high"))
+    fresh = F.lit(False) if reset_hours is None else F.coalesce(F.col("_low") - F.lag("_high").over(across) >= reset_hours * 3600, F.lit(False))
+    ends = ends.withColumn("_fresh", fresh).withColumn("_era", F.sum((F.col("_last").isNotNull() | F.col("_fresh")).cast("long")).over(across))
+    era = W.partitionBy(*by, "_era").orderBy("_bucket")  # a bucket with a success or after a pause, and those after it that have none
+    ends = ends.withColumn("_open", F.sum(F.col("_all") - F.coalesce("_last", F.lit(0))).over(era))
+    carried = ends.select(*keys, F.when(~F.col("_fresh"), F.coalesce(F.lag("_open").over(across), F.lit(0))).otherwise(0).alias("_carry"))
     rows = beside(rows, carried, keys)
-    streak = F.when(F.col("success"), 0).otherwise(F.col("_failures") + F.when(F.col("_island") == 0, F.col("_carry")).otherwise(0))
+    streak = F.when(F.col("success"), 0).otherwise(F.col("_failures") - F.coalesce("_begin", -F.col("_carry")))
     rows = rows.withColumn("streak", streak.cast("long")).withColumn("open_circuit", F.col("streak") >= limit)
-    return rows.drop("_bucket", "_end", "_island", "_failures", "_carry")
+    return rows.drop("_bucket", "_failures", "_rows", "_gap", "_begin", "_carry")
 
 
 def circuits(events: DataFrame, by: list[str], order: list[str], limit: int = 3, bucket: Column | None = None) -> DataFrame:

@@ -466,9 +466,11 @@ def validate_refs(jobs):
     return rows.select("job_id", F.array_join(registry.violations(F.col("tenant"), F.col("dataset"), F.col("kind")), ",").alias("broken"), "reason")
 
 
-@query("jobs", "select distinct tenant, dataset from jobs j where not exists (select 1 from jobs q where q.state in ('queue', 'retry') and q.tenant = j.tenant and q.dataset = j.dataset and q.job_id % 8 = 1)")
+@query("jobs", "select distinct asked_tenant as tenant, dataset, kind from jobs j where not exists (select 1 from jobs q where q.state in ('queue', 'retry') and q.tenant = j.asked_tenant and q.dataset = j.dataset)")
 def inflight_dedupe(jobs):
-    return registry.not_in_flight(jobs.select("tenant", "dataset").distinct(), jobs.where("job_id % 8 = 1"), ["tenant", "dataset"])
+    """What is asked for and not in flight: tenants that have no job, unknown ones among them."""
+    asked = jobs.select(F.col("asked_tenant").alias("tenant"), "dataset", "kind").distinct()
+    return registry.not_in_flight(asked, jobs, ["tenant", "dataset"])
 
 
 @query("jobs", "select job_id, coalesce(nullif(priority, 0), 1) as priority from jobs where job_id % 9 <> 0")
