@@ -87,6 +87,43 @@ def ranked(df: DataFrame, order: list[str | Column], name: str) -> DataFrame:
     return rows.join(F.broadcast(starts), part, "left").withColumn(name, F.col("_base") + F.col(place)).drop(part, place, "_base")
 
 
+_caches: dict = {}
+
+
+def remembers(name: str, forget) -> None:
+    """Registers how what a worker process remembers for an operator is dropped."""
+    _caches[name] = forget
+
+
+def let_go(name: str) -> None:
+    """Drops what this process remembers for operators other than ``name``: workers outlive the stage that they were started for."""
+    for other, forget in _caches.items():
+        if other != name:
+            forget()
+
+
+def give_back() -> None:
+    """Returns free memory of Arrow and of the C library to the system, which would stay with an idle worker otherwise."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    if hasattr(library := ctypes.CDLL(None), "malloc_trim"):
+        library.malloc_trim(0)
+
+
+def tidy(name: str, work):
+    """A function over batches as ``work``, in a worker that first lets go of other operators' memory and gives back its own at the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(name)
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def pieces_of(batch: pa.RecordBatch, column: str, at_once: int) -> Iterator[pa.RecordBatch]:
     """A batch in pieces of about ``at_once`` bytes of a binary or text column."""
     piece = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.schema.names.index(column))), 0).to_numpy().astype(np.int64)) // at_once

@@ -18,6 +18,8 @@ import re
 
 import numpy as np
 
+from .common import remembers
+
 #: Bytes of chunks, their places and their ids that a process remembers, about; then it starts anew.
 REMEMBERED = 192 << 20
 #: Characters of a chunk that is remembered, at most; and bytes that one takes in Python besides its text and ids.
@@ -36,6 +38,7 @@ _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 LETTERS = dict(zip([b for b in range(256) if b not in _PRINTABLE], range(256, 512)))  # noqa: B905
 
 _encoders: dict = {}
+remembers("encoding", _encoders.clear)
 
 
 def tokenizer_path(name: str) -> str:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept, pieces_of, ranked
+from .common import kept, pieces_of, ranked, tidy
 from .encoding import AT_ONCE, encoder, tokenizer_path
 
 ROOM = 2048
@@ -66,7 +66,7 @@ def _cutter(path: str, keeps_spaces: bool, end_id: int, room: int, with_ids: boo
 def pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = "word_bpe_49k.json", keeps_spaces: bool = False, end_id: int = 0, room: int = ROOM, with_ids: bool = False) -> DataFrame:
     """One row for each piece of a document: doc_id, piece, start, length, ids_crc32 and, if asked for, ids."""
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_cutter(tokenizer_path(tokenizer), keeps_spaces, end_id, room, with_ids), PIECES + (", ids array<int>" if with_ids else ""))
+    return rows.mapInArrow(tidy("encoding", _cutter(tokenizer_path(tokenizer), keeps_spaces, end_id, room, with_ids)), PIECES + (", ids array<int>" if with_ids else ""))
 
 
 def _pair(count: np.ndarray, total: int) -> list[int] | None:
@@ -194,7 +194,7 @@ def packed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", room:
         of[length + 1] = n
     before = np.cumsum(of)
     rows = ranked(rows, ["length", "doc_id", "piece", "ids_crc32"], "rank")
-    return rows.mapInArrow(_placer(places(plan(counts, room), room), before), f"{PIECES}, sequence_id long, offset long")
+    return rows.mapInArrow(tidy("encoding", _placer(places(plan(counts, room), room), before)), f"{PIECES}, sequence_id long, offset long")
 
 
 def sequences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", room: int = ROOM) -> DataFrame:

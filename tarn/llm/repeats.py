@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import anchor_hashes, anchor_length, segments
-from .common import fresh, kept, pieces_of, written
+from .common import fresh, kept, pieces_of, tidy, written
 from .run_index import repeated_spans
 
 #: Bytes of a string whose repeats are removed.
@@ -235,13 +235,13 @@ def _indexed(match: int):
 
 def split_groups(rows: DataFrame, match: int) -> tuple[DataFrame, DataFrame]:
     """Segments of very large groups as smaller groups (v, seg, slice, key), and spans (v, seg, s, e) of windows of those still large."""
-    rows = rows.select("v", "seg", "p", "many", "slice").mapInArrow(_placed(match), "v long, seg long, p long, slice binary")
-    rows = written(rows.mapInArrow(_halves(match), "v long, seg long, slice binary, key long"), "halves")
+    rows = rows.select("v", "seg", "p", "many", "slice").mapInArrow(tidy("repeats", _placed(match)), "v long, seg long, p long, slice binary")
+    rows = written(rows.mapInArrow(tidy("repeats", _halves(match)), "v long, seg long, slice binary, key long"), "halves")
     groups = kept(rows.select("v", "seg", "key").distinct().groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     rows = rows.join(groups, "key")
     small = rows.where(F.col("n") <= LARGEST_GROUP).select("v", "seg", "slice", "key")
     still = rows.where(F.col("n") > LARGEST_GROUP).select("v", "seg", "slice").dropDuplicates(["v", "seg"])
-    windows = written(still.mapInArrow(_windows(match, AT_ONCE), "v long, seg long, s long, h long"), "windows")
+    windows = written(still.mapInArrow(tidy("repeats", _windows(match, AT_ONCE)), "v long, seg long, s long, h long"), "windows")
     again = kept(windows.groupBy("v", "h").agg(F.count("*").alias("n")).where("n > 1").select("v", "h"))
     return small, windows.join(again, ["v", "h"]).select("v", "seg", "s", (F.col("s") + match).alias("e"))
 
@@ -254,7 +254,7 @@ def searched(docs: DataFrame, match: int) -> tuple[DataFrame, DataFrame]:
     """
     spark = docs.sparkSession
     long = docs.where(F.octet_length("data") >= match)
-    rows = long.mapInArrow(_segments(match, AT_ONCE, "spans" in docs.columns), "t binary, v long, seg long, a long, x long")
+    rows = long.mapInArrow(tidy("repeats", _segments(match, AT_ONCE, "spans" in docs.columns)), "t binary, v long, seg long, a long, x long")
     rows = written(rows, "segments")
     again = kept(rows.groupBy("v").agg(F.sum(F.expr(f"1 + ({_MANY})")).alias("n")).where("n > 1").select("v"))
     rows = written(rows.join(again, "v"), "candidates")
@@ -265,7 +265,7 @@ def searched(docs: DataFrame, match: int) -> tuple[DataFrame, DataFrame]:
     one = docs.groupBy("t").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")).join(rows.select("t").distinct(), "t").join(wanted, "t", "left")  # a row of each text
     one = one.select(F.col("t").alias("_t"), F.col("doc_id").alias("_id"), "copies", "wanted")
     texts = written(long.join(one, (F.col("t") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_id"))).select("t", "data", "copies", "wanted"), "texts")
-    sliced = texts.where("wanted is not null").select("data", "wanted").mapInArrow(_slices(match, AT_ONCE), "v long, seg long, p long, m long, many long, slice binary")
+    sliced = texts.where("wanted is not null").select("data", "wanted").mapInArrow(tidy("repeats", _slices(match, AT_ONCE)), "v long, seg long, p long, m long, many long, slice binary")
     sliced = written(sliced, "slices")
     size, hot = sliced.agg(F.coalesce(F.sum(F.octet_length("slice")), F.lit(0)), F.coalesce(F.max("m"), F.lit(0))).first()
     dealt = sliced.where(F.col("m") <= LARGEST_GROUP).select("v", "seg", "slice", F.col("v").alias("key"))
@@ -336,7 +336,7 @@ def repeat_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         raise ValueError("a passage is as long as a match at most")
     docs = _keyed(df, id_col, text_col)
     texts, marks = searched(docs, passage)
-    marks = marks.mapInArrow(_longest, "t binary, spans array<struct<s: long, e: long>>, longest long")
+    marks = marks.mapInArrow(tidy("repeats", _longest), "t binary, spans array<struct<s: long, e: long>>, longest long")
     rows = written(texts.join(marks, "t"), "passages")
     longer = repeated(rows.where(F.col("longest") >= match).select(F.lit(0).cast("long").alias("doc_id"), "data", "t", "spans"), match)
     none = F.expr("cast(null as array<struct<s: bigint, e: bigint>>)")
@@ -344,7 +344,7 @@ def repeat_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spans = F.when((F.col("copies") > 1) & (F.octet_length("data") >= match), whole)
     able = rows.where(F.col("longest") >= match).join(longer.select("t", F.col("spans").alias("longer")), "t", "left")
     rows = able.select("t", "data", F.coalesce(spans, "longer").alias("longer"), "spans").unionAll(rows.where(F.col("longest") < match).select("t", "data", none.alias("longer"), "spans"))
-    found = kept(rows.mapInArrow(_counts, COUNTS).dropDuplicates(["t"]))
+    found = kept(rows.mapInArrow(tidy("repeats", _counts), COUNTS).dropDuplicates(["t"]))
     all_ = docs.select("doc_id", "t", F.octet_length("data").cast("long").alias("n_bytes"), F.sha2("data", 256).alias("whole")).join(found, "t", "left")
     number = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     return all_.select("doc_id", "n_bytes", number("n_removed"), number("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256"), number("n_passage_bytes"), number("n_passages"))
@@ -366,4 +366,4 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 columns[place] = pa.array([rest_of(t.encode(), x).decode("utf-8", "ignore") if x else t for t, x in zip(texts, spans)], pa.string())  # noqa: B905
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    return rows.mapInArrow(cut, df.schema)
+    return rows.mapInArrow(tidy("repeats", cut), df.schema)

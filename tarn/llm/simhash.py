@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, kept
+from .common import fresh, kept, tidy
 from .components import components
 
 DISTANCE = 3
@@ -133,13 +133,13 @@ def links(classes: DataFrame) -> DataFrame:
         rows = rows.join(groups, ["mask", "key"])
         sure = F.bit_count("mask") >= 64 - DISTANCE
         lists = rows.where((F.col("n") <= LARGEST_GROUP) & ~sure).groupBy("mask", "key").agg(F.collect_list(F.struct("fp", "rep")).alias("members"))
-        new = lists.select("members").mapInArrow(_forests, "a long, b long")
+        new = lists.select("members").mapInArrow(tidy("simhash", _forests), "a long, b long")
         new = new.unionAll(rows.where(sure & F.expr("rep <> least")).select("rep", "least"))
         found = new if found is None else found.unionAll(new)
         hot = (F.col("n") > LARGEST_GROUP) & ~sure
         if not groups.where(hot).head(1):
             return found
-        rows = kept(rows.where(hot).select("fp", "rep", "mask").mapInArrow(_finer, "fp long, rep long, mask long").distinct())
+        rows = kept(rows.where(hot).select("fp", "rep", "mask").mapInArrow(tidy("simhash", _finer), "fp long, rep long, mask long").distinct())
 
 
 def classes_of(docs: DataFrame) -> DataFrame:
@@ -153,7 +153,7 @@ def classes_of(docs: DataFrame) -> DataFrame:
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``df``: doc_id, fingerprint (16 hex digits) and component_id (the smallest id reached)."""
-    docs = kept(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_fingerprints, "doc_id long, fp long"))
+    docs = kept(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy("simhash", _fingerprints), "doc_id long, fp long"))
     classes = classes_of(docs)
     least = docs.groupBy("fp").agg(F.min("doc_id").alias("least")).join(classes, "fp")
     names = kept(least.groupBy("root").agg(F.min("least").alias("component_id")))
@@ -171,7 +171,7 @@ def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     able = [F.to_json(F.struct(f"`{c}`")) if "map<" in t or "variant" in t else F.col(f"`{c}`") for c, t in df.dtypes]
     marks = [F.xxhash64(F.lit(k), *[F.struct(c.isNull(), c) for c in able]) for k in (1, 2)]
     keys = df.select(F.col(id_col).cast("long").alias("doc_id"), marks[0].alias("one"), marks[1].alias("two"), F.col(text_col).alias("text"))
-    docs = kept(keys.mapInArrow(_fingerprints, "doc_id long, one long, two long, fp long"))
+    docs = kept(keys.mapInArrow(tidy("simhash", _fingerprints), "doc_id long, one long, two long, fp long"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "one", "two"))
     best = docs.groupBy("fp").agg(first.alias("x")).join(classes_of(docs.select("doc_id", "fp")), "fp").groupBy("root").agg(F.min("x").alias("x"))
     best = best.select("x.one", "x.two")
