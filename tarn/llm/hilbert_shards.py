@@ -1,12 +1,14 @@
 """Sharding along a Hilbert curve.
 
-Several metadata dimensions (source, language, size) are quantised to the
+Several metadata dimensions (language, source, size) are quantised to the
 cells of a cube, rows are sorted by the place of their cell on the Hilbert
 curve through the cube, and the order is cut into runs whose row counts are
 at most one apart (law ``rows``). Neighbours on the curve are neighbours in
 every dimension, so each shard covers a narrow range of each and readers can
-skip files by their minimum and maximum values. The curve is a table of the
-cube's 32,768 cells, which is broadcast.
+skip files by their minimum and maximum values. A value's cell is where the
+middle of its rows lies among all rows in the dimension's order, so that
+frequent values are far apart on the cube's side, and rare ones share cells.
+The curve is a table of the cube's 32,768 cells, which is broadcast.
 
 Equal texts form a group that takes the place of its member with the smallest
 id, so a group is divided only where a cut falls into it. Ranks come from
@@ -16,8 +18,9 @@ hot source or group.
 Defined cases: a null text has size 1 and no checksum (null), and groups with
 other null texts; null sources, languages and ids sort last and are values
 like others. Repeated rows get places one after the other. With fewer rows
-than shards some shards stay empty; empty tables give empty results. Columns
-other than the four that are named aren't read by ``shards``.
+than shards some shards stay empty; empty tables give empty results. Texts of
+any length are fine, as sizes are quantised by rows too. Columns other than
+the four that are named aren't read by ``shards``.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import fresh, kept, ranked, written
@@ -68,11 +72,23 @@ def curve_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(pa.table({"a": cells[:, 0], "b": cells[:, 1], "c": cells[:, 2], "curve": curve_index(cells)}))
 
 
-def _cells(rows: DataFrame, column: str, cell: str) -> DataFrame:
-    """The values of a column with their cells: places in order, spread over the side of the cube."""
-    values = ranked(rows.select(column).distinct(), [F.asc_nulls_last(column)], "place")
-    many = F.lit(values.count()).cast("long")
-    return written(values.select(column, (F.col("place") * (1 << BITS) / F.greatest(many, F.lit(1 << BITS))).cast("long").alias(cell)), cell)
+def _cells(groups: DataFrame, column: str) -> DataFrame:
+    """The values of a column with their cells (``column``_cell), from groups of ``n`` rows.
+
+    Values lie in range partitions; only the row count of each partition goes
+    through the driver.
+    """
+    parts = max(1, int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    values = groups.groupBy(column).agg(F.sum("n").alias("n")).repartitionByRange(parts, F.asc_nulls_last(column))
+    values = kept(values.withColumn("part", F.spark_partition_id()))
+    bases, total = [], 0
+    for part, n in sorted(map(tuple, values.groupBy("part").agg(F.sum("n")).collect())):
+        bases.append((part, total))
+        total += n
+    values = values.join(F.broadcast(groups.sparkSession.createDataFrame(bases, "part int, base long")), "part")
+    twice = 2 * (F.col("base") + F.sum("n").over(W.partitionBy("part").orderBy(F.asc_nulls_last(column)))) - F.col("n")
+    cell = F.floor(twice * (1 << BITS) / F.lit(2 * total or 1)).cast("long")
+    return written(values.select(F.col(column).alias("value"), cell.alias(f"{column}_cell")), column)
 
 
 def shards(df: DataFrame, n_shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
@@ -85,14 +101,15 @@ def shards(df: DataFrame, n_shards: int = SHARDS, id_col: str = "doc_id", text_c
         ),
         "rows",
     )
-    first = kept(rows.groupBy("same").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "source", "lang")).alias("x")))
-    rows = rows.select("doc_id", "size", "text_crc32", "same").join(first.select("same", "x.source", "x.lang"), "same")
-    for column in ("source", "lang"):
-        of = _cells(first.select(f"x.{column}"), column, f"{column}_cell")
-        rows = rows.join(of, rows[column].eqNullSafe(of[column])).drop(of[column])
-    octave = F.least(F.lit((1 << BITS) - 1), F.floor(F.log2("size") * 1.5)).cast("long")
-    on = [F.col("source_cell") == F.col("a"), F.col("lang_cell") == F.col("b"), octave == F.col("c")]
-    rows = rows.join(F.broadcast(curve_table(df.sparkSession)), on).select("doc_id", "size", "text_crc32", "same", "curve")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "source", "lang")).alias("x")
+    groups = kept(rows.groupBy("same").agg(first, F.min("size").alias("size"), F.count("*").alias("n")).select("same", "x.lang", "x.source", "size", "n"))
+    cells = groups
+    for column in ("lang", "source", "size"):
+        of = _cells(groups, column)
+        cells = cells.join(of, cells[column].eqNullSafe(of["value"])).drop("value")
+    on = [F.col("lang_cell") == F.col("a"), F.col("source_cell") == F.col("b"), F.col("size_cell") == F.col("c")]
+    cells = cells.join(F.broadcast(curve_table(df.sparkSession)), on).select("same", "curve")
+    rows = rows.select("doc_id", "size", "text_crc32", "same").join(cells, "same")
     rows = ranked(rows, ["curve", "same", F.asc_nulls_last("doc_id")], "rank")
     total = F.lit(df.count()).cast("long")
     rows = rows.withColumn("shard", F.expr(f"rank * {n_shards}").cast("long")).withColumn("_n", total).withColumn("shard", F.expr("shard div _n").cast("int"))
