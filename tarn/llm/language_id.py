@@ -4,10 +4,11 @@ Byte n-grams (two to four) of the lower-cased text are hashed to buckets; the
 text's vector is the mean of its n-grams' embeddings, and a linear layer with
 softmax gives the languages' probabilities. Both layers are trained by
 stochastic gradient descent in numpy on a bounded sample: of each language
-about ``PER_LANGUAGE`` labelled documents, picked by a hash of their ids. A
-fifth of the sample is held back to calibrate: a temperature scales the
-scores, and the rejection threshold is the smallest score at which accepted
-predictions reach the wanted precision. Features of the sample are made on
+about ``PER_LANGUAGE`` labelled documents, picked by a hash of their ids and
+texts; rows that are alike count as one, so that neither a hot id nor a row
+repeated fills the sample. A fifth of the sample is held back to calibrate: a
+temperature scales the scores, and the rejection threshold is the smallest
+score at which accepted predictions reach the wanted precision. Features of the sample are made on
 the executors from whole texts; a document gives a list of at most
 ``BUCKETS`` counts. For prediction the layers are multiplied out to one
 number a bucket and language, which is broadcast (its size is fixed by the
@@ -18,8 +19,8 @@ signs such as Roman numerals and fractions are none), is ``und`` with score 0
 and not accepted. Languages may be many: the sample and the model grow with
 their number, not with the rows. Documents without an id are predicted, never learned from,
 and not held out. Without labelled documents everything is ``und``. Repeated
-rows are predicted alike; empty tables give empty results. Language, source
-and id are never inputs of a prediction; other columns aren't read.
+rows are predicted alike; of equal probabilities the first language wins;
+empty tables give empty results. Language, source and id are never inputs of a prediction; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -148,17 +149,24 @@ def remainder(id_col: str) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS
 
 
-def fitted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
-    """A model learned from documents with a language whose remainder isn't 0."""
+def sampled(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> DataFrame:
+    """(key, lang, text): about ``per_language`` different documents of each language, whose remainder isn't 0."""
     rows = df.where((remainder(id_col) != 0) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    rows = rows.select(F.xxhash64(F.lit(11), id_col).alias("key"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    rows = rows.select(F.xxhash64(F.lit(11), id_col, text_col).alias("key"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     many = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     if not many:
-        return Model([], np.zeros((BUCKETS, 0)), np.zeros(0))
+        return rows.limit(0)
     limits = F.create_map(*[F.lit(v) for lang, n in many.items() for v in (lang, int((1 << 30) * min(1.0, per_language / n)))])
-    pick = F.pmod("key", F.lit(1 << 30)) < F.try_element_at(limits, F.col("lang"))
-    found = sorted(rows.where(pick).mapInArrow(_features, "key long, lang string, at array<int>, n array<long>").collect(), key=lambda r: (r.key, r.lang))
+    return rows.where(F.pmod("key", F.lit(1 << 30)) < F.try_element_at(limits, F.col("lang"))).dropDuplicates(["key", "lang"])
+
+
+def fitted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
+    """A model learned from documents with a language whose remainder isn't 0."""
+    rows = sampled(df, id_col, text_col, lang_col, per_language)
+    found = sorted(rows.mapInArrow(_features, "key long, lang string, at array<int>, n array<long>").collect(), key=lambda r: (r.key, r.lang))
     languages = sorted({r.lang for r in found})
+    if not found:
+        return Model([], np.zeros((BUCKETS, 0)), np.zeros(0))
     x = [(np.array(r["at"], np.int32), np.array(r.n, np.float32)) for r in found]
     return train(x, np.array([languages.index(r.lang) for r in found], np.int64), languages)
 

@@ -45,6 +45,19 @@ def test_defined_cases(spark):
     assert language_id.languages(df.limit(0)).count() == 0
 
 
+def test_hot_ids_and_copies_dont_fill_the_sample(spark):
+    """An id with two thirds of the rows, and a row repeated, bring no more rows to the driver than others do."""
+    rng = random.Random(6)
+    hot = [(1, text(rng, "aa", 20), "aa", "x") for _ in range(1000)]
+    copies = [(2, "lo mi tu ka", "aa", "x")] * 1000
+    df = spark.createDataFrame([*hot, *copies, *rows(600)], SCHEMA)
+    found = language_id.sampled(df, per_language=50).collect()
+    assert len(found) == len({(r.lang, r.text) for r in found})
+    sizes = {lang: sum(r.lang == lang for r in found) for lang in SYLLABLES}
+    assert all(0 < n <= 90 for n in sizes.values()), sizes
+    assert zlib.crc32(b"1") % 5 and zlib.crc32(b"2") % 5  # both may be learned from
+
+
 def test_predictions_match_brute_force(spark):
     df = spark.createDataFrame(list(rows(300)), SCHEMA)
     model = language_id.fitted(df)
