@@ -120,6 +120,18 @@ def summary_documents(files: DataFrame, by: list[str], with_stats: bool = True,
     return rows.select(*by, F.to_json(F.struct(F.lit(1).alias("version"), "num_rows", "total_size_bytes", "file_count", "files")).alias("document"))
 
 
+def schema_documents(files: DataFrame, by: list[str]) -> DataFrame:
+    """One JSON document for each group with its schema alone: version, and each field's name, type, nullability and number of files.
+
+    The type is that of the newest file that has the field (by ``modified``, then path).
+    """
+    rows = files.select(*by, "modified", "path", F.inline("fields"))
+    newest = F.max(F.struct("modified", "path", "type"))["type"]
+    each = rows.groupBy(*by, "name").agg(newest.alias("type"), F.max("nullable").alias("nullable"), F.count_distinct("path").alias("n_files"))
+    listed = F.sort_array(F.collect_list(F.struct("name", "type", "nullable", "n_files"))).alias("fields")
+    return each.groupBy(*by).agg(listed).select(*by, F.to_json(F.struct(F.lit(1).alias("version"), "fields")).alias("document"))
+
+
 def completeness(listing: DataFrame, path: str = "path") -> DataFrame:
     """For each folder: has it a summary, a schema-only summary, and how many data files."""
     name = F.substring_index(path, "/", -1)

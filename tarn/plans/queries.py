@@ -274,11 +274,24 @@ def plain_summaries(files):
 
 
 @query("files", """
-    with l as (select path from files union all select distinct concat(tenant, '/', dataset, '/', partition, '/_metadata') from files where n_rows % 3 = 0)
-    select regexp_replace(path, '/[^/]*$', '') as folder, bool_or(path like '%/\\_metadata' escape '\\') as has_summary, false as has_schema, count(*) filter (path like '%.parquet') as n_files from l group by 1""")
+    with l as (select path from files union all select distinct concat(tenant, '/', dataset, '/', partition, '/_metadata') from files where n_rows % 3 = 0
+               union all select distinct concat(tenant, '/', dataset, '/', partition, '/_common_metadata') from files where n_rows % 2 = 0)
+    select regexp_replace(path, '/[^/]*$', '') as folder, bool_or(path like '%/\\_metadata' escape '\\') as has_summary, bool_or(path like '%/\\_common\\_metadata' escape '\\') as has_schema, count(*) filter (path like '%.parquet') as n_files from l group by 1""")
 def catalog_report(files):
-    marks = files.where("n_rows % 3 = 0").select(F.concat_ws("/", "tenant", "dataset", "partition", F.lit("_metadata")).alias("path")).distinct()
-    return catalog.completeness(files.select("path").unionAll(marks))
+    for part, name in ((3, "_metadata"), (2, "_common_metadata")):
+        marks = files.where(F.col("n_rows").isNotNull() & (F.col("n_rows") % part == 0)).select(F.concat_ws("/", "tenant", "dataset", "partition", F.lit(name)).alias("path")).distinct()
+        listing = files.select("path").unionAll(marks) if name == "_metadata" else listing.unionAll(marks)
+    return catalog.completeness(listing)
+
+
+@query("fields", """
+    with e as (select name, arg_max(type, concat(file, type)) as type, bool_or(pos > 1) as nullable, count(distinct file) as n from fields group by 1)
+    select 'd' as dataset, concat('{"version":1,"fields":[', string_agg(concat('{"name":"', name, '","type":"', type, '","nullable":', nullable, ',"n_files":', n, '}'), ',' order by name), ']}') as document from e""")
+def schema_summaries(fields):
+    """Documents with the schema alone, of the files of all days."""
+    listed = F.collect_list(F.struct("name", "type", (F.col("pos") > 1).alias("nullable")))
+    files = fields.groupBy(F.col("file").alias("path")).agg(listed.alias("fields")).select(F.lit("d").alias("dataset"), "path", F.lit(0).alias("modified"), "fields")
+    return catalog.schema_documents(files, ["dataset"])
 
 
 @query("lineitem", " union all ".join(
@@ -392,7 +405,18 @@ _ONE = "(select file, name, min(type) as type from fields group by 1, 2)"
 def schema_compat(fields):
     own = fields.groupBy("file", "name").agg(F.min("type").alias("type"))
     first = own.agg(F.min("file").alias("file"))
-    return evolution.incompatible(own, own.join(F.broadcast(first), "file").select("name", "type"))
+    return evolution.incompatible(own, own.join(F.broadcast(first), "file").select("name", "type"))  # one row
+
+
+@query("fields", """
+    with o as (select file, name, type, row_number() over (partition by file order by pos, name, type) as k, count(*) over (partition by file) as n from fields),
+    b as (select * from o where file = (select min(file) from o)),
+    d as (select o.file, o.n, any_value(o.n) <> (select count(*) from b) as many, min(o.k) filter (o.name is distinct from b.name) - 1 as place, count(*) filter (o.name = b.name and o.type <> b.type) as n_types from o left join b using (k) group by o.file, o.n)
+    select file, cast(n as int) as n_fields, not many and place is null as compatible, case when many then 'fields' when place is not null then 'name' end as reason, case when not many then place end as place, n_types from d""")
+def schema_verdicts(fields):
+    """Is each day's schema compatible with the first day's, place by place, and why not."""
+    first = fields.agg(F.min("file").alias("file"))
+    return evolution.compatibility(fields, fields.join(F.broadcast(first), "file"))  # one row
 
 
 @query("fields", f"""
@@ -400,7 +424,7 @@ def schema_compat(fields):
     select 'd' as dataset, name as field, min(file) as first_seen, max(file) as last_seen, arg_max(type, file) as type, count(*) filter (changed) as n_changes, max(file) < (select max(file) from o) as gone from c group by name""")
 def field_log(fields):
     own = fields.groupBy("file", "name").agg(F.min("type").alias("type"))
-    return evolution.field_log(own.select(F.lit("d").alias("dataset"), F.col("name").alias("field"), "type", F.col("file").alias("seen_at")), ["dataset"])
+    return evolution.field_log(own.select(F.lit("d").alias("dataset"), F.col("name").alias("field"), "type", F.col("file").alias("seen_at")), ["dataset"], bucket=F.left("seen_at", F.lit(8)))
 
 
 @query("fields", """
@@ -408,7 +432,7 @@ def field_log(fields):
     select 'd' as dataset, file, cast(1 + sum(changed) over (order by file) as bigint) as schema_version from c""")
 def schema_versions(fields):
     hashes = evolution.schema_hash(fields, ["file"]).withColumn("dataset", F.lit("d"))
-    return evolution.versions(hashes, ["dataset"], "file").select("dataset", "file", "schema_version")
+    return evolution.versions(hashes, ["dataset"], "file", bucket=F.left("file", F.lit(8))).select("dataset", "file", "schema_version")
 
 
 @query("lineitem", "select case l_linenumber when 1 then 'int32' when 2 then 'timestamp' when 3 then 'string' else 'unknown' end as name, count(*) as n from lineitem group by 1")

@@ -3,6 +3,7 @@
 import gzip
 import itertools
 import json
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -97,6 +98,34 @@ def test_layout(spark):
     assert list(found) == ["year=2024/day=05", "a_part012.parquet", "a/"]
 
 
+def test_compatibility_names_the_first_reason(spark):
+    base = [(0, "a", "bigint"), (1, "b", "string")]
+    cases = {"same": base, "types": [(0, "a", "double"), (1, "b", None)], "names": [(0, "a", "string"), (1, "c", "string")], "order": [(0, "b", "string"), (1, "a", "bigint")], "more": [*base, (2, "c", "string")], "fewer": base[:1]}
+    fields = spark.createDataFrame([(f, *x) for f, rows in cases.items() for x in rows], "file string, pos int, name string, type string")
+    found = {r.file: (r.n_fields, r.compatible, r.reason, r.place, r.n_types) for r in evolution.compatibility(fields, fields.where("file = 'same'")).collect()}
+    assert found == {"same": (2, True, None, None, 0), "types": (2, True, None, None, 2), "names": (2, False, "name", 1, 1), "order": (2, False, "name", 0, 0), "more": (3, False, "fields", None, 0), "fewer": (1, False, "fields", None, 0)}
+
+
+def test_changes_carry_over_buckets(spark):
+    """Versions and the field log are the same with buckets of any width and with none, and those of a plain count."""
+    rng = random.Random(4)
+    rows = [("d" if k % 3 else None, k, rng.choice("ab")) for k in range(120)]
+    df = spark.createDataFrame(rows, "dataset string, k long, schema_hash string")
+    wanted, last, version = {}, {}, {}
+    for d, k, value in rows:
+        version[d] = version.get(d, 1) + (d in last and last[d] != value)
+        wanted[k] = version[d]
+        last[d] = value
+    seen = df.select("dataset", F.lit("f").alias("field"), F.col("k").alias("seen_at"), F.col("schema_hash").alias("type"))
+    for width in (None, 1, 7, 50, 1000):
+        of = lambda name: None if width is None else F.floor(F.col(name) / width)  # noqa: B023, E731
+        assert {r.k: r.schema_version for r in evolution.versions(df, ["dataset"], "k", bucket=of("k")).collect()} == wanted
+        log = {r.dataset: (r.first_seen, r.last_seen, r.type, r.n_changes, r.gone) for r in evolution.field_log(seen, ["dataset"], bucket=of("seen_at")).collect()}
+        assert log == {d: (int(d is not None), max(k for x, k, _ in rows if x == d), last[d], version[d] - 1, False) for d in (None, "d")}
+    two = spark.createDataFrame([("d", "old", 1, "x"), ("d", "new", 2, "x")], "dataset string, field string, seen_at long, type string")
+    assert {r.field: r.gone for r in evolution.field_log(two, ["dataset"]).collect()} == {"old": True, "new": False}
+
+
 def test_schema_evolution(spark):
     rows = [("a", 0, "BfTs", "bigint"), ("a", 1, "x", "bigint"), ("b", 0, "x", "string"), ("b", 1, "bf-ts", "bigint"), ("b", 2, "bf_ts_2", "double"), ("b", 3, "new", "double")]
     fields = spark.createDataFrame(rows, "file string, pos int, name string, type string")
@@ -104,6 +133,8 @@ def test_schema_evolution(spark):
     assert {r.name for r in evolution.without_repeats(fields).where("file = 'b'").collect()} == {"x", "bf-ts", "new"}
     base = fields.where("file = 'a'").select("name", "type")
     assert {(r.name, r.difference) for r in evolution.incompatible(fields.where("file = 'b'"), base).collect()} == {("BfTs", "removed"), ("x", "changed"), ("bf-ts", "added"), ("bf_ts_2", "added"), ("new", "added")}
+    assert evolution.incompatible(fields, base).where("file = 'a'").count() == 0
+    assert evolution.incompatible(fields, base.limit(0)).count() == 6 and evolution.incompatible(fields.limit(0), base).count() == 0
     swapped = spark.createDataFrame([("c", 1 - p, n, t) for f, p, n, t in rows if f == "a"], fields.schema)
     assert len({r.schema_hash for r in evolution.schema_hash(fields.where("file = 'a'").union(swapped), ["file"]).collect()}) == 1
 
