@@ -66,6 +66,39 @@ def test_dense_group_of_many_blocks_has_all_links(spark, monkeypatch):
     assert found == true
 
 
+def test_pairs_in_a_large_label_are_found_by_small_windows(spark, monkeypatch):
+    """Windows of at most 32 of 3,000 neighbours find nine in ten of the pairs near the threshold, and nothing else."""
+    monkeypatch.setattr(pd_, "BLOCK", 16)
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(1500, 32))
+    near = base + rng.normal(scale=0.19, size=base.shape)
+    rows = [(k, x.astype(np.float32).tolist(), 7, 1) for k, x in enumerate(np.concatenate([base, near]))]
+    true = brute(rows)
+    pairs = sum(n for n, _ in true.values())
+    assert 1000 < pairs < 3000  # so that the planted pairs lie on both sides of the threshold
+    found = {r.vec_id: (r.n_links, r.component_id) for r in pd_.near_vectors(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    assert all(n <= true[i][0] and (n == 0 or (n, c) == true[i]) for i, (n, c) in found.items())
+    assert sum(n for n, _ in found.values()) >= 0.9 * pairs
+
+
+def test_group_at_the_threshold_that_is_denser_than_windows(spark, monkeypatch):
+    """Windows hold few of a group's links, of which some pairs are and some aren't; the count inside it has all."""
+    monkeypatch.setattr(pd_, "BLOCK", 16)
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=32)
+    rows = [(k, (centre + rng.normal(scale=0.15, size=32)).astype(np.float32).tolist(), 1, 1) for k in range(1200)]
+    true = brute(rows)
+    assert 0.2 < sum(n for n, _ in true.values()) / 1200**2 < 0.8
+    found = {r.vec_id: (r.n_links, r.component_id) for r in pd_.near_vectors(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    assert found == true
+
+
+def test_one_id_with_several_vectors(spark):
+    rows = [(1, [1.0, 0.0], 0, 1), (1, [0.0, 1.0], 0, 1), (2, [0.0, 1.01], 0, 1), (3, [1.0, 0.01], 0, 1), (3, [1.0, 0.01], 5, 1)]
+    found = sorted((r.vec_id, r.n_links, r.component_id) for r in pd_.near_vectors(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert found == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 0, 3), (3, 1, 1)]
+
+
 def test_edge_cases(spark):
     x, nan = [1.0, 2.0], float("nan")
     rows = [(1, x, 0, 1), (2, x, 1, 1), (3, x, None, 1), (4, None, 0, 1), (5, [], 0, 1), (6, [0.0, 0.0], 0, 1), (7, [1.0, None], 0, 1), (8, [nan, 1.0], 0, 1), (9, [1.0, 2.0, 0.0], 0, 1), (10, [2.0, 4.0], 0, 1)]
