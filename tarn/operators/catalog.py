@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tarn.sources.folders import listed_by_tasks
+
 FOOTER = "path string, size long, modified timestamp, n_rows long, n_row_groups int, fields array<struct<name: string, type: string, nullable: boolean>>, stats array<struct<name: string, min_value: string, max_value: string, null_count: long>>"
 
 # Physical Parquet types by their catalogue names.
@@ -26,7 +28,8 @@ def type_name(physical: Column) -> Column:
 
 def list_parquet(spark: SparkSession, root: str) -> DataFrame:
     """Parquet files below ``root``: path, length, modificationTime. Summary files aren't listed."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    with listed_by_tasks(spark):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     files = files.select("path", "length", "modificationTime")
     return files.where(F.lower("path").endswith(".parquet") & ~F.substring_index("path", "/", -1).isin("_metadata", "_common_metadata"))
 

@@ -5,7 +5,7 @@ has a folder of its own) and the tables of ``_catalog``: ``consumed`` (an
 intent: the files of a batch), ``batches`` (a row ends a batch and names its
 attempt), ``files``, ``fields``, ``quarantine``, ``summaries`` (documents of at
 most ``DOCUMENT`` files, those of a batch never written again), ``partitions``
-(totals, of which a batch rewrites only the partitions it touched) and
+(totals in ``BUCKETS`` folders by the hash of the partition, of which a batch rewrites only those it touched) and
 ``field_log`` (every field with its type now, when it was first and last seen
 and how often its type has changed, merged batch by batch).
 
@@ -29,16 +29,18 @@ from pyspark.sql import types as T
 
 from tarn.functions import layout
 from tarn.operators import catalog, sketches
-from tarn.sources.folders import exists, folders_in, plain_path, removed
+from tarn.sources.folders import exists, folders_in, listed_by_tasks, plain_path, removed
 
 CONSUMED = "path string, length long, _batch string"
 FIELDS = "field string, path string, column string, type string, kinds array<string>, names array<string>, _batch string"
 BATCHES = "tenant string, dataset string, n_files long, n_lines long, valid long, rejected long, lost long, seq long, attempt string, layout string, _batch string"
-TOTALS = "tenant string, dataset string, file_count long, total_rows long, total_bytes long, first_created timestamp, last_modified timestamp, seq long, partition string"
+TOTALS = "tenant string, dataset string, file_count long, total_rows long, total_bytes long, first_created timestamp, last_modified timestamp, seq long, partition string, _bucket int"
 LOG = "field string, path string, column string, type string, kinds array<string>, names array<string>, n_changes long, first_seq long, last_seq long, _seq long"
 FILES = f"tenant string, dataset string, {catalog.FOOTER.replace('modified timestamp', 'partition string, created timestamp, modified timestamp')}, min_ts timestamp_ntz, max_ts timestamp_ntz, checksum string, _batch string"
 #: Files in a summary document, and paths that a reader names one by one, at most.
 DOCUMENT, PATHS = 1000, 100_000
+#: Folders that the totals of partitions are dealt to, however many partitions there are.
+BUCKETS = 64
 
 # The Spark type of a kind of field.
 TYPES = {"bigint": "bigint", "double": "double", "boolean": "boolean", "timestamp": "timestamp_ntz", "string": "string", "array": "array<string>", "array<bigint>": "array<bigint>", "array<double>": "array<double>", "array<boolean>": "array<boolean>"}
@@ -137,13 +139,13 @@ def _summarised(spark: SparkSession, root: str, level: str, batch: str, seq: int
             numbered = rows.withColumn("document_part", F.lit(0).cast("long"))
         documents = catalog.summary_documents(numbered, [*keys, "document_part"], schema_too=True)
         documents.write.mode("overwrite").parquet(f"{base}/summaries/_batch={batch}")
-        fresh = delta.withColumn("seq", F.lit(seq).cast("long"))
+        fresh = delta.withColumn("seq", F.lit(seq).cast("long")).withColumn("_bucket", F.pmod(F.xxhash64("partition"), F.lit(BUCKETS)).cast("int"))
         totals = read_or_empty(spark, f"{base}/partitions", TOTALS)
-        touched = totals.join(F.broadcast(delta.select("partition")) if level == "root" else delta.select("partition"), "partition", "left_semi")
+        touched = totals.join(F.broadcast(fresh.select("_bucket").distinct()), "_bucket", "left_semi")
         if before:  # totals of a stopped run that have this batch
             fresh = fresh.join(totals.where(F.col("seq") >= seq).select("partition"), "partition", "left_anti")
-        both = fresh if not before else touched.unionByName(fresh).groupBy(*keys).agg(F.sum("file_count").alias("file_count"), F.sum("total_rows").alias("total_rows"), F.sum("total_bytes").alias("total_bytes"), F.min("first_created").alias("first_created"), F.max("last_modified").alias("last_modified"), F.max("seq").alias("seq"))
-        both.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("partition").parquet(f"{base}/partitions")
+        both = fresh if not before else touched.unionByName(fresh).groupBy(*keys, "_bucket").agg(F.sum("file_count").alias("file_count"), F.sum("total_rows").alias("total_rows"), F.sum("total_bytes").alias("total_bytes"), F.min("first_created").alias("first_created"), F.max("last_modified").alias("last_modified"), F.max("seq").alias("seq"))
+        both.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(f"{base}/partitions")
     finally:
         rows.unpersist()
     seen = read_or_empty(spark, f"{base}/fields/_batch={batch}", FIELDS).withColumn("seq", F.lit(seq).cast("long"))
@@ -231,7 +233,8 @@ def read(spark: SparkSession, root: str, since=None, until=None, between: Mappin
         keys = [] if how["folders"] else [*[T.StructField(k, T.IntegerType()) for k in how["keys"]], T.StructField("_part", T.LongType()), T.StructField("_batch", T.StringType())]
         kinds = [T.StructField(c, T._parse_datatype_string(TYPES[k])) for c, (_, k) in how["columns"].items()]
         reader = spark.read.schema(T.StructType([*kinds, *own, *keys]))
-        rows = reader.option("recursiveFileLookup", True).parquet(*some) if how["folders"] else reader.option("basePath", f"{root}/data").parquet(*some)
+        with listed_by_tasks(spark):
+            rows = reader.option("recursiveFileLookup", True).parquet(*some) if how["folders"] else reader.option("basePath", f"{root}/data").parquet(*some)
         at = F.col("_metadata.file_path")
         place = [F.regexp_extract(at, "_part=([0-9]+)", 1).try_cast("long").alias("_part"), F.regexp_extract(at, "_batch=([^/]+)", 1).alias("_batch")] if how["folders"] else [k.name for k in keys]
         rows = rows.select(*[_as(F.col(f"`{stored}`"), k, now.get(c, k)).alias(c) for stored, (c, k) in how["columns"].items()], *[f.name for f in own], *place)
@@ -244,7 +247,7 @@ def read(spark: SparkSession, root: str, since=None, until=None, between: Mappin
 
 def partition_totals(spark: SparkSession, root: str) -> DataFrame:
     """Files, rows and bytes of each partition (of the whole dataset at level root)."""
-    return read_or_empty(spark, f"{root}/_catalog/partitions", TOTALS)
+    return read_or_empty(spark, f"{root}/_catalog/partitions", TOTALS).drop("_bucket")
 
 
 def column_figures(spark: SparkSession, root: str, by: list[str] | None = None) -> DataFrame:

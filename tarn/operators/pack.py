@@ -32,7 +32,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarn.functions import layout
@@ -40,7 +40,7 @@ from tarn.functions.timestamps import event_time
 from tarn.operators import catalog, lake, schema, sketches
 from tarn.operators.lake import BATCHES, CONSUMED, read_or_empty, summarised
 from tarn.sources import ndjson
-from tarn.sources.folders import exists, folders_in, moved, plain_path, removed, without_globs
+from tarn.sources.folders import exists, folders_in, listed_by_tasks, moved, plain_path, removed, without_globs
 
 CODECS = ("zstd", "snappy", "uncompressed")
 LEVELS = ("leaf", "root")
@@ -48,6 +48,10 @@ LEVELS = ("leaf", "root")
 OWN = ("_event_ts", "_bytes", "_rest", "_part", "_batch", "_try", "_folder", "year", "month", "day", "hour")
 
 
+#: Bytes of rows without a time that are numbered together.
+SPREAD = 4 << 20
+
+
 @dataclass
 class Packed:
     """What a run did: its batches (also those it finished for an earlier run) and lines by kind; lost counts values in ``_rest``."""
@@ -119,9 +123,12 @@ def write_parts(rows: DataFrame, path: str, by: list[str], time: str, codec: str
         dealt = (rows.repartition(*by) if by else rows.coalesce(1)).withColumn("_part", F.lit(1).cast("long"))
     else:
         columns = [F.col(f"`{c}`") for c in rows.columns if c not in (*by, time, size)]
-        bucket = F.coalesce(F.date_trunc("MINUTE", time), F.lit("9999-12-31").cast("timestamp"))
-        rows = rows.select(*by, time, size, F.struct(*columns).alias("_row"))  # so that no name meets those of numbering
-        rows = catalog.numbered_parts(rows, by, [time], F.col(size), limit, bucket).withColumnRenamed("part", "_part")
+        plain = [F.col(f"`{c}`") for c, kind in rows.dtypes if c not in (*by, time) and kind != "variant"]
+        spread = 64 if total is None else total // SPREAD + 1  # rows without a time have no order, so any dealing of them will do
+        dealt_by = F.when(F.col(time).isNull(), F.pmod(F.xxhash64(*plain), F.lit(spread))).otherwise(0)
+        bucket = F.struct(F.coalesce(F.date_trunc("MINUTE", time), F.lit("9999-12-31").cast("timestamp")), dealt_by)
+        rows = rows.select(*by, time, size, F.struct(*columns).alias("_row"), bucket.alias("_minute"))  # so that no name meets those of numbering
+        rows = catalog.numbered_parts(rows, by, [time], F.col(size), limit, F.col("_minute")).drop("_minute").withColumnRenamed("part", "_part")
         dealt = rows.repartition(*by, "_part").select("_row.*", time, size, *by, "_part")
     keys = [*by, *(["_part"] if limit is not None else [])]
     dealt.sortWithinPartitions(*keys, F.asc_nulls_last(time)).write.mode(mode).option("compression", codec).partitionBy(*keys).parquet(path)
@@ -222,12 +229,20 @@ def publish(lines: DataFrame, batch: str, root: str, tenant: str, dataset: str,
         if plain:
             sketches.column_sketches(stored.select(own_path, *[f"`{c}`" for c in plain]), ["path"], plain).write.mode("overwrite").parquet(own("sketches"))
     lost = 0
-    if valid:
-        kept = spark.read.schema("_rest variant").option("recursiveFileLookup", True).parquet(data).where("_rest is not null")
+    if valid and spark.read.schema(lake.FILES.rpartition(",")[0]).parquet(own("files")).where(~F.coalesce(empty_rest(), F.lit(False))).head(1):
+        with listed_by_tasks(spark):
+            kept = spark.read.schema("_rest variant").option("recursiveFileLookup", True).parquet(data)
+        kept = kept.where("_rest is not null")
         lost = kept.agg(F.sum(F.size(F.try_variant_get("_rest", "$", "map<string, variant>")))).first()[0] or 0
     return Published(sum(counts.values()), valid, rejected, lost, attempt, lake.layout_of(columns, [] if options.keyless else list(keys), options.keyless))
 
 
+def empty_rest() -> Column:
+    """Whether a file's footer tells that none of its rows has a value in ``_rest``; null if it doesn't tell."""
+    stat = F.get(F.filter("stats", lambda x: x["name"] == "_rest.metadata"), F.lit(0))
+    return stat["null_count"] == F.col("n_rows")
+
+
 def without_keys(spark: SparkSession, data: str) -> None:
     """Moves the folders ``_folder=a%2Fb`` of an attempt to ``a/b``: one rename a partition."""
     for name in folders_in(spark, data):

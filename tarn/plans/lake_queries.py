@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,10 +31,19 @@ def query(sql: str | None = None):
 
 
 def _named(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """A source folder and an empty lake."""
+    """A source folder, with a file a deal, and an empty lake.
+
+    Each deal is a write of its own, whose task takes lines as they come; one
+    write in folders of ``deal`` would sort all lines of a file first.
+    """
     base = work_folder(spark, "lake")
     lines = view(spark, sf_dir, "raw_lines").select("value", (F.col("event_id") % FILES).alias("deal"))
-    lines.repartition(FILES, "deal").write.partitionBy("deal").option("compression", "gzip").text(f"{base}/stage")
+
+    def write(deal: int) -> None:
+        lines.where(F.col("deal") == deal).select("value").repartition(1).write.option("compression", "gzip").text(f"{base}/stage/deal={deal}")
+
+    with ThreadPoolExecutor(FILES) as pool:
+        list(pool.map(write, range(FILES)))
     return f"{base}/stage", f"{base}/out"
 
 

@@ -650,10 +650,11 @@ def upload_stats(uploads):
 
 
 @query("uploads", """
-    select order_key, case when arg_max(case when success then 1 else 0 end, row(line, millis)) = 1 then 'done' else 'failed' end as status, cast(max(line) as bigint) as current, 7 as total, count(*) filter (not success) as errors, round(max(line) * 100.0 / 7, 4) as percent from uploads group by 1""")
+    select order_key, case when arg_max(case when success then 1 else 0 end, row(line, millis, success)) = 1 then 'done' else 'failed' end as status, cast(max(line) as bigint) as current, 7 as total, count(*) filter (not success) as errors, round(max(line) * 100.0 / 7, 4) as percent from uploads group by 1""")
 def operation_progress(uploads):
-    rows = uploads.select("order_key", "line", "millis", F.when(F.col("success"), "done").otherwise("failed").alias("status"), F.col("line").cast("long").alias("current"), F.lit(7).alias("total"), (~F.col("success")).cast("int").alias("errors"))
-    return analytics.progress(rows, "order_key", ["line", "millis"]).withColumn("percent", F.round("percent", 4))
+    """Of updates with the same line and time, one that succeeded is the latest."""
+    rows = uploads.select("order_key", "line", "millis", "success", F.when(F.col("success"), "done").otherwise("failed").alias("status"), F.col("line").cast("long").alias("current"), F.lit(7).alias("total"), (~F.col("success")).cast("int").alias("errors"))
+    return analytics.progress(rows, "order_key", ["line", "millis", "success"]).withColumn("percent", F.round("percent", 4))
 
 
 @query("uploads", """
@@ -673,6 +674,8 @@ _STREAK = """
     with i as (select *, coalesce(sum(case when success then 1 else 0 end) over (partition by destination order by happened, order_key, line rows between unbounded preceding and 1 preceding), 0) as island from uploads),
          s as (select *, case when success then 0 else cast(sum(case when success then 0 else 1 end) over (partition by destination, island order by happened, order_key, line) as bigint) end as streak from i)"""
 _ORDER = ["happened", "order_key", "line"]
+#: The same where uploads may be alike in time, order and line: those that failed come first, and count together.
+_STREAK_OF_TIES, _ORDER_OF_TIES = _STREAK.replace("order by happened, order_key, line", "order by happened, order_key, line, success"), [*_ORDER, "success"]
 
 
 def _day() -> Column:
@@ -680,9 +683,9 @@ def _day() -> Column:
 
 
 
-@query("uploads", _STREAK + " select destination, order_key, line, streak from s")
+@query("uploads", _STREAK_OF_TIES + " select destination, order_key, line, streak from s")
 def failure_streak(uploads):
-    return analytics.streaks(uploads, ["destination"], _ORDER, bucket=_day()).select("destination", "order_key", "line", "streak")
+    return analytics.streaks(uploads, ["destination"], _ORDER_OF_TIES, bucket=_day()).select("destination", "order_key", "line", "streak")
 
 
 @query("uploads", _STREAK + " select destination, arg_max(streak, row(happened, order_key, line)) as failures, arg_max(error, row(happened, order_key, line)) filter (not success) as last_error, arg_max(streak, row(happened, order_key, line)) < 3 as active from s group by 1")
@@ -690,9 +693,9 @@ def circuit_breaker(uploads):
     return analytics.circuits(uploads, ["destination"], _ORDER, bucket=_day())
 
 
-@query("uploads", _STREAK + " select destination, order_key, line, streak from s where streak >= 3 and streak % 3 = 0")
+@query("uploads", _STREAK_OF_TIES + " select destination, order_key, line, streak from s where streak >= 3 and streak % 3 = 0")
 def every_third_alert(uploads):
-    return analytics.alerts(uploads, ["destination"], _ORDER, bucket=_day()).select("destination", "order_key", "line", "streak")
+    return analytics.alerts(uploads, ["destination"], _ORDER_OF_TIES, bucket=_day()).select("destination", "order_key", "line", "streak")
 
 
 @query("uploads", "select order_key, round(list_reduce(list(cast(millis as double) order by line, millis), lambda a, x: (a + x) / 2), 6) as average, count(*) as n from uploads group by 1")

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +35,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Threads inside ``listed_by_tasks``, and the session's own settings, which the last one out puts back.
+_LISTING, _LOCK = {"threads": 0, "before": {}}, threading.Lock()
+
+
+@contextmanager
+def listed_by_tasks(spark: SparkSession) -> Iterator[None]:
+    """Spark's readers made inside list many folders by one job with few tasks, each of which goes down its folders.
+
+    By default each level of more than 32 folders below a folder is a job of its own with a task a folder.
+    """
+    own = "spark.sql.sources.parallelPartitionDiscovery"
+    now = {"threshold": 4, "parallelism": 4 * spark.sparkContext.defaultParallelism}
+    with _LOCK:
+        if not _LISTING["threads"]:
+            _LISTING["before"] = {n: spark.conf.get(f"{own}.{n}") for n in now}
+            for n, value in now.items():
+                spark.conf.set(f"{own}.{n}", value)
+        _LISTING["threads"] += 1
+    try:
+        yield
+    finally:
+        with _LOCK:
+            _LISTING["threads"] -= 1
+            if not _LISTING["threads"]:
+                for n, value in _LISTING["before"].items():
+                    spark.conf.set(f"{own}.{n}", value)
+
+
 def plain_path(path: Column, encoded: bool = False) -> Column:
     """A path as one text however Spark lists it: no ``file:`` in front; ``encoded`` for URIs, whose %20 are blanks."""
     if encoded:

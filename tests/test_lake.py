@@ -507,3 +507,41 @@ def test_files_wait_until_a_flush():
     (late,) = state.handleExpiredTimer(("d",), Clock(100_000), None)
     assert list(late.path) == ["d"] and list(late.reason) == ["time"] and list(late.flush) == [2]
     assert list(state.handleExpiredTimer(("d",), Clock(200_000), None)) == []
+
+
+TIES = [  # an order and line twice on a day, one of them failed; two failures alike
+    ("2024-01-01", 1, 1, "R"), ("2024-01-01", 1, 1, "N"), ("2024-01-02", 1, 1, "R"), ("2024-01-02", 2, 1, "R"), ("2024-01-02", 2, 1, "R"), ("2024-01-02", 3, 1, "R"), ("2024-01-02", 3, 1, "N"), ("2024-01-03", 4, 1, "R"),
+]
+
+
+@pytest.mark.parametrize("name", ["failure_streak", "every_third_alert", "operation_progress"])
+def test_uploads_that_tie_are_counted_as_the_sql_counts_them(spark, tmp_path, name):
+    """Whatever the order in which the rows of a table come."""
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    found = set()
+    for k in range(6):
+        some = random.Random(k).sample(TIES, len(TIES))
+        rows = [(5, order, line, datetime.fromisoformat(day), flag, 1.0, 9.5, 1, "O") for day, order, line, flag in some]
+        names = "l_suppkey long, l_orderkey long, l_linenumber int, l_shipdate timestamp_ntz, l_returnflag string, l_quantity double, l_extendedprice double, l_partkey long, l_linestatus string"
+        folder = str(tmp_path / str(k))
+        spark.createDataFrame(rows, names).coalesce(1).write.parquet(f"{folder}/lineitem.parquet")
+        out = entry.queries()[name](spark, folder)
+        con = duckdb.connect()
+        con.execute(f"create view lineitem as select * from read_parquet('{folder}/lineitem.parquet/*.parquet')")
+        sql = con.execute(f"select {', '.join(out.columns)} from ({entry.oracle_sql()[name]})").fetchall()
+        found |= {tuple(sorted(map(tuple, out.collect()))), tuple(sorted(sql))}
+    assert len(found) == 1
+
+
+def test_totals_of_many_parts_lie_in_few_folders(spark, tmp_path):
+    from tarn.operators import lake
+
+    source, out = tmp_path / "in", str(tmp_path / "lake")
+    put(source, "a.ndjson.gz", *[f'{{"timestamp":"2024-01-{k % 28 + 1:02d}T00:{k % 60:02d}:00","n":{k}}}' for k in range(300)])
+    pack.pack(spark, str(source), out, "t", "d", limit=60)
+    totals = lake.partition_totals(spark, f"{out}/t/d").collect()
+    assert len(totals) == len({r.partition for r in totals}) > 100 and sum(r.total_rows for r in totals) == 300
+    assert sum(p.is_dir() for p in (tmp_path / "lake/t/d/_catalog/partitions").iterdir()) <= lake.BUCKETS < 100
