@@ -202,12 +202,15 @@ def publish(lines: DataFrame, batch: str, root: str, tenant: str, dataset: str,
         absent = [(r.field, r.path, r.column, r.type, r.kinds, r.names) for path, r in known.items() if path not in {f[1] for f in fields}]
         columns = {names[-1]: (column, kind) for _, _, column, kind, _, names in [*fields, *absent]}
         record = F.col("record")
-        casts = [schema.cast_path(record, path, kind).alias(names[-1]) for _, path, _, kind, _, names in [*fields, *absent]]
-        rest = schema.misfits(record, [(field, path, kind) for field, path, _, kind, *_ in fields], [field for field, path, _ in found if path is None])
+        values = [(F.col(f"_v{n}"), F.col(f"_as{n}")) for n in range(len(fields))]  # columns, so that a value is looked up once for its cast and ``_rest``
+        casts = [schema.cast_value(*v, kind).alias(names[-1]) for v, (_, _, _, kind, _, names) in zip(values, fields, strict=True)]
+        casts += [F.lit(None).cast(lake.TYPES[kind]).alias(names[-1]) for _, _, _, kind, _, names in absent]
+        rest = schema.misfits(record, [(field, *v, kind) for v, (field, _, _, kind, *_) in zip(values, fields, strict=True)], [field for field, path, _ in found if path is None])
         times = records.withColumns({"_event_ts": event_time(record), "_bytes": F.octet_length("value").cast("long")})
         keys = {"_folder": lake.folder_path(options.scheme, options.template, tenant, dataset, F.col("_event_ts"))} if options.keyless else layout.partition_columns(options.scheme, F.col("_event_ts"))
         if valid:
-            rows = times.select(*casts, rest.alias("_rest"), "_event_ts", "_bytes", *[c.alias(n) for n, c in keys.items()])
+            rows = times.withColumns({f"_v{n}": F.try_variant_get("record", f[1], "variant") for n, f in enumerate(fields)})
+            rows = rows.withColumns({f"_as{n}": F.schema_of_variant(f"_v{n}") for n in range(len(fields))}).select(*casts, rest.alias("_rest"), "_event_ts", "_bytes", *[c.alias(n) for n, c in keys.items()])
             write_parts(rows, data, list(keys), "_event_ts", options.codec, options.limit, "_bytes", mode="overwrite", total=size)
         if options.keep_raw:
             raw = times.select("value", *[c.alias(n) for n, c in keys.items()])
@@ -361,7 +364,7 @@ def pack_lines(lines: DataFrame, lake_: str, tenant: str, dataset: str, how: Opt
     """
     spark, root = lines.sparkSession, f"{lake_.rstrip('/')}/{tenant}/{dataset}"
     lake.summarised(spark, root, how.metadata_level)
-    lines = lines.persist()
+    lines = ndjson.dealt(lines).persist()
     try:
         batch = intend(unconsumed(lines.select("path", F.col("size").alias("length")).distinct(), lake.consumed(spark, root)), root)
         if batch is None:

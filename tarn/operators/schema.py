@@ -118,8 +118,8 @@ def json_path_or_none(name: str) -> str | None:
     return None if "'" in name and '"' in name else json_path(name)
 
 
-def misfits(record: Column, columns: list[tuple[str, str, str]], unaddressed: list[str]) -> Column:
-    """What the columns (field, path, kind) of a record don't hold, as a VARIANT object by field; null if they hold all.
+def misfits(record: Column, columns: list[tuple[str, Column, Column, str]], unaddressed: list[str]) -> Column:
+    """What the columns (field, value, its schema, kind) of a record don't hold, as a VARIANT object by field; null if they hold all.
 
     Kinds are those of all values of a field (``common_kind``), so whole
     numbers, booleans, timestamps and texts always fit. What is left is a list
@@ -127,13 +127,11 @@ def misfits(record: Column, columns: list[tuple[str, str, str]], unaddressed: li
     top-level fields ``unaddressed``.
     """
     parts = []
-    for field, path, kind in columns:
+    for field, value, own, kind in columns:
         if kind != "double" and not kind.startswith("array"):
             continue
-        value = F.try_variant_get(record, path, "variant")
-        own = F.schema_of_variant(value)
         if kind != "double":
-            lost = (own != "VOID") & cast_path(record, path, kind).isNull()
+            lost = (own != "VOID") & cast_value(value, own, kind).isNull()
         else:
             lost = ((own == "BIGINT") & (F.abs(value.try_cast("bigint")) > (1 << 53))) | own.rlike(r"^DECIMAL\((1[89]|[2-9][0-9]),")
         parts.append(F.when(lost, F.struct(F.lit(field).alias("key"), value.alias("value"))))
@@ -149,7 +147,12 @@ def misfits(record: Column, columns: list[tuple[str, str, str]], unaddressed: li
 def cast_path(record: Column, path: str, kind: str) -> Column:
     """The value at a path as a type; null if it is absent or isn't of that type (true is no number, text is none)."""
     value = F.try_variant_get(record, path, "variant")
-    text, own = value.try_cast("string"), F.schema_of_variant(value)  # only what the type needs is asked; texts are matched for timestamps alone
+    return cast_value(value, F.schema_of_variant(value), kind)
+
+
+def cast_value(value: Column, own: Column, kind: str) -> Column:
+    """A value, with its schema ``own``, as a type; see ``cast_path``."""
+    text = value.try_cast("string")  # only what the type needs is asked; texts are matched for timestamps alone
     if kind == "bigint":
         return F.when(own == "BIGINT", value.try_cast("bigint"))
     if kind == "double":
@@ -161,10 +164,10 @@ def cast_path(record: Column, path: str, kind: str) -> Column:
     if kind == "string":
         return F.when(own == "STRING", text).when(own != "VOID", F.to_json(value))
     if kind == "array":
-        return F.when(own.startswith("ARRAY"), F.try_variant_get(record, path, "array<string>"))
+        return F.when(own.startswith("ARRAY"), F.try_variant_get(value, "$", "array<string>"))
     elements = {"array<bigint>": ["BIGINT"], "array<double>": ["BIGINT", "DOUBLE"], "array<boolean>": ["BOOLEAN"]}[kind]
     fits = own.isin(*[f"ARRAY<{e}>" for e in (*elements, "VOID")])
-    return F.when(fits | own.startswith("ARRAY<DECIMAL") if "DOUBLE" in elements else fits, F.try_variant_get(record, path, kind))
+    return F.when(fits | own.startswith("ARRAY<DECIMAL") if "DOUBLE" in elements else fits, F.try_variant_get(value, "$", kind))
 
 
 def cast_field(record: Column, name: str, kind: str) -> Column:

@@ -115,7 +115,7 @@ def _attempted(spark: SparkSession, source: str, root: str) -> None:
     """What a run leaves that stopped before the end of a batch of half the files."""
     some = ndjson.list_files(spark, source, r"\.gz$").orderBy("path").limit(FILES // 2).select("path", "length")
     some.coalesce(1).write.parquet(f"{root}/_catalog/consumed/_batch=b-0")
-    pack.publish(ndjson.scan(spark, [r.path for r in some.select("path").collect()]), "b-0", root, "t1", "events", pack.Options())
+    pack.publish(ndjson.scan(spark, [r.path for r in some.select("path").collect()], spark.sparkContext.defaultParallelism), "b-0", root, "t1", "events", pack.Options())
 
 
 @query(f"select 0 as before, count(*) as after from {_VALID} v")

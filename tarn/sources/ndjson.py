@@ -27,13 +27,18 @@ def scan(spark: SparkSession, paths: str | list[str], partitions: int | None = N
     return lines.repartition(partitions) if partitions else lines
 
 
+def dealt(lines: DataFrame) -> DataFrame:
+    """``lines`` dealt to some tasks a core, or as many as they come in: a compressed file is one task until then."""
+    return lines.repartition(max(lines.rdd.getNumPartitions(), 3 * lines.sparkSession.sparkContext.defaultParallelism))
+
+
 def classified(lines: DataFrame, value: str = "value") -> DataFrame:
     """``lines`` with record (VARIANT, null unless valid) and status: blank, not json, not an object, or valid."""
     lines.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")  # of equal keys the last holds
-    parsed = F.try_parse_json(value)
-    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
+    lines = lines.withColumn("_parsed", F.try_parse_json(value)).withColumn("_as", F.schema_of_variant("_parsed"))  # columns, so that a line is parsed once
+    parsed, is_object = F.col("_parsed"), F.col("_as").startswith("OBJECT")
     status = F.when(F.trim(F.col(value)) == "", "blank").when(parsed.isNull(), "not json").when(is_object, "valid").otherwise("not an object")
-    return lines.withColumn("status", F.when(F.col(value).isNull(), "blank").otherwise(status)).withColumn("record", F.when(is_object, parsed))
+    return lines.withColumn("status", F.when(F.col(value).isNull(), "blank").otherwise(status)).withColumn("record", F.when(is_object, parsed)).drop("_parsed", "_as")
 
 
 def records(lines: DataFrame, value: str = "value") -> DataFrame:

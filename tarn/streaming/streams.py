@@ -96,7 +96,7 @@ def split_sink(good: str, bad: str) -> Callable[[DataFrame, int], None]:
     """Writes records and quarantined lines of a batch, each batch to its own folder, so a batch that runs again replaces itself."""
 
     def each(batch: DataFrame, number: int) -> None:
-        lines = ndjson.classified(batch).persist()
+        lines = ndjson.classified(ndjson.dealt(batch)).persist()
         try:
             lines.where("status = 'valid'").select("value", "path").write.mode("overwrite").parquet(f"{good}/batch={number}")
             lines.where("status in ('not json', 'not an object')").select("value", "path", F.col("status").alias("reason")).write.mode("overwrite").parquet(f"{bad}/batch={number}")

@@ -545,3 +545,33 @@ def test_totals_of_many_parts_lie_in_few_folders(spark, tmp_path):
     totals = lake.partition_totals(spark, f"{out}/t/d").collect()
     assert len(totals) == len({r.partition for r in totals}) > 100 and sum(r.total_rows for r in totals) == 300
     assert sum(p.is_dir() for p in (tmp_path / "lake/t/d/_catalog/partitions").iterdir()) <= lake.BUCKETS < 100
+
+
+def test_rows_without_a_time_are_numbered_in_buckets(spark, tmp_path, monkeypatch):
+    """No window holds all of them, and parts are bounded and whole all the same."""
+    seen, own = [], catalog.numbered_parts
+
+    def noted(rows, by, order, size, limit, bucket=None):
+        seen.append(rows.select(bucket.alias("b")).distinct().count())
+        return own(rows, by, order, size, limit, bucket)
+
+    monkeypatch.setattr(catalog, "numbered_parts", noted)
+    rows = spark.range(2000).select("id", F.lit(None).cast("timestamp_ntz").alias("at"), F.lit(10).cast("long").alias("size"))
+    pack.write_parts(rows, str(tmp_path / "x"), [], "at", limit=500, size="size")
+    assert seen[0] > 30
+    sums = spark.read.parquet(str(tmp_path / "x")).groupBy("_part").agg(F.sum("size").alias("s"), F.count("*").alias("n")).collect()
+    assert sum(r.n for r in sums) == 2000 and max(r.s for r in sums) <= 500 and len(sums) == 40
+
+
+def test_lines_of_few_files_are_many_tasks(spark):
+    assert ndjson.dealt(spark.range(10).coalesce(1)).rdd.getNumPartitions() == 3 * spark.sparkContext.defaultParallelism
+
+
+def test_source_files_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from tarn.plans import lake_queries
+
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda *_: pytest.fail("sorts all lines of a file"))
+    source, _ = lake_queries._named(spark, "/root/testdata/sf0.001")
+    assert ndjson.list_files(spark, source, r"\.gz$").count() == lake_queries.FILES
