@@ -129,7 +129,9 @@ def write_parts(rows: DataFrame, path: str, by: list[str], time: str, codec: str
         bucket = F.struct(F.coalesce(F.date_trunc("MINUTE", time), F.lit("9999-12-31").cast("timestamp")), dealt_by)
         rows = rows.select(*by, time, size, F.struct(*columns).alias("_row"), bucket.alias("_minute"))  # so that no name meets those of numbering
         rows = catalog.numbered_parts(rows, by, [time], F.col(size), limit, F.col("_minute")).drop("_minute").withColumnRenamed("part", "_part")
-        dealt = rows.repartition(*by, "_part").select("_row.*", time, size, *by, "_part")
+        tasks = 0 if total is None else total // (4 * SPREAD) + 1  # so that few large parts meet in a task, whatever the session's number
+        few = tasks <= int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dealt = (rows.repartition(*by, "_part") if few else rows.repartition(tasks, *by, "_part")).select("_row.*", time, size, *by, "_part")
     keys = [*by, *(["_part"] if limit is not None else [])]
     dealt.sortWithinPartitions(*keys, F.asc_nulls_last(time)).write.mode(mode).option("compression", codec).partitionBy(*keys).parquet(path)
 

@@ -575,3 +575,10 @@ def test_source_files_are_written_without_a_sort(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda *_: pytest.fail("sorts all lines of a file"))
     source, _ = lake_queries._named(spark, "/root/testdata/sf0.001")
     assert ndjson.list_files(spark, source, r"\.gz$").count() == lake_queries.FILES
+
+
+def test_large_parts_are_dealt_to_more_tasks(spark, tmp_path):
+    rows = spark.range(2000).select("id", F.lit(None).cast("timestamp_ntz").alias("at"), F.lit(10).cast("long").alias("size"))
+    pack.write_parts(rows, str(tmp_path / "x"), [], "at", limit=500, size="size", total=1 << 30)  # 65 tasks, where the session says 4
+    names = {p.name.split("-")[1] for p in (tmp_path / "x").rglob("*.parquet")}
+    assert len(names) > 4 and spark.read.parquet(str(tmp_path / "x")).count() == 2000
