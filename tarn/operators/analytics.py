@@ -84,14 +84,15 @@ def streaks(
 
     ``bucket`` follows the order (such as its day): streaks are counted within
     buckets and carried from one to the next, so no task holds more of a hot
-    group than a bucket.
+    group than a bucket. Rows that lack a place in the order come last, and an
+    event that isn't known to be a success is a failure.
     """
-    keys = [*by, "_bucket"]
-    inside, across = W.partitionBy(*keys).orderBy(*order), W.partitionBy(*by).orderBy("_bucket")
+    keys, last = [*by, "_bucket"], F.asc_nulls_last("_bucket")
+    inside, across = W.partitionBy(*keys).orderBy(*[F.asc_nulls_last(c) for c in order]), W.partitionBy(*by).orderBy(last)
     so_far = inside.rowsBetween(W.unboundedPreceding, 0)
     rows = events.withColumn("_bucket", F.lit(0) if bucket is None else bucket)
     seconds = F.unix_seconds(F.col(time).cast("timestamp")) if time else F.lit(None).cast("long")
-    failure = F.coalesce(1 - F.col("success").cast("long"), F.lit(0))
+    failure = 1 - F.coalesce(F.col("success").cast("long"), F.lit(0))
     rows = rows.withColumn("_failures", F.sum(failure).over(inside)).withColumn("_rows", F.sum(failure).over(so_far))  # rows that tie count together
     begin = F.when(F.col("success"), F.col("_rows"))  # failures that no longer count from here on
     if reset_hours is not None:
@@ -101,7 +102,7 @@ def streaks(
     ends = rows.groupBy(*keys).agg(F.max("_failures").alias("_all"), F.max("_begin").alias("_last"), F.min(seconds).alias("_low"), F.max(seconds).alias("_high"))
     fresh = F.lit(False) if reset_hours is None else F.coalesce(F.col("_low") - F.lag("_high").over(across) >= reset_hours * 3600, F.lit(False))
     ends = ends.withColumn("_fresh", fresh).withColumn("_era", F.sum((F.col("_last").isNotNull() | F.col("_fresh")).cast("long")).over(across))
-    era = W.partitionBy(*by, "_era").orderBy("_bucket")  # a bucket with a success or after a pause, and those after it that have none
+    era = W.partitionBy(*by, "_era").orderBy(last)  # a bucket with a success or after a pause, and those after it that have none
     ends = ends.withColumn("_open", F.sum(F.col("_all") - F.coalesce("_last", F.lit(0))).over(era))
     carried = ends.select(*keys, F.when(~F.col("_fresh"), F.coalesce(F.lag("_open").over(across), F.lit(0))).otherwise(0).alias("_carry"))
     rows = beside(rows, carried, keys)

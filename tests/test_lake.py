@@ -582,3 +582,23 @@ def test_large_parts_are_dealt_to_more_tasks(spark, tmp_path):
     pack.write_parts(rows, str(tmp_path / "x"), [], "at", limit=500, size="size", total=1 << 30)  # 65 tasks, where the session says 4
     names = {p.name.split("-")[1] for p in (tmp_path / "x").rglob("*.parquet")}
     assert len(names) > 4 and spark.read.parquet(str(tmp_path / "x")).count() == 2000
+
+
+def test_uploads_that_lack_a_time_or_an_end_are_counted_as_the_sql_counts_them(spark, tmp_path):
+    """No time, order or line comes last; what isn't known to have succeeded has failed."""
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    first, second = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    rows = [(5, order, line, at, flag, 1.0, 9.5, 1, "O") for at, order, line, flag in (
+        (first, 1, 1, "R"), (first, 2, 1, None), (first, None, 1, "R"), (second, 3, 1, "N"), (second, 3, 1, None), (second, 4, None, "R"), (second, 4, 1, "R"), (None, 5, 1, "R"), (None, 6, 1, "N"), (None, None, None, "R"),
+    )]
+    names = "l_suppkey long, l_orderkey long, l_linenumber int, l_shipdate timestamp_ntz, l_returnflag string, l_quantity double, l_extendedprice double, l_partkey long, l_linestatus string"
+    spark.createDataFrame(rows, names).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view lineitem as select * from read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    for name in ("failure_streak", "every_third_alert"):
+        out = entry.queries()[name](spark, str(tmp_path))
+        sql = con.execute(f"select {', '.join(out.columns)} from ({entry.oracle_sql()[name]})").fetchall()
+        assert sorted(map(tuple, out.collect()), key=str) == sorted(sql, key=str)
