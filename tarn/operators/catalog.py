@@ -215,11 +215,12 @@ def beside(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(own, [rows[k].eqNullSafe(own[f"_key{n}"]) for n, k in enumerate(keys)]).drop(*[f"_key{n}" for n in range(len(keys))])
 
 
-def numbered_parts(rows: DataFrame, by: list[str], order: list[str], size: Column, limit: int, bucket: Column | None = None) -> DataFrame:
+def numbered_parts(rows: DataFrame, by: list[str], order: list[str], size: Column, limit: int, bucket: Column | None = None, tasks: int | None = None) -> DataFrame:
     """``rows`` with a part number from 1: by running size in order, a new part starts once the limit is reached.
 
     ``bucket`` follows the order (such as its minute): sums of buckets are
     added up first, so that no window holds more than one bucket's rows.
+    ``tasks`` deals the buckets to so many tasks, else to the session's number.
     """
     if bucket is None:
         bucket = F.lit(0)
@@ -227,6 +228,7 @@ def numbered_parts(rows: DataFrame, by: list[str], order: list[str], size: Colum
     sums = rows.groupBy(*by, "_bucket").agg(F.sum("_size").alias("_sum"))
     sums = sums.withColumn("_base", F.sum("_sum").over(W.partitionBy(*by).orderBy("_bucket")) - F.col("_sum")).drop("_sum")
     inside = F.sum("_size").over(W.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)) - F.col("_size")
+    rows = rows if tasks is None else rows.repartition(tasks, *by, "_bucket")
     rows = beside(rows.withColumn("_inside", inside), sums, [*by, "_bucket"])
     part = (F.floor((F.col("_base") + F.col("_inside")) / limit) + 1).cast("long")
     return rows.withColumn("part", part).drop("_bucket", "_size", "_inside", "_base")

@@ -50,6 +50,8 @@ OWN = ("_event_ts", "_bytes", "_rest", "_part", "_batch", "_try", "_folder", "ye
 
 #: Bytes of rows without a time that are numbered together.
 SPREAD = 4 << 20
+#: Bytes of lines for a task, and how many bytes of lines a byte of a compressed file is taken for.
+SHARE, PACKED = 4 * SPREAD, 8
 
 
 @dataclass
@@ -108,12 +110,14 @@ class Options:
         return self.template is not None or self.scheme == "date"
 
 
-def write_parts(rows: DataFrame, path: str, by: list[str], time: str, codec: str = "zstd", limit: int | None = None, size: str | None = None, mode: str = "append", total: int | None = None) -> None:
+def write_parts(rows: DataFrame, path: str, by: list[str], time: str, codec: str = "zstd", limit: int | None = None, size: str | None = None, mode: str = "append", total: int | None = None, attempt: bool = False) -> None:
     """Writes rows in folders by the columns ``by``, sorted by time within files, each of about ``limit`` bytes of ``size`` at most.
 
     One shuffle deals (partition, part) pairs to tasks; Spark's committer
-    publishes all files of the job at its end. Where ``total`` (bytes of all
-    rows) is below the limit, no part number but 1 can come out.
+    publishes all files of the job at its end, or, for an ``attempt`` that no
+    reader sees before its end, each task its own, so that the driver doesn't
+    rename all files one by one. Where ``total`` (bytes of all rows) is below
+    the limit, no part number but 1 can come out.
     """
     if codec not in CODECS:
         raise ValueError(f"unknown codec {codec!r}; one of {', '.join(CODECS)}")
@@ -128,12 +132,27 @@ def write_parts(rows: DataFrame, path: str, by: list[str], time: str, codec: str
         dealt_by = F.when(F.col(time).isNull(), F.pmod(F.xxhash64(*plain), F.lit(spread))).otherwise(0)
         bucket = F.struct(F.coalesce(F.date_trunc("MINUTE", time), F.lit("9999-12-31").cast("timestamp")), dealt_by)
         rows = rows.select(*by, time, size, F.struct(*columns).alias("_row"), bucket.alias("_minute"))  # so that no name meets those of numbering
-        rows = catalog.numbered_parts(rows, by, [time], F.col(size), limit, F.col("_minute")).drop("_minute").withColumnRenamed("part", "_part")
-        tasks = 0 if total is None else total // (4 * SPREAD) + 1  # so that few large parts meet in a task, whatever the session's number
-        few = tasks <= int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        dealt = (rows.repartition(*by, "_part") if few else rows.repartition(tasks, *by, "_part")).select("_row.*", time, size, *by, "_part")
+        tasks = many_tasks(rows.sparkSession, total)
+        many = {} if tasks is None else {"tasks": tasks}
+        rows = catalog.numbered_parts(rows, by, [time], F.col(size), limit, F.col("_minute"), **many).drop("_minute").withColumnRenamed("part", "_part")
+        dealt = (rows.repartition(*by, "_part") if tasks is None else rows.repartition(tasks, *by, "_part")).select("_row.*", time, size, *by, "_part")
     keys = [*by, *(["_part"] if limit is not None else [])]
-    dealt.sortWithinPartitions(*keys, F.asc_nulls_last(time)).write.mode(mode).option("compression", codec).partitionBy(*keys).parquet(path)
+    writer = dealt.sortWithinPartitions(*keys, F.asc_nulls_last(time)).write.mode(mode).option("compression", codec)
+    if attempt:
+        writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    writer.partitionBy(*keys).parquet(path)
+
+
+def many_tasks(spark: SparkSession, total: int | None) -> int | None:
+    """Tasks of a ``SHARE`` each for so many bytes, where that is more than the session's number; None elsewhere."""
+    tasks = 0 if total is None else total // SHARE + 1
+    return tasks if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def scan_tasks(files: list[tuple[str, int]], least: int) -> int:
+    """Tasks for the lines of files (path, length): a ``SHARE`` each by their lengths, and no fewer than files or ``least``."""
+    size = sum(length * (1 if path.lower().endswith((".ndjson", ".json", ".jsonl", ".txt")) else PACKED) for path, length in files)
+    return max(len(files), least, size // SHARE + 1)
 
 
 def unconsumed(files: DataFrame, consumed: DataFrame) -> DataFrame:
@@ -213,9 +232,11 @@ def publish(lines: DataFrame, batch: str, root: str, tenant: str, dataset: str,
         if valid:
             rows = times.withColumns({f"_v{n}": F.try_variant_get("record", f[1], "variant") for n, f in enumerate(fields)})
             rows = rows.withColumns({f"_as{n}": F.schema_of_variant(f"_v{n}") for n in range(len(fields))}).select(*casts, rest.alias("_rest"), "_event_ts", "_bytes", *[c.alias(n) for n, c in keys.items()])
-            write_parts(rows, data, list(keys), "_event_ts", options.codec, options.limit, "_bytes", mode="overwrite", total=size)
+            write_parts(rows, data, list(keys), "_event_ts", options.codec, options.limit, "_bytes", mode="overwrite", total=size, attempt=True)
         if options.keep_raw:
-            raw = times.select("value", *[c.alias(n) for n, c in keys.items()])
+            raw, tasks = times.select("value", *[c.alias(n) for n, c in keys.items()]), many_tasks(spark, size)
+            if tasks is not None:  # else each of many tasks has a file in each folder
+                raw = raw.repartition(tasks, *keys, F.pmod(F.xxhash64("value"), F.lit(tasks // 32 + 1)))
             raw.write.mode("overwrite").option("compression", "gzip").partitionBy(*keys).text(f"{root}/raw/_batch={batch}")
         if rejected:
             lines.where("status in ('not json', 'not an object')").select("value", "path", F.col("status").alias("reason")).write.mode("overwrite").parquet(own("quarantine"))
@@ -308,8 +329,9 @@ def _open(spark: SparkSession, root: str) -> list[str]:
 def _finish(spark: SparkSession, root: str, batch: str, tenant: str, dataset: str, how: Options) -> Published:
     """Packs the files of an intent, but for those that an ended batch has."""
     mine = spark.read.schema("path string, length long").parquet(f"{root}/_catalog/consumed/_batch={batch}").withColumn("path", plain_path(F.col("path")))
-    names = [r.path for r in unconsumed(mine, lake.consumed(spark, root)).select("path").collect()]
-    lines = ndjson.scan(spark, [without_globs(n) for n in names], max(len(names), spark.sparkContext.defaultParallelism)) if names else spark.createDataFrame([], "value string, path string")
+    files = [(r.path, r.length) for r in unconsumed(mine, lake.consumed(spark, root)).select("path", "length").collect()]
+    names = [path for path, _ in files]
+    lines = ndjson.scan(spark, [without_globs(n) for n in names], scan_tasks(files, spark.sparkContext.defaultParallelism)) if names else spark.createDataFrame([], "value string, path string")
     done = publish(lines, batch, root, tenant, dataset, how)
     commit(spark, root, batch, tenant, dataset, len(names), done)
     summarised(spark, root, how.metadata_level)

@@ -602,3 +602,29 @@ def test_uploads_that_lack_a_time_or_an_end_are_counted_as_the_sql_counts_them(s
         out = entry.queries()[name](spark, str(tmp_path))
         sql = con.execute(f"select {', '.join(out.columns)} from ({entry.oracle_sql()[name]})").fetchall()
         assert sorted(map(tuple, out.collect()), key=str) == sorted(sql, key=str)
+
+
+def test_large_tables_are_numbered_by_many_tasks(spark):
+    """So that no task sorts more of a table as the table grows; once dealt, rows aren't dealt again for the window."""
+    rows = spark.range(500).select(F.lit("p").alias("p"), "id", F.timestamp_seconds("id").alias("at"), F.lit(10).cast("long").alias("size"))
+    found = catalog.numbered_parts(rows, ["p"], ["at"], F.col("size"), 100, F.date_trunc("MINUTE", "at"), tasks=9)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ", 9)" in plan and plan.count("hashpartitioning(p") == 2  # the other one is that of the sums
+    assert {(r.part, r.n) for r in found.groupBy("part").agg(F.count("*").alias("n")).collect()} == {(k, 10) for k in range(1, 51)}
+
+
+def test_lines_of_large_files_are_dealt_to_tasks_by_their_size(spark, tmp_path, monkeypatch):
+    tasks, own = [], pack.ndjson.scan
+
+    def noted(spark, paths, partitions=None):
+        tasks.append(partitions)
+        return own(spark, paths, partitions)
+
+    monkeypatch.setattr(pack.ndjson, "scan", noted)
+    monkeypatch.setattr(pack, "SHARE", 100)
+    put(tmp_path / "in", "a.ndjson.gz", *[f'{{"timestamp":"2024-01-{k % 28 + 1:02d}T00:00:00","n":{k}}}' for k in range(300)])
+    done = pack.pack(spark, str(tmp_path / "in"), str(tmp_path / "out"), "t", "d", keep_raw=True)
+    assert done.valid == 300 and tasks[0] > 20
+    raw = spark.read.text(f"{tmp_path}/out/t/d/raw")
+    assert raw.count() == raw.select("value").distinct().count() == 300
+    assert sum(1 for _ in (tmp_path / "out/t/d/raw").rglob("*.gz")) < 300  # lines of a day meet in few files
