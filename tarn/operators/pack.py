@@ -150,6 +150,11 @@ def scan_tasks(files: list[tuple[str, int]], least: int) -> int:
     return max(len(files), least, size // SHARE + 1)
 
 
+def timed(lines: DataFrame) -> DataFrame:
+    """Classified lines with their event times: a column to be kept with them, as numbering, dealing and writing each ask for it."""
+    return lines.withColumn("_event_ts", event_time(F.col("record")))
+
+
 def unconsumed(files: DataFrame, consumed: DataFrame) -> DataFrame:
     """Files that no ended batch has read; a file that changed since counts as new."""
     return files.join(consumed.select("path", "length"), ["path", "length"], "left_anti")
@@ -195,11 +200,11 @@ def _merged(found: list[tuple[str, str | None, list[str]]], known: dict) -> list
 def publish(lines: DataFrame, batch: str, root: str, tenant: str, dataset: str, options: Options, n_files: int = 0, observed: list | None = None) -> Published:
     """Writes an attempt at a batch of lines (value, path) to a lake and its catalogue.
 
-    ``observed`` are the (field, path, kinds) of lines that are classified
-    and cached already.
+    ``observed`` are the (field, path, kinds) of lines that are classified,
+    ``timed`` and cached already.
     """
     spark, attempt = lines.sparkSession, uuid.uuid4().hex[:8]
-    lines = ndjson.classified(lines).persist() if observed is None else lines
+    lines = timed(ndjson.classified(lines)).persist() if observed is None else lines
     own = lambda table: f"{root}/_catalog/{table}/_batch={batch}"
     data = f"{root}/data/_batch={batch}/_try={attempt}"
     try:
@@ -222,7 +227,7 @@ def publish(lines: DataFrame, batch: str, root: str, tenant: str, dataset: str,
         casts = [schema.cast_value(*v, kind).alias(names[-1]) for v, (_, _, _, kind, _, names) in zip(values, fields, strict=True)]
         casts += [F.lit(None).cast(lake.TYPES[kind]).alias(names[-1]) for _, _, _, kind, _, names in absent]
         rest = schema.misfits(record, [(field, *v, kind) for v, (field, _, _, kind, *_) in zip(values, fields, strict=True)], [field for field, path, _ in found if path is None])
-        times = records.withColumns({"_event_ts": event_time(record), "_bytes": F.octet_length("value").cast("long")})
+        times = records.withColumn("_bytes", F.octet_length("value").cast("long"))
         keys = {"_folder": lake.folder_path(options.scheme, options.template, tenant, dataset, F.col("_event_ts"))} if options.keyless else layout.partition_columns(options.scheme, F.col("_event_ts"))
         if valid:
             rows = times.withColumns({f"_v{n}": F.try_variant_get("record", f[1], "variant") for n, f in enumerate(fields)})
@@ -437,7 +442,7 @@ def pack_many(spark: SparkSession, source: str, lake_: str, ending: str = ndjson
             files = mine if files is None else files.unionAll(mine)
         counts = {(r.tenant, r.dataset): r.n for r in files.groupBy("tenant", "dataset").agg(F.count("*").alias("n")).collect()}
         names = [without_globs(r.path) for r in files.select("path").collect()]
-        lines = ndjson.classified(ndjson.scan(spark, names).withColumn("path", plain_path(F.col("path"), encoded=True)).withColumns(place).repartition("path")).persist()
+        lines = timed(ndjson.classified(ndjson.scan(spark, names).withColumn("path", plain_path(F.col("path"), encoded=True)).withColumns(place).repartition("path"))).persist()
         kinds: dict[tuple[str, str], list] = {key: [] for key in intents}
         for r in schema.observed(lines.where("status = 'valid'"), by=["tenant", "dataset"]).collect() if how.flatten is None else schema.observed_leaves(lines.where("status = 'valid'"), how.flatten, by=["tenant", "dataset"]).collect():
             kinds[r.tenant, r.dataset].append((r.field, schema.json_path_or_none(r.field) if how.flatten is None else r.path, r.kinds))

@@ -47,6 +47,17 @@ def _named(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return f"{base}/stage", f"{base}/out"
 
 
+def _staged(rows: DataFrame, path: str, *fields) -> None:
+    """Rows as compressed JSON lines, in more files the more rows there are.
+
+    A given table is one task to read, and a compressed file is one to write
+    and one to read again; rows are dealt by their id, as dealing in turns
+    would sort them all first.
+    """
+    lines = rows.hint("rebalance", "event_id").select(F.to_json(F.struct(*fields)).alias("value"))
+    lines.write.option("compression", "gzip").text(path)
+
+
 def _packed(spark: SparkSession, sf_dir: str, **options) -> tuple[str, pack.Packed, pack.Packed]:
     source, out = _named(spark, sf_dir)
     first, second = (pack.pack(spark, source, out, "t1", "events", ending=r"\.gz$", **options) for _ in range(2))
@@ -134,7 +145,7 @@ def _lines(spark: SparkSession, sf_dir: str, base: str, *batches: list) -> str:
     """Packs events as records of given fields, the batches (a condition and its fields) one after the other; the lake's root."""
     events = view(spark, sf_dir, "events")
     for k, (condition, *fields) in enumerate(batches):
-        events.where(condition).select(F.to_json(F.struct(*fields)).alias("value")).write.option("compression", "gzip").text(f"{base}/in/{k}")
+        _staged(events.where(condition), f"{base}/in/{k}", *fields)
         pack.pack(spark, f"{base}/in", f"{base}/out", "t1", "events", ending=r"\.gz$")
     return f"{base}/out/t1/events"
 
@@ -172,8 +183,7 @@ def pack_odd_keys(spark, sf_dir):
 def _foldered(spark: SparkSession, sf_dir: str, **layout) -> DataFrame:
     """Rows of a lake without key=value folders, by the folder that the catalogue has and by what a reader gives."""
     base = work_folder(spark, "folders")
-    events = view(spark, sf_dir, "events")
-    events.select(F.to_json(F.struct("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"))).alias("value")).write.option("compression", "gzip").text(f"{base}/in")
+    _staged(view(spark, sf_dir, "events"), f"{base}/in", "event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"))
     pack.pack(spark, f"{base}/in", f"{base}/out", "t1", "events", ending=r"\.gz$", limit=50_000, **layout)
     root = f"{base}/out/t1/events"
     kept = lake.files(spark, root).groupBy(F.regexp_replace("partition", "/_part=.*", "").alias("folder")).agg(F.sum("n_rows").alias("n_stored"))
@@ -219,9 +229,8 @@ def lake_field_log(spark, sf_dir):
 def pack_field_names(spark, sf_dir):
     """Fields that are named like packing's own columns and folders, or differ in case only, are all kept."""
     base = work_folder(spark, "names")
-    events = view(spark, sf_dir, "events")
-    fields = F.struct("event_id", F.col("event_type").alias("_bytes"), F.col("user_id").alias("day"), (F.col("event_id") % 3).alias("K"), F.when(F.col("event_id") % 2 == 0, "x").alias("k"))
-    events.select(F.to_json(fields).alias("value")).write.option("compression", "gzip").text(f"{base}/in")
+    fields = ("event_id", F.col("event_type").alias("_bytes"), F.col("user_id").alias("day"), (F.col("event_id") % 3).alias("K"), F.when(F.col("event_id") % 2 == 0, "x").alias("k"))
+    _staged(view(spark, sf_dir, "events"), f"{base}/in", *fields)
     pack.pack(spark, f"{base}/in", f"{base}/out", "t1", "events", ending=r"\.gz$")
     rows = spark.read.parquet(f"{base}/out/t1/events/data")
     return rows.select("event_id", F.col("_bytes_").alias("size"), F.col("day_").alias("day"), F.col("K").alias("upper"), F.col("k_").alias("lower"))
@@ -253,10 +262,9 @@ def footer_fields(spark, sf_dir):
 def flatten_pack(spark, sf_dir):
     """Packing with flattened names: a column for each leaf, array places among them; typed arrays stay arrays without flattening."""
     base = work_folder(spark, "flat")
-    events = view(spark, sf_dir, "events")
     number = F.col("event_id") % 3
-    fields = F.struct("event_id", F.struct(number.alias("k"), F.struct("event_type").alias("x")).alias("o"), F.array(number, "event_id").alias("ids"))
-    events.select(F.to_json(fields).alias("value")).write.option("compression", "gzip").text(f"{base}/in")
+    fields = ("event_id", F.struct(number.alias("k"), F.struct("event_type").alias("x")).alias("o"), F.array(number, "event_id").alias("ids"))
+    _staged(view(spark, sf_dir, "events"), f"{base}/in", *fields)
     for name, delimiter in (("flat", "."), ("whole", None)):
         pack.pack(spark, f"{base}/in", f"{base}/{name}", "t1", "events", ending=r"\.gz$", flatten=delimiter)
     flat, whole = (spark.read.parquet(f"{base}/{name}/t1/events/data") for name in ("flat", "whole"))

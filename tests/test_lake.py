@@ -628,3 +628,44 @@ def test_lines_of_large_files_are_dealt_to_tasks_by_their_size(spark, tmp_path,
     raw = spark.read.text(f"{tmp_path}/out/t/d/raw")
     assert raw.count() == raw.select("value").distinct().count() == 300
     assert sum(1 for _ in (tmp_path / "out/t/d/raw").rglob("*.gz")) < 300  # lines of a day meet in few files
+
+
+class Staged(Exception):
+    pass
+
+
+def test_large_tables_are_staged_in_many_files(spark, tmp_path, monkeypatch):
+    """A compressed file is one task to write and one to read, and a given table may be one task as well."""
+    from tarn.plans import lake_queries
+
+    def counted(spark, source, *_, **__):
+        raise Staged(ndjson.list_files(spark, source, r"\.gz$").count())
+
+    monkeypatch.setattr(lake_queries.pack, "pack", counted)
+    rows = spark.range(400_000).select(F.col("id").alias("event_id"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("ts"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    for name in ("pack_template", "pack_date_layout"):
+        with pytest.raises(Staged) as files:
+            lake_queries.QUERIES[name](spark, str(tmp_path))
+        assert files.value.args[0] > 1
+
+
+@pytest.mark.parametrize("layout_", [{"template": "{tenant}/{year}-{month}"}, {"scheme": "date"}])
+def test_event_times_are_kept_with_the_lines(spark, tmp_path, monkeypatch, layout_):
+    """Numbering, dealing and writing take them from the cache and don't parse them again."""
+    plans, own = [], pack.write_parts
+
+    def noted(rows, *args, **options):
+        plans.append(rows._jdf.queryExecution().withCachedData().toString())
+        own(rows, *args, **options)
+
+    monkeypatch.setattr(pack, "write_parts", noted)
+    put(tmp_path / "in", "a.ndjson.gz", *[f'{{"timestamp":"2024-01-{k % 28 + 1:02d}T00:00:00","n":{k}}}' for k in range(60)], '{"n":60}')
+    done = pack.pack(spark, str(tmp_path / "in"), str(tmp_path / "out"), "t", "d", limit=100, **layout_)
+    assert done.valid == 61 and len(plans) == 1
+    above, cache, _ = plans[0].partition("InMemoryRelation")
+    assert cache and "@timestamp" not in above and "_event_ts" in above
+    from tarn.operators import lake
+
+    rows = lake.read(spark, f"{tmp_path}/out/t/d").select("n", F.day("_event_ts")).collect()
+    assert sorted(map(tuple, rows), key=str) == sorted([*((k, k % 28 + 1) for k in range(60)), (60, None)], key=str)
