@@ -44,19 +44,28 @@ def wide(text: Column, is_number: Column | None = None) -> Column:
     return F.when(is_number, from_epoch(F.when(text.rlike(_NUMBER), text).try_cast("double"))).otherwise(parsed)
 
 
+def _time_values(record: Column, fields: tuple[str, ...]) -> list[Column]:
+    return [F.try_variant_get(record, f"$['{name}']", "variant") for name in fields]
+
+
+def first_time_value(record: Column, fields: tuple[str, ...] = EVENT_TIME_FIELDS) -> Column:
+    """Of a VARIANT record's time fields the first that it has, whether it parses or not."""
+    return F.coalesce(*_time_values(record, fields))
+
+
+def value_time(value: Column, kind: Column) -> Column:
+    """The time of a VARIANT value of a time field, with its schema ``kind``; null for what is no string and no number, and what doesn't parse."""
+    number = kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL")
+    return F.when(number | (kind == "STRING"), wide(value.try_cast("string"), number))
+
+
 def event_time(record: Column, fields: tuple[str, ...] = EVENT_TIME_FIELDS) -> Column:
     """The event time of a VARIANT record: of its time fields the first that parses; null if none does.
 
     The fields' values are gathered first and each is parsed by the same code.
     """
-    values = F.array(*[F.try_variant_get(record, f"$['{name}']", "variant") for name in fields])
-
-    def parsed(value: Column) -> Column:
-        kind = F.schema_of_variant(value)
-        number = kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL")
-        return F.when(number | (kind == "STRING"), wide(value.try_cast("string"), number))
-
-    return F.get(F.filter(F.transform(F.filter(values, lambda v: v.isNotNull()), parsed), lambda t: t.isNotNull()), F.lit(0))
+    values = F.filter(F.array(*_time_values(record, fields)), lambda v: v.isNotNull())
+    return F.get(F.filter(F.transform(values, lambda v: value_time(v, F.schema_of_variant(v))), lambda t: t.isNotNull()), F.lit(0))
 
 
 def rfc3339(time: Column) -> Column:

@@ -13,6 +13,9 @@ from tarn.sources.folders import listed_by_tasks
 
 FOOTER = "path string, size long, modified timestamp, n_rows long, n_row_groups int, fields array<struct<name: string, type: string, nullable: boolean>>, stats array<struct<name: string, min_value: string, max_value: string, null_count: long>>"
 
+#: Files whose footers a task holds at once.
+FOOTERS = 256
+
 # Physical Parquet types by their catalogue names.
 TYPE_NAMES = {
     "BOOLEAN": "boolean", "INT32": "int32", "INT64": "int64", "INT96": "timestamp", "FLOAT": "float",
@@ -46,7 +49,7 @@ def open_store(path: str):
 def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import pyarrow.parquet as pq
 
-    for batch in batches:
+    for batch in (whole.slice(k, FOOTERS) for whole in batches for k in range(0, whole.num_rows, FOOTERS)):
         rows = []
         for r in batch.to_pylist():
             store, path = open_store(r["path"])
@@ -76,9 +79,14 @@ def _schema(time: pa.DataType) -> pa.Schema:
 
 
 def scan_footers(files: DataFrame, partitions: int = 0) -> DataFrame:
-    """Rows, size and fields of listed files from their footers alone; no data page is read."""
+    """Rows, size and fields of listed files from their footers alone; no data page is read.
+
+    Spark lists some 30 small files a task, for which starting it takes longer
+    than reading footers; so there are some tasks a core at most.
+    """
     files = files.select("path", "length", "modificationTime")
-    return (files.repartition(partitions, "path") if partitions else files).mapInArrow(_footers, FOOTER)
+    dealt = files.repartition(partitions, "path") if partitions else files.coalesce(3 * files.sparkSession.sparkContext.defaultParallelism)
+    return dealt.mapInArrow(_footers, FOOTER)
 
 
 def scanned(spark: SparkSession, root: str, time: str) -> DataFrame:

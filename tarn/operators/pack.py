@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarn.functions import layout
-from tarn.functions.timestamps import event_time
+from tarn.functions.timestamps import event_time, first_time_value, value_time
 from tarn.operators import catalog, lake, schema, sketches
 from tarn.operators.lake import BATCHES, CONSUMED, read_or_empty, summarised
 from tarn.sources import ndjson
@@ -151,8 +151,14 @@ def scan_tasks(files: list[tuple[str, int]], least: int) -> int:
 
 
 def timed(lines: DataFrame) -> DataFrame:
-    """Classified lines with their event times: a column to be kept with them, as numbering, dealing and writing each ask for it."""
-    return lines.withColumn("_event_ts", event_time(F.col("record")))
+    """Classified lines with their event times: a column to be kept with them, as numbering, dealing and writing each ask for it.
+
+    The first time field of a line is parsed as a column, which Spark compiles;
+    the lambdas of ``event_time``, which it doesn't, see only lines where that one doesn't parse.
+    """
+    record, first = F.col("record"), F.col("_time")
+    rows = lines.withColumn("_time", first_time_value(record)).withColumn("_time_as", F.schema_of_variant("_time"))  # columns, so that a value is looked up once
+    return rows.withColumn("_event_ts", F.when(first.isNotNull(), F.coalesce(value_time(first, F.col("_time_as")), event_time(record)))).drop("_time", "_time_as")
 
 
 def unconsumed(files: DataFrame, consumed: DataFrame) -> DataFrame:

@@ -669,3 +669,27 @@ def test_event_times_are_kept_with_the_lines(spark, tmp_path, monkeypatch, layou
 
     rows = lake.read(spark, f"{tmp_path}/out/t/d").select("n", F.day("_event_ts")).collect()
     assert sorted(map(tuple, rows), key=str) == sorted([*((k, k % 28 + 1) for k in range(60)), (60, None)], key=str)
+
+
+def test_the_first_time_field_is_parsed_as_a_column(spark, monkeypatch):
+    """Lambdas see only lines whose first time field doesn't parse; the times are those of ``event_time`` for all lines."""
+    cases = [
+        '{"timestamp":"2024-01-02T03:04:05Z"}', '{"InfoTimestamp":"no","created_at":"2024-01-02"}', '{"timestamp":null,"time":1700000000}', '{"timestamp":true,"Time":1.7e9,"created_at":"2024-01-02"}',
+        '{"Timestamp":"2024-01-02 03:04:05,5","timestamp":[1]}', '{"InfoTimestamp":1,"timestamp":"2024-01-02T03:04:05"}', '{"time":"12"}', '{"x":1}', "{}", "[1]", "no", "", '{"time":12345678901234567890123}',
+    ]
+    lines = ndjson.classified(spark.createDataFrame([(x,) for x in cases], "value string"))
+    rows = pack.timed(lines).select("value", "_event_ts", timestamps.event_time(F.col("record")).alias("want"))
+    assert rows.where("not _event_ts <=> want").collect() == [] and rows.where("want is not null").count() == 6
+    monkeypatch.setattr(pack, "event_time", lambda _: F.lit(None).cast("timestamp_ntz"))
+    rows = {r.value: r._event_ts for r in pack.timed(lines).collect()}
+    assert rows[cases[0]] == datetime(2024, 1, 2, 3, 4, 5) and rows[cases[1]] is None
+
+
+def test_footers_are_read_by_few_tasks_in_slices(spark, tmp_path):
+    spark.range(0, 300, 1, 300).write.parquet(f"{tmp_path}/x")  # a file each
+    files = catalog.list_parquet(spark, f"{tmp_path}/x")
+    footers = catalog.scan_footers(files.repartition(100))  # as many as Spark has for the listing of many files
+    assert footers.rdd.getNumPartitions() <= 3 * spark.sparkContext.defaultParallelism
+    assert footers.agg(F.count("*"), F.sum("n_rows")).first() == (300, 300)
+    slices = [b.num_rows for b in catalog._footers(iter([files.toArrow().combine_chunks().to_batches()[0]]))]
+    assert slices == [catalog.FOOTERS, 300 - catalog.FOOTERS]
