@@ -41,7 +41,8 @@ def open_store(path: str):
     """Arrow's file system and path of a listed path: local, hdfs, s3 (s3a and s3n are its names in Hadoop), gs and abfs, as far as Arrow has them."""
     from pyarrow import fs
 
-    path = path.replace("%", "%25") if "://" not in path or path.startswith("file:") else path  # listed paths are names, not URIs
+    if path.startswith(("/", "file:/")):  # listed paths are names, not URIs, and may have blanks or %
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
     scheme, mark, rest = path.partition("://")
     return fs.FileSystem.from_uri(f"s3://{rest}" if mark and scheme in ("s3a", "s3n") else path)
 

@@ -230,13 +230,13 @@ def read(spark: SparkSession, root: str, since=None, until=None, between: Mappin
         if not some:
             continue
         how = json.loads(text)
-        keys = [] if how["folders"] else [*[T.StructField(k, T.IntegerType()) for k in how["keys"]], T.StructField("_part", T.LongType()), T.StructField("_batch", T.StringType())]
         kinds = [T.StructField(c, T._parse_datatype_string(TYPES[k])) for c, (_, k) in how["columns"].items()]
-        reader = spark.read.schema(T.StructType([*kinds, *own, *keys]))
         with listed_by_tasks(spark):
-            rows = reader.option("recursiveFileLookup", True).parquet(*some) if how["folders"] else reader.option("basePath", f"{root}/data").parquet(*some)
+            rows = spark.read.schema(T.StructType([*kinds, *own])).option("recursiveFileLookup", True).parquet(*some)
         at = F.col("_metadata.file_path")
-        place = [F.regexp_extract(at, "_part=([0-9]+)", 1).try_cast("long").alias("_part"), F.regexp_extract(at, "_batch=([^/]+)", 1).alias("_batch")] if how["folders"] else [k.name for k in keys]
+        inner = F.substring_index(at, "/_try=", -1)  # keys are taken from paths, as Spark's search for partitions grows with the square of their number
+        key = lambda k, kind: F.substring_index(F.substring_index(inner, f"/{k}=", -1), "/", 1).try_cast(kind).alias(k)  # noqa: B023, E731
+        place = [*([] if how["folders"] else [key(k, "int") for k in how["keys"]]), key("_part", "long"), F.regexp_extract(at, "_batch=([^/]+)", 1).alias("_batch")]
         rows = rows.select(*[_as(F.col(f"`{stored}`"), k, now.get(c, k)).alias(c) for stored, (c, k) in how["columns"].items()], *[f.name for f in own], *place)
         found = rows if found is None else found.unionByName(rows, allowMissingColumns=True)
     if found is None:

@@ -693,3 +693,67 @@ def test_footers_are_read_by_few_tasks_in_slices(spark, tmp_path):
     assert footers.agg(F.count("*"), F.sum("n_rows")).first() == (300, 300)
     slices = [b.num_rows for b in catalog._footers(iter([files.toArrow().combine_chunks().to_batches()[0]]))]
     assert slices == [catalog.FOOTERS, 300 - catalog.FOOTERS]
+
+
+def test_small_parts_are_as_spark_writes_them(spark, tmp_path):
+    """Rows, types and folders are those of Spark's writer, which took some twelve milliseconds for each file; no checksum files lie beside them."""
+    odd = ["a b", "x/y=z", "ä%41", "", None, "q'\"[1]", "t\tb"]
+    rows = spark.range(210).select(
+        F.get(F.array(*[F.lit(o) for o in odd]), (F.col("id") % 7).cast("int")).alias("k"), (F.col("id") % 3).alias("n"), F.col("id").alias("a"), (F.col("id") / 2).alias("b"), (F.col("id") % 2 == 0).alias("c"),
+        F.when(F.col("id") % 5 > 0, F.timestamp_seconds("id").cast("timestamp_ntz")).alias("at"), F.array(F.col("id").cast("string"), F.lit(None)).alias("d"), F.lit(None).cast("string").alias("e"),
+        F.when(F.col("id") % 4 == 0, F.parse_json(F.concat(F.lit('{"x":'), F.col("id").cast("string"), F.lit("}")))).alias("v"), F.lit(100).cast("long").alias("size"),
+    )
+    pack.write_parts(rows, f"{tmp_path}/own", ["k", "n"], "at", limit=300, size="size")
+    numbered = catalog.numbered_parts(rows, ["k", "n"], ["at"], F.col("size"), 300, F.lit(0)).withColumnRenamed("part", "_part")
+    numbered.repartition("k", "n", "_part").write.partitionBy("k", "n", "_part").parquet(f"{tmp_path}/spark")
+    own, other = (spark.read.parquet(f"{tmp_path}/{x}") for x in ("own", "spark"))
+    assert sorted(own.dtypes) == sorted(other.dtypes)
+    own, other = ([tuple(r) for r in x.select("k", "n", "a", "b", "c", "at", "d", "e", "v", "size").withColumns({"v": F.to_json("v"), "d": F.to_json("d")}).orderBy("a").collect()] for x in (own, other))
+    assert own == other and len(own) == 210 and any(r[0] == "x/y=z" for r in own)
+    folders = [{str(p.parent.relative_to(tmp_path / x)) for p in (tmp_path / x).rglob("*.parquet")} for x in ("own", "spark")]
+    assert folders[0] == folders[1] and len(folders[0]) > 60
+    assert not [*(tmp_path / "own").rglob("*.crc")] and not (tmp_path / "own/_temporary").exists()
+    assert len([*(tmp_path / "own").rglob("*.parquet")]) == numbered.select("k", "n", "_part").distinct().count()  # one a part
+    footers = [catalog.scan_footers(catalog.list_parquet(spark, f"{tmp_path}/{x}")).select(F.inline("stats")).groupBy("name").agg(F.count("min_value") > 0, F.sum("null_count")) for x in ("own", "spark")]
+    footers = [sorted(map(tuple, x.where("name not like 'v.%' or name = 'v.metadata'").collect())) for x in footers]  # Spark adds columns of what is in a VARIANT
+    assert footers[0] == footers[1] and len(footers[0]) == 8
+
+
+def test_attempts_that_spark_does_not_take_leave_no_parts(spark, tmp_path):
+    """Two attempts at one task, of which one is taken, beside a writer of another job."""
+    from tarn.operators import parts
+
+    source = parts.PartFiles({"path": f"{tmp_path}/x", "by": '["k"]', "codec": "zstd"})
+    kind = spark.createDataFrame([], "k int, a long").schema
+    batch = spark.range(10).select((F.col("id") / 4).cast("int").alias("k"), F.col("id").alias("a")).coalesce(1).orderBy("a").toArrow().combine_chunks().to_batches()
+    writer, other = source.writer(kind, False), source.writer(kind, False)
+    waiting, given_up, taken = other.write(iter(batch)), writer.write(iter(batch)), writer.write(iter([b.slice(k, 3) for b in batch for k in range(0, b.num_rows, 3)]))
+    assert given_up != taken and not [*(tmp_path / "x").glob("k=*")]
+    writer.commit([taken, None])
+    found = spark.read.parquet(f"{tmp_path}/x")
+    assert sorted(map(tuple, found.select("k", "a").collect())) == [(k // 4, k) for k in range(10)] and len(found.inputFiles()) == 3
+    assert [p.name for p in (tmp_path / "x/_temporary").iterdir()] == [other.job]
+    other.abort([waiting])
+    assert not (tmp_path / "x/_temporary").exists() and spark.read.parquet(f"{tmp_path}/x").count() == 10
+
+
+def test_a_lake_of_many_parts_is_read_without_a_search_for_partitions(spark, tmp_path):
+    """Spark's search for partitions grows with the square of their number; keys are taken from paths, and files are still left out by them."""
+    from tarn.operators import lake
+
+    (tmp_path / "year=7").mkdir()
+    put(tmp_path / "year=7/in", "a.ndjson.gz", *[f'{{"timestamp":"2024-01-{k % 5 + 1:02d}T00:00:{k % 60:02d}","n":{k}}}' for k in range(300)], '{"n":300}')
+    pack.pack(spark, str(tmp_path / "year=7/in"), str(tmp_path / "year=7/out"), "t", "d", limit=100)
+    root = f"{tmp_path}/year=7/out/t/d"
+    rows, found = lake.read(spark, root), spark.read.parquet(f"{root}/data")
+    keys = ["n", "year", "month", "day", "_part"]
+    assert dict(rows.dtypes) | {"year": "int", "month": "int", "day": "int", "_part": "bigint", "_batch": "string"} == dict(rows.dtypes)
+    assert sorted(map(tuple, rows.select(*keys).collect()), key=str) == sorted(map(tuple, found.select(*keys).collect()), key=str)
+    assert rows.where("year is null").count() == 1 and rows.select("_batch").distinct().count() == 1
+    some = rows.where("day = 3 and _part < 4").select("n")
+    some.collect()
+    plan = some._jdf.queryExecution().executedPlan()
+    while plan.children().size():
+        plan = plan.children().head()
+    assert plan.relation().location().partitionSchema().isEmpty()
+    assert plan.metrics().apply("numFiles").value() == 3
