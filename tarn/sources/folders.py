@@ -64,10 +64,13 @@ def listed_by_tasks(spark: SparkSession) -> Iterator[None]:
 
 
 def plain_path(path: Column, encoded: bool = False) -> Column:
-    """A path as one text however Spark lists it: no ``file:`` in front; ``encoded`` for URIs, whose %20 are blanks."""
+    """A path as one text however Spark lists it: no ``file:`` in front; ``encoded`` for URIs, whose %20 are blanks.
+
+    It is made for each line that a stream reads, so only paths with a % are decoded, and none meets a regular expression.
+    """
     if encoded:
-        path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(path, "^file:/+", "/")
+        path = F.when(F.contains(path, F.lit("%")), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+    return F.when(F.startswith(path, F.lit("file:/")), F.concat(F.lit("/"), F.ltrim(F.substr(path, F.lit(6)), F.lit("/")))).otherwise(path)
 
 
 def _store(spark: SparkSession, path: str):

@@ -28,8 +28,12 @@ def scan(spark: SparkSession, paths: str | list[str], partitions: int | None = N
 
 
 def dealt(lines: DataFrame) -> DataFrame:
-    """``lines`` dealt to some tasks a core, or as many as they come in: a compressed file is one task until then."""
-    return lines.repartition(max(lines.rdd.getNumPartitions(), 3 * lines.sparkSession.sparkContext.defaultParallelism))
+    """``lines`` dealt to some tasks a core, or as many as they come in: a compressed file is one task until then.
+
+    They are dealt by their places, as dealing in turns would sort all lines of a file first.
+    """
+    tasks = max(lines.rdd.getNumPartitions(), 3 * lines.sparkSession.sparkContext.defaultParallelism)
+    return lines.withColumn("_place", F.monotonically_increasing_id()).repartition(tasks, "_place").drop("_place")
 
 
 def classified(lines: DataFrame, value: str = "value") -> DataFrame:

@@ -757,3 +757,22 @@ def test_a_lake_of_many_parts_is_read_without_a_search_for_partitions(spark, tmp
         plan = plan.children().head()
     assert plan.relation().location().partitionSchema().isEmpty()
     assert plan.metrics().apply("numFiles").value() == 3
+
+
+def test_plain_paths(spark):
+    from tarn.sources.folders import plain_path
+
+    cases = {"file:///a/b c": "/a/b c", "file:/a": "/a", "/a/file:/b": "/a/file:/b", "s3a://b/c": "s3a://b/c", "file:////a+b": "/a+b", "a%20b": "a%20b", None: None}
+    assert {r.p: r.x for r in spark.createDataFrame([(p,) for p in cases], "p string").select("p", plain_path(F.col("p")).alias("x")).collect()} == cases
+    cases = {"file:///a/b%20c+d%2Be": "/a/b c+d+e", "file:///a+b": "/a+b", "hdfs://x/a%25b": "hdfs://x/a%b"}
+    assert {r.p: r.x for r in spark.createDataFrame([(p,) for p in cases], "p string").select("p", plain_path(F.col("p"), encoded=True).alias("x")).collect()} == cases
+
+
+def test_lines_of_a_stream_are_dealt_without_a_sort(spark, tmp_path):
+    """Dealing in turns sorts all lines of a file first; equal lines still meet in no one task."""
+    put(tmp_path / "in", "a.ndjson.gz", *["same"] * 3000)
+    lines = ndjson.dealt(spark.read.text(str(tmp_path / "in")))
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" not in plan and "hashpartitioning(_place" in plan and lines.columns == ["value"]
+    tasks = [r["count"] for r in lines.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 3000 and len(tasks) == 3 * spark.sparkContext.defaultParallelism and max(tasks) < 500
