@@ -92,7 +92,7 @@ def raw_lineage(spark, sf_dir):
 def sorted_parts(spark, sf_dir):
     """Each file is sorted by event time and no part is larger than the limit and one row."""
     root, _, _ = _packed(spark, sf_dir, limit=20_000)
-    rows = spark.read.parquet(f"{root}/data").select("year", "month", "day", F.col("_part").alias("part"), F.col("_bytes").alias("size"), F.col("_event_ts").alias("event_ts"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("k"))
+    rows = lake.read(spark, root).select("year", "month", "day", F.col("_part").alias("part"), F.col("_bytes").alias("size"), F.col("_event_ts").alias("event_ts"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("k"))
     from pyspark.sql import Window
 
     before = F.lag("event_ts").over(Window.partitionBy("path").orderBy("k"))

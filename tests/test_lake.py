@@ -776,3 +776,14 @@ def test_lines_of_a_stream_are_dealt_without_a_sort(spark, tmp_path):
     assert "RoundRobinPartitioning" not in plan and "hashpartitioning(_place" in plan and lines.columns == ["value"]
     tasks = [r["count"] for r in lines.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(tasks) == 3000 and len(tasks) == 3 * spark.sparkContext.defaultParallelism and max(tasks) < 500
+
+
+def test_parts_are_checked_without_a_search_for_partitions(spark, tmp_path, monkeypatch):
+    from tarn.plans import lake_queries
+
+    put(tmp_path / "in", "a.ndjson.gz", *[f'{{"timestamp":"2024-01-{k % 5 + 1:02d}T00:00:{k % 60:02d}","n":{k}}}' for k in range(60)])
+    pack.pack(spark, str(tmp_path / "in"), str(tmp_path / "out"), "t", "d", limit=100)
+    monkeypatch.setattr(lake_queries, "_packed", lambda *_, **__: (f"{tmp_path}/out/t/d", None, None))
+    out = lake_queries.QUERIES["sorted_parts"](spark, str(tmp_path))
+    assert out._jdf.queryExecution().optimizedPlan().collectLeaves().head().relation().location().partitionSchema().isEmpty()
+    assert tuple(out.first()) == (True, True, 60)
